@@ -34,6 +34,8 @@ MATCH_COUNTS = ("total_pairs_compared", "auto_merge_pairs", "steward_review_pair
 IDS_PER_CHUNK = 500
 LOWEST_REVIEW = 0.3
 COUNT = "decimal(38,0)"
+# How a name is compared: without the first token among names that share it, or whole among all of a block.
+SAME_TOKEN, ANY_TOKEN = "=", "*"
 
 
 def normalize(zones: DataFrame, id_type: str = "int") -> DataFrame:
@@ -143,78 +145,79 @@ def similar_classes(classes: DataFrame, review: float) -> DataFrame:
     """
     if not LOWEST_REVIEW <= review <= 1:
         raise ValueError(f"the review threshold must be between {LOWEST_REVIEW} and 1, not {review}")
-    names = classes.withColumns({"token": tx.first_token(F.col("name")), "size": F.length("name")})
-    rest = F.expr("substring(name, length(token) + 1)")
-    same_token = near_pairs(
-        names.select("block", "token", rest.alias("text"), "size", "records"),
-        ["block", "token"],
-        similarity_floor(review, 1.0),
-    ).select(
-        "block",
-        F.concat("token", "text_x").alias("x"),
-        F.concat("token", "text_y").alias("y"),
-        "records_x",
-        "records_y",
+    token, name = tx.first_token(F.col("name")), F.col("name")
+    same = F.struct(
+        F.concat(F.lit(SAME_TOKEN), token).alias("family"),
+        F.expr("substring(name, length(substring_index(name, ' ', 1)) + 1)").alias("text"),
+        F.lit(similarity_floor(review, 1.0)).alias("floor"),
     )
-    other_token = (
-        near_pairs(
-            names.select("block", F.col("name").alias("text"), "size", "records"),
-            ["block"],
-            similarity_floor(review, 0.0),
-        )
-        .filter(tx.first_token(F.col("text_x")) != tx.first_token(F.col("text_y")))
-        .select("block", F.col("text_x").alias("x"), F.col("text_y").alias("y"), "records_x", "records_y")
+    other = F.struct(
+        F.lit(ANY_TOKEN).alias("family"), name.alias("text"), F.lit(similarity_floor(review, 0.0)).alias("floor")
     )
+    names = classes.select("block", F.length("name").alias("size"), "records", F.inline(F.array(same, other)))
+
+    def full(text: str) -> Column:
+        return F.when(F.col("family") == ANY_TOKEN, F.col(text)).otherwise(
+            F.concat(F.expr(f"substring(family, {len(SAME_TOKEN) + 1})"), F.col(text))
+        )
+
+    found = near_pairs(names, ["block", "family"]).withColumns({"x": full("text_x"), "y": full("text_y")})
+    found = found.filter((F.col("family") != ANY_TOKEN) | (tx.first_token(F.col("x")) != tx.first_token(F.col("y"))))
     ordered = F.col("x") < F.col("y")
-    return same_token.unionByName(other_token).select(
+    return found.select(
         "block",
-        F.when(ordered, F.col("x")).otherwise(F.col("y")).alias("zone_a"),
-        F.when(ordered, F.col("y")).otherwise(F.col("x")).alias("zone_b"),
+        F.least("x", "y").alias("zone_a"),
+        F.greatest("x", "y").alias("zone_b"),
         F.when(ordered, F.col("records_x")).otherwise(F.col("records_y")).alias("records_a"),
         F.when(ordered, F.col("records_y")).otherwise(F.col("records_x")).alias("records_b"),
     )
 
 
-def shared_id_pairs(class_pairs: DataFrame, per_copy: DataFrame) -> DataFrame:
-    """For pairs of classes: the record pairs with the same id, which are no pairs. Empty when ids are unique."""
+def count_across(class_pairs: DataFrame, per_copy: DataFrame) -> DataFrame:
+    """Pairs of classes with their record pairs: the product of the counts, less the pairs of one and the same id.
+
+    Only ids that occur under several names of a block are looked up; usually there are none.
+    """
     repeated = per_copy.groupBy("block", "id").agg(F.count(F.lit(1)).alias("names")).filter("names > 1")
     ids = per_copy.join(repeated, ["block", "id"], "left_semi").filter(F.col("name").isNotNull())
     left = ids.select("block", F.col("name").alias("zone_a"), "id", F.col("copies").alias("copies_a"))
     right = ids.select("block", F.col("name").alias("zone_b"), "id", F.col("copies").alias("copies_b"))
-    both = class_pairs.join(left, ["block", "zone_a"]).join(right, ["block", "zone_b", "id"])
-    product = F.col("copies_a").cast("decimal(18,0)") * F.col("copies_b").cast("decimal(18,0)")
-    return both.groupBy("block", "zone_a", "zone_b").agg(F.sum(product).cast(COUNT).alias("shared"))
+
+    def product(a: str, b: str) -> Column:
+        return (F.col(a).cast("decimal(18,0)") * F.col(b).cast("decimal(18,0)")).cast(COUNT)
+
+    shared = F.coalesce(F.sum(product("copies_a", "copies_b")), F.lit(0))
+    return (
+        class_pairs.join(left, ["block", "zone_a"], "left")
+        .join(right, ["block", "zone_b", "id"], "left")
+        .groupBy(*class_pairs.columns)
+        .agg(shared.alias("shared"))
+        .withColumn("record_pairs", (product("records_a", "records_b") - F.col("shared")).cast(COUNT))
+        .filter(F.col("record_pairs") > 0)
+        .drop("shared")
+    )
 
 
 def accepted_names(
     records: DataFrame, high: float = tx.HIGH_CONFIDENCE, review: float = tx.REVIEW_CONFIDENCE
 ) -> DataFrame:
-    """Every pair of names that is not rejected, scored, with the number of record pairs behind it.
+    """Every pair of names that is not rejected, scored, with their records and the record pairs behind it.
 
     A name paired with itself stands for the pairs among its own records.
     """
     per_copy = copies(records)
     classes = name_classes(per_copy)
-    within = score(
-        classes.filter(F.col("inner_pairs") > 0).select(
-            "block",
-            F.col("name").alias("zone_a"),
-            F.col("name").alias("zone_b"),
-            F.col("inner_pairs").alias("record_pairs"),
-        ),
-        high,
-        review,
-    ).filter(F.col("decision") != tx.REJECT)
-    similar = score(similar_classes(classes, review), high, review).filter(F.col("decision") != tx.REJECT)
-    keys = ["block", "zone_a", "zone_b"]
-    product = F.col("records_a").cast("decimal(18,0)") * F.col("records_b").cast("decimal(18,0)")
-    across = (
-        similar.join(shared_id_pairs(similar.select(*keys), per_copy), keys, "left")
-        .withColumn("record_pairs", (product - F.coalesce(F.col("shared"), F.lit(0).cast(COUNT))).cast(COUNT))
-        .filter(F.col("record_pairs") > 0)
-        .drop("records_a", "records_b", "shared")
+    within = classes.filter(F.col("inner_pairs") > 0).select(
+        "block",
+        F.col("name").alias("zone_a"),
+        F.col("name").alias("zone_b"),
+        F.col("records").alias("records_a"),
+        F.col("records").alias("records_b"),
+        F.col("inner_pairs").alias("record_pairs"),
     )
-    return within.unionByName(across).withColumnRenamed("block", "borough")
+    across = count_across(similar_classes(classes, review), per_copy)
+    scored = score(within.unionByName(across), high, review).filter(F.col("decision") != tx.REJECT)
+    return scored.withColumnRenamed("block", "borough")
 
 
 def block_ledger(records: DataFrame, accepted: DataFrame) -> DataFrame:
@@ -247,39 +250,33 @@ def record_pairs(name_pairs: DataFrame, records: DataFrame) -> DataFrame:
     The ids of a class are cut into chunks of bounded size; a name pair becomes one row per pair of chunks,
     so that no task or row holds a whole class. Duplicate records come out as often as they occur.
     """
-    keys = name_pairs.select("borough", "zone_a", "zone_b", "name_similarity", "match_confidence", "decision")
-    names = keys.select("borough", F.explode(F.array("zone_a", "zone_b")).alias("name")).distinct()
-    ids = copies(records).withColumnRenamed("block", "borough").join(names, ["borough", "name"], "left_semi")
-    parts = (
-        ids.groupBy("borough", "name")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("borough", "name", F.ceil(F.col("n") / IDS_PER_CHUNK).cast("int").alias("chunks"))
-    )
-    chunks = (
-        ids.join(parts, ["borough", "name"])
-        .withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int"))
-        .groupBy("borough", "name", "chunk")
+    def chunks(count: str) -> Column:
+        return F.ceil(F.col(count) / IDS_PER_CHUNK).cast("int")
+
+    names = name_pairs.select(
+        "borough",
+        F.inline(
+            F.array(
+                F.struct(F.col("zone_a").alias("name"), chunks("records_a").alias("chunks")),
+                F.struct(F.col("zone_b").alias("name"), chunks("records_b").alias("chunks")),
+            )
+        ),
+    ).distinct()
+    lists = (
+        copies(records)
+        .withColumnRenamed("block", "borough")
+        .join(names, ["borough", "name"])
+        .groupBy("borough", "name", F.pmod(F.xxhash64("id"), "chunks").cast("int").alias("chunk"))
         .agg(F.collect_list(F.struct("id", "copies")).alias("ids"))
     )
-
-    def side(s: str) -> tuple[DataFrame, DataFrame]:
-        counted = parts.select("borough", F.col("name").alias(f"zone_{s}"), F.col("chunks").alias(f"chunks_{s}"))
-        listed = chunks.select(
-            "borough", F.col("name").alias(f"zone_{s}"), F.col("chunk").alias(f"chunk_{s}"), F.col("ids").alias(f"ids_{s}")
-        )
-        return counted, listed
-
-    (parts_a, ids_a), (parts_b, ids_b) = side("a"), side("b")
     itself = F.col("zone_a") == F.col("zone_b")
-    first = F.when(itself, F.col("chunk_a")).otherwise(0)
     tiles = (
-        keys.join(parts_a, ["borough", "zone_a"])
-        .join(parts_b, ["borough", "zone_b"])
-        .withColumn("chunk_a", F.explode(F.sequence(F.lit(0), F.col("chunks_a") - 1)))
-        .withColumn("chunk_b", F.explode(F.sequence(first, F.col("chunks_b") - 1)))
-        .drop("chunks_a", "chunks_b")
-        .join(ids_a, ["borough", "zone_a", "chunk_a"])
-        .join(ids_b, ["borough", "zone_b", "chunk_b"])
+        name_pairs.withColumn("chunk_a", F.explode(F.sequence(F.lit(0), chunks("records_a") - 1)))
+        .withColumn(
+            "chunk_b", F.explode(F.sequence(F.when(itself, F.col("chunk_a")).otherwise(0), chunks("records_b") - 1))
+        )
+        .join(lists.withColumnsRenamed({"name": "zone_a", "chunk": "chunk_a", "ids": "ids_a"}), ["borough", "zone_a", "chunk_a"])
+        .join(lists.withColumnsRenamed({"name": "zone_b", "chunk": "chunk_b", "ids": "ids_b"}), ["borough", "zone_b", "chunk_b"])
     )
     same_tile = itself & (F.col("chunk_a") == F.col("chunk_b"))
     lines = (

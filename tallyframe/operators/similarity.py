@@ -14,22 +14,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def edit_budget(length: Column, floor: float) -> Column:
+def edit_budget(length: Column, floor: Column) -> Column:
     """The most edits that leave a similarity of ``floor`` when the longer name has ``length`` characters."""
-    return F.floor(length * F.lit(1.0 - floor)).cast("int")
-
-
-def _segment_size(length: Column, budget: Column, i: Column) -> Column:
-    """Size of segment ``i`` of budget + 1; the last ones take the characters left over."""
-    short = F.floor(length / (budget + 1)).cast("int")
-    longer = length - short * (budget + 1)
-    return short + F.when(i > budget + 1 - longer, 1).otherwise(0)
+    return F.floor(length * (1 - floor)).cast("int")
 
 
 def _segment_start(length: Column, budget: Column, i: Column) -> Column:
-    short = F.floor(length / (budget + 1)).cast("int")
-    longer = length - short * (budget + 1)
-    return 1 + (i - 1) * short + F.greatest(F.lit(0), i - 1 - (budget + 1 - longer))
+    """Where segment ``i`` of budget + 1 begins; all have the same size, give or take one character."""
+    return F.floor((i - 1) * length / (budget + 1)).cast("int") + 1
 
 
 def _segment_numbers(length: Column, budget: Column) -> Column:
@@ -37,55 +29,59 @@ def _segment_numbers(length: Column, budget: Column) -> Column:
     return F.when(length <= budget, F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), budget + 1))
 
 
-def near_pairs(names: DataFrame, keys: Sequence[str], floor: float) -> DataFrame:
+def near_pairs(names: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Pairs of ``names`` that share ``keys`` and whose texts are within the edit budget of the longer one.
 
-    ``names`` has the columns ``keys``, ``text`` (what is compared, distinct within keys) and ``size`` (the
-    length the similarity is taken over; ``size`` minus the length of ``text`` is the same within keys).
-    Returns keys, ``text_x``, ``text_y`` (each unordered pair once) and the remaining columns of both sides.
-    ``floor`` is the least similarity, above 0.
+    ``names`` has the columns ``keys``; ``text``, which is compared and is distinct within keys; ``size``, the
+    length the similarity is taken over (``size`` minus the length of ``text`` is the same within keys); and
+    ``floor``, the least similarity, which is above 0 and the same within keys. Returns keys, ``text_x``,
+    ``text_y`` (each unordered pair once) and the remaining columns of both sides.
     """
-    extras = [c for c in names.columns if c not in (*keys, "text", "size")]
+    extras = [c for c in names.columns if c not in (*keys, "text", "size", "floor")]
     base = names.withColumn("cut", F.length("text"))
     budget, i, cut, short = F.col("budget"), F.col("i"), F.col("cut"), F.col("cut_x")
 
+    def segment_size(length: Column) -> Column:
+        return _segment_start(length, budget, i + 1) - _segment_start(length, budget, i)
+
     segments = (
         base.withColumn(
             "budget",
             F.explode(
                 F.sequence(
-                    edit_budget(F.col("size"), floor),
-                    edit_budget(F.floor(F.col("size") / F.lit(floor)).cast("int"), floor),
+                    edit_budget(F.col("size"), F.col("floor")),
+                    edit_budget(F.floor(F.col("size") / F.col("floor")).cast("int"), F.col("floor")),
                 )
             ),
         )
         .filter(budget >= 1)
         .withColumn("i", F.explode(_segment_numbers(cut, budget)))
+        .withColumns({"start": _segment_start(cut, budget, i), "size": segment_size(cut)})
         .select(
             *keys,
             "budget",
             "i",
             cut.alias("cut_x"),
             F.when(i == 0, "")
-            .otherwise(F.col("text").substr(_segment_start(cut, budget, i), _segment_size(cut, budget, i)))
+            .otherwise(F.col("text").substr(F.col("start"), F.col("size")))
             .alias("segment"),
             F.col("text").alias("text_x"),
             *[F.col(c).alias(f"{c}_x") for c in extras],
         )
     )
 
-    gap = cut - short
-    size, start = _segment_size(short, budget, i), _segment_start(short, budget, i)
+    gap, start, size = cut - short, F.col("start"), F.col("size")
     low = F.greatest(F.lit(1), start - (i - 1), start + gap - (budget + 1 - i))
     high = F.least(cut - size + 1, start + (i - 1), start + gap + (budget + 1 - i))
     windows = F.when(i == 0, F.array(F.lit(""))).when(
         low <= high, F.array_distinct(F.transform(F.sequence(low, high), lambda at: F.col("text").substr(at, size)))
     )
     probes = (
-        base.withColumn("budget", edit_budget(F.col("size"), floor))
+        base.withColumn("budget", edit_budget(F.col("size"), F.col("floor")))
         .filter(budget >= 1)
         .withColumn("cut_x", F.explode(F.sequence(F.greatest(F.lit(0), cut - budget), cut)))
         .withColumn("i", F.explode(_segment_numbers(short, budget)))
+        .withColumns({"start": _segment_start(short, budget, i), "size": segment_size(short)})
         .select(
             *keys,
             "budget",

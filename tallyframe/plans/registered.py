@@ -13,7 +13,7 @@ from tallyframe.operators.ingest import validate
 from tallyframe.plans import daily, sample_tables as st, serving
 from tallyframe.plans.sample_tables import AS_OF, JOB, RUN_ID
 from tallyframe.sources import readers, tablelog, writers
-from tallyframe.sources.scratch import scratch_folder
+from tallyframe.sources.scratch import scratch_folder, via_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -353,13 +353,17 @@ def match_normalized(spark, folder):
 
 
 @registered(
-    f"""{MATCH_SQL}
+    f"""{MATCH_SQL}, classes AS (SELECT borough_norm, zone_norm, count(*) AS n FROM records GROUP BY ALL)
     SELECT borough, least(zone_a, zone_b) AS zone_a, greatest(zone_a, zone_b) AS zone_b,
+           any_value(a.n) AS records_a, any_value(b.n) AS records_b,
            CAST(count(*) AS decimal(38, 0)) AS record_pairs, name_similarity,
            split_part(least(zone_a, zone_b), ' ', 1) AS token_a,
            split_part(greatest(zone_a, zone_b), ' ', 1) AS token_b,
            token_match, match_confidence, decision
-    FROM scored WHERE decision <> 'REJECT'
+    FROM scored
+    JOIN classes a ON a.borough_norm = borough AND a.zone_norm = least(zone_a, zone_b)
+    JOIN classes b ON b.borough_norm = borough AND b.zone_norm = greatest(zone_a, zone_b)
+    WHERE decision <> 'REJECT'
     GROUP BY ALL"""
 )
 def match_pairs(spark, folder):
@@ -374,7 +378,9 @@ def match_pairs(spark, folder):
 )
 def steward_queue(spark, folder):
     records = st.part_records(spark, folder)
-    return matching.steward_queue(matching.accepted_names(records), records, AS_OF)
+    # The queue needs the accepted names several times.
+    accepted = via_table(matching.accepted_names(records), "accepted-names")
+    return matching.steward_queue(accepted, records, AS_OF)
 
 
 @registered(f"{MATCH_SQL}, {LEDGER_SQL} SELECT * FROM ledger")

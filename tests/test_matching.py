@@ -68,7 +68,7 @@ def records_of(spark, rows):
     return spark.createDataFrame(rows, "location_id int, zone_norm string, borough_norm string").cache()
 
 
-@pytest.mark.parametrize("high, review, chunk", [(0.95, 0.80, 3), (0.90, 0.55, 500), (1.0, 0.97, 2), (0.6, 0.31, 50)])
+@pytest.mark.parametrize("high, review, chunk", [(0.95, 0.80, 3), (0.90, 0.55, 500), (1.0, 0.85, 2), (0.6, 0.31, 50)])
 def test_bands_queue_and_ledger_equal_brute_force(spark, monkeypatch, high, review, chunk):
     monkeypatch.setattr(matching, "IDS_PER_CHUNK", chunk)
     rows = dirty_rows(seed=int(review * 100))
@@ -143,7 +143,7 @@ def test_near_pairs_equal_brute_force(spark, floor):
             cut = rng.randrange(len(base))
             texts.add(base[:cut] + rng.choice(["", "A", "BB"]) + base[cut + 1:])
     names = spark.createDataFrame([("k", t) for t in sorted(texts)], "k string, text string")
-    found = near_pairs(names.withColumn("size", F.length("text")), ["k"], floor).collect()
+    found = near_pairs(names.withColumns({"size": F.length("text"), "floor": F.lit(floor)}), ["k"]).collect()
     pairs = Counter(frozenset((r.text_x, r.text_y)) for r in found)
     wanted = set()
     for a, b in combinations(texts, 2):
@@ -189,8 +189,10 @@ def test_normalize_and_golden(spark):
 
 
 def test_golden_keeps_one_row_per_key_and_task_before_the_shuffle(spark, capsys):
-    matching.golden(records_of(spark, [(1, "A", "B")]).withColumn("match_key", F.lit("k"))).explain()
-    assert "Partial" in capsys.readouterr().out
+    keyed = records_of(spark, [(1, "A", "B"), (2, "A", "C")]).withColumn("match_key", F.col("zone_norm"))
+    matching.golden(keyed).explain()
+    plan = capsys.readouterr().out
+    assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
 def test_repeat_counts(spark):
