@@ -6,6 +6,7 @@ failed run leaves the last published versions in place.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -175,11 +176,13 @@ def load_warehouse(spark: SparkSession, dim_path: str, fact_path: str, database:
         writers.replace_table(readers.read_parquet(spark, path), f"{database}.{table}")
 
 
-def log_event(spark: SparkSession, lake: Lake, run: Run, status: str, error: str | None = None) -> None:
+def log_event(
+    spark: SparkSession, lake: Lake, run: Run, status: str, error: str | None = None, job_name: str = "daily"
+) -> None:
     """Append a run event; a second STARTED of the same run is ignored."""
     path = lake.folder("run_events")
     event = runs.run_event(
-        spark, run.run_id, status, "daily", run.trigger_type, run.data_owner, error, run.as_of
+        spark, run.run_id, status, job_name, run.trigger_type, run.data_owner, error, run.as_of
     )
     if status == runs.STARTED and readers.table_exists(spark, path):
         event = runs.absent_rows(readers.read_parquet(spark, path), event, "run_id")
@@ -217,3 +220,47 @@ def stage_feed(spark: SparkSession, path: str, fmt: str, header: bool, run_id: s
     return conform.zone_staging(readers.read_feed(spark, path, fmt, header), run_id, as_of)
 
 
+
+
+@dataclass(frozen=True)
+class Database:
+    """A table reached over JDBC."""
+
+    url: str
+    table: str
+    properties: Mapping[str, str]
+
+
+def load_feed(
+    spark: SparkSession,
+    path: str,
+    fmt: str,
+    header: bool,
+    lake: Lake,
+    run: Run,
+    scripts: Sequence[serving.Script] = (),
+    database: Database | None = None,
+) -> DataFrame:
+    """Append a zone feed to the staging table, in the lake or a database, then run ``scripts`` in name order.
+
+    The scripts may use the parameters ``:run_id``, ``:job_name``, ``:master`` and ``:curated``. Start and
+    outcome are logged. Returns the statuses of the scripts.
+    """
+    job = "load_feed"
+    log_event(spark, lake, run, runs.STARTED, job_name=job)
+    try:
+        staged = stage_feed(spark, path, fmt, header, run.run_id, run.as_of)
+        if database is None:
+            staged.write.mode("append").parquet(lake.folder("staging/zones_incoming"))
+        else:
+            writers.append_jdbc(staged, database.url, database.table, database.properties)
+        parameters = {
+            "run_id": run.run_id, "job_name": job, serving.MASTER: run.master_db, serving.CURATED: run.curated_db,
+        }
+        ordered = sorted(scripts, key=lambda script: script.name)
+        statuses = serving.run_scripts(spark, ordered, parameters)
+    except Exception as error:
+        log_event(spark, lake, run, runs.FAILED, str(error), job)
+        raise
+    log_event(spark, lake, run, runs.SUCCEEDED, job_name=job)
+    return statuses

@@ -314,27 +314,27 @@ MATCH_SQL = f"WITH {st.RECORDS_SQL}, {st.SCORED_SQL}"
 LEDGER_SQL = """
     ledger AS (
         SELECT borough_norm AS borough, count(*) AS records,
-               CAST(coalesce(max(pairs), 0) AS decimal(38, 0)) AS total_pairs_compared,
-               CAST(coalesce(max(auto_pairs), 0) AS decimal(38, 0)) AS auto_merge_pairs,
-               CAST(coalesce(max(review_pairs), 0) AS decimal(38, 0)) AS steward_review_pairs,
-               CAST(coalesce(max(rejected), 0) AS decimal(38, 0)) AS reject_pairs
+               CAST(coalesce(max(pairs), 0) AS bigint) AS total_pairs_compared,
+               CAST(coalesce(max(auto_pairs), 0) AS bigint) AS auto_merge_pairs,
+               CAST(coalesce(max(review_pairs), 0) AS bigint) AS steward_review_pairs,
+               CAST(coalesce(max(rejected), 0) AS bigint) AS reject_pairs
         FROM records
         LEFT JOIN (
-            SELECT borough, count(*) AS pairs, count(*) FILTER (decision = 'AUTO_MERGE') AS auto_pairs,
+            SELECT borough AS block, count(*) AS pairs, count(*) FILTER (decision = 'AUTO_MERGE') AS auto_pairs,
                    count(*) FILTER (decision = 'STEWARD_REVIEW') AS review_pairs,
                    count(*) FILTER (decision = 'REJECT') AS rejected
             FROM scored GROUP BY borough
-        ) banded ON borough = borough_norm
+        ) banded ON block = borough_norm
         GROUP BY borough_norm
     )"""
 
 TOTALS_SQL = """
     totals AS (
         SELECT CAST(sum(records) AS bigint) AS total_zone_rows,
-               CAST(sum(total_pairs_compared) AS decimal(38, 0)) AS total_pairs_compared,
-               CAST(sum(auto_merge_pairs) AS decimal(38, 0)) AS auto_merge_pairs,
-               CAST(sum(steward_review_pairs) AS decimal(38, 0)) AS steward_review_pairs,
-               CAST(sum(reject_pairs) AS decimal(38, 0)) AS reject_pairs
+               CAST(sum(total_pairs_compared) AS bigint) AS total_pairs_compared,
+               CAST(sum(auto_merge_pairs) AS bigint) AS auto_merge_pairs,
+               CAST(sum(steward_review_pairs) AS bigint) AS steward_review_pairs,
+               CAST(sum(reject_pairs) AS bigint) AS reject_pairs
         FROM ledger
     )"""
 
@@ -356,7 +356,7 @@ def match_normalized(spark, folder):
     f"""{MATCH_SQL}, classes AS (SELECT borough_norm, zone_norm, count(*) AS n FROM records GROUP BY ALL)
     SELECT borough, least(zone_a, zone_b) AS zone_a, greatest(zone_a, zone_b) AS zone_b,
            any_value(a.n) AS records_a, any_value(b.n) AS records_b,
-           CAST(count(*) AS decimal(38, 0)) AS record_pairs, name_similarity,
+           CAST(count(*) AS bigint) AS record_pairs, name_similarity,
            split_part(least(zone_a, zone_b), ' ', 1) AS token_a,
            split_part(greatest(zone_a, zone_b), ' ', 1) AS token_b,
            token_match, match_confidence, decision

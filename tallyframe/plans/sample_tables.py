@@ -17,13 +17,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Types that compare across engines: timestamps without zone, arrays as text."""
+    """Types that compare across engines: timestamps without zone, arrays as text, pair counts as bigint."""
     simple = {}
     for field in df.schema:
         if isinstance(field.dataType, T.TimestampType):
             simple[field.name] = F.col(field.name).cast("timestamp_ntz")
         elif isinstance(field.dataType, T.ArrayType):
             simple[field.name] = F.concat_ws("|", field.name)
+        elif isinstance(field.dataType, T.DecimalType):
+            simple[field.name] = F.col(field.name).cast("bigint")
     return df.withColumns(simple)
 
 

@@ -190,3 +190,22 @@ def test_daily_run_records_a_failure(spark, tmp_path, raw):
         daily.daily(spark, raw[0], str(tmp_path / "no_zones.csv"), lake, daily.Run("bad"))
     row = daily.run_statuses(spark, lake).first()
     assert row.status == runs.FAILED and "no_zones.csv" in row.error_message
+
+
+def test_feed_load_appends_and_runs_scripts_in_order(spark, tmp_path, raw):
+    lake = daily.Lake(str(tmp_path / "lake"))
+    scripts = [
+        serving.Script("02_table", "feed_db", "CREATE TABLE feed_db.seen AS SELECT :run_id AS run_id, :job_name AS job"),
+        serving.Script("01_database", "default", "CREATE DATABASE feed_db"),
+    ]
+    statuses = daily.load_feed(spark, raw[1], "csv", True, lake, daily.Run("f1"), scripts)
+    assert [r.script for r in statuses.orderBy("position").collect()] == ["01_database", "02_table"]
+    assert tuple(spark.table("feed_db.seen").first()) == ("f1", "load_feed")
+    assert daily.load_feed(spark, raw[1], "csv", True, lake, daily.Run("f2")).count() == 0
+    staged = spark.read.parquet(lake.folder("staging/zones_incoming"))
+    assert {r.run_id: r["count"] for r in staged.groupBy("run_id").count().collect()} == {"f1": 5, "f2": 5}
+    with pytest.raises(ValueError):
+        daily.load_feed(spark, raw[1], "xml", True, lake, daily.Run("f3"))
+    assert {r.run_id: r.status for r in daily.run_statuses(spark, lake).collect()} == {
+        "f1": "SUCCEEDED", "f2": "SUCCEEDED", "f3": "FAILED",
+    }
