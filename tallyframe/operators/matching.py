@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tallyframe.functions import text as tx
 from tallyframe.functions.casts import as_whole, moment
 from tallyframe.functions.columns import pick, require
-from tallyframe.operators.similarity import near_pairs
+from tallyframe.operators.similarity import hot_segments, near_pairs
 
 # Texts of the golden record and of the master-data scorecard.
 SURVIVORSHIP = "min(location_id) per match_key"
@@ -36,6 +36,7 @@ LOWEST_REVIEW = 0.3
 COUNT = "decimal(38,0)"
 # How a name is compared: without the first token among names that share it, or whole among all of a block.
 SAME_TOKEN, ANY_TOKEN = "=", "*"
+FAMILY = ("block", "family")
 
 
 def normalize(zones: DataFrame, id_type: str = "int") -> DataFrame:
@@ -137,31 +138,42 @@ def similarity_floor(review: float, token_match: float) -> float:
     return (review - rounding - tx.TOKEN_WEIGHT * token_match) / tx.NAME_WEIGHT - rounding - 1e-6
 
 
-def similar_classes(classes: DataFrame, review: float) -> DataFrame:
-    """block, zone_a < zone_b and their record counts for every pair of names that can reach ``review``.
+def compared_names(classes: DataFrame, review: float) -> DataFrame:
+    """How each name is compared: in the family of its first token by the rest, and in its block as a whole.
 
-    Names with the same first token share it as a join key and are compared on the rest, which has the same
-    edit distance. Names with different first tokens need a higher similarity, so fewer edits are allowed.
+    Names with the same first token have the edit distance of the rest. Names with different first tokens need
+    a higher similarity to reach ``review``, so fewer edits are allowed.
     """
     if not LOWEST_REVIEW <= review <= 1:
         raise ValueError(f"the review threshold must be between {LOWEST_REVIEW} and 1, not {review}")
-    token, name = tx.first_token(F.col("name")), F.col("name")
     same = F.struct(
-        F.concat(F.lit(SAME_TOKEN), token).alias("family"),
+        F.concat(F.lit(SAME_TOKEN), tx.first_token(F.col("name"))).alias("family"),
         F.expr("substring(name, length(substring_index(name, ' ', 1)) + 1)").alias("text"),
         F.lit(similarity_floor(review, 1.0)).alias("floor"),
     )
     other = F.struct(
-        F.lit(ANY_TOKEN).alias("family"), name.alias("text"), F.lit(similarity_floor(review, 0.0)).alias("floor")
+        F.lit(ANY_TOKEN).alias("family"),
+        F.col("name").alias("text"),
+        F.lit(similarity_floor(review, 0.0)).alias("floor"),
     )
-    names = classes.select("block", F.length("name").alias("size"), "records", F.inline(F.array(same, other)))
+    return classes.select("block", F.length("name").alias("size"), "records", F.inline(F.array(same, other)))
+
+
+def hot_names(classes: DataFrame, review: float = tx.REVIEW_CONFIDENCE) -> DataFrame:
+    """Parts of names that so many names share that their comparison has to be spread; see ``hot_segments``."""
+    return hot_segments(compared_names(classes, review), FAMILY)
+
+
+def similar_classes(classes: DataFrame, review: float, hot: DataFrame | None = None) -> DataFrame:
+    """block, zone_a < zone_b and their record counts for every pair of names that can reach ``review``."""
 
     def full(text: str) -> Column:
         return F.when(F.col("family") == ANY_TOKEN, F.col(text)).otherwise(
             F.concat(F.expr(f"substring(family, {len(SAME_TOKEN) + 1})"), F.col(text))
         )
 
-    found = near_pairs(names, ["block", "family"]).withColumns({"x": full("text_x"), "y": full("text_y")})
+    found = near_pairs(compared_names(classes, review), FAMILY, hot)
+    found = found.withColumns({"x": full("text_x"), "y": full("text_y")})
     found = found.filter((F.col("family") != ANY_TOKEN) | (tx.first_token(F.col("x")) != tx.first_token(F.col("y"))))
     ordered = F.col("x") < F.col("y")
     return found.select(
@@ -199,14 +211,20 @@ def count_across(class_pairs: DataFrame, per_copy: DataFrame) -> DataFrame:
 
 
 def accepted_names(
-    records: DataFrame, high: float = tx.HIGH_CONFIDENCE, review: float = tx.REVIEW_CONFIDENCE
+    records: DataFrame,
+    high: float = tx.HIGH_CONFIDENCE,
+    review: float = tx.REVIEW_CONFIDENCE,
+    classes: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Every pair of names that is not rejected, scored, with their records and the record pairs behind it.
 
-    A name paired with itself stands for the pairs among its own records.
+    A name paired with itself stands for the pairs among its own records. ``classes`` and ``hot`` are the
+    results of ``name_classes`` and ``hot_names`` if they have been written to a table.
     """
     per_copy = copies(records)
-    classes = name_classes(per_copy)
+    if classes is None:
+        classes = name_classes(per_copy)
     within = classes.filter(F.col("inner_pairs") > 0).select(
         "block",
         F.col("name").alias("zone_a"),
@@ -215,7 +233,7 @@ def accepted_names(
         F.col("records").alias("records_b"),
         F.col("inner_pairs").alias("record_pairs"),
     )
-    across = count_across(similar_classes(classes, review), per_copy)
+    across = count_across(similar_classes(classes, review, hot), per_copy)
     scored = score(within.unionByName(across), high, review).filter(F.col("decision") != tx.REJECT)
     return scored.withColumnRenamed("block", "borough")
 

@@ -1,10 +1,13 @@
 """Similarity self-join: the name pairs within an edit-distance budget, without forming all pairs.
 
-Partition filter of Pass-Join (Li, Deng, Wang, Feng: "Pass-Join: A Partition-based Method for Similarity
-Joins", PVLDB 5(3), 2011): cut the shorter string into budget + 1 segments. A string within ``budget`` edits
-must hold one of these segments unchanged, near its old position. Segments are therefore equi-join keys: Spark
-shuffles on them, and AQE splits a segment that many names share. Every pair that is found is verified, so the
-result is exact.
+Filter of Pass-Join (Li, Deng, Wang, Feng: "Pass-Join: A Partition-based Method for Similarity Joins",
+PVLDB 5(3), 2011): cut the shorter string into budget + 1 segments. A string within ``budget`` edits must hold
+one of these segments unchanged near its old position, with at most i - 1 edits left of segment i and the
+others right of it. Segments are therefore equi-join keys that Spark can shuffle on. Each candidate is verified
+inside the join, so the result is exact.
+
+A segment that many names share ("STREET") makes a large group of candidates. ``hot_segments`` finds these
+groups; given them, ``near_pairs`` cuts each into tiles of bounded size, which are spread over the tasks.
 """
 
 from __future__ import annotations
@@ -13,6 +16,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# Names of one segment that are compared in one tile.
+NAMES_PER_TILE = 2_000
+SIGNATURE = ("budget", "i", "cut_x", "segment")
+
 
 def edit_budget(length: Column, floor: Column) -> Column:
     """The most edits that leave a similarity of ``floor`` when the longer name has ``length`` characters."""
@@ -24,12 +31,67 @@ def _segment_start(length: Column, budget: Column, i: Column) -> Column:
     return F.floor((i - 1) * length / (budget + 1)).cast("int") + 1
 
 
-def _segment_numbers(length: Column, budget: Column) -> Column:
-    """1 … budget + 1, or 0 for a string too short to be cut: those meet whatever their text is."""
-    return F.when(length <= budget, F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), budget + 1))
+def _cut(strings: DataFrame, length: Column) -> DataFrame:
+    """One row per segment of a string of ``length``: i, start and size; i is 0 for a string too short to be cut."""
+    budget, i = F.col("budget"), F.col("i")
+    numbers = F.when(length <= budget, F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), budget + 1))
+    start = _segment_start(length, budget, i)
+    return strings.withColumn("i", F.explode(numbers)).withColumns(
+        {"start": start, "size": _segment_start(length, budget, i + 1) - start}
+    )
+
+
+def _spread(names: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Names grow many times into segments: spread them over all tasks first, whatever their size in bytes."""
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return names.repartition(tasks, *keys, "text").withColumn("cut", F.length("text"))
+
+
+def _segments(names: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The segments of every name, for each budget it can meet as the shorter one of a pair."""
+    size, floor = F.col("size"), F.col("floor")
+    budgets = F.sequence(edit_budget(size, floor), edit_budget(F.floor(size / floor).cast("int"), floor))
+    met = _spread(names, keys).withColumn("budget", F.explode(budgets)).filter(F.col("budget") >= 1)
+    segment = F.when(F.col("i") == 0, "").otherwise(F.col("text").substr(F.col("start"), F.col("size")))
+    return _cut(met.drop("size"), F.col("cut")).withColumn("segment", segment).withColumnRenamed("cut", "cut_x")
+
+
+def _probes(names: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The places of every name, as the longer one of a pair, where a segment of a shorter name may be."""
+    cut, short, budget, i = F.col("cut"), F.col("cut_x"), F.col("budget"), F.col("i")
+    met = _spread(names, keys).withColumn("budget", edit_budget(F.col("size"), F.col("floor")))
+    met = met.filter(budget >= 1).drop("size")
+    met = met.withColumn("cut_x", F.explode(F.sequence(F.greatest(F.lit(0), cut - budget), cut)))
+    gap, start, size = cut - short, F.col("start"), F.col("size")
+    low = F.greatest(F.lit(1), start - (i - 1), start + gap - (budget + 1 - i))
+    high = F.least(cut - size + 1, start + (i - 1), start + gap + (budget + 1 - i))
+    places = F.when(i == 0, F.array(F.lit(0))).when(low <= high, F.sequence(low, high))
+    placed = _cut(met, short).withColumn("at", F.explode(places))
+    segment = F.when(i == 0, "").otherwise(F.col("text").substr(F.col("at"), size))
+    return placed.withColumn("segment", segment).drop("cut", "start", "size")
+
+
+def hot_segments(names: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Segments of more than ``NAMES_PER_TILE`` names, with the number of parts to cut each into.
+
+    To be written to a table and read back, so that Spark knows its size when it plans ``near_pairs``.
+    """
+    counted = _segments(names, keys).groupBy(*keys, *SIGNATURE).agg(F.count(F.lit(1)).alias("names"))
+    parts = F.ceil(F.col("names") / NAMES_PER_TILE).cast("int")
+    return counted.filter(F.col("names") > NAMES_PER_TILE).select(*keys, *SIGNATURE, parts.alias("parts"))
+
+
+def _tiled(rows: DataFrame, hot: DataFrame, on: Sequence[str], own: str, other: str, text: str) -> DataFrame:
+    """Give every row its own part of a hot segment, and one copy for each part of the other side."""
+    known = rows.join(hot, on, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    return (
+        known.withColumn(own, F.pmod(F.xxhash64(text), "parts").cast("int"))
+        .withColumn(other, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .drop("parts")
+    )
 
 
-def near_pairs(names: DataFrame, keys: Sequence[str]) -> DataFrame:
+def near_pairs(names: DataFrame, keys: Sequence[str], hot: DataFrame | None = None) -> DataFrame:
     """Pairs of ``names`` that share ``keys`` and whose texts are within the edit budget of the longer one.
 
     ``names`` has the columns ``keys``; ``text``, which is compared and is distinct within keys; ``size``, the
@@ -38,65 +100,28 @@ def near_pairs(names: DataFrame, keys: Sequence[str]) -> DataFrame:
     ``text_y`` (each unordered pair once) and the remaining columns of both sides.
     """
     extras = [c for c in names.columns if c not in (*keys, "text", "size", "floor")]
-    base = names.withColumn("cut", F.length("text"))
-    budget, i, cut, short = F.col("budget"), F.col("i"), F.col("cut"), F.col("cut_x")
-
-    def segment_size(length: Column) -> Column:
-        return _segment_start(length, budget, i + 1) - _segment_start(length, budget, i)
-
-    segments = (
-        base.withColumn(
-            "budget",
-            F.explode(
-                F.sequence(
-                    edit_budget(F.col("size"), F.col("floor")),
-                    edit_budget(F.floor(F.col("size") / F.col("floor")).cast("int"), F.col("floor")),
-                )
-            ),
-        )
-        .filter(budget >= 1)
-        .withColumn("i", F.explode(_segment_numbers(cut, budget)))
-        .withColumns({"start": _segment_start(cut, budget, i), "size": segment_size(cut)})
-        .select(
-            *keys,
-            "budget",
-            "i",
-            cut.alias("cut_x"),
-            F.when(i == 0, "")
-            .otherwise(F.col("text").substr(F.col("start"), F.col("size")))
-            .alias("segment"),
-            F.col("text").alias("text_x"),
-            *[F.col(c).alias(f"{c}_x") for c in extras],
-        )
-    )
-
-    gap, start, size = cut - short, F.col("start"), F.col("size")
-    low = F.greatest(F.lit(1), start - (i - 1), start + gap - (budget + 1 - i))
-    high = F.least(cut - size + 1, start + (i - 1), start + gap + (budget + 1 - i))
-    windows = F.when(i == 0, F.array(F.lit(""))).when(
-        low <= high, F.array_distinct(F.transform(F.sequence(low, high), lambda at: F.col("text").substr(at, size)))
-    )
-    probes = (
-        base.withColumn("budget", edit_budget(F.col("size"), F.col("floor")))
-        .filter(budget >= 1)
-        .withColumn("cut_x", F.explode(F.sequence(F.greatest(F.lit(0), cut - budget), cut)))
-        .withColumn("i", F.explode(_segment_numbers(short, budget)))
-        .withColumns({"start": _segment_start(short, budget, i), "size": segment_size(short)})
-        .select(
-            *keys,
-            "budget",
-            "i",
-            "cut_x",
-            F.explode(windows).alias("segment"),
-            F.col("text").alias("text_y"),
-            *[F.col(c).alias(f"{c}_y") for c in extras],
-        )
-    )
-
-    on = [*keys, "budget", "i", "cut_x", "segment"]
-    found = segments.join(probes, on).filter(
-        ((F.length("text_y") > short) | (F.col("text_x") < F.col("text_y")))
-        & F.expr("levenshtein(text_x, text_y, budget) >= 0")
+    on = [*keys, *SIGNATURE]
+
+    def sided(rows: DataFrame, side: str, *more: str) -> DataFrame:
+        named = [F.col(c).alias(f"{c}_{side}") for c in ("text", *extras)]
+        return rows.select(*on, *more, *named)
+
+    shorter = sided(_segments(names, keys), "x", "start", "size")
+    longer = sided(_probes(names, keys), "y", "at")
+    if hot is not None:
+        shorter = _tiled(shorter, hot, on, "part_x", "part_y", "text_x")
+        longer = _tiled(longer, hot, on, "part_y", "part_x", "text_y")
+        on = [*on, "part_x", "part_y"]
+
+    # Whatever is left and right of the segment has to fit its share of the budget.
+    near = F.expr(
+        """
+        CASE WHEN i = 0 THEN levenshtein(text_x, text_y, budget) >= 0
+             ELSE levenshtein(substring(text_x, 1, start - 1), substring(text_y, 1, at - 1), i - 1) >= 0
+              AND levenshtein(substring(text_x, start + size), substring(text_y, at + size), budget + 1 - i) >= 0
+        END
+        """
     )
+    once = (F.length("text_y") > F.col("cut_x")) | (F.col("text_x") < F.col("text_y"))
     sides = [f"{c}_{side}" for side in "xy" for c in ("text", *extras)]
-    return found.select(*keys, *sides).distinct()
+    return shorter.join(longer, on).filter(once & near).select(*keys, *sides).distinct()

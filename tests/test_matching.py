@@ -8,8 +8,9 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe.operators import matching
+from tallyframe.operators import matching, similarity
 from tallyframe.operators.similarity import near_pairs
+from tallyframe.sources.scratch import via_table
 
 
 def edits(a, b):
@@ -133,8 +134,8 @@ def test_review_threshold_must_be_selective(spark):
         matching.accepted_names(records_of(spark, [(1, "A", "B")]), review=0.1)
 
 
-@pytest.mark.parametrize("floor", [0.3, 0.5, 0.7777, 0.8889])
-def test_near_pairs_equal_brute_force(spark, floor):
+@pytest.mark.parametrize("floor, tile", [(0.3, None), (0.5, 3), (0.7777, None), (0.7777, 2), (0.8889, None)])
+def test_near_pairs_equal_brute_force(spark, monkeypatch, floor, tile):
     rng = random.Random(int(floor * 1000))
     texts = {"".join(rng.choice("AB ") for _ in range(rng.randint(0, 14))) for _ in range(150)}
     texts |= {"".join(rng.choice("ABC") for _ in range(rng.randint(8, 40))) for _ in range(40)}
@@ -143,7 +144,13 @@ def test_near_pairs_equal_brute_force(spark, floor):
             cut = rng.randrange(len(base))
             texts.add(base[:cut] + rng.choice(["", "A", "BB"]) + base[cut + 1:])
     names = spark.createDataFrame([("k", t) for t in sorted(texts)], "k string, text string")
-    found = near_pairs(names.withColumns({"size": F.length("text"), "floor": F.lit(floor)}), ["k"]).collect()
+    names = names.withColumns({"size": F.length("text"), "floor": F.lit(floor)})
+    hot = None
+    if tile is not None:
+        monkeypatch.setattr(similarity, "NAMES_PER_TILE", tile)
+        hot = via_table(similarity.hot_segments(names, ["k"]), "hot")
+        assert hot.count() > 0
+    found = near_pairs(names, ["k"], hot).collect()
     pairs = Counter(frozenset((r.text_x, r.text_y)) for r in found)
     wanted = set()
     for a, b in combinations(texts, 2):
