@@ -150,11 +150,13 @@ def compared_names(classes: DataFrame, review: float) -> DataFrame:
         F.concat(F.lit(SAME_TOKEN), tx.first_token(F.col("name"))).alias("family"),
         F.expr("substring(name, length(substring_index(name, ' ', 1)) + 1)").alias("text"),
         F.lit(similarity_floor(review, 1.0)).alias("floor"),
+        F.lit(None).cast("string").alias("unlike"),
     )
     other = F.struct(
         F.lit(ANY_TOKEN).alias("family"),
         F.col("name").alias("text"),
         F.lit(similarity_floor(review, 0.0)).alias("floor"),
+        tx.first_token(F.col("name")).alias("unlike"),
     )
     return classes.select("block", F.length("name").alias("size"), "records", F.inline(F.array(same, other)))
 
@@ -174,7 +176,6 @@ def similar_classes(classes: DataFrame, review: float, hot: DataFrame | None = N
 
     found = near_pairs(compared_names(classes, review), FAMILY, hot)
     found = found.withColumns({"x": full("text_x"), "y": full("text_y")})
-    found = found.filter((F.col("family") != ANY_TOKEN) | (tx.first_token(F.col("x")) != tx.first_token(F.col("y"))))
     ordered = F.col("x") < F.col("y")
     return found.select(
         "block",
@@ -199,15 +200,23 @@ def count_across(class_pairs: DataFrame, per_copy: DataFrame) -> DataFrame:
         return (F.col(a).cast("decimal(18,0)") * F.col(b).cast("decimal(18,0)")).cast(COUNT)
 
     shared = F.coalesce(F.sum(product("copies_a", "copies_b")), F.lit(0))
-    return (
+    counted = (
         class_pairs.join(left, ["block", "zone_a"], "left")
         .join(right, ["block", "zone_b", "id"], "left")
         .groupBy(*class_pairs.columns)
-        .agg(shared.alias("shared"))
-        .withColumn("record_pairs", (product("records_a", "records_b") - F.col("shared")).cast(COUNT))
-        .filter(F.col("record_pairs") > 0)
-        .drop("shared")
+        # The names leave the aggregate as its results: else Spark would push the scoring that follows below it
+        # and into the similarity join, to be done for every candidate.
+        .agg(F.max("zone_a").alias("name_a"), F.max("zone_b").alias("name_b"), shared.alias("shared"))
     )
+    pairs = (product("records_a", "records_b") - F.col("shared")).cast(COUNT)
+    return counted.select(
+        "block",
+        F.col("name_a").alias("zone_a"),
+        F.col("name_b").alias("zone_b"),
+        "records_a",
+        "records_b",
+        pairs.alias("record_pairs"),
+    ).filter(F.col("record_pairs") > 0)
 
 
 def accepted_names(

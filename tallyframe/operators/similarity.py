@@ -44,7 +44,21 @@ def _cut(strings: DataFrame, length: Column) -> DataFrame:
 def _spread(names: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Names grow many times into segments: spread them over all tasks first, whatever their size in bytes."""
     tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return names.repartition(tasks, *keys, "text").withColumn("cut", F.length("text"))
+    # Which characters occur, as bits; one edit changes two of them at most.
+    letters = F.expr("aggregate(split(text, ''), 0L, (bits, c) -> bits | shiftleft(1L, pmod(ascii(c), 64)))")
+    return names.repartition(tasks, *keys, "text").withColumns({"cut": F.length("text"), "letters": letters})
+
+
+def _parted(cut: DataFrame, at: Column) -> DataFrame:
+    """The segment at ``at`` and the text left and right of it; of a string too short to be cut, all is right."""
+    whole = F.col("i") == 0
+    return cut.withColumns(
+        {
+            "segment": F.when(whole, "").otherwise(F.col("text").substr(at, F.col("size"))),
+            "left": F.when(whole, "").otherwise(F.col("text").substr(F.lit(1), at - 1)),
+            "right": F.when(whole, F.col("text")).otherwise(F.col("text").substr(at + F.col("size"), F.col("cut"))),
+        }
+    )
 
 
 def _segments(names: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -52,8 +66,7 @@ def _segments(names: DataFrame, keys: Sequence[str]) -> DataFrame:
     size, floor = F.col("size"), F.col("floor")
     budgets = F.sequence(edit_budget(size, floor), edit_budget(F.floor(size / floor).cast("int"), floor))
     met = _spread(names, keys).withColumn("budget", F.explode(budgets)).filter(F.col("budget") >= 1)
-    segment = F.when(F.col("i") == 0, "").otherwise(F.col("text").substr(F.col("start"), F.col("size")))
-    return _cut(met.drop("size"), F.col("cut")).withColumn("segment", segment).withColumnRenamed("cut", "cut_x")
+    return _parted(_cut(met.drop("size"), F.col("cut")), F.col("start")).withColumnRenamed("cut", "cut_x")
 
 
 def _probes(names: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -66,9 +79,7 @@ def _probes(names: DataFrame, keys: Sequence[str]) -> DataFrame:
     low = F.greatest(F.lit(1), start - (i - 1), start + gap - (budget + 1 - i))
     high = F.least(cut - size + 1, start + (i - 1), start + gap + (budget + 1 - i))
     places = F.when(i == 0, F.array(F.lit(0))).when(low <= high, F.sequence(low, high))
-    placed = _cut(met, short).withColumn("at", F.explode(places))
-    segment = F.when(i == 0, "").otherwise(F.col("text").substr(F.col("at"), size))
-    return placed.withColumn("segment", segment).drop("cut", "start", "size")
+    return _parted(_cut(met, short).withColumn("at", F.explode(places)), F.col("at"))
 
 
 def hot_segments(names: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -95,33 +106,34 @@ def near_pairs(names: DataFrame, keys: Sequence[str], hot: DataFrame | None = No
     """Pairs of ``names`` that share ``keys`` and whose texts are within the edit budget of the longer one.
 
     ``names`` has the columns ``keys``; ``text``, which is compared and is distinct within keys; ``size``, the
-    length the similarity is taken over (``size`` minus the length of ``text`` is the same within keys); and
-    ``floor``, the least similarity, which is above 0 and the same within keys. Returns keys, ``text_x``,
-    ``text_y`` (each unordered pair once) and the remaining columns of both sides.
+    length the similarity is taken over (``size`` minus the length of ``text`` is the same within keys);
+    ``floor``, the least similarity, which is above 0 and the same within keys; and ``unlike``, which two names
+    of a pair must not share unless it is NULL. Returns keys, ``text_x``, ``text_y`` (each unordered pair once)
+    and the remaining columns of both sides.
     """
-    extras = [c for c in names.columns if c not in (*keys, "text", "size", "floor")]
+    extras = [c for c in names.columns if c not in (*keys, "text", "size", "floor", "unlike")]
     on = [*keys, *SIGNATURE]
 
-    def sided(rows: DataFrame, side: str, *more: str) -> DataFrame:
-        named = [F.col(c).alias(f"{c}_{side}") for c in ("text", *extras)]
-        return rows.select(*on, *more, *named)
+    def sided(rows: DataFrame, side: str) -> DataFrame:
+        named = [F.col(c).alias(f"{c}_{side}") for c in ("text", "left", "right", "letters", "unlike", *extras)]
+        return rows.select(*on, *named)
 
-    shorter = sided(_segments(names, keys), "x", "start", "size")
-    longer = sided(_probes(names, keys), "y", "at")
+    shorter, longer = sided(_segments(names, keys), "x"), sided(_probes(names, keys), "y")
     if hot is not None:
         shorter = _tiled(shorter, hot, on, "part_x", "part_y", "text_x")
         longer = _tiled(longer, hot, on, "part_y", "part_x", "text_y")
         on = [*on, "part_x", "part_y"]
 
-    # Whatever is left and right of the segment has to fit its share of the budget.
+    # Cheap tests first. Whatever is left and right of the segment has to fit its share of the budget.
     near = F.expr(
         """
-        CASE WHEN i = 0 THEN levenshtein(text_x, text_y, budget) >= 0
-             ELSE levenshtein(substring(text_x, 1, start - 1), substring(text_y, 1, at - 1), i - 1) >= 0
-              AND levenshtein(substring(text_x, start + size), substring(text_y, at + size), budget + 1 - i) >= 0
-        END
+        bit_count(letters_x ^ letters_y) <= 2 * budget
+        AND (length(text_y) > cut_x OR text_x < text_y)
+        AND NOT coalesce(unlike_x = unlike_y, false)
+        AND levenshtein(left_x, left_y, greatest(i - 1, 0)) >= 0
+        AND levenshtein(right_x, right_y, budget + 1 - greatest(i, 1)) >= 0
         """
     )
-    once = (F.length("text_y") > F.col("cut_x")) | (F.col("text_x") < F.col("text_y"))
     sides = [f"{c}_{side}" for side in "xy" for c in ("text", *extras)]
-    return shorter.join(longer, on).filter(once & near).select(*keys, *sides).distinct()
+    # Spark's size estimates do not see the explodes, so it would broadcast a side that is not small.
+    return shorter.hint("merge").join(longer, on).filter(near).select(*keys, *sides).distinct()

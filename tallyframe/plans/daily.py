@@ -98,17 +98,17 @@ def gate_trips(spark: SparkSession, lake: Lake, run: Run) -> None:
     _publish(quality.passed(base, rules), lake, "curated", run, "pickup_date" if "pickup_date" in base.columns else None)
 
 
-def match(records: DataFrame, high: float, review: float) -> tuple[DataFrame, DataFrame]:
-    """Accepted names and block ledger, each step written to a table of which Spark knows the size."""
+def accept(records: DataFrame, high: float = tx.HIGH_CONFIDENCE, review: float = tx.REVIEW_CONFIDENCE) -> DataFrame:
+    """Accepted names, with each step written to a table, so that Spark knows its size when it plans the next."""
     classes = via_table(matching.name_classes(matching.copies(records)), "name-classes")
     hot = via_table(matching.hot_names(classes, review), "hot-names")
-    accepted = via_table(matching.accepted_names(records, high, review, classes, hot), "accepted-names")
-    return accepted, via_table(matching.block_ledger(records, accepted), "block-ledger")
+    return via_table(matching.accepted_names(records, high, review, classes, hot), "accepted-names")
 
 
 def match_zones(spark: SparkSession, zones_csv: str, lake: Lake, run: Run) -> None:
     records = matching.normalize(readers.read_csv(spark, zones_csv))
-    accepted, ledger = match(records, run.high, run.review)
+    accepted = accept(records, run.high, run.review)
+    ledger = via_table(matching.block_ledger(records, accepted), "block-ledger")
 
     queue_path, rejects_path = lake.folder("steward_queue"), lake.folder("rejects")
     writers.overwrite(matching.steward_queue(accepted, records, run.as_of), queue_path)

@@ -13,7 +13,7 @@ from tallyframe.operators.ingest import validate
 from tallyframe.plans import daily, sample_tables as st, serving
 from tallyframe.plans.sample_tables import AS_OF, JOB, RUN_ID
 from tallyframe.sources import readers, tablelog, writers
-from tallyframe.sources.scratch import scratch_folder, via_table
+from tallyframe.sources.scratch import scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -341,7 +341,7 @@ TOTALS_SQL = """
 
 def _ledger(spark, folder):
     records = st.part_records(spark, folder)
-    return records, matching.block_ledger(records, matching.accepted_names(records))
+    return records, matching.block_ledger(records, daily.accept(records))
 
 
 @registered(
@@ -367,7 +367,7 @@ def match_normalized(spark, folder):
     GROUP BY ALL"""
 )
 def match_pairs(spark, folder):
-    return matching.accepted_names(st.part_records(spark, folder))
+    return daily.accept(st.part_records(spark, folder))
 
 
 @registered(
@@ -378,9 +378,7 @@ def match_pairs(spark, folder):
 )
 def steward_queue(spark, folder):
     records = st.part_records(spark, folder)
-    # The queue needs the accepted names several times.
-    accepted = via_table(matching.accepted_names(records), "accepted-names")
-    return matching.steward_queue(accepted, records, AS_OF)
+    return matching.steward_queue(daily.accept(records), records, AS_OF)
 
 
 @registered(f"{MATCH_SQL}, {LEDGER_SQL} SELECT * FROM ledger")

@@ -144,7 +144,7 @@ def test_near_pairs_equal_brute_force(spark, monkeypatch, floor, tile):
             cut = rng.randrange(len(base))
             texts.add(base[:cut] + rng.choice(["", "A", "BB"]) + base[cut + 1:])
     names = spark.createDataFrame([("k", t) for t in sorted(texts)], "k string, text string")
-    names = names.withColumns({"size": F.length("text"), "floor": F.lit(floor)})
+    names = names.withColumns({"size": F.length("text"), "floor": F.lit(floor), "unlike": F.lit(None).cast("string")})
     hot = None
     if tile is not None:
         monkeypatch.setattr(similarity, "NAMES_PER_TILE", tile)
