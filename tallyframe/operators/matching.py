@@ -375,8 +375,9 @@ def _totals(records: DataFrame, ledger: DataFrame) -> DataFrame:
     """One row: records in total and pairs per band."""
     pairs = ledger.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast(COUNT).alias(c) for c in MATCH_COUNTS])
     rows = records.agg(F.count(F.lit(1)).alias("total_zone_rows"))
-    # Both sides are aggregates of exactly one row; the constant key keeps this an equi-join.
-    return rows.withColumn("_one", F.lit(1)).join(pairs.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    # Two single rows, put beside each other by an aggregate: no join without a key.
+    both = rows.unionByName(pairs, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in ("total_zone_rows", *MATCH_COUNTS)])
 
 
 def match_audit(

@@ -72,8 +72,10 @@ def run_summary(
     named = {"zones_count": zones, "trips_count": trips, "orphans_count": orphan_rows}
     counts = None
     for name, table in named.items():
-        one = table.agg(F.count(F.lit(1)).alias(name)).withColumn("_one", F.lit(1))
-        counts = one if counts is None else counts.join(one, "_one")
+        one = table.agg(F.count(F.lit(1)).alias(name))
+        counts = one if counts is None else counts.unionByName(one, allowMissingColumns=True)
+    # One row per table, folded into one by an aggregate: no join without a key.
+    counts = counts.agg(*[F.max(name).alias(name) for name in named])
     texts = {"job_name": F.lit(job_name), **{name: F.lit(path) for name, path in paths.items()}}
     return counts.select(
         *[value.alias(name) for name, value in texts.items()],

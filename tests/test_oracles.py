@@ -38,8 +38,11 @@ def as_rows(columns, rows):
 
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_matches_duckdb(spark, duck, name):
+def test_matches_duckdb(spark, duck, capsys, name):
     result = contract.queries()[name](spark, FOLDER)
+    result.explain()
+    plan = capsys.readouterr().out
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Python" not in plan
     rows = result.collect()
     sql = contract.oracle_sql().get(name)
     assert sql is not None, "every query has its SQL"
