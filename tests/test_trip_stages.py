@@ -192,3 +192,25 @@ def test_certified_minutes_are_whole_and_only_current_zones_join(spark):
     assert len(row) == 18
     top = conform.top_boroughs(conform.certified_trips(fact, dim)).first()
     assert (top.pu_borough, top.trips, top.avg_total) == ("Q", 1, 4.0)
+
+
+def test_enrich_with_hot_and_null_keys_and_no_broadcast(spark):
+    """A third of the trips share one zone and a third have none, and Spark has to shuffle."""
+    n = 30_000
+    key = F.when(F.col("id") < n // 3, 7).when(F.col("id") >= 2 * n // 3, F.col("id") % 50).cast("int")
+    trips = spark.range(n).select(
+        "id", F.lit(T0).alias("pickup_ts"), F.lit(T1).alias("dropoff_ts"), key.alias("PULocationID")
+    )
+    zones = spark.range(40).select(
+        F.col("id").cast("string").alias("LocationID"), F.lit("Q").alias("Borough"),
+        F.concat(F.lit("zone "), F.col("id")).alias("Zone"), F.lit("S").alias("service_zone"),
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = enrich(trips, zones)
+        assert rows.count() == n
+        assert rows.filter("pu_zone IS NULL").count() == n // 3 + n // 3 // 50 * 10
+        assert rows.filter("pu_zone <> concat('zone ', PULocationID)").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
