@@ -7,7 +7,7 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from tallyframe.plans.registered import ORACLES, QUERIES
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -37,14 +37,14 @@ def as_rows(columns, rows):
     return sorted((tuple(cell(row[i]) for i in order) for row in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_duckdb(spark, duck, capsys, name):
-    result = contract.queries()[name](spark, FOLDER)
+    result = QUERIES[name](spark, FOLDER)
     result.explain()
     plan = capsys.readouterr().out
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Python" not in plan
     rows = result.collect()
-    sql = contract.oracle_sql().get(name)
+    sql = ORACLES.get(name)
     assert sql is not None, "every query has its SQL"
     expected = duck.sql(sql)
     assert sorted(result.columns) == sorted(expected.columns)
