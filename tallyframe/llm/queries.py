@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import leaks, outliers, toxicity
+from tallyframe.llm import leaks, mixing, outliers, replies, rollups, toxicity
 from tallyframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,44 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
+#: One conversation with the marks of the template inside its texts.
+MARKED = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
+
+_RUNS = r"len({0}) - len(regexp_replace({0}, '#{{3,}}', '', 'g'))"
+_ESCAPED = f"len({{0}}) + len({{0}}) - len(replace({{0}}, chr(92), '')) + (len({{0}}) - len(replace({{0}}, '</turn>', ''))) // 7 + {_RUNS}"
+
+
+@registered(
+    f"""WITH all_turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', chr(92) || '### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', chr(92) || '### Assistant: </turn> ok'
+    ), whole AS (
+        SELECT conv_id, count(*) AS n_turns,
+               string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+               coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS learned,
+               CAST(sum(15 + {_ESCAPED.format("role")} + {_ESCAPED.format("text")}) AS bigint) AS formatted_chars
+        FROM all_turns GROUP BY conv_id
+    )
+    SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, len(learned) AS loss_chars, sha256(learned) AS loss_sha256,
+           formatted_chars FROM whole"""
+)
+def op4_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame(MARKED, "conv_id long, turn long, role string, text string")
+    return replies.conversation_report(rows.unionByName(marked))
+
+
+@registered()
+def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    mixed = mixing.mix(docs, F.array(F.col("source").cast("string")), mixing.n_words(F.col("text")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@registered()
+def op10_token_rollups(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return rollups.corpus_rollup(docs, labels, "/opt/tokenizers/byte_bpe_50k.tiktoken", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
