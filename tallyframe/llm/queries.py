@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import leaks, mixing, outliers, replies, rollups, toxicity
+from tallyframe.llm import leaks, mixing, neighbours, outliers, replies, rollups, toxicity
 from tallyframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,8 @@ def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 def op10_token_rollups(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return rollups.corpus_rollup(docs, labels, "/opt/tokenizers/byte_bpe_50k.tiktoken", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
+
+
+@registered()
+def op1_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
