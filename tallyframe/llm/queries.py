@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import leaks, mixing, neighbours, outliers, replies, rollups, toxicity
+from tallyframe.llm import leaks, mixing, nearcopies, neighbours, outliers, replies, rollups, toxicity
 from tallyframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,8 @@ def op10_token_rollups(spark: SparkSession, folder: str) -> DataFrame:
 @registered()
 def op1_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
+
+
+@registered()
+def op3_near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return nearcopies.near_copies(table(spark, folder, "documents"), shingle=2)
