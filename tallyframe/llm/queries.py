@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import leaks, mixing, nearcopies, neighbours, outliers, replies, rollups, toxicity
+from tallyframe.llm import classlm, leaks, mixing, nearcopies, neighbours, outliers, replies, rollups, toxicity
 from tallyframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,8 @@ def op1_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
 @registered()
 def op3_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     return nearcopies.near_copies(table(spark, folder, "documents"), shingle=2)
+
+
+@registered()
+def op8_class_bigrams(spark: SparkSession, folder: str) -> DataFrame:
+    return classlm.held_out_scores(table(spark, folder, "documents"))
