@@ -149,13 +149,19 @@ class Scorer:
         return sum(self.clause(part) for part in _CLAUSE.split(text) if self.hint.search(part))
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, folds: int) -> DataFrame:
-    """text and label of the training rows: those labelled 0 or 1 whose id is not in the held-out fold. An id with
-    labels of both kinds counts as toxic; ids that are NULL match nothing."""
+def labelled_rows(docs: DataFrame, labels: DataFrame, folds: int, most_rows: int) -> DataFrame:
+    """text and label of the training rows: those labelled 0 or 1 whose id is not in the held-out fold, or a hash
+    sample of about ``most_rows`` of them. An id with labels of both kinds counts as toxic; NULL ids match nothing.
+
+    The bound on rows makes the labels small enough to broadcast, so texts are filtered where they are read.
+    """
     marks = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic IN (0, 1) AND doc_id IS NOT NULL")
-    marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    train = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(training_fold(F.col("doc_id"), folds) != 0)
-    return train.join(marks, "doc_id").select("text", "toxic")
+    marks = marks.filter(training_fold(F.col("doc_id"), folds) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    share = most_rows / max(marks.count(), 1)
+    if share < 1:
+        marks = marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return texts.join(F.broadcast(marks), "doc_id").select("text", "toxic")
 
 
 def _stem_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -239,16 +245,14 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     folds: int = 5,
-    most_rows: int = 50_000,
+    most_rows: int = 30_000,
     least_docs: int = 5,
     least_share: float = 0.01,
     least_ratio: float = 8.0,
     most_stems: int = 5000,
 ) -> Model:
-    """Learn stems and curve from the labelled training rows; from a hash sample of them where they exceed ``most_rows``."""
-    rows = via_table(labelled_rows(docs, labels, folds), "toxicity-rows")
-    share = most_rows / max(rows.count(), 1)
-    train = rows if share >= 1 else rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    """Learn stems and curve from the labelled training rows, at most about ``most_rows`` of them."""
+    train = via_table(labelled_rows(docs, labels, folds, most_rows), "toxicity-train")
     stems = learned_stems(train, least_docs, least_share, least_ratio, most_stems)
     if not stems:
         return UNTRAINED
