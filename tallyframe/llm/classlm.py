@@ -173,7 +173,7 @@ def fit(train: DataFrame, counts: DataFrame, most_clustered: int = 1000, n_class
     return Model(int(sums["total"] or 0), int(sums["distinct"]), of, shapes, transitions, np.log10(tokens_in + ALPHA * (types_in + 1)))
 
 
-_SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+_SCORES = "doc_id string, n_tokens long, n_known long, base_score double, score double"
 
 
 def scores(docs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
@@ -198,7 +198,10 @@ def scores(docs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
         found = pd.DataFrame(out, columns=["n_tokens", "n_known", "base_score", "score"])
         return pd.concat([rows[["doc_id"]].reset_index(drop=True), found], axis=1)
 
-    return per_block(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")), tokens, counts, score, _SCORES)
+    # Ids travel as text: pandas would turn a column of numbers with NULLs into floats.
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    found = per_block(rows, tokens, counts, score, _SCORES)
+    return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
 def held_out_scores(docs: DataFrame, folds: int = 10, most_clustered: int = 1000, n_classes: int = 48, rounds: int = 10) -> DataFrame:

@@ -42,7 +42,9 @@ def signatures(docs: DataFrame, shingle: int, collection: int, rows: int) -> Dat
             named = pd.DataFrame(out, columns=["n", "high", "low", "bands"])
             yield pd.concat([frame[["doc_id"]].reset_index(drop=True), named], axis=1)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(sign, "doc_id long, n long, high long, low long, bands array<long>")
+    # Ids travel as text: pandas would turn a column of numbers with NULLs into floats.
+    named = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(sign, "doc_id string, n long, high long, low long, bands array<long>")
+    return named.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:

@@ -68,9 +68,10 @@ def with_counts(docs: DataFrame) -> DataFrame:
             found = pd.DataFrame([text_counts(t) for t in frame["text"]], columns=list(COUNTS), dtype="int64")
             yield pd.concat([frame[["doc_id", "lang", "source"]].reset_index(drop=True), found], axis=1)
 
-    key = docs.schema["doc_id"].dataType.simpleString()
-    columns = [F.col("doc_id"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("text")]
-    return docs.select(*columns).mapInPandas(count, f"doc_id {key}, lang string, source string, {_COUNT_FIELDS}")
+    # Ids travel as text: pandas would turn a column of numbers with NULLs into floats.
+    columns = [F.col("doc_id").cast("string"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("text")]
+    counted = docs.select(*columns).mapInPandas(count, f"doc_id string, lang string, source string, {_COUNT_FIELDS}")
+    return counted.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
 def base_failed() -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import classlm, leaks, mixing, nearcopies, neighbours, outliers, replies, rollups, toxicity
+from tallyframe.llm import classlm, leaks, mixing, nearcopies, neighbours, outliers, pieces, replies, rollups, toxicity
 from tallyframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,8 @@ def op3_near_copies(spark: SparkSession, folder: str) -> DataFrame:
 @registered()
 def op8_class_bigrams(spark: SparkSession, folder: str) -> DataFrame:
     return classlm.held_out_scores(table(spark, folder, "documents"))
+
+
+@registered()
+def op9_piece_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encoded(table(spark, folder, "documents"), pieces.read_pieces())
