@@ -1,23 +1,51 @@
 """A cleaning pipeline for training text: each stage is one operator, written as Parquet and read by the next.
 
-The stages keep clean documents. Toxic documents go; one document of each group of near copies stays; secrets are cut
-out of the texts; documents are repeated or left out so that sources come near their weights; texts become piece ids.
+Toxic documents go; one document of each group of near copies stays; secrets are cut out of the texts; documents are
+repeated or left out so that sources come near their weights; texts become piece ids. The filtering stages keep clean
+documents. All columns of the input pass through every stage but the last, extra ones too.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import leaks, toxicity
+from tallyframe.llm import leaks, mixing, nearcopies, pieces, toxicity
 from tallyframe.llm.common import table, via_table
 
+#: Tables of decisions up to this many rows (a few numbers each) are broadcast, so that texts stay where they are read;
+#: larger ones are joined by a shuffle.
+MOST_BROADCAST = 1_000_000
+
+
+def _sized(decisions: DataFrame) -> DataFrame:
+    return F.broadcast(decisions) if decisions.count() <= MOST_BROADCAST else decisions
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score of 0.5 or more go. Stems and curve are learned from the labelled training rows."""
+    """Documents with a toxicity score of 0.5 or more go. Stems and curve are learned from the labelled training rows.
+
+    NULL and empty texts show no toxicity and stay.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return docs.filter(toxicity.toxicity_score(F.col("text"), model) < 0.5)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by a similarity of 0.8 over five-word shingles, the document with the smallest id stays.
+
+    Empty texts and rows without an id are in no group. Of rows that repeat an id, one stays.
+    """
+    found = via_table(nearcopies.near_copies(docs, shingle=5, percent=80), "pipeline-groups")
+    gone = found.filter("NOT kept").select("doc_id").distinct()
+    repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    rest = docs.join(_sized(gone), "doc_id", "left_anti").select(docs.columns)
+    if repeated.isEmpty():
+        return rest
+    repeated = _sized(repeated)
+    once = rest.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+    return rest.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(once)
+
+
 def cut_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans with secrets are replaced by a mark; no document goes. ``n_chars`` follows the text."""
     clean = leaks.redacted(F.col("text"), leaks.secret_spans(spark, F.col("text")))
@@ -27,14 +55,37 @@ def cut_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return changed.select(docs.columns)
 
 
-STAGES = [("toxicity", drop_toxic), ("secrets", cut_secrets)]
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are left out or repeated up to three times, so that sources give words by the weights 1, 2, 3.
+
+    Rows that share an id share one decision, the largest. Documents without words add nothing and are left out.
+    """
+    mixed = mixing.mix(docs, F.array(F.col("source").cast("string")), mixing.n_words(F.col("text")))
+    taken = mixed.groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies")).filter("_copies > 0")
+    taken = via_table(taken, "pipeline-copies")
+    rows = docs.join(_sized(taken), docs["doc_id"].eqNullSafe(F.col("_id")))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*(docs[c] for c in docs.columns))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, pieces (ids), n_pieces and whether decoding gives the text back, for every row."""
+    return pieces.encoded(docs, pieces.read_pieces())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near copies", drop_near_copies),
+    ("secrets", cut_secrets),
+    ("mix", mix_sources),
+    ("pieces", encode),
+]
 
-#: Learned weights and sub-word fitting have no SQL; tests compare the stages with brute force.
+#: Learned weights and token vocabularies have no SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = via_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = via_table(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs
