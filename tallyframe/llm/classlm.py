@@ -107,7 +107,8 @@ def exchange(pairs: np.ndarray, movable: np.ndarray, start: np.ndarray, n_classe
             table[old, :] -= after
             table[:, old] -= before
             table[old, old] -= own
-            rows, columns = table.sum(1), table.sum(0)
+            # Wherever the symbol goes, it still stands right and left of its neighbours.
+            rows, columns = table.sum(1) + before, table.sum(0) + after
             right, left = after.sum() + own, before.sum() + own
             # Gain of joining class c: cells of row c and of column c change; cell (c, c) is in both and takes all three.
             gain = (h(table + after) - h(table)).sum(1) + (h(table + before[:, None]) - h(table)).sum(0)
