@@ -11,14 +11,26 @@ def data_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
-def as_whole(df: DataFrame, name: str, to: str = "int") -> Column:
-    """An integer key. Text such as ``"7.0"`` counts as 7; anything unreadable or out of range is NULL."""
-    value = F.col(name)
-    if isinstance(data_type(df, name), T.StringType):
+def as_whole(df: DataFrame, name: str, to: str | None = None) -> Column:
+    """An integer key, of the column's own integral type or else bigint, so that no key is narrowed.
+
+    Text such as ``"7.0"`` counts as 7; anything unreadable is NULL.
+    """
+    value, own = F.col(name), data_type(df, name)
+    to = to or (own.simpleString() if isinstance(own, T.IntegralType) else "bigint")
+    if isinstance(own, T.StringType):
         return F.coalesce(value.try_cast(to), value.try_cast("double").try_cast(to))
     return value.try_cast(to)
 
 
+def as_int(df: DataFrame, name: str) -> Column:
+    """A whole number for a layout that fixes int: unreadable values are NULL, but one that int cannot hold is an error."""
+    value = as_whole(df, name, "bigint")
+    fits = value.isNull() | value.between(-(2**31), 2**31 - 1)
+    message = F.concat(F.lit(f"{name} does not fit into int: "), value.cast("string"))
+    return F.when(fits, value.try_cast("int")).otherwise(F.raise_error(message).cast("int"))
+
+
 def as_number(df: DataFrame, name: str) -> Column:
     """The column itself when it is numeric, so that tests on it reach the scan; else its double value or NULL."""
     value = F.col(name)

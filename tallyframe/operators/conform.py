@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.functions.casts import as_timestamp, as_whole, moment, whole_minutes
+from tallyframe.functions.casts import as_int, as_timestamp, moment, whole_minutes
 from tallyframe.functions.columns import pick, pick_any_case
 
 # Output column -> (type, source names in order of preference).
@@ -34,7 +34,7 @@ FEED_COLUMNS = {"locationid": "location_id", "borough": "borough", "zone": "zone
 
 def _typed(df: DataFrame, name: str, to: str) -> Column:
     if to == "int":
-        return as_whole(df, name)
+        return as_int(df, name)
     return as_timestamp(name) if to == "timestamp" else F.col(name).try_cast(to)
 
 

@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.functions.casts import as_whole, moment
-from tallyframe.functions.text import fingerprint
+from tallyframe.functions.casts import as_int, moment
+from tallyframe.functions.text import exact_fingerprint, fingerprint
 
 # Attributes of a zone and the history columns of a type 2 dimension.
 ZONE_KEY = "location_id"
@@ -18,18 +18,23 @@ HISTORY = ("record_hash", "effective_start_ts", "effective_end_ts", "is_current"
 def zone_feed(incoming: DataFrame) -> DataFrame:
     """The four typed columns of a zone feed and their ``hashdiff``."""
     typed = incoming.select(
-        as_whole(incoming, ZONE_KEY).alias(ZONE_KEY), *[F.col(c).cast("string").alias(c) for c in ZONE_VALUES]
+        as_int(incoming, ZONE_KEY).alias(ZONE_KEY), *[F.col(c).cast("string").alias(c) for c in ZONE_VALUES]
     )
     return typed.withColumn("hashdiff", fingerprint(*ZONE_VALUES))
 
 
 def check_unique(df: DataFrame, key: str) -> None:
-    """Raise if a key occurs twice. Counts per key are combined before the shuffle; one row comes back."""
-    twice = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1)
+    """Raise if a key other than NULL occurs twice. Counts per key are combined before the shuffle; one row comes back."""
+    twice = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1)
     if not twice.isEmpty():
         raise ValueError(f"duplicate business keys in column {key}")
 
 
+def without_key(incoming: DataFrame, key: str) -> DataFrame:
+    """The rows that ``apply_history`` leaves out because their key is NULL."""
+    return incoming.filter(F.col(key).isNull())
+
+
 def _version(columns: dict[str, Column]) -> Column:
     return F.struct(*[value.alias(name) for name, value in columns.items()])
 
@@ -41,16 +46,19 @@ def apply_history(
     attributes: Sequence[str] = ZONE_VALUES,
     as_of=None,
     source_system: str = "NYC_TLC",
-    hash_of=fingerprint,
+    hash_of=exact_fingerprint,
     checked: bool = False,
 ) -> DataFrame:
     """The whole dimension after ``incoming``.
 
-    A new key starts a row at ``as_of``; an equal hash keeps the current row; another hash closes the current
-    row at ``as_of`` and starts a new one; keys missing from ``incoming`` and closed rows stay. One shuffle of
-    each side on the business key, which is unique among current rows, so it cannot be skewed. A NULL key is a
-    key like any other. ``checked`` says that the caller has made sure of unique incoming keys.
+    A new key starts a row at ``as_of``; equal attributes keep the current row; another value of any attribute
+    closes the current row at ``as_of`` and starts a new one; keys missing from ``incoming`` and closed rows stay.
+    Attributes are compared themselves, NULL equal to NULL, so rows hashed in another way are not touched. One
+    shuffle of each side on the business key, which is unique among current rows, so it cannot be skewed. Rows
+    with a NULL key have no identity and stay out; see ``without_key``. Unless ``checked`` says that the caller has
+    made sure of unique incoming keys, a job that looks for repeated ones runs first.
     """
+    incoming = incoming.filter(F.col(key).isNotNull())
     if not checked:
         check_unique(incoming, key)
     fresh = incoming.select(key, *attributes).withColumn("record_hash", hash_of(*attributes))
@@ -71,7 +79,10 @@ def apply_history(
     both = old.join(new, F.col(f"old.{key}").eqNullSafe(F.col(f"new.{key}")), "full_outer")
 
     known, arrived = F.col("old").isNotNull(), F.col("new").isNotNull()
-    starts = arrived & (~known | ~F.col("old.record_hash").eqNullSafe(F.col("new.record_hash")))
+    equal = F.lit(True)
+    for name in attributes:
+        equal = equal & F.col(f"old.{name}").eqNullSafe(F.col(f"new.{name}"))
+    starts = arrived & (~known | ~equal)
     kept = {c: F.col(f"old.{c}") for c in columns}
     closed = {
         **kept,

@@ -6,7 +6,9 @@ Within a block every record could be paired with every other one. The operators
 * similar classes are found by a similarity join (``similarity.near_pairs``);
 * the number of pairs compared, and so of rejected pairs, follows from the counts.
 
-Record pairs are formed only where they are the result: in the steward queue.
+Record pairs are counted, never formed: the steward queue holds pairs of golden records.
+
+``copies`` is the one pass over the records. Stored, it serves all steps after it.
 """
 
 from __future__ import annotations
@@ -30,8 +32,6 @@ MDM_SCORECARD = {
 }
 MATCH_COUNTS = ("total_pairs_compared", "auto_merge_pairs", "steward_review_pairs", "reject_pairs")
 
-# Ids of one class that are handled together when record pairs are listed.
-IDS_PER_CHUNK = 500
 LOWEST_REVIEW = 0.3
 COUNT = "decimal(38,0)"
 # How a name is compared: without the first token among names that share it, or whole among all of a block.
@@ -39,7 +39,7 @@ SAME_TOKEN, ANY_TOKEN = "=", "*"
 FAMILY = ("block", "family")
 
 
-def normalize(zones: DataFrame, id_type: str = "int") -> DataFrame:
+def normalize(zones: DataFrame, id_type: str | None = None) -> DataFrame:
     """Add location_id (from LocationID), zone_norm, borough_norm and match_key."""
     require(zones, "LocationID")
     name = pick(zones, "Zone", "zone_name")
@@ -144,8 +144,8 @@ def compared_names(classes: DataFrame, review: float) -> DataFrame:
     Names with the same first token have the edit distance of the rest. Names with different first tokens need
     a higher similarity to reach ``review``, so fewer edits are allowed.
     """
-    if not LOWEST_REVIEW <= review <= 1:
-        raise ValueError(f"the review threshold must be between {LOWEST_REVIEW} and 1, not {review}")
+    if review < LOWEST_REVIEW:
+        raise ValueError(f"the review threshold must be at least {LOWEST_REVIEW}, not {review}")
     same = F.struct(
         F.concat(F.lit(SAME_TOKEN), tx.first_token(F.col("name"))).alias("family"),
         F.expr("substring(name, length(substring_index(name, ' ', 1)) + 1)").alias("text"),
@@ -220,7 +220,7 @@ def count_across(class_pairs: DataFrame, per_copy: DataFrame) -> DataFrame:
 
 
 def accepted_names(
-    records: DataFrame,
+    per_copy: DataFrame,
     high: float = tx.HIGH_CONFIDENCE,
     review: float = tx.REVIEW_CONFIDENCE,
     classes: DataFrame | None = None,
@@ -228,10 +228,10 @@ def accepted_names(
 ) -> DataFrame:
     """Every pair of names that is not rejected, scored, with their records and the record pairs behind it.
 
-    A name paired with itself stands for the pairs among its own records. ``classes`` and ``hot`` are the
-    results of ``name_classes`` and ``hot_names`` if they have been written to a table.
+    A name paired with itself stands for the pairs among its own records. ``per_copy`` is the result of
+    ``copies``; ``classes`` and ``hot`` are those of ``name_classes`` and ``hot_names`` if they have been written to
+    a table.
     """
-    per_copy = copies(records)
     if classes is None:
         classes = name_classes(per_copy)
     within = classes.filter(F.col("inner_pairs") > 0).select(
@@ -247,7 +247,7 @@ def accepted_names(
     return scored.withColumnRenamed("block", "borough")
 
 
-def block_ledger(records: DataFrame, accepted: DataFrame) -> DataFrame:
+def block_ledger(per_copy: DataFrame, accepted: DataFrame) -> DataFrame:
     """Per block: records, pairs compared, and pairs in each band. Rejects are the pairs not accepted."""
     def band(name: str) -> Column:
         return F.sum(F.when(F.col("decision") == name, F.col("record_pairs")).otherwise(0)).cast(COUNT)
@@ -255,7 +255,7 @@ def block_ledger(records: DataFrame, accepted: DataFrame) -> DataFrame:
     bands = accepted.groupBy("borough").agg(
         band(tx.AUTO_MERGE).alias("auto_merge_pairs"), band(tx.STEWARD_REVIEW).alias("steward_review_pairs")
     )
-    compared = block_pairs(copies(records)).withColumnsRenamed(
+    compared = block_pairs(per_copy).withColumnsRenamed(
         {"block": "borough", "pairs_compared": "total_pairs_compared"}
     )
     ledger = compared.join(bands, "borough", "left").fillna(0, ["auto_merge_pairs", "steward_review_pairs"])
@@ -263,77 +263,31 @@ def block_ledger(records: DataFrame, accepted: DataFrame) -> DataFrame:
     return ledger.withColumn("reject_pairs", (F.col("total_pairs_compared") - accepted_pairs).cast(COUNT))
 
 
-def repeat(df: DataFrame, times: Column, step: int = 10_000) -> DataFrame:
-    """Each row ``times`` times, in two levels so that no array holds a large count."""
-    counted = df.withColumn("_times", times)
-    groups = counted.withColumn("_group", F.explode(F.expr(f"sequence(0L, (_times - 1) div {step}L)")))
-    left = F.least(F.lit(step), F.col("_times") - F.col("_group") * step)
-    return groups.withColumn("_row", F.explode(F.sequence(F.lit(1), left))).drop("_times", "_group", "_row")
-
-
-def record_pairs(name_pairs: DataFrame, records: DataFrame) -> DataFrame:
-    """The record pairs (id_a < id_b) behind ``name_pairs``.
+def steward_queue(accepted: DataFrame, per_copy: DataFrame, as_of=None) -> DataFrame:
+    """The pairs of golden records to review, best first: one row per pair of names.
 
-    The ids of a class are cut into chunks of bounded size; a name pair becomes one row per pair of chunks,
-    so that no task or row holds a whole class. Duplicate records come out as often as they occur.
+    ``id_a`` and ``id_b`` are the least ids of the two names, which are those of their golden records; how many
+    records and record pairs stand behind a row is in ``records_a``, ``records_b`` and ``record_pairs``. Ids break
+    ties, which also lets Spark split a hot confidence.
     """
-    def chunks(count: str) -> Column:
-        return F.ceil(F.col(count) / IDS_PER_CHUNK).cast("int")
-
-    names = name_pairs.select(
-        "borough",
-        F.inline(
-            F.array(
-                F.struct(F.col("zone_a").alias("name"), chunks("records_a").alias("chunks")),
-                F.struct(F.col("zone_b").alias("name"), chunks("records_b").alias("chunks")),
-            )
-        ),
-    ).distinct()
-    lists = (
-        copies(records)
-        .withColumnRenamed("block", "borough")
-        .join(names, ["borough", "name"])
-        .groupBy("borough", "name", F.pmod(F.xxhash64("id"), "chunks").cast("int").alias("chunk"))
-        .agg(F.collect_list(F.struct("id", "copies")).alias("ids"))
-    )
-    itself = F.col("zone_a") == F.col("zone_b")
-    tiles = (
-        name_pairs.withColumn("chunk_a", F.explode(F.sequence(F.lit(0), chunks("records_a") - 1)))
-        .withColumn(
-            "chunk_b", F.explode(F.sequence(F.when(itself, F.col("chunk_a")).otherwise(0), chunks("records_b") - 1))
-        )
-        .join(lists.withColumnsRenamed({"name": "zone_a", "chunk": "chunk_a", "ids": "ids_a"}), ["borough", "zone_a", "chunk_a"])
-        .join(lists.withColumnsRenamed({"name": "zone_b", "chunk": "chunk_b", "ids": "ids_b"}), ["borough", "zone_b", "chunk_b"])
-    )
-    same_tile = itself & (F.col("chunk_a") == F.col("chunk_b"))
-    lines = (
-        tiles.withColumn("one", F.explode("ids_a"))
-        .drop("ids_a")
-        .withColumn("other", F.explode("ids_b"))
-        .filter(
-            (F.col("one.id") < F.col("other.id")) | ((F.col("one.id") > F.col("other.id")) & ~same_tile)
-        )
-    )
-    rising = F.col("one.id") < F.col("other.id")
-    listed = lines.select(
-        F.least("one.id", "other.id").alias("id_a"),
-        F.greatest("one.id", "other.id").alias("id_b"),
-        F.when(rising, F.col("zone_a")).otherwise(F.col("zone_b")).alias("zone_a"),
-        F.when(rising, F.col("zone_b")).otherwise(F.col("zone_a")).alias("zone_b"),
-        "borough",
-        "name_similarity",
-        "match_confidence",
-        "decision",
-        (F.col("one.copies") * F.col("other.copies")).alias("times"),
-    )
-    return repeat(listed, F.col("times")).drop("times")
-
-
-def steward_queue(accepted: DataFrame, records: DataFrame, as_of=None) -> DataFrame:
-    """The record pairs to review, best first. Ids break ties, which also lets Spark split a hot confidence."""
+    least = per_copy.groupBy(F.col("block").alias("borough"), "name").agg(F.min("id").alias("id"))
     review = accepted.filter(F.col("decision") == tx.STEWARD_REVIEW)
+    for side in ("a", "b"):
+        review = review.join(least.withColumnsRenamed({"name": f"zone_{side}", "id": f"id_{side}"}), ["borough", f"zone_{side}"])
     return (
-        record_pairs(review, records)
+        review.select(
+            "id_a",
+            "id_b",
+            "zone_a",
+            "zone_b",
+            "borough",
+            "name_similarity",
+            "match_confidence",
+            "decision",
+            "records_a",
+            "records_b",
+            "record_pairs",
+        )
         .withColumns({"review_status": F.lit("PENDING"), "submitted_at_utc": moment(as_of)})
         .orderBy(F.desc("match_confidence"), "id_a", "id_b")
     )

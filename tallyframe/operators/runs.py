@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyframe.functions.casts import moment
@@ -33,28 +35,33 @@ def new_run_id(spark: SparkSession) -> str:
     return spark.range(1).select(F.uuid().alias("id")).first()["id"]
 
 
-def absent_rows(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """Rows of ``incoming`` whose key ``existing`` does not have: insert, do nothing on conflict."""
-    return incoming.join(existing.select(key).distinct(), key, "left_anti")
+def absent_rows(existing: DataFrame, incoming: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Rows of ``incoming`` whose key ``existing`` does not have: insert, do nothing on conflict.
+
+    ``existing`` is cut down to the incoming keys before it is made distinct, so few new rows cost little.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    known = existing.select(*keys).join(incoming.select(*keys).distinct(), keys, "left_semi").distinct()
+    return incoming.join(known, keys, "left_anti")
 
 
 def run_audit(events: DataFrame) -> DataFrame:
-    """One row per run: latest status and error, first start, and the end if it has ended.
+    """One row per run and job: latest status and error, first start, and the end if it has ended.
 
-    Partial aggregation keeps one row per run and input task, so a run with very many events does not
+    Partial aggregation keeps one row per run, job and input task, so a run with very many events does not
     collect in one task. Later statuses win at equal times.
     """
     rank = F.when(F.col("status") == STARTED, 0).when(F.col("status") == SUCCEEDED, 1).otherwise(2)
     latest = F.max(
-        F.struct("event_at", rank.alias("rank"), "status", "job_name", "trigger_type", "data_owner", "error_message")
+        F.struct("event_at", rank.alias("rank"), "status", "trigger_type", "data_owner", "error_message")
     )
-    per_run = events.groupBy("run_id").agg(
+    per_run = events.groupBy("run_id", "job_name").agg(
         latest.alias("last"), F.min(F.when(F.col("status") == STARTED, F.col("event_at"))).alias("started_at")
     )
     ended = F.col("last.status").isin(SUCCEEDED, FAILED)
     return per_run.select(
         "run_id",
-        "last.job_name",
+        "job_name",
         "last.trigger_type",
         "last.data_owner",
         "last.status",

@@ -6,6 +6,7 @@ failed run leaves the last published versions in place.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -56,8 +57,10 @@ def _read(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     return tablelog.read_latest(spark, lake.tables, lake.log, table)
 
 
-def _publish(df: DataFrame, lake: Lake, table: str, run: Run, partition: str | None = None) -> str:
-    return tablelog.publish(df, lake.tables, lake.log, table, partition, run.run_id, run.as_of)
+def _publish(
+    df: DataFrame, lake: Lake, table: str, run: Run, partition: str | None = None, laid_out: bool = False
+) -> str:
+    return tablelog.publish(df, lake.tables, lake.log, table, partition, run.run_id, run.as_of, laid_out)
 
 
 def validate_trips(spark: SparkSession, raw_trips: str, lake: Lake, run: Run) -> None:
@@ -67,14 +70,13 @@ def validate_trips(spark: SparkSession, raw_trips: str, lake: Lake, run: Run) ->
 
 def curate_trips(spark: SparkSession, zones_csv: str, lake: Lake, run: Run) -> None:
     zones = readers.read_csv(spark, zones_csv)
-    _publish(enrich(_read(spark, lake, "validated"), zones, as_of=run.as_of), lake, "curated", run, "pickup_date")
+    trips = enrich(_read(spark, lake, "validated"), zones, as_of=run.as_of)
+    _publish(trips, lake, "curated", run, "pickup_date", laid_out=True)
 
 
 def gate_trips(spark: SparkSession, lake: Lake, run: Run) -> None:
     """Split the base into a new curated version and the quarantine; report on the base."""
-    has_curated = tablelog.has_versions(spark, lake.tables, lake.log, "curated")
-    source, table = ("CURATED", "curated") if has_curated else ("INPUT", "validated")
-    base = _read(spark, lake, table)
+    base, source = tablelog.choose_latest(spark, lake.tables, lake.log, "curated", "validated")
     rules = quality.trip_rules(base)
     writers.overwrite(quality.quarantined(base, rules), lake.folder("quarantine"))
     summary = via_table(
@@ -95,23 +97,30 @@ def gate_trips(spark: SparkSession, lake: Lake, run: Run) -> None:
     writers.report_csv(card, lake.folder("quality_scorecard"))
     writers.report_csv(quality.by_domain(card, run.as_of), lake.folder("quality_by_domain"))
     # The new version has its own folder, so the base stays readable; with Delta the old snapshot does.
-    _publish(quality.passed(base, rules), lake, "curated", run, "pickup_date" if "pickup_date" in base.columns else None)
+    by_date = "pickup_date" if "pickup_date" in base.columns else None
+    _publish(quality.passed(base, rules), lake, "curated", run, by_date, laid_out=True)
 
 
-def accept(records: DataFrame, high: float = tx.HIGH_CONFIDENCE, review: float = tx.REVIEW_CONFIDENCE) -> DataFrame:
-    """Accepted names, with each step written to a table, so that Spark knows its size when it plans the next."""
-    classes = via_table(matching.name_classes(matching.copies(records)), "name-classes")
+def accept(
+    records: DataFrame, high: float = tx.HIGH_CONFIDENCE, review: float = tx.REVIEW_CONFIDENCE
+) -> tuple[DataFrame, DataFrame]:
+    """The stored copies of the records, and the accepted names.
+
+    Each step is written to a table, so the records are read once and Spark knows sizes when it plans the next step.
+    """
+    per_copy = via_table(matching.copies(records), "copies")
+    classes = via_table(matching.name_classes(per_copy), "name-classes")
     hot = via_table(matching.hot_names(classes, review), "hot-names")
-    return via_table(matching.accepted_names(records, high, review, classes, hot), "accepted-names")
+    return per_copy, via_table(matching.accepted_names(per_copy, high, review, classes, hot), "accepted-names")
 
 
 def match_zones(spark: SparkSession, zones_csv: str, lake: Lake, run: Run) -> None:
     records = matching.normalize(readers.read_csv(spark, zones_csv))
-    accepted = accept(records, run.high, run.review)
-    ledger = via_table(matching.block_ledger(records, accepted), "block-ledger")
+    per_copy, accepted = accept(records, run.high, run.review)
+    ledger = via_table(matching.block_ledger(per_copy, accepted), "block-ledger")
 
     queue_path, rejects_path = lake.folder("steward_queue"), lake.folder("rejects")
-    writers.overwrite(matching.steward_queue(accepted, records, run.as_of), queue_path)
+    writers.overwrite(matching.steward_queue(accepted, per_copy, run.as_of), queue_path)
     writers.listing_csv(readers.read_parquet(spark, queue_path), lake.folder("approval_queue_csv"))
     writers.overwrite(ledger, rejects_path)
     master_path = _publish(matching.golden(records, run.as_of), lake, "master_zones", run)
@@ -165,13 +174,19 @@ def steward(spark: SparkSession, lake: Lake, run: Run) -> None:
 
 
 def export(spark: SparkSession, lake: Lake, run: Run) -> tuple[str, str]:
-    """Dimension history and fact as plain Parquet; returns their folders."""
+    """Dimension history and fact as plain Parquet, in new folders; returns them.
+
+    The tables that serve are pointed at the new folders only when both are complete, so a run that dies here
+    leaves them readable. Zones without a readable key cannot have a history; they are listed and the run goes on.
+    """
     known = tablelog.has_versions(spark, lake.tables, lake.log, "dim_zone")
     dim = _read(spark, lake, "dim_zone") if known else None
     zones = conform.dim_export(_read(spark, lake, "master_zones"))
     attributes = ("borough", "zone", "service_zone")
+    writers.overwrite(history.without_key(zones, "location_id"), lake.folder("zones_without_key"))
     _publish(history.apply_history(zones, dim, "location_id", attributes, run.as_of), lake, "dim_zone", run)
-    dim_path, fact_path = lake.folder("export/dim_zone"), lake.folder("export/fact_trip")
+    version = uuid.uuid4().hex
+    dim_path, fact_path = (lake.folder(f"export/{name}/version={version}") for name in ("dim_zone", "fact_trip"))
     writers.overwrite(_read(spark, lake, "dim_zone"), dim_path)
     writers.overwrite(conform.fact_export(_read(spark, lake, "curated")), fact_path)
     return dim_path, fact_path
@@ -186,13 +201,13 @@ def load_warehouse(spark: SparkSession, dim_path: str, fact_path: str, database:
 def log_event(
     spark: SparkSession, lake: Lake, run: Run, status: str, error: str | None = None, job_name: str = "daily"
 ) -> None:
-    """Append a run event; a second STARTED of the same run is ignored."""
+    """Append a run event; a second STARTED of the same run and job is ignored."""
     path = lake.folder("run_events")
     event = runs.run_event(
         spark, run.run_id, status, job_name, run.trigger_type, run.data_owner, error, run.as_of
     )
     if status == runs.STARTED and readers.table_exists(spark, path):
-        event = runs.absent_rows(readers.read_parquet(spark, path), event, "run_id")
+        event = runs.absent_rows(readers.read_parquet(spark, path), event, ("run_id", "job_name"))
     event.write.mode("append").parquet(path)
 
 
@@ -228,7 +243,6 @@ def stage_feed(spark: SparkSession, path: str, fmt: str, header: bool, run_id: s
 
 
 
-
 @dataclass(frozen=True)
 class Database:
     """A table reached over JDBC."""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyframe.functions.casts import whole_minutes
 from tallyframe.operators import conform, history, matching, quality, runs, stewardship
 from tallyframe.operators.enrich import enrich
 from tallyframe.operators.ingest import validate
@@ -155,8 +156,10 @@ def certified_trip_zone(spark, folder):
 
 @registered(f"{SERVED_SQL} SELECT trip_minutes, count(*) AS trips FROM certified GROUP BY trip_minutes")
 def trip_minutes(spark, folder):
-    certified = conform.certified_trips(conform.fact_export(st.trips(spark, folder)), _dimension(spark, folder))
-    return certified.groupBy("trip_minutes").agg(F.count(F.lit(1)).alias("trips"))
+    """Over the fact alone: the certified join keeps every trip once and adds nothing that this counts."""
+    facts = conform.fact_export(st.trips(spark, folder))
+    minutes = facts.select(whole_minutes("pickup_datetime", "dropoff_datetime").alias("trip_minutes"))
+    return minutes.groupBy("trip_minutes").agg(F.count(F.lit(1)).alias("trips"))
 
 
 @registered(TOP_SQL)
@@ -341,7 +344,7 @@ TOTALS_SQL = """
 
 def _ledger(spark, folder):
     records = st.part_records(spark, folder)
-    return records, matching.block_ledger(records, daily.accept(records))
+    return records, matching.block_ledger(*daily.accept(records))
 
 
 @registered(
@@ -367,22 +370,30 @@ def match_normalized(spark, folder):
     GROUP BY ALL"""
 )
 def match_pairs(spark, folder):
-    return daily.accept(st.part_records(spark, folder))
+    return daily.accept(st.part_records(spark, folder))[1]
 
 
 @registered(
-    f"""{MATCH_SQL}
-    SELECT id_a, id_b, zone_a, zone_b, borough, name_similarity, match_confidence, decision,
+    f"""{MATCH_SQL}, golden_ids AS (
+        SELECT borough_norm, zone_norm, min(location_id) AS id, count(*) AS n FROM records GROUP BY ALL
+    )
+    SELECT any_value(a.id) AS id_a, any_value(b.id) AS id_b, least(zone_a, zone_b) AS zone_a,
+           greatest(zone_a, zone_b) AS zone_b, borough, name_similarity, match_confidence, decision,
+           any_value(a.n) AS records_a, any_value(b.n) AS records_b, CAST(count(*) AS bigint) AS record_pairs,
            'PENDING' AS review_status, {NOW} AS submitted_at_utc
-    FROM scored WHERE decision = 'STEWARD_REVIEW'"""
+    FROM scored
+    JOIN golden_ids a ON a.borough_norm = borough AND a.zone_norm = least(zone_a, zone_b)
+    JOIN golden_ids b ON b.borough_norm = borough AND b.zone_norm = greatest(zone_a, zone_b)
+    WHERE decision = 'STEWARD_REVIEW'
+    GROUP BY borough, least(zone_a, zone_b), greatest(zone_a, zone_b), name_similarity, match_confidence, decision"""
 )
 def steward_queue(spark, folder):
-    records = st.part_records(spark, folder)
-    return matching.steward_queue(daily.accept(records), records, AS_OF)
+    per_copy, accepted = daily.accept(st.part_records(spark, folder))
+    return matching.steward_queue(accepted, per_copy, AS_OF)
 
 
 @registered(f"{MATCH_SQL}, {LEDGER_SQL} SELECT * FROM ledger")
-def match_rejects(spark, folder):
+def match_ledger(spark, folder):
     return _ledger(spark, folder)[1]
 
 
@@ -525,50 +536,57 @@ def steward_activity(spark, folder):
 
 @registered(
     f"""WITH {st.TRIPS_SQL}, {VALIDATED_SQL}, {st.RECORDS_SQL}, {GOLDEN_SQL}
-    SELECT 'master_zones' AS table_name, CAST(0 AS bigint) AS version, 'WRITE' AS operation,
-           count(*) AS num_output_rows, 'check' AS job_name FROM golden
-    UNION ALL SELECT 'curated_trips', 0, 'WRITE', count(*), 'check' FROM trips
-    UNION ALL SELECT 'curated_trips', 1, 'WRITE', count(*), 'check' FROM validated"""
+    SELECT 'master_zones' AS table_name, 'tables/master_zones' AS table_path,
+           'tables/master_zones/version=0' AS version_path, CAST(0 AS bigint) AS version, {NOW} AS timestamp,
+           'WRITE' AS operation, 'parquet' AS data_format, count(*) AS num_output_rows, '{RUN_ID}' AS run_id,
+           'check' AS job_name, {NOW} AS captured_at_utc FROM golden
+    UNION ALL SELECT 'curated_trips', 'tables/curated_trips', 'tables/curated_trips/version=0', 0, {NOW}, 'WRITE',
+           'parquet', count(*), '{RUN_ID}', 'check', {NOW} FROM trips
+    UNION ALL SELECT 'curated_trips', 'tables/curated_trips', 'tables/curated_trips/version=1', 1, {NOW}, 'WRITE',
+           'parquet', count(*), '{RUN_ID}', 'check', {NOW} FROM validated"""
 )
 def history_audit(spark, folder):
     root = scratch_folder(spark, "history")
     tables, log = f"{root}/tables", f"{root}/log"
     golden = matching.golden(st.part_records(spark, folder), AS_OF)
-    tablelog.publish(golden, tables, log, "master_zones", as_of=AS_OF)
-    tablelog.publish(st.trips(spark, folder), tables, log, "curated_trips", as_of=AS_OF)
-    tablelog.publish(_validated(spark, folder), tables, log, "curated_trips", as_of=AS_OF)
+    tablelog.publish(golden, tables, log, "master_zones", None, RUN_ID, AS_OF)
+    tablelog.publish(st.trips(spark, folder), tables, log, "curated_trips", None, RUN_ID, AS_OF)
+    tablelog.publish(_validated(spark, folder), tables, log, "curated_trips", None, RUN_ID, AS_OF)
     histories = {
         name: tablelog.table_history(spark, tables, log, name) for name in ("master_zones", "curated_trips")
     }
     audit = tablelog.history_audit(histories, JOB, AS_OF)
-    return audit.select("table_name", "version", "operation", "num_output_rows", "job_name")
+    # The folder of this call has a random name; what stands below it is compared.
+    below = {c: F.regexp_extract(c, r"(tables/.*)$", 1) for c in ("table_path", "version_path")}
+    return audit.withColumns(below)
 
 
 # ---------------------------------------------------------------- dimension history
 
 @registered(
-    f"""WITH {st.INCOMING_SQL}
-    SELECT *, sha256(concat_ws('||', borough, zone_name, service_zone)) AS hashdiff FROM incoming"""
+    f"""WITH {st.CUSTOMER_ZONES_SQL}
+    SELECT * EXCLUDE (c_mktsegment), sha256(concat_ws('||', borough, zone_name, service_zone)) AS hashdiff
+    FROM customer_zones"""
 )
 def scd2_hashdiff(spark, folder):
-    return history.zone_feed(st.incoming_zones(spark, folder))
+    return history.zone_feed(st.customer_zones(spark, folder))
 
 
 @registered(
-    f"""WITH {st.INCOMING_SQL}
-    SELECT *, sha256(concat_ws('||', borough, zone_name, service_zone)) AS record_hash,
+    f"""WITH {st.CUSTOMER_ZONES_SQL}
+    SELECT * EXCLUDE (c_mktsegment), {st.ZONE_HASH_SQL} AS record_hash,
            {NOW} AS effective_start_ts, CAST(NULL AS timestamp) AS effective_end_ts, true AS is_current,
            'NYC_TLC' AS source_system
-    FROM incoming"""
+    FROM customer_zones"""
 )
 def scd2_initial(spark, folder):
-    return history.apply_history(st.incoming_zones(spark, folder), None, as_of=AS_OF)
+    return history.apply_history(st.customer_zones(spark, folder), None, as_of=AS_OF)
 
 
 @registered(
     f"""WITH {st.INCOMING_SQL}, {st.EXISTING_SQL},
     hashed AS (
-        SELECT *, sha256(concat_ws('||', borough, zone_name, service_zone)) AS new_hash FROM incoming
+        SELECT *, {st.ZONE_HASH_SQL} AS new_hash FROM incoming
     ),
     changed AS (
         SELECT dim.location_id FROM dim JOIN hashed USING (location_id) WHERE is_current AND record_hash <> new_hash
@@ -603,8 +621,8 @@ def zone_feed_staging(spark, folder):
 @registered(
     f"""WITH {st.RUN_EVENTS_SQL}, ranked AS (
         SELECT *, row_number() OVER (
-            PARTITION BY run_id ORDER BY event_at DESC, status_rank DESC, error_message DESC NULLS LAST) AS rn,
-            min(CASE WHEN status = 'STARTED' THEN event_at END) OVER (PARTITION BY run_id) AS started_at
+            PARTITION BY run_id, job_name ORDER BY event_at DESC, status_rank DESC, error_message DESC NULLS LAST) AS rn,
+            min(CASE WHEN status = 'STARTED' THEN event_at END) OVER (PARTITION BY run_id, job_name) AS started_at
         FROM run_events
     )
     SELECT run_id, job_name, trigger_type, data_owner, status, started_at,
@@ -626,3 +644,146 @@ def run_audit_insert(spark, folder):
     first = events.groupBy("run_id").agg(F.min("event_at").alias("event_at"))
     costly = st.table(spark, folder, "events").filter("event_type = 'error' AND value > 150")
     return runs.absent_rows(costly.select(F.col("user_id").cast("string").alias("run_id")), first, "run_id")
+
+
+# ---------------------------------------------------------------- keys, bases, reports and versions
+
+WIDE = 10_000_000_000
+
+
+@registered(
+    f"""WITH {st.TRIPS_SQL}, wide AS (
+        SELECT l_orderkey * {WIDE} AS PULocationID, l_linenumber FROM trips
+    ), master AS (SELECT DISTINCT o_orderkey * {WIDE} AS LocationID FROM orders WHERE o_orderkey % 5 <> 0)
+    SELECT *, PULocationID AS "PULocationID_int", 'PICKUP_NOT_IN_MASTER' AS orphan_type FROM wide
+    WHERE NOT EXISTS (SELECT 1 FROM master WHERE LocationID = PULocationID)"""
+)
+def orphans_wide_keys(spark, folder):
+    """Keys beyond 32 bits keep their width on both sides."""
+    trips = st.trips(spark, folder).select((F.col("l_orderkey") * F.lit(WIDE)).alias("PULocationID"), "l_linenumber")
+    orders = st.table(spark, folder, "orders").filter("o_orderkey % 5 <> 0")
+    master = orders.select((F.col("o_orderkey") * F.lit(WIDE)).alias("LocationID"))
+    return stewardship.orphans_of(trips, master, "PULocationID", "PICKUP_NOT_IN_MASTER")
+
+
+@registered(
+    f"""WITH {st.RECORDS_SQL}, {GOLDEN_SQL}
+    SELECT * REPLACE ("LocationID" * {WIDE} AS "LocationID") FROM golden"""
+)
+def golden_wide_keys(spark, folder):
+    parts = st.table(spark, folder, "part").select(
+        (F.col("p_partkey") * F.lit(WIDE)).alias("LocationID"), F.col("p_name").alias("Zone"), F.col("p_brand").alias("Borough")
+    )
+    return matching.golden(matching.normalize(parts), AS_OF)
+
+
+@registered(
+    f"""WITH {st.TRIPS_SQL}, {st.ZONES_SQL}, {VALIDATED_SQL}, {CURATED_SQL}
+    SELECT pickup_date, count(*) AS trips, count(pu_zone) AS with_zone FROM curated GROUP BY pickup_date"""
+)
+def curated_by_date(spark, folder):
+    """Written by date, read, enriched, and written by date again without a second shuffle by date."""
+    root = scratch_folder(spark, "curated")
+    writers.overwrite_partitioned(_validated(spark, folder), f"{root}/validated", "pickup_date")
+    validated = readers.read_parquet(spark, f"{root}/validated")
+    enriched = enrich(validated, st.zones(spark, folder), as_of=AS_OF)
+    writers.overwrite_partitioned(enriched, f"{root}/curated", "pickup_date", laid_out=True)
+    curated = readers.read_parquet(spark, f"{root}/curated")
+    return curated.groupBy("pickup_date").agg(F.count(F.lit(1)).alias("trips"), F.count("pu_zone").alias("with_zone"))
+
+
+@registered(
+    f"""WITH {st.TRIPS_SQL}, {VALIDATED_SQL}
+    SELECT 'INPUT' AS base_source, count(*) AS trips FROM trips
+    UNION ALL SELECT 'CURATED', count(*) FROM validated"""
+)
+def gate_base_source(spark, folder):
+    """The base of the quality gate before and after there is a curated table."""
+    root = scratch_folder(spark, "base")
+    tables, log = f"{root}/tables", f"{root}/log"
+    found = None
+    for name, build in (("validated", st.trips), ("curated", _validated)):
+        tablelog.publish(build(spark, folder), tables, log, name, None, RUN_ID, AS_OF)
+        base, source = tablelog.choose_latest(spark, tables, log, "curated", "validated")
+        counted = base.agg(F.lit(source).alias("base_source"), F.count(F.lit(1)).alias("trips"))
+        found = counted if found is None else found.unionByName(counted)
+    return found
+
+
+@registered(
+    f"""WITH {st.TRIPS_SQL}, {st.ZONES_SQL}, {VALIDATED_SQL}, {CURATED_SQL}
+    SELECT pu_borough, do_zone, count(*) AS trips FROM curated GROUP BY pu_borough, do_zone"""
+)
+def enrich_from_csv(spark, folder):
+    """The zone lookup comes as CSV text and meets integer trip keys."""
+    path = scratch_folder(spark, "zones")
+    writers.listing_csv(st.zones(spark, folder), path)
+    lookup, _ = readers.read_optional(spark, path)
+    enriched = enrich(_validated(spark, folder), lookup, as_of=AS_OF)
+    return enriched.groupBy("pu_borough", "do_zone").agg(F.count(F.lit(1)).alias("trips"))
+
+
+@registered(
+    f"""{GATE_SQL}, {SUMMARY_SQL}, {CARD_SQL}
+    SELECT 'csv' AS report, CAST(2 * count(*) AS bigint) AS lines, CAST(2 * sum(failed_rows) AS bigint) AS failed_rows FROM card
+    UNION ALL SELECT 'json', 1, failed_rows FROM summary"""
+)
+def report_roundtrip(spark, folder):
+    """The scorecard appended twice as CSV and the summary as JSON, both read back."""
+    root = scratch_folder(spark, "reports")
+    card = _card(spark, folder)
+    for _ in range(2):
+        writers.report_csv(card, f"{root}/card")
+    writers.report_json(_summary(spark, folder), f"{root}/summary")
+    lines = readers.read_csv(spark, f"{root}/card")
+    report = spark.read.json(f"{root}/summary")
+
+    def total(df, kind):
+        return df.agg(F.lit(kind).alias("report"), F.count(F.lit(1)).alias("lines"), F.sum(F.col("failed_rows").cast("bigint")).alias("failed_rows"))
+
+    return total(lines, "csv").unionByName(total(report, "json"))
+
+
+@registered(
+    f"""WITH {st.TRIPS_SQL}, {VALIDATED_SQL}
+    SELECT l_orderkey, l_linenumber, governance_zone FROM validated"""
+)
+def latest_version(spark, folder):
+    """A table published twice is read in its second version, which has gained columns; the first is untouched."""
+    root = scratch_folder(spark, "versions")
+    tablelog.publish(st.trips(spark, folder), f"{root}/tables", f"{root}/log", "trips", None, RUN_ID, AS_OF)
+    tablelog.publish(_validated(spark, folder), f"{root}/tables", f"{root}/log", "trips", None, RUN_ID, AS_OF)
+    latest = tablelog.read_latest(spark, f"{root}/tables", f"{root}/log", "trips")
+    return latest.select("l_orderkey", "l_linenumber", "governance_zone")
+
+
+@registered(
+    f"""WITH {st.TRIPS_SQL}, {VALIDATED_SQL}
+    SELECT source_system, count(*) AS trips FROM (
+        SELECT NULL AS source_system FROM trips UNION ALL SELECT source_system FROM validated
+    ) GROUP BY source_system"""
+)
+def evolved_table(spark, folder):
+    """Both versions read as one table: the columns of either, NULL where a version lacks one."""
+    root = scratch_folder(spark, "evolved")
+    paths = [
+        tablelog.publish(build(spark, folder), f"{root}/tables", f"{root}/log", "trips", None, RUN_ID, AS_OF)
+        for build in (st.trips, _validated)
+    ]
+    both = readers.read_parquet(spark, *paths, evolve=True)
+    return both.groupBy("source_system").agg(F.count(F.lit(1)).alias("trips"))
+
+
+@registered(
+    f"""{MATCH_SQL}, asked AS (
+        SELECT borough_norm AS block, min(location_id) AS id FROM records GROUP BY borough_norm
+    )
+    SELECT DISTINCT id_a, id_b, zone_a, zone_b, borough, name_similarity, match_confidence FROM scored JOIN asked ON block = borough
+    WHERE decision = 'REJECT' AND (id_a = id OR id_b = id)"""
+)
+def rejects_of_asked(spark, folder):
+    """The rejected pairs of the first record of each block: bounded by the records asked for."""
+    records = st.part_records(spark, folder)
+    asked = records.groupBy("borough_norm").agg(F.min("location_id").alias("location_id")).select("location_id")
+    found = matching.reject_partners(records, asked)
+    return found.select("id_a", "id_b", "zone_a", "zone_b", "borough", "name_similarity", "match_confidence")

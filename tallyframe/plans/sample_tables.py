@@ -123,7 +123,7 @@ def round4_sql(expression: str) -> str:
 
 RECORDS_SQL = f"""
     records AS (
-        SELECT CAST(p_partkey AS int) AS location_id, p_name AS Zone, p_brand AS Borough,
+        SELECT p_partkey AS location_id, p_name AS Zone, p_brand AS Borough,
                {_norm_sql('p_name')} AS zone_norm, {_norm_sql('p_brand')} AS borough_norm
         FROM part
     )"""
@@ -163,37 +163,54 @@ def feed_of_customers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def incoming_zones(spark: SparkSession, folder: str) -> DataFrame:
-    """Today's zones: all customers but one segment; accounts in debt have another service zone."""
-    return (
-        table(spark, folder, "customer")
-        .filter("c_mktsegment <> 'BUILDING'")
-        .select(
-            F.col("c_custkey").cast("int").alias("location_id"),
-            F.col("c_mktsegment").alias("borough"),
-            F.col("c_name").alias("zone_name"),
-            F.when(F.col("c_acctbal") < 0, "Debit").otherwise("Regular").alias("service_zone"),
-        )
+def customer_zones(spark: SparkSession, folder: str) -> DataFrame:
+    """One zone per customer; accounts in debt have another service zone, and one nation lacks its borough."""
+    return table(spark, folder, "customer").select(
+        F.col("c_custkey").cast("int").alias("location_id"),
+        F.when(F.col("c_nationkey") != 3, F.col("c_mktsegment")).alias("borough"),
+        F.when(F.col("c_nationkey") == 3, F.col("c_mktsegment")).otherwise(F.col("c_name")).alias("zone_name"),
+        F.when(F.col("c_acctbal") < 0, "Debit").otherwise("Regular").alias("service_zone"),
+        "c_mktsegment",
     )
 
 
-INCOMING_SQL = """
-    incoming AS (
-        SELECT CAST(c_custkey AS int) AS location_id, c_mktsegment AS borough, c_name AS zone_name,
-               CASE WHEN c_acctbal < 0 THEN 'Debit' ELSE 'Regular' END AS service_zone
-        FROM customer WHERE c_mktsegment <> 'BUILDING'
+def incoming_zones(spark: SparkSession, folder: str) -> DataFrame:
+    """Today's zones: one segment is missing, so that keys of the dimension are absent from the feed."""
+    return customer_zones(spark, folder).filter("c_mktsegment <> 'BUILDING'").drop("c_mktsegment")
+
+
+CUSTOMER_ZONES_SQL = """
+    customer_zones AS (
+        SELECT CAST(c_custkey AS int) AS location_id, CASE WHEN c_nationkey <> 3 THEN c_mktsegment END AS borough,
+               CASE WHEN c_nationkey = 3 THEN c_mktsegment ELSE c_name END AS zone_name,
+               CASE WHEN c_acctbal < 0 THEN 'Debit' ELSE 'Regular' END AS service_zone, c_mktsegment
+        FROM customer
     )"""
 
+INCOMING_SQL = f"""{CUSTOMER_ZONES_SQL},
+    incoming AS (SELECT * EXCLUDE (c_mktsegment) FROM customer_zones WHERE c_mktsegment <> 'BUILDING')"""
+
+
+def exact_hash_sql(*columns: str) -> str:
+    parts = (f"coalesce(CAST(length({c}) AS varchar) || ':' || {c}, '-')" for c in columns)
+    return f"sha256(concat_ws('||', {', '.join(parts)}))"
+
+
+ZONE_HASH_SQL = exact_hash_sql("borough", "zone_name", "service_zone")
+
 
 def existing_dimension(spark: SparkSession, folder: str) -> DataFrame:
-    """Yesterday's dimension: customers up to a balance of 8000, all Regular, plus a closed version of the rich."""
+    """Yesterday's dimension: customers up to a balance of 8000, all Regular, plus a closed version of the rich.
+
+    The nation that lacks its borough today lacked its zone name then: the same texts, shifted by one attribute.
+    """
     known = (
         table(spark, folder, "customer")
         .filter("c_acctbal <= 8000")
         .select(
             F.col("c_custkey").cast("int").alias("location_id"),
             F.col("c_mktsegment").alias("borough"),
-            F.col("c_name").alias("zone_name"),
+            F.when(F.col("c_nationkey") != 3, F.col("c_name")).alias("zone_name"),
             F.lit("Regular").alias("service_zone"),
             "c_acctbal",
         )
@@ -213,25 +230,29 @@ def existing_dimension(spark: SparkSession, folder: str) -> DataFrame:
 
 
 EXISTING_SQL = f"""
+    known AS (
+        SELECT CAST(c_custkey AS int) AS location_id, c_mktsegment AS borough,
+               CASE WHEN c_nationkey <> 3 THEN c_name END AS zone_name, 'Regular' AS service_zone, c_acctbal
+        FROM customer WHERE c_acctbal <= 8000
+    ),
     dim AS (
-        SELECT CAST(c_custkey AS int) AS location_id, c_mktsegment AS borough, c_name AS zone_name,
-               'Regular' AS service_zone, sha256(concat_ws('||', c_mktsegment, c_name, 'Regular')) AS record_hash,
+        SELECT location_id, borough, zone_name, service_zone, {ZONE_HASH_SQL} AS record_hash,
                TIMESTAMP '{EARLIER}' AS effective_start_ts, CAST(NULL AS timestamp) AS effective_end_ts,
                true AS is_current, 'NYC_TLC' AS source_system
-        FROM customer WHERE c_acctbal <= 8000
+        FROM known
         UNION ALL
-        SELECT CAST(c_custkey AS int), c_mktsegment, c_name, 'Old', sha256(concat_ws('||', c_mktsegment, c_name, 'Old')),
+        SELECT location_id, borough, zone_name, 'Old', {exact_hash_sql("borough", "zone_name", "'Old'")},
                TIMESTAMP '2020-01-01 00:00:00', TIMESTAMP '{EARLIER}', false, 'NYC_TLC'
-        FROM customer WHERE c_acctbal > 5000 AND c_acctbal <= 8000
+        FROM known WHERE c_acctbal > 5000
     )"""
 
 
 def run_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Every event as a run event of its user's run."""
+    """Every event as a run event of its user's run, under one of two jobs."""
     kind = F.col("event_type")
     return table(spark, folder, "events").select(
         F.col("user_id").cast("string").alias("run_id"),
-        F.lit("daily").alias("job_name"),
+        F.when(F.col("event_id") % 3 == 0, "load_feed").otherwise("daily").alias("job_name"),
         F.lit("manual").alias("trigger_type"),
         F.lit("analytics-team").alias("data_owner"),
         F.when(kind == "error", "FAILED").when(kind == "purchase", "SUCCEEDED").otherwise("STARTED").alias("status"),
@@ -242,7 +263,8 @@ def run_events(spark: SparkSession, folder: str) -> DataFrame:
 
 RUN_EVENTS_SQL = """
     run_events AS (
-        SELECT CAST(user_id AS varchar) AS run_id, 'daily' AS job_name, 'manual' AS trigger_type,
+        SELECT CAST(user_id AS varchar) AS run_id,
+               CASE WHEN event_id % 3 = 0 THEN 'load_feed' ELSE 'daily' END AS job_name, 'manual' AS trigger_type,
                'analytics-team' AS data_owner,
                CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'purchase' THEN 'SUCCEEDED' ELSE 'STARTED' END AS status,
                CASE event_type WHEN 'error' THEN 2 WHEN 'purchase' THEN 1 ELSE 0 END AS status_rank,

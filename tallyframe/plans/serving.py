@@ -65,6 +65,9 @@ SERVING_SCRIPTS = [
         ) USING PARQUET LOCATION :fact_path
         """,
     ),
+    # A table that is there already moves to the new export.
+    Script("dim_zone_folder", MASTER, "ALTER TABLE IDENTIFIER(:master || '.dim_zone') SET LOCATION :dim_path"),
+    Script("fact_trip_folder", CURATED, "ALTER TABLE IDENTIFIER(:curated || '.fact_trip') SET LOCATION :fact_path"),
     Script(
         "certified_view",
         CURATED,

@@ -17,8 +17,8 @@ def read_csv(spark: SparkSession, path: str, header: bool = True, infer: bool =
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
-def read_feed(spark: SparkSession, path: str, fmt: str, header: bool = True, infer: bool = True) -> DataFrame:
-    """A feed that comes as ``csv`` or ``parquet``."""
+def read_feed(spark: SparkSession, path: str, fmt: str, header: bool = True, infer: bool = False) -> DataFrame:
+    """A feed that comes as ``csv`` (as text, unless types are to be inferred) or ``parquet``."""
     kind = fmt.strip().lower()
     if kind == "csv":
         return read_csv(spark, path, header=header, infer=infer)

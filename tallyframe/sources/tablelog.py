@@ -52,6 +52,13 @@ def read_latest(spark: SparkSession, root: str, log_path: str, table_name: str)
     return read_table(spark, found[0])
 
 
+def choose_latest(spark: SparkSession, root: str, log_path: str, first: str, fallback: str) -> tuple[DataFrame, str]:
+    """The table ``first`` if it has a version, else ``fallback``; and which it was, CURATED or INPUT."""
+    if has_versions(spark, root, log_path, first):
+        return read_latest(spark, root, log_path, first), "CURATED"
+    return read_latest(spark, root, log_path, fallback), "INPUT"
+
+
 def publish(
     df: DataFrame,
     root: str,
@@ -60,15 +67,16 @@ def publish(
     partition: str | None = None,
     run_id: str | None = None,
     as_of=None,
+    laid_out: bool = False,
 ) -> str:
-    """Write ``df`` as the next version of a table and log it; returns the folder."""
+    """Write ``df`` as the next version of a table and log it; returns the folder. For ``laid_out`` see writers."""
     spark = df.sparkSession
     if table_format(spark) == "delta":
         folder = table_folder(root, table_name)
         if partition is None:
             overwrite(df, folder, "delta")
         else:
-            overwrite_partitioned(df, folder, partition, "delta")
+            overwrite_partitioned(df, folder, partition, "delta", laid_out)
         return folder
     last = latest(spark, log_path, table_name)
     version = 0 if last is None else last[1] + 1
@@ -76,7 +84,7 @@ def publish(
     if partition is None:
         overwrite(df, path)
     else:
-        overwrite_partitioned(df, path, partition)
+        overwrite_partitioned(df, path, partition, laid_out=laid_out)
     # Counting a Parquet folder reads footers only.
     written = spark.read.schema(df.schema).parquet(path).agg(F.count(F.lit(1)).alias("num_output_rows"))
     entry = written.select(

@@ -18,13 +18,17 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def overwrite_partitioned(df: DataFrame, path: str, column: str, fmt: str = "parquet") -> None:
+def overwrite_partitioned(df: DataFrame, path: str, column: str, fmt: str = "parquet", laid_out: bool = False) -> None:
     """Replace the table at ``path``, one directory per value of ``column``.
 
+    ``laid_out``: ``df`` comes from a table with that layout and has not been shuffled since. Then a task holds the
+    files of few values already, and a shuffle would only bring together what is together.
+
     The rebalance hint brings each value together, so it is not spread over a file per task, and lets AQE cut
     a value that holds much of the table into several tasks and merge small ones.
     """
-    df.hint("rebalance", column).write.mode("overwrite").format(fmt).partitionBy(column).save(path)
+    dealt = df if laid_out else df.hint("rebalance", column)
+    dealt.write.mode("overwrite").format(fmt).partitionBy(column).save(path)
 
 
 def csv_ready(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe.operators import matching, similarity
+from tallyframe.operators import conform, matching, similarity, stewardship
 from tallyframe.operators.similarity import near_pairs
 from tallyframe.sources.scratch import via_table
 
@@ -69,14 +69,28 @@ def records_of(spark, rows):
     return spark.createDataFrame(rows, "location_id int, zone_norm string, borough_norm string").cache()
 
 
-@pytest.mark.parametrize("high, review, chunk", [(0.95, 0.80, 3), (0.90, 0.55, 500), (1.0, 0.85, 2), (0.6, 0.31, 50)])
-def test_bands_queue_and_ledger_equal_brute_force(spark, monkeypatch, high, review, chunk):
-    monkeypatch.setattr(matching, "IDS_PER_CHUNK", chunk)
+def golden_pairs(rows, high, review):
+    """The pairs of names to review, with the least id of each name and the records and record pairs behind them."""
+    least, records, pairs = {}, Counter(), Counter()
+    for i, name, block in rows:
+        if i is not None and block is not None:
+            records[block, name] += 1
+            least[block, name] = min(i, least.get((block, name), i))
+    for _, _, x, y, block, similarity, confidence, band in brute_pairs(rows, high, review):
+        if band == "STEWARD_REVIEW":
+            pairs[min(x, y), max(x, y), block, similarity, confidence, band] += 1
+    return Counter(
+        (least[p[2], p[0]], least[p[2], p[1]], *p, records[p[2], p[0]], records[p[2], p[1]], n) for p, n in pairs.items()
+    )
+
+
+@pytest.mark.parametrize("high, review", [(0.95, 0.80), (0.90, 0.55), (1.0, 0.85), (0.6, 0.31)])
+def test_bands_queue_and_ledger_equal_brute_force(spark, high, review):
     rows = dirty_rows(seed=int(review * 100))
-    records = records_of(spark, rows)
+    per_copy = matching.copies(records_of(spark, rows)).cache()
     pairs = brute_pairs(rows, high, review)
 
-    accepted = matching.accepted_names(records, high, review).cache()
+    accepted = matching.accepted_names(per_copy, high, review).cache()
     wanted = Counter((min(p[2:4]), max(p[2:4]), *p[4:]) for p in pairs if p[7] != "REJECT")
     found = {
         (r.zone_a, r.zone_b, r.borough, r.name_similarity, r.match_confidence, r.decision): int(r.record_pairs)
@@ -84,13 +98,12 @@ def test_bands_queue_and_ledger_equal_brute_force(spark, monkeypatch, high, revi
     }
     assert found == dict(wanted) and found
 
-    queue = matching.steward_queue(accepted, records).collect()
-    wanted = Counter(p for p in pairs if p[7] == "STEWARD_REVIEW")
-    assert Counter(tuple(r)[:8] for r in queue) == wanted and queue
+    queue = matching.steward_queue(accepted, per_copy).collect()
+    assert Counter(tuple(r)[:11] for r in queue) == golden_pairs(rows, high, review) and queue
     assert [r.match_confidence for r in queue] == sorted((r.match_confidence for r in queue), reverse=True)
     assert {r.review_status for r in queue} == {"PENDING"}
 
-    ledger = {r.borough: r for r in matching.block_ledger(records, accepted).collect()}
+    ledger = {r.borough: r for r in matching.block_ledger(per_copy, accepted).collect()}
     for block in ("B1", "B2"):
         bands = Counter(p[7] for p in pairs if p[4] == block)
         line = ledger[block]
@@ -103,16 +116,31 @@ def test_bands_queue_and_ledger_equal_brute_force(spark, monkeypatch, high, revi
 def test_names_equal_but_not_merged_at_a_high_above_one(spark):
     """Pairs inside one class reach the queue when the band says so."""
     rows = [(i, "SAME NAME", "B") for i in range(7)] + [(3, "SAME NAME", "B")]
-    records = records_of(spark, rows)
-    accepted = matching.accepted_names(records, high=1.5, review=0.8)
-    wanted = Counter(brute_pairs(rows, 1.5, 0.8))
-    for chunk in (2, 500):
-        matching.IDS_PER_CHUNK, before = chunk, matching.IDS_PER_CHUNK
-        try:
-            found = Counter(tuple(r)[:8] for r in matching.steward_queue(accepted, records).collect())
-        finally:
-            matching.IDS_PER_CHUNK = before
-        assert found == wanted
+    per_copy = matching.copies(records_of(spark, rows))
+    queue = matching.steward_queue(matching.accepted_names(per_copy, high=1.5, review=0.8), per_copy)
+    assert Counter(tuple(r)[:11] for r in queue.collect()) == golden_pairs(rows, 1.5, 0.8)
+
+
+def test_copies_of_two_names_cost_one_row(spark):
+    rows = [(i, "NORTH PARK A", "B") for i in range(300)] + [(1000 + i, "NORTH PARK B", "B") for i in range(300)]
+    per_copy = matching.copies(records_of(spark, rows))
+    queue = matching.steward_queue(matching.accepted_names(per_copy, review=0.8), per_copy).collect()
+    assert [(r.id_a, r.id_b, r.records_a, r.records_b, int(r.record_pairs)) for r in queue] == [(0, 1000, 300, 300, 90_000)]
+
+
+def test_keys_beyond_32_bits_stay(spark):
+    wide = [(3_000_000_000 + i, f"PARK {i}", "B") for i in range(3)]
+    zones = spark.createDataFrame(wide, "LocationID bigint, Zone string, Borough string")
+    records = matching.normalize(zones)
+    assert sorted(r.LocationID for r in matching.golden(records).collect()) == [w[0] for w in wide]
+    assert matching.copies(records).count() == 3
+    as_text = matching.normalize(zones.withColumn("LocationID", F.col("LocationID").cast("string")))
+    assert as_text.filter("location_id IS NULL").count() == 0
+    trips = spark.createDataFrame([(3_000_000_000,), (7_000_000_000,), (None,)], "PULocationID bigint")
+    lost = stewardship.orphans_of(trips, zones, "PULocationID", "X").collect()
+    assert {r.PULocationID_int for r in lost} == {7_000_000_000, None}
+    with pytest.raises(Exception, match="does not fit into int"):
+        conform.dim_export(zones.withColumn("service_zone", F.lit("s"))).collect()
 
 
 def test_rejects_of_asked_records(spark):
@@ -131,7 +159,7 @@ def test_rejects_of_asked_records(spark):
 
 def test_review_threshold_must_be_selective(spark):
     with pytest.raises(ValueError, match="review threshold"):
-        matching.accepted_names(records_of(spark, [(1, "A", "B")]), review=0.1)
+        matching.accepted_names(matching.copies(records_of(spark, [(1, "A", "B")])), review=0.1)
 
 
 @pytest.mark.parametrize("floor, tile", [(0.3, None), (0.5, 3), (0.7777, None), (0.7777, 2), (0.8889, None)])
@@ -163,8 +191,9 @@ def test_near_pairs_equal_brute_force(spark, monkeypatch, floor, tile):
 
 def test_no_plan_holds_a_nested_loop_or_cross_product(spark, capsys):
     records = records_of(spark, dirty_rows(seed=1))
-    accepted = matching.accepted_names(records)
-    for df in (accepted, matching.steward_queue(accepted, records), matching.block_ledger(records, accepted)):
+    per_copy = matching.copies(records)
+    accepted = matching.accepted_names(per_copy)
+    for df in (accepted, matching.steward_queue(accepted, per_copy), matching.block_ledger(per_copy, accepted)):
         df.explain()
         plan = capsys.readouterr().out
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
@@ -202,15 +231,10 @@ def test_golden_keeps_one_row_per_key_and_task_before_the_shuffle(spark, capsys)
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_repeat_counts(spark):
-    rows = spark.createDataFrame([("a", 1), ("b", 7), ("c", 23)], "k string, n bigint")
-    found = {r.k: r["count"] for r in matching.repeat(rows, F.col("n"), step=5).groupBy("k").count().collect()}
-    assert found == {"a": 1, "b": 7, "c": 23}
-
-
 def test_audit_of_no_records(spark):
     records = records_of(spark, [])
-    ledger = matching.block_ledger(records, matching.accepted_names(records))
+    per_copy = matching.copies(records)
+    ledger = matching.block_ledger(per_copy, matching.accepted_names(per_copy))
     audit = matching.match_audit(records, ledger, 0.95, 0.8, job_name="j").first()
     assert (audit.total_zone_rows, audit.total_pairs_compared, audit.reject_pairs) == (0, 0, 0)
     assert matching.mdm_scorecard(records, ledger, "r").first().observed_value == 0.0

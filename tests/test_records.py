@@ -20,14 +20,15 @@ def by_key(df):
 
 
 def test_history_over_three_loads(spark):
-    first = spark.createDataFrame([(1, "Q", "a", "s"), (2, "Q", "b", "s"), (3, None, "c", "s"), (None, "Q", "n", "s")], ZONE)
+    first = spark.createDataFrame([(1, "Q", "a", "s"), (2, "Q", "b", "s"), (3, None, "c", "s"), (None, "Q", "n", "s"), (None, "Q", "m", "s")], ZONE)
+    assert history.without_key(first, "location_id").count() == 2
     dim = history.apply_history(first, None, as_of=D1)
     assert {r.is_current for r in dim.collect()} == {True}
 
     second = spark.createDataFrame([(1, "Q", "a", "s"), (2, "Q", "b", "new"), (4, "Q", "d", "s"), (None, "Q", "n", "s")], ZONE)
     dim = history.apply_history(second, dim, as_of=D2)
     rows = by_key(dim)
-    assert [len(rows[k]) for k in (1, 2, 3, 4, None)] == [1, 2, 1, 1, 1]
+    assert {k: len(v) for k, v in rows.items()} == {1: 1, 2: 2, 3: 1, 4: 1}, "a NULL key has no history"
     closed, current = rows[2]
     assert (closed.is_current, closed.effective_end_ts, closed.service_zone) == (False, D2, "s")
     assert (current.is_current, current.effective_start_ts, current.effective_end_ts) == (True, D2, None)
@@ -42,6 +43,13 @@ def test_history_over_three_loads(spark):
     assert sum(r.is_current for r in rows[2]) == 1 and rows[2][2].record_hash == rows[2][0].record_hash
 
 
+def test_a_value_that_moves_to_another_attribute_is_a_change(spark):
+    first = spark.createDataFrame([(1, None, "a", "b"), (2, "", "a", "b")], ZONE)
+    second = spark.createDataFrame([(1, "a", None, "b"), (2, None, "a", "b")], ZONE)
+    dim = history.apply_history(second, history.apply_history(first, None, as_of=D1), as_of=D2)
+    assert {k: [r.is_current for r in v] for k, v in by_key(dim).items()} == {1: [False, True], 2: [False, True]}
+
+
 def test_duplicate_keys_are_refused(spark):
     twice = spark.createDataFrame([(1, "Q", "a", "s"), (1, "Q", "b", "s")], ZONE)
     with pytest.raises(ValueError, match="duplicate"):
@@ -115,6 +123,10 @@ def test_run_audit(spark):
     assert (rows["a"].status, rows["a"].started_at, rows["a"].ended_at) == ("SUCCEEDED", D1, D2)
     assert (rows["b"].status, rows["b"].error_message) == ("FAILED", "boom")
     assert (rows["c"].status, rows["c"].ended_at) == ("STARTED", None)
+    other = runs.run_event(spark, "b", runs.SUCCEEDED, "load_feed", as_of=D2)
+    status = {(r.run_id, r.job_name): r.status for r in runs.run_audit(log.unionByName(other)).collect()}
+    assert (status["b", "daily"], status["b", "load_feed"]) == ("FAILED", "SUCCEEDED")
+    assert runs.absent_rows(log, other, ("run_id", "job_name")).count() == 1
     assert runs.absent_rows(log, events[0], "run_id").count() == 0
     assert runs.absent_rows(log, runs.run_event(spark, "d", runs.STARTED), "run_id").count() == 1
     assert runs.new_run_id(spark) != runs.new_run_id(spark)

@@ -184,6 +184,52 @@ def test_daily_run_end_to_end_twice(spark, tmp_path, raw):
     assert {r.run_id for r in log.collect()} == {"r1", "r2"}
 
 
+def test_a_failing_export_leaves_the_view_readable(spark, tmp_path, raw, monkeypatch):
+    lake = daily.Lake(str(tmp_path / "lake"))
+    run = daily.Run("e1", datetime(2024, 6, 1), master_db="kept_master", curated_db="kept_curated")
+    daily.daily(spark, *raw, lake, run)
+    before = sorted(map(str, serving.certified_view(spark, "kept_curated").collect()))
+    write = writers.overwrite
+
+    def dies(df, path, *more):
+        if "export/fact_trip" in path:
+            raise OSError("disk gone")
+        write(df, path, *more)
+
+    monkeypatch.setattr(writers, "overwrite", dies)
+    with pytest.raises(OSError):
+        daily.daily(spark, *raw, lake, daily.Run("e2", datetime(2024, 6, 2), master_db="kept_master", curated_db="kept_curated"))
+    assert sorted(map(str, serving.certified_view(spark, "kept_curated").collect())) == before
+
+
+def test_zones_without_a_readable_key_do_not_stop_the_day(spark, tmp_path, raw):
+    lake = daily.Lake(str(tmp_path / "lake"))
+    zones = tmp_path / "odd_zones.csv"
+    zones.write_text((tmp_path / "zones.csv").read_text() + "x,Queens,No Key,Boro\ny,Bronx,Nor This,Boro\n")
+    daily.daily(spark, raw[0], str(zones), lake, daily.Run("k1", master_db="odd_master", curated_db="odd_curated"))
+    assert spark.read.parquet(lake.folder("zones_without_key")).count() == 2
+    assert spark.table("odd_master.dim_zone").filter("location_id is null").count() == 0
+
+
+def test_a_second_layout_by_date_needs_no_shuffle(spark, tmp_path, capsys):
+    rows = spark.range(100).withColumn("d", (F.col("id") % 5).cast("string"))
+    writers.overwrite_partitioned(rows, str(tmp_path / "a"), "d")
+    again = spark.read.parquet(str(tmp_path / "a")).withColumn("x", F.lit(1))
+    again.explain()
+    assert "Exchange" not in capsys.readouterr().out
+    writers.overwrite_partitioned(again, str(tmp_path / "b"), "d", laid_out=True)
+    files = list((tmp_path / "b").glob("d=*/part-*"))
+    assert len(files) <= 5 * len(list((tmp_path / "a").glob("d=*/part-*")))
+    assert spark.read.parquet(str(tmp_path / "b")).count() == 100
+
+
+def test_feed_text_is_not_changed_by_guessed_types(spark, tmp_path):
+    feed = tmp_path / "feed.csv"
+    feed.write_text("LocationID,Borough,Zone,service_zone\n7,007,1.50,2024-01-01\n")
+    row = daily.stage_feed(spark, str(feed), "csv", True, "r").first()
+    assert (row.location_id, row.borough, row.zone_name, row.service_zone) == (7, "007", "1.50", "2024-01-01")
+
+
 def test_daily_run_records_a_failure(spark, tmp_path, raw):
     lake = daily.Lake(str(tmp_path / "lake"))
     with pytest.raises(Exception):
