@@ -31,8 +31,7 @@ def components(edges: DataFrame) -> DataFrame:
         if sums == before:
             break
         before = sums
-        larger = _stars(current, large=True).distinct()
-        current = via_table(_stars(larger, large=False).distinct(), "components")
+        current = via_table(_stars(_stars(current, large=True), large=False).distinct(), "components")
     return current.select(F.col("a").alias("id"), F.col("b").alias("label")).unionByName(
         current.select(F.col("b").alias("id"), F.col("b").alias("label")).distinct()
     )

@@ -4,10 +4,11 @@ Table keys pair a band of one small collection of minhashes with a band of anoth
 bands. With m = 9 and bands of 3, a pair at similarity 0.8 shares no key once in 320 times, at 0.85 once in 2,600; a
 component is lost only where all its links are.
 
-A bucket never expands into all its pairs. First its members are compared with one of them, then, where the bucket
-still holds several components, with another. Only what remains in different components is paired, each pair in the
-first table that it shares and if no exact bound on the intersection rules it out. Equal sets are one class from the
-start, so copies cost nothing.
+A bucket never expands into all its pairs. First its members are compared with two of them. Only what remains in
+different components is paired, each pair in the first table that it shares, and only if an exact bound does not rule
+it out: sets of n and m shingles are similar enough if at most a ninth of n + m stand in one of them alone, and every
+bit in which their odd sketches differ proves one such shingle. Equal sets are one class from the start, so copies
+cost nothing.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from tallyframe.llm.components import components
 from tallyframe.llm.shingles import Bands, Shingler, same_set_key
 
 COLLECTION, ROWS = 9, 3
-#: Parts of the hash space whose counts bound an intersection from above.
-PARTS = 256
+#: Bits of an odd sketch: whether a part of the hash space holds an odd number of shingles.
+SKETCH_BITS = 1024
+SKETCH_WORDS = SKETCH_BITS // 64
 #: Ids up to this many (16 bytes each) are broadcast; more are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 
@@ -48,7 +50,7 @@ def signatures(docs: DataFrame, shingle: int, collection: int, rows: int) -> Dat
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """``id, n, hashes, parts`` of the classes in ``wanted`` (id, high, low), from the text of the document ``id``."""
+    """``id, n, hashes, odd`` of the classes in ``wanted`` (id, high, low), from the text of the document ``id``."""
     ids = wanted.select("id").distinct()
     few = ids.count() <= MOST_BROADCAST
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(ids) if few else ids, "id", "left_semi")
@@ -59,14 +61,15 @@ def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
             out = []
             for text in frame["text"]:
                 found = shingler.set_of(text)
-                parts = np.bincount(found >> np.uint64(56), minlength=PARTS).astype(np.int32)
-                out.append((len(found), *same_set_key(found), found.view(np.int64), parts))
-            named = pd.DataFrame(out, columns=["n", "high", "low", "hashes", "parts"])
+                counts = np.bincount(found >> np.uint64(54), minlength=SKETCH_BITS)
+                odd = np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+                out.append((len(found), *same_set_key(found), found.view(np.int64), odd))
+            named = pd.DataFrame(out, columns=["n", "high", "low", "hashes", "odd"])
             yield pd.concat([frame[["id"]].reset_index(drop=True), named], axis=1)
 
-    built = texts.mapInPandas(build, "id long, n long, high long, low long, hashes array<long>, parts array<int>")
+    built = texts.mapInPandas(build, "id long, n long, high long, low long, hashes array<long>, odd array<long>")
     # An id may stand on several rows with different texts: the class is that of the wanted set.
-    return built.join(wanted, ["id", "high", "low"], "left_semi").dropDuplicates(["id", "high", "low"]).select("id", "n", "hashes", "parts")
+    return built.join(wanted, ["id", "high", "low"], "left_semi").dropDuplicates(["id", "high", "low"]).select("id", "n", "hashes", "odd")
 
 
 def _similar(shared: Column, n_a: Column, n_b: Column, percent: int) -> Column:
@@ -109,25 +112,32 @@ def _merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
 
 def _last_pairs(mixed: DataFrame, classes: DataFrame, sets: DataFrame, collection: int, percent: int) -> DataFrame:
     """Pairs from different components of one bucket, each once, unless sizes or the counts by part rule them out."""
-    sketch = sets.select("id", "parts").join(classes.select("id", "n", "bands"), "id")
-    rows = mixed.join(sketch, "id").select("key", "i", "j", "id", "label", "n", "bands", "parts")
-    left = rows.select("key", "i", "j", *(F.col(c).alias(f"{c}_a") for c in ("id", "label", "n", "bands", "parts")))
-    right = rows.select("key", *(F.col(c).alias(f"{c}_b") for c in ("id", "label", "n", "bands", "parts")))
-
-    def first_equal(begin: int) -> Column:
-        same = F.zip_with(F.slice("bands_a", begin + 1, collection), F.slice("bands_b", begin + 1, collection), lambda x, y: x == y)
-        return F.array_position(same, F.lit(True)) - 1
-
-    most = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.least(x, y)), F.lit(0), lambda done, x: done + x).cast("long")
+    sketch = sets.select("id", "odd").join(classes.select("id", "n", "bands"), "id")
+    rows = mixed.join(sketch, "id").select("key", "i", "j", "id", "label", "n", "bands", "odd")
+    left = rows.select("key", "i", "j", *(F.col(c).alias(f"{c}_a") for c in ("id", "label", "n", "bands", "odd")))
+    right = rows.select("key", *(F.col(c).alias(f"{c}_b") for c in ("id", "label", "n", "bands", "odd")))
+
+    def none_before(place: str, begin: int) -> Column:
+        """No band of the collection before ``place`` is equal. Plain comparisons, so that Spark compiles them."""
+        earlier = F.lit(True)
+        for k in range(collection - 1):
+            earlier = earlier & ((F.lit(k) >= F.col(place)) | (F.get("bands_a", F.lit(begin + k)) != F.get("bands_b", F.lit(begin + k))))
+        return earlier
+
+    apart = F.bit_count(F.get("odd_a", F.lit(0)).bitwiseXOR(F.get("odd_b", F.lit(0))))
+    for k in range(1, SKETCH_WORDS):
+        apart = apart + F.bit_count(F.get("odd_a", F.lit(k)).bitwiseXOR(F.get("odd_b", F.lit(k))))
+    sizes = F.col("n_a") + F.col("n_b")
     return left.join(
         right,
         (left["key"] == right["key"])
         & (F.col("id_a") < F.col("id_b"))
         & (F.col("label_a") != F.col("label_b"))
         & _fits(F.col("n_a"), F.col("n_b"), percent)
-        & (first_equal(0) == F.col("i"))
-        & (first_equal(collection) == F.col("j"))
-        & _similar(most, F.col("n_a"), F.col("n_b"), percent),
+        # 100 (sizes - apart) / 2 >= percent (sizes + apart) / 2, for the shingles that stand in one set alone
+        & ((100 + percent) * apart <= (100 - percent) * sizes)
+        & none_before("i", 0)
+        & none_before("j", collection),
     ).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 
 
@@ -158,23 +168,25 @@ def near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80, collection
         )
     )
     keys = classes.select("id", "n", F.explode(tables).alias("t")).select("id", "n", "t.i", "t.j", "t.key")
-    least = keys.groupBy("key").agg(F.min(F.struct("id", "n")).alias("least"), F.max("id").alias("most")).filter("least.id <> most")
-    buckets = via_table(keys.join(least, "key").select("key", "i", "j", "id", "n", F.col("least.id").alias("first"), F.col("least.n").alias("n_first")), "nearcopies-buckets")
+    # Two members stand for a bucket: that with the least id, and one by hash.
+    member = F.struct("id", "n")
+    heads = keys.groupBy("key").agg(
+        F.min(member).alias("first"), F.max(F.struct(F.xxhash64("key", "id").alias("h"), member.alias("m"))).alias("second"), F.max("id").alias("most")
+    ).filter("first.id <> most")
+    buckets = via_table(keys.join(heads, "key").select("key", "i", "j", "id", "n", "first", F.col("second.m").alias("second")), "nearcopies-buckets")
     wanted = classes.select("id", "high", "low").join(buckets.select("id").distinct(), "id", "left_semi")
     sets = via_table(full_sets(docs, via_table(wanted, "nearcopies-wanted"), shingle), "nearcopies-sets")
 
-    pairs = buckets.filter((F.col("id") != F.col("first")) & _fits(F.col("n"), F.col("n_first"), percent))
-    labels = _merged(None, confirmed(pairs.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), sets, percent))
-
-    mixed = via_table(_relabelled(buckets.select("key", "i", "j", "id", "n"), labels), "nearcopies-mixed")
-    second = mixed.groupBy("key").agg(F.max_by(F.struct("id", "label", "n"), F.xxhash64("key", "id")).alias("s"))
-    pairs = mixed.join(second, "key").filter((F.col("label") != F.col("s.label")) & _fits(F.col("n"), F.col("s.n"), percent))
-    pairs = pairs.select(F.least("id", "s.id").alias("a"), F.greatest("id", "s.id").alias("b")).distinct()
-    labels = _merged(labels, confirmed(pairs, sets, percent))
+    pairs = buckets.select("id", "n", F.explode(F.array("first", "second")).alias("head"))
+    pairs = pairs.filter((F.col("id") != F.col("head.id")) & _fits(F.col("n"), F.col("head.n"), percent))
+    pairs = pairs.select(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b")).distinct()
+    labels = _merged(None, confirmed(pairs, sets, percent))
 
-    mixed = via_table(_relabelled(mixed.select("key", "i", "j", "id"), labels), "nearcopies-mixed")
+    mixed = via_table(_relabelled(buckets.select("key", "i", "j", "id"), labels), "nearcopies-mixed")
     pairs = via_table(_last_pairs(mixed, classes, sets, collection, percent), "nearcopies-last")
-    labels = _merged(labels, confirmed(pairs, sets, percent))
+    edges = via_table(confirmed(pairs, sets, percent), "nearcopies-edges")
+    if not edges.isEmpty():
+        labels = _merged(labels, edges)
 
     found = classes.join(labels, "id", "left").select("high", "low", F.coalesce("label", "id").alias("label"))
     known = named.join(found, ["high", "low"]).select("doc_id", F.col("n").alias("n_shingles"), F.col("label").alias("component_id"))
