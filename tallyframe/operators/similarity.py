@@ -83,22 +83,28 @@ def _probes(names: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def hot_segments(names: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Segments of more than ``NAMES_PER_TILE`` names, with the number of parts to cut each into.
+    """Segments with more candidates than a tile holds, and the number of parts to cut each side into.
 
-    To be written to a table and read back, so that Spark knows its size when it plans ``near_pairs``.
+    Candidates are the shorter names that have a segment times the places in longer names where it may be, so a
+    segment of few shorter names and very many longer ones is cut as well. To be written to a table and read back, so
+    that Spark knows its size when it plans ``near_pairs``.
     """
-    counted = _segments(names, keys).groupBy(*keys, *SIGNATURE).agg(F.count(F.lit(1)).alias("names"))
-    parts = F.ceil(F.col("names") / NAMES_PER_TILE).cast("int")
-    return counted.filter(F.col("names") > NAMES_PER_TILE).select(*keys, *SIGNATURE, parts.alias("parts"))
+    on = [*keys, *SIGNATURE]
+    shorter = _segments(names, keys).groupBy(*on).agg(F.count(F.lit(1)).alias("names"))
+    longer = _probes(names, keys).groupBy(*on).agg(F.count(F.lit(1)).alias("places"))
+    # Both sides are counted already, so neither is larger than the join that follows; a broadcast is not assumed.
+    both = shorter.hint("merge").join(longer, on)
+    parts = [F.ceil(F.col(c) / NAMES_PER_TILE).cast("int").alias(p) for c, p in (("names", "parts_x"), ("places", "parts_y"))]
+    return both.filter(F.col("names") * F.col("places") > NAMES_PER_TILE**2).select(*on, *parts)
 
 
 def _tiled(rows: DataFrame, hot: DataFrame, on: Sequence[str], own: str, other: str, text: str) -> DataFrame:
     """Give every row its own part of a hot segment, and one copy for each part of the other side."""
-    known = rows.join(hot, on, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    known = rows.join(hot, on, "left").fillna(1, ["parts_x", "parts_y"])
     return (
-        known.withColumn(own, F.pmod(F.xxhash64(text), "parts").cast("int"))
-        .withColumn(other, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .drop("parts")
+        known.withColumn(f"part_{own}", F.pmod(F.xxhash64(text), f"parts_{own}").cast("int"))
+        .withColumn(f"part_{other}", F.explode(F.sequence(F.lit(0), F.col(f"parts_{other}") - 1)))
+        .drop("parts_x", "parts_y")
     )
 
 
@@ -120,8 +126,8 @@ def near_pairs(names: DataFrame, keys: Sequence[str], hot: DataFrame | None = No
 
     shorter, longer = sided(_segments(names, keys), "x"), sided(_probes(names, keys), "y")
     if hot is not None:
-        shorter = _tiled(shorter, hot, on, "part_x", "part_y", "text_x")
-        longer = _tiled(longer, hot, on, "part_y", "part_x", "text_y")
+        shorter = _tiled(shorter, hot, on, "x", "y", "text_x")
+        longer = _tiled(longer, hot, on, "y", "x", "text_y")
         on = [*on, "part_x", "part_y"]
 
     # Cheap tests first. Whatever is left and right of the segment has to fit its share of the budget.

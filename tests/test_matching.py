@@ -189,6 +189,19 @@ def test_near_pairs_equal_brute_force(spark, monkeypatch, floor, tile):
     assert set(pairs.values()) == {1}
 
 
+def test_a_segment_of_few_short_and_many_long_names_is_cut(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "NAMES_PER_TILE", 20)
+    # The short names fit one tile; with 300 longer ones they make more candidates than a tile holds.
+    rows = [("k", f"STREET {i:02d}") for i in range(12)] + [("k", f"STREET {i:03d}") for i in range(300)]
+    names = spark.createDataFrame(rows, "k string, text string").withColumns(
+        {"size": F.length("text"), "floor": F.lit(0.75), "unlike": F.lit(None).cast("string")}
+    )
+    hot = via_table(similarity.hot_segments(names, ["k"]), "hot")
+    assert hot.filter("parts_x = 1 AND parts_y > 1").count() > 0
+    found = {tuple(sorted((r.text_x, r.text_y))) for r in near_pairs(names, ["k"], hot).collect()}
+    assert found == {tuple(sorted((r.text_x, r.text_y))) for r in near_pairs(names, ["k"]).collect()} and found
+
+
 def test_no_plan_holds_a_nested_loop_or_cross_product(spark, capsys):
     records = records_of(spark, dirty_rows(seed=1))
     per_copy = matching.copies(records)
