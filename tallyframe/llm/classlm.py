@@ -69,11 +69,11 @@ def symbol_pairs(train: DataFrame, clustered: list[str]) -> DataFrame:
         for frame in chunks(frames, "text"):
             line = [end]
             for text in frame["text"]:
-                for word in tokens(text):
-                    symbol = number.get(word)
-                    if symbol is None:
-                        symbol = number[word] = after + shape(word)
-                    line.append(symbol)
+                found = tokens(text)
+                for word in dict.fromkeys(found):
+                    if word not in number:
+                        number[word] = after + shape(word)
+                line.extend(map(number.__getitem__, found))
             if len(number) > 1_000_000:  # a cache only
                 number = dict(shared.value)
             at = np.array(line, dtype=np.int64)

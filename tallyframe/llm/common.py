@@ -10,25 +10,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyframe.sources.scratch import scratch_folder, via_table
 
-__all__ = ["WORD", "WORD_PATTERN", "ascii_lower", "chunks", "lower_ascii", "scratch_folder", "table", "training_fold", "via_table", "words"]
+__all__ = ["WORD", "WORD_PATTERN", "ascii_lower", "chunks", "scratch_folder", "table", "training_fold", "via_table", "words"]
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 WORD = re.compile(WORD_PATTERN)
 words = WORD.findall
 
-_A_TO_Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_LOWER = str.maketrans(_A_TO_Z, _A_TO_Z.lower())
-
-
 def ascii_lower(text: str) -> str:
-    """A-Z in lower case, all else as it is."""
-    return text.lower() if text.isascii() else text.translate(_LOWER)
-
-
-def lower_ascii(column: Column) -> Column:
-    """``ascii_lower`` as an expression."""
-    return F.translate(column, _A_TO_Z, _A_TO_Z.lower())
+    """A-Z in lower case, all else as it is. Lower case of bytes changes those letters only."""
+    if text.isascii():
+        return text.lower()
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

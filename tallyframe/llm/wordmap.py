@@ -8,7 +8,7 @@ blocks is a hot key whose other side is a single row, which Spark splits.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,16 +18,28 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyframe.llm.common import chunks
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 24_000_000
 
-Tokens = Callable[[str], Iterable[str]]
+Tokens = Callable[[str], list[str]]
+
+
+def distinct_words(texts: pd.Series, tokens_of: Tokens) -> list[str]:
+    """The distinct words of a block in order of first use."""
+    seen: dict[str, None] = {}
+    for text in texts:
+        seen.update(dict.fromkeys(tokens_of(text or "")))
+    return list(seen)
 
 
 def indexed(texts: pd.Series, tokens_of: Tokens) -> tuple[list[str], list[np.ndarray]]:
-    """The distinct words of a block in order of first use, and for each text the numbers of its words."""
+    """The words that ``distinct_words`` gives, and for each text the numbers of its words."""
     number: dict[str, int] = {}
-    give = number.setdefault
-    rows = [np.array([give(w, len(number)) for w in tokens_of(text or "")], dtype=np.int32) for text in texts]
+    rows = []
+    for text in texts:
+        line = tokens_of(text or "")
+        for word in dict.fromkeys(line):
+            number.setdefault(word, len(number))
+        rows.append(np.fromiter(map(number.__getitem__, line), dtype=np.int32, count=len(line)))
     return list(number), rows
 
 
@@ -70,7 +82,7 @@ def per_block(
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in chunks(frames, "text", BLOCK_CHARS):
             if len(frame):
-                yield pd.DataFrame({"block": [_block_number(frame)], "words": [indexed(frame["text"], tokens_of)[0]]})
+                yield pd.DataFrame({"block": [_block_number(frame)], "words": [distinct_words(frame["text"], tokens_of)]})
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in chunks(frames, "text", BLOCK_CHARS):
