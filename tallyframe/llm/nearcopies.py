@@ -111,7 +111,7 @@ def _merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
 
 
 def _last_pairs(mixed: DataFrame, classes: DataFrame, sets: DataFrame, collection: int, percent: int) -> DataFrame:
-    """Pairs from different components of one bucket, each once, unless sizes or the counts by part rule them out."""
+    """Pairs from different components of one bucket, each once, unless sizes or sketches rule them out."""
     sketch = sets.select("id", "odd").join(classes.select("id", "n", "bands"), "id")
     rows = mixed.join(sketch, "id").select("key", "i", "j", "id", "label", "n", "bands", "odd")
     left = rows.select("key", "i", "j", *(F.col(c).alias(f"{c}_a") for c in ("id", "label", "n", "bands", "odd")))
@@ -168,18 +168,17 @@ def near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80, collection
         )
     )
     keys = classes.select("id", "n", F.explode(tables).alias("t")).select("id", "n", "t.i", "t.j", "t.key")
-    # Two members stand for a bucket: that with the least id, and one by hash.
-    member = F.struct("id", "n")
-    heads = keys.groupBy("key").agg(
-        F.min(member).alias("first"), F.max(F.struct(F.xxhash64("key", "id").alias("h"), member.alias("m"))).alias("second"), F.max("id").alias("most")
-    ).filter("first.id <> most")
-    buckets = via_table(keys.join(heads, "key").select("key", "i", "j", "id", "n", "first", F.col("second.m").alias("second")), "nearcopies-buckets")
+    # Two members stand for a bucket: that with the least id, and that with the least hash. Aggregates of plain
+    # numbers need no sort, which aggregates of structs would.
+    place = F.xxhash64("key", "id")
+    heads = keys.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("most"), F.min(place).alias("least")).filter("first <> most").drop("most")
+    buckets = via_table(keys.join(heads, "key"), "nearcopies-buckets")
     wanted = classes.select("id", "high", "low").join(buckets.select("id").distinct(), "id", "left_semi")
     sets = via_table(full_sets(docs, via_table(wanted, "nearcopies-wanted"), shingle), "nearcopies-sets")
 
-    pairs = buckets.select("id", "n", F.explode(F.array("first", "second")).alias("head"))
-    pairs = pairs.filter((F.col("id") != F.col("head.id")) & _fits(F.col("n"), F.col("head.n"), percent))
-    pairs = pairs.select(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b")).distinct()
+    named_heads = buckets.filter((F.col("id") == F.col("first")) | (place == F.col("least"))).select("key", F.col("id").alias("head"), F.col("n").alias("n_head"))
+    pairs = buckets.join(named_heads, "key").filter((F.col("id") != F.col("head")) & _fits(F.col("n"), F.col("n_head"), percent))
+    pairs = pairs.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
     labels = _merged(None, confirmed(pairs, sets, percent))
 
     mixed = via_table(_relabelled(buckets.select("key", "i", "j", "id"), labels), "nearcopies-mixed")
