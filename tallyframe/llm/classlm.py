@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallyframe.llm.common import ascii_lower, chunks, training_fold, via_table, words
@@ -181,7 +182,7 @@ def scores(docs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
     """``doc_id, n_tokens, n_known, base_score, score`` of every row: log10 probabilities of its whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def score(rows: pd.DataFrame, distinct: list[str], numbers: list[np.ndarray], answers: pd.DataFrame) -> pd.DataFrame:
+    def score(rows: pd.DataFrame, distinct: list[str], numbers: list[np.ndarray], answers: pa.Table) -> pa.Table:
         model = shared.value
         count = np.zeros(len(distinct))
         count[answers["i"].to_numpy()] = answers["count"].to_numpy()
@@ -196,8 +197,10 @@ def scores(docs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
             c = cls[at]
             moves = model.transitions[np.concatenate([[end], c[:-1]]), c]
             out.append((len(at), int((count[at] > 0).sum()), base[at].sum(), emit[at].sum() + moves.sum()))
-        found = pd.DataFrame(out, columns=["n_tokens", "n_known", "base_score", "score"])
-        return pd.concat([rows[["doc_id"]].reset_index(drop=True), found], axis=1)
+        columns = [pa.array(rows["doc_id"], pa.string())]
+        for values, kind in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64(), pa.float64())):
+            columns.append(pa.array(values, kind))
+        return pa.table(columns, names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     # Ids travel as text: pandas would turn a column of numbers with NULLs into floats.
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))

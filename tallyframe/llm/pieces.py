@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyframe.llm.common import chunks, via_table
@@ -232,17 +233,26 @@ def encoded(docs: DataFrame, pieces: Pieces) -> DataFrame:
     dictionary = via_table(merge_encoded(lattice(distinct_units(rows), pieces), pieces), "pieces-units")
     shared = docs.sparkSession.sparkContext.broadcast(pieces.as_bytes())
 
-    def finish(rows: pd.DataFrame, words: list[str], numbers: list[np.ndarray], answers: pd.DataFrame) -> pd.DataFrame:
-        if len(answers) != len(words):
-            raise RuntimeError(f"{len(words) - len(answers)} units of a block have no pieces: the scan gave other blocks")
-        by_word: list = [None] * len(words)
-        for i, ids in zip(answers["i"], answers["ids"]):
-            by_word[i] = ids
-        none = np.empty(0, dtype=np.int32)
-        whole = [np.concatenate([by_word[w] for w in at]) if len(at) else none for at in numbers]
-        table = shared.value
-        exact = [decode(ids.tolist(), table) == text.replace(SPACE, " ") for ids, text in zip(whole, rows["text"])]
-        return pd.DataFrame({"doc_id": rows["doc_id"], "pieces": whole, "n_pieces": [len(ids) for ids in whole], "exact": exact})
+    def finish(rows: pd.DataFrame, words: list[str], numbers: list[np.ndarray], answers: pa.Table) -> pa.Table:
+        lists = pa.chunked_array(answers["ids"].chunks, pa.list_(pa.int32())).combine_chunks()
+        at, offsets, flat = answers["i"].to_numpy(), lists.offsets.to_numpy(), lists.values.to_numpy()
+        begin, size = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        begin[at], size[at] = offsets[:-1], np.diff(offsets)
+        if not size.all():
+            raise RuntimeError(f"{(size == 0).sum()} units of a block have no pieces: the scan gave other blocks")
+        table, taken, ends, exact = shared.value, [np.empty(0, dtype=np.int32)], [0], []
+        for line, text in zip(numbers, rows["text"]):
+            # The ids of a text: the runs of its units in the flat list, one after the other.
+            lengths = size[line]
+            last = np.cumsum(lengths)
+            total = int(last[-1]) if len(last) else 0
+            ids = flat[np.repeat(begin[line] - last + lengths, lengths) + np.arange(total)]
+            taken.append(ids)
+            ends.append(ends[-1] + total)
+            exact.append(decode(ids.tolist(), table) == text.replace(SPACE, " "))
+        whole = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(taken), pa.int32()))
+        columns = [pa.array(rows["doc_id"], pa.string()), whole, pa.array(np.diff(ends), pa.int64()), pa.array(exact, pa.bool_())]
+        return pa.table(columns, names=["doc_id", "pieces", "n_pieces", "exact"])
 
     found = per_block(rows, units, dictionary, finish, "doc_id string, pieces array<int>, n_pieces long, exact boolean")
     return found.withColumn("doc_id", F.col("doc_id").cast(key))

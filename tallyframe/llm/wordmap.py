@@ -15,10 +15,12 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tallyframe.llm.common import chunks
 
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 8_000_000
 
 Tokens = Callable[[str], list[str]]
 
@@ -66,18 +68,18 @@ def per_block(
     docs: DataFrame,
     tokens_of: Tokens,
     values: DataFrame,
-    finish: Callable[[pd.DataFrame, list[str], list[np.ndarray], pd.DataFrame], pd.DataFrame],
+    finish: Callable[[pd.DataFrame, list[str], list[np.ndarray], pa.Table], pa.Table],
     schema: str,
 ) -> DataFrame:
     """``finish(rows, words, numbers, answers)`` for every block: its rows of ``docs`` (a key column and ``text``), its
     distinct words, the word numbers of each text, and ``i`` (word number) with the columns of ``values`` for the words
-    that ``values`` (``word`` and others, one row per word) has.
+    that ``values`` (``word`` and others, one row per word) has. Answers stay Arrow columns, without an object per word;
+    where two blocks are equal they come twice.
 
     ``docs`` must be a scan of files or a projection of one, so that both passes cut the same blocks.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow = to_arrow_schema(docs.schema)
+    result = to_arrow_schema(StructType.fromDDL(schema))
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in chunks(frames, "text", BLOCK_CHARS):
@@ -93,12 +95,12 @@ def per_block(
     answers = asked.join(values, "word").drop("word")
     blocks = docs.mapInPandas(pack, "block long, rows binary")
 
-    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         done = []
         for blob in left["rows"]:  # more than one only where blocks are equal
-            frame = _unpacked(blob)
+            frame = _unpacked(blob.as_py())
             words, numbers = indexed(frame["text"], tokens_of)
-            done.append(finish(frame, words, numbers, right.drop(columns="block").drop_duplicates("i")))
-        return pd.concat(done) if done else pd.DataFrame()
+            done.append(finish(frame, words, numbers, right))
+        return pa.concat_tables(done) if done else result.empty_table()
 
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(meet, schema)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, schema)
