@@ -333,6 +333,17 @@ def test_class_bigrams_beat_single_words_on_held_out_texts(spark, odd, nothing):
     assert classlm.held_out_scores(nothing).count() == 0
 
 
+def test_class_bigrams_cluster_all_repeated_words(spark, tmp_path):
+    """1,200 words of one kind and 1,200 of another take turns: a word's kind, known for all of them, is worth log10(2)."""
+    draw = random.Random(5)
+    kinds = [[f"w{i}x" for i in range(k, 2400, 2)] for k in (0, 1)]
+    line = lambda: " ".join(draw.choice(kinds[i % 2]) for i in range(400))
+    docs_of(spark, [(i, line(), "en", "a") for i in range(400)]).write.parquet(str(tmp_path / "turns"))
+    found = classlm.held_out_scores(spark.read.parquet(str(tmp_path / "turns"))).filter("held_out")
+    sums = found.agg(F.sum("score").alias("score"), F.sum("base_score").alias("base"), F.sum("n_tokens").alias("n")).first()
+    assert (sums["score"] - sums["base"]) / sums["n"] > 0.25
+
+
 # ---------------------------------------------------------------- pieces
 
 
