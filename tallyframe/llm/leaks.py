@@ -23,7 +23,9 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # A run of fewer than 24 is dropped, so only longer runs need to match; a maximal run is the same match either way.
 HEX = re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: Runs of letters alone below this length must be encoded worse, since more ordinary ones are encoded badly by chance.
+SHORT, SHORT_SHARE = 20, 0.9
 
 #: Order of the kinds among spans with one start.
 KINDS = ("assign", "access", "hex", "random")
@@ -64,11 +66,12 @@ class RandomRuns:
         self.known = frozenset(known)
 
     def is_random(self, run: str) -> bool:
-        if run in self.known or not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
+        if run in self.known or not any(c.isalpha() for c in run) or is_known_form(run):
             return False
-        if is_known_form(run):
-            return False
-        return len(run) < self.chars_per_token * len(self.encoding.encode_ordinary(run))
+        least = self.chars_per_token
+        if len(run) < SHORT and not any(c.isdigit() for c in run):
+            least *= SHORT_SHARE
+        return len(run) < least * len(self.encoding.encode_ordinary(run))
 
     def spans(self, text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         """Random runs that no base span overlaps."""

@@ -213,6 +213,18 @@ def test_random_runs_are_found_and_known_forms_are_not(spark):
     assert "random" not in spans[14]
 
 
+def test_random_runs_without_digits_and_short_ones_are_found():
+    runs = leaks.RandomRuns(leaks.read_ranks(BYTE_BPE), leaks.PRE_SPLIT, 2.0, ())
+    draw = random.Random(4)
+    letters, mixed = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    for alphabet, sizes, share in ((letters, (20, 32, 64), 0.995), (letters, (16, 17, 18, 19), 0.95), (mixed, (16, 18, 20, 32), 0.995)):
+        for size in sizes:
+            texts = ["".join(draw.choices(alphabet, k=size)) for _ in range(300)]
+            assert sum(runs.spans(f"key {t} end", []) == [(4, 3, 4 + size)] for t in texts) >= share * 300
+    for plain in ("internationalization", "an_ordinary_identifier", "Geschwindigkeitsbegrenzung", "20240101-12000000000"):
+        assert runs.spans(plain, []) == []
+
+
 def test_redaction(spark, nothing):
     docs = docs_of(spark, TRICKY + [(1, None, "en", "a")])
     spans = leaks.secret_spans(spark, F.col("text"))
