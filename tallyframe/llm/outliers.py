@@ -2,7 +2,7 @@
 
 Every text gives a vector of transformed statistics. For each stratum (language and source) a minimum covariance
 determinant estimate of centre and spread is made from the documents that pass two base rules, and documents far from
-the centre by Mahalanobis distance are rejected.
+the centre by Mahalanobis distance are rejected. Small strata take the estimate of their whole language or of all rows.
 
 The estimate runs on Spark: a concentration step is one quantile of distances and one sum of moments per stratum, both
 aggregated before the shuffle, so a stratum with a third of all rows costs no task more than its share. Texts are read
@@ -95,17 +95,30 @@ def statistics() -> dict[str, Column]:
 
 
 def with_stratum(vectors: DataFrame, least_rows: int) -> DataFrame:
-    """Adds ``stratum``: language and source where they have ``least_rows`` passing rows; else the rest of the language
-    together; else the rest of all languages together. NULL is a value of its own."""
+    """Adds ``stratum``, whose estimate judges the row, and ``enters``, the strata whose estimates a passing row is part of.
+
+    A row is judged by its language and source where they have ``least_rows`` passing rows; else by its whole language,
+    large sources included; else by all rows. Only strata that judge rows and have enough of them are entered. NULL is a
+    value of its own.
+    """
     lang, source = F.to_json(F.array("lang")), F.to_json(F.array("lang", "source"))
     keyed = vectors.withColumns({"_lang": lang, "_pair": source})
     passing = F.count(F.when(~F.col("base_failed"), 1))
-    pairs = keyed.groupBy("_lang", "_pair").agg(passing.alias("_rows"))
-    small = pairs.withColumn("_small", F.col("_rows") < least_rows)
-    rest = small.groupBy(F.col("_lang").alias("_of")).agg(F.sum(F.when(F.col("_small"), F.col("_rows")).otherwise(0)).alias("_rest"))
-    names = small.join(rest, F.col("_lang") == F.col("_of")).select(
+    pairs = via_table(keyed.groupBy("_lang", "_pair").agg(passing.alias("_rows")), "quality-sizes")
+    enough = F.col("_rows") >= least_rows
+    langs = pairs.groupBy(F.col("_lang").alias("_of")).agg(F.sum("_rows").alias("_lang_rows"), F.bool_or(~enough).alias("_any_small"))
+    whole = langs.agg(
+        (F.bool_or(F.col("_lang_rows") < least_rows) & (F.sum("_lang_rows") >= least_rows)).alias("_whole")
+    )
+    lang_enough = F.col("_lang_rows") >= least_rows
+    names = pairs.join(langs, F.col("_lang") == F.col("_of")).crossJoin(whole).select(
         F.col("_pair").alias("_key"),
-        F.when(~F.col("_small"), F.col("_pair")).when(F.col("_rest") >= least_rows, F.col("_lang")).otherwise("*").alias("stratum"),
+        F.when(enough, F.col("_pair")).when(lang_enough, F.col("_lang")).otherwise("*").alias("stratum"),
+        F.array_compact(
+            F.array(
+                F.when(enough, F.col("_pair")), F.when(lang_enough & F.col("_any_small"), F.col("_lang")), F.when(F.col("_whole"), "*")
+            )
+        ).alias("enters"),
     )
     return keyed.join(names, F.col("_pair") == F.col("_key")).drop("_lang", "_pair", "_key")
 
@@ -221,15 +234,14 @@ def quality_verdicts(
 
     A document is kept if it passes the base rules and its squared distance is within the chi-square quantile of
     1 - ``tail``. Empty and NULL texts have no words and fail the base rule. NULL languages and sources are strata like
-    others. Where even all rest rows together are fewer than ``least_rows``, there is no estimate: base rules decide and
+    others. Only where all passing rows together are fewer than ``least_rows``, there is no estimate: base rules decide and
     ``distance`` is NULL. Repeated rows count as often as they occur.
     """
     counted = with_counts(docs).withColumn("base_failed", base_failed()).withColumns(statistics())
     vectors = via_table(counted, "quality-vectors")
     keyed = via_table(with_stratum(vectors, least_rows), "quality-strata")
-    good = keyed.filter(~F.col("base_failed")).select("stratum", *STATISTICS)
-    sizes = good.groupBy("stratum").count().filter(F.col("count") >= least_rows).select("stratum")
-    estimates = minimum_covariance(good.join(sizes, "stratum", "left_semi"), share, steps)
+    good = keyed.filter(~F.col("base_failed")).select(F.explode("enters").alias("stratum"), *STATISTICS)
+    estimates = minimum_covariance(good, share, steps)
     distance = _squared_distance() / F.col("scale")
     cut = chi_square_quantile(1 - tail, len(STATISTICS))
     return keyed.join(estimates, "stratum", "left").select(

@@ -91,6 +91,18 @@ def test_quality_rejects_far_texts_and_keeps_the_rest(spark):
     assert not any(kept[1000 + i] for i in range(12))
 
 
+def test_quality_judges_small_sources_by_larger_groups(spark):
+    draw = random.Random(8)
+    plain = lambda: " ".join("".join(draw.choices("etaoinshr", k=draw.randint(2, 9))) for _ in range(200))
+    far = lambda: plain().replace(" ", "### $$$ ")
+    rows = [(i, plain(), "en", "hot") for i in range(150)]
+    for at, lang, source in ((1000, "en", "small"), (2000, "xx", "rare"), (3000, None, None)):
+        rows += [(at + i, plain(), lang, source) for i in range(20)] + [(at + 500, far(), lang, source)]
+    found = {r["doc_id"]: r for r in outliers.quality_verdicts(docs_of(spark, rows)).collect()}
+    assert len(found) == len(rows) and all(r["distance"] is not None for r in found.values())
+    assert [i for i, r in sorted(found.items()) if not r["kept"]] == [1500, 2500, 3500]
+
+
 def test_quality_of_odd_rows(odd, nothing):
     found = outliers.quality_verdicts(odd).collect()
     assert len(found) == len(ODD)
