@@ -23,7 +23,8 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # A run of fewer than 24 is dropped, so only longer runs need to match; a maximal run is the same match either way.
 HEX = re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST = 16
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
 #: Runs of letters alone below this length must be encoded worse, since more ordinary ones are encoded badly by chance.
 SHORT, SHORT_SHARE = 20, 0.9
 
@@ -74,12 +75,27 @@ class RandomRuns:
         return len(run) < least * len(self.encoding.encode_ordinary(run))
 
     def spans(self, text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        """Random runs that no base span overlaps."""
-        found = []
+        """Random runs, and random parts of runs that base spans cut. One pass over the base spans by their start."""
+        found, bases, at, covered = [], sorted((s, e) for s, _, e in taken), 0, 0
         for m in CANDIDATE.finditer(text):
             start, end = m.span()
-            if not any(s < end and start < e for s, _, e in taken) and self.is_random(m[0]):
-                found.append((start, 3, end))
+            while at < len(bases) and bases[at][0] <= start:
+                covered = max(covered, bases[at][1])
+                at += 1
+            if covered <= start and (at == len(bases) or bases[at][0] >= end):
+                if self.is_random(m[0]):
+                    found.append((start, 3, end))
+                continue
+            whole = m[0] in self.known or is_known_form(m[0])
+            while True:
+                begin = max(start, covered)
+                cut = bases[at][0] if at < len(bases) and bases[at][0] < end else end
+                if not whole and cut - begin >= LEAST and self.is_random(text[begin:cut]):
+                    found.append((begin, 3, cut))
+                if cut == end:
+                    break
+                covered = max(covered, bases[at][1])
+                at += 1
         return found
 
 
