@@ -119,8 +119,9 @@ class Scorer:
         self.lengths = sorted({len(s) for s in self.stems}, reverse=True)
         self.known: dict[str, tuple[str, float]] = {}
         firsts = {s[: min(STEM_LENGTHS)] for s in self.stems} | LEXICON[THREAT]
-        # A clause without the beginning of a stem or a threat adds nothing and is passed over.
-        self.hint = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(firsts)))})")
+        # A clause without the beginning of a stem or a threat adds nothing and is passed over. Words begin where no
+        # letter stands before, after an underscore or a digit too.
+        self.hint = re.compile(rf"(?<![^\W\d_])(?:{'|'.join(map(re.escape, sorted(firsts)))})")
 
     def symbol(self, word: str) -> tuple[str, float]:
         known = self.known.get(word)

@@ -269,6 +269,15 @@ def test_the_grammar_reads_clauses():
     assert scorer.evidence("kill you") < plain and scorer.evidence(None) == scorer.evidence("") == 0
 
 
+def test_words_after_underscores_and_digits_are_read():
+    scorer = toxicity.Scorer({"idio": 2.0})
+    plain = scorer.evidence("you are an idiot")
+    assert plain > 0
+    for text in ("you are an _idiot_", "you are an __idiot__", "you are an 1idiot", "you are an *idiot*"):
+        assert scorer.evidence(text) == plain
+    assert scorer.evidence("you are an xidiot") == 0
+
+
 def test_composition_adds_weights_of_both_machines():
     first = toxicity.within(toxicity.NEGATION, 1, [toxicity.INSULT], toxicity.OTHER, 0.25)
     second = toxicity.base_weights({toxicity.INSULT: 1.0})
