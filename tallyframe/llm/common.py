@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyframe.sources.scratch import scratch_folder, via_table
 
-__all__ = ["WORD", "WORD_PATTERN", "ascii_lower", "chunks", "scratch_folder", "table", "training_fold", "via_table", "words"]
+__all__ = [
+    "WORD", "WORD_PATTERN", "ascii_lower", "chunks", "scratch_folder", "slices", "table", "training_fold", "via_table", "words",
+]
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -46,3 +48,17 @@ def chunks(frames: Iterable[pd.DataFrame], column: str, most_chars: int = 8_000_
         else:
             for _, piece in frame.groupby(part, sort=False):
                 yield piece.reset_index(drop=True)
+
+
+def slices(text: str | None, gap: re.Pattern, most_chars: int = 2_000_000) -> Iterator[str]:
+    """A text in parts of about ``most_chars``, so that the words of a very long text are never all held at once.
+
+    Cuts lie before a match of ``gap``, a character that no word holds; without one, a part is longer. NULL has none.
+    """
+    start = 0
+    while text and start < len(text):
+        stop = len(text)
+        if stop - start > most_chars and (found := gap.search(text, start + most_chars)):
+            stop = found.start()
+        yield text if start == 0 and stop == len(text) else text[start:stop]
+        start = stop
