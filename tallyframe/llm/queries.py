@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import classlm, leaks, mixing, nearcopies, neighbours, outliers, pieces, replies, rollups, toxicity
+from tallyframe.llm import (
+    classlm, leaks, mixing, nearcopies, neighbours, outliers, packing, pieces, ranking, replies, rollups, toxicity, variants
+)
 from tallyframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +102,44 @@ def op8_class_bigrams(spark: SparkSession, folder: str) -> DataFrame:
 @registered()
 def op9_piece_lattice(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encoded(table(spark, folder, "documents"), pieces.read_pieces())
+
+
+_TERMS = r"""unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"""
+
+
+@registered(
+    f"""WITH doc_terms AS (
+        SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {_TERMS} FROM documents) GROUP BY doc_id, term
+    ), sizes AS (
+        SELECT doc_id, CAST(sum(tf) AS bigint) AS n FROM doc_terms GROUP BY doc_id
+    ), totals AS (
+        SELECT count(*) AS docs, CAST(sum(n) AS bigint) AS words FROM sizes
+    ), weights AS (
+        SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS bigint) AS w
+        FROM doc_terms, totals GROUP BY term, docs
+    ), item_terms AS (
+        SELECT item_id, term, count(*) AS times FROM (SELECT item_id, {_TERMS} FROM benchmark) GROUP BY item_id, term
+    ), scores AS (
+        SELECT item_id, doc_id,
+               CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words)))) AS bigint) AS score
+        FROM item_terms JOIN doc_terms USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), totals
+        GROUP BY item_id, doc_id
+    ), ranked AS (
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS int) AS rank, doc_id, score
+        FROM scores WHERE score > 0
+    )
+    SELECT * FROM ranked WHERE rank <= 20"""
+)
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranking.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@registered()
+def op12_window_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.piece_report(packing.pack(table(spark, folder, "documents"), "/opt/tokenizers/word_bpe_49k.json"))
+
+
+@registered()
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, folder, "documents"))
