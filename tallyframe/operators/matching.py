@@ -19,6 +19,7 @@ from tallyframe.functions import text as tx
 from tallyframe.functions.casts import as_whole, moment
 from tallyframe.functions.columns import pick, require
 from tallyframe.operators.similarity import hot_segments, near_pairs
+from tallyframe.sources.scratch import via_table
 
 # Texts of the golden record and of the master-data scorecard.
 SURVIVORSHIP = "min(location_id) per match_key"
@@ -161,20 +162,126 @@ def compared_names(classes: DataFrame, review: float) -> DataFrame:
     return classes.select("block", F.length("name").alias("size"), "records", F.inline(F.array(same, other)))
 
 
-def hot_names(classes: DataFrame, review: float = tx.REVIEW_CONFIDENCE) -> DataFrame:
-    """Parts of names that so many names share that their comparison has to be spread; see ``hot_segments``."""
-    return hot_segments(compared_names(classes, review), FAMILY)
+def _names_to_compare(classes: DataFrame, review: float, apart: DataFrame | None, across: bool) -> DataFrame:
+    names = compared_names(classes, review)
+    if apart is not None:
+        names = names.join(apart.select(*FAMILY), list(FAMILY), "left_anti").select(names.columns)
+    return names if across else names.filter(F.col("family") != ANY_TOKEN)
 
 
-def similar_classes(classes: DataFrame, review: float, hot: DataFrame | None = None) -> DataFrame:
-    """block, zone_a < zone_b and their record counts for every pair of names that can reach ``review``."""
+def hot_names(
+    classes: DataFrame, review: float = tx.REVIEW_CONFIDENCE, apart: DataFrame | None = None, across: bool = True
+) -> DataFrame:
+    """Parts of names that so many names share that their comparison has to be spread; see ``hot_segments``.
+
+    ``apart`` and ``across`` as for ``similar_classes``.
+    """
+    return hot_segments(_names_to_compare(classes, review, apart, across), FAMILY)
+
+
+def in_families(classes: DataFrame, families: DataFrame) -> DataFrame:
+    """block, name, family of the names that belong to one of ``families`` (``block``, ``family``)."""
+    family = F.concat(F.lit(SAME_TOKEN), tx.first_token(F.col("name"))).alias("family")
+    return classes.select("block", "name", family).join(families.select("block", "family"), ["block", "family"], "left_semi")
+
+
+def close_families(classes: DataFrame, least: float) -> DataFrame:
+    """Families (names of a block with one first token) whose rests are so short that any two names reach ``least``.
+
+    block, family, its number of names and the first of them. Two rests of at most r characters are at most r edits
+    apart, one less where both begin with the space; the bound falls as r grows, so the longest rest decides.
+    """
+    token = tx.first_token(F.col("name"))
+    rest = F.length("name") - F.length(token)
+    groups = classes.groupBy("block", F.concat(F.lit(SAME_TOKEN), token).alias("family")).agg(
+        F.count(F.lit(1)).alias("names"),
+        F.min("name").alias("first_name"),
+        F.max(rest).alias("longest"),
+        F.min(rest).alias("shortest"),
+        F.max(F.length("name")).alias("size"),
+    )
+    edits = F.col("longest") - F.least("shortest", F.lit(1))
+    similarity = F.round(1 - edits / F.col("size"), tx.SCORE_DIGITS)
+    bound = tx.match_confidence(similarity, F.lit(1.0))
+    return groups.filter((F.col("names") > 1) & (bound >= least)).select("block", "family", "names", "first_name")
+
+
+def family_groups(per_copy: DataFrame, classes: DataFrame, high: float, review: float) -> DataFrame:
+    """One row per family in which every pair of names is accepted: names, records, and record pairs in each band.
+
+    Pairs are counted from sums. Only pairs that reach ``high`` are looked for, by the similarity join of that threshold;
+    where all of a family reach it, none is. ``family_partners`` lists the pairs of the records asked for.
+    """
+    close = close_families(classes, review)
+    member = in_families(classes, close)
+    copies = per_copy.join(member, ["block", "name"])
+    per_id = copies.groupBy("block", "family", "id").agg(F.sum("copies").alias("n"))
+    total, squares = _square_sums(F.col("n"))
+    sums = per_id.groupBy("block", "family").agg(F.sum("n").alias("records"), total.alias("total"), squares.alias("squares"))
+    inner = (
+        classes.join(member, ["block", "name"])
+        .groupBy("block", "family")
+        .agg(F.sum("inner_pairs").cast(COUNT).alias("inner_pairs"))
+    )
+    all_high = close_families(classes, high).select("block", "family", F.lit(True).alias("all_high"))
+    # Names of families that are close at ``review`` but not at ``high``.
+    mixed = member.join(all_high, ["block", "family"], "left_anti").select("block", "name")
+    mixed = via_table(classes.join(mixed, ["block", "name"], "left_semi"), "family-names")
+    hot = via_table(hot_names(mixed, high, across=False), "hot-names")
+    near = similar_classes(mixed, high, hot, across=False)
+    scored = score(count_across(near, per_copy), high, review).filter(F.col("decision") == tx.AUTO_MERGE)
+    merged = scored.groupBy("block", F.concat(F.lit(SAME_TOKEN), F.col("token_a")).alias("family")).agg(
+        F.sum("record_pairs").cast(COUNT).alias("found")
+    )
+    keys = ["block", "family"]
+    whole = close.join(sums, keys).join(inner, keys).join(all_high, keys, "left").join(merged, keys, "left")
+    pairs = (_pairs_of(F.col("total"), F.col("squares")) - F.col("inner_pairs")).cast(COUNT)
+    auto = F.when(F.col("all_high"), pairs).otherwise(F.coalesce("found", F.lit(0))).cast(COUNT)
+    return whole.select(
+        F.col("block").alias("borough"),
+        F.expr(f"substring(family, {len(SAME_TOKEN) + 1})").alias("token"),
+        "names",
+        "records",
+        pairs.alias("record_pairs"),
+        auto.alias("auto_merge_pairs"),
+        (pairs - auto).cast(COUNT).alias("steward_review_pairs"),
+    )
+
+
+def family_partners(
+    classes: DataFrame, wanted: DataFrame, high: float = tx.HIGH_CONFIDENCE, review: float = tx.REVIEW_CONFIDENCE
+) -> DataFrame:
+    """The accepted pairs that the names ``wanted`` (``block``, ``name``) have within close families, scored, each once."""
+    member = in_families(classes, close_families(classes, review))
+    asked = wanted.select("block", "name").distinct().withColumn("asked", F.lit(True))
+    marked = member.join(asked, ["block", "name"], "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
+    x = marked.filter("asked").select("block", "family", F.col("name").alias("x"))
+    y = marked.select("block", "family", F.col("name").alias("y"), "asked")
+    # Of two asked names the first is x, so the pair comes once.
+    pairs = x.join(y, ["block", "family"]).filter((F.col("x") != F.col("y")) & (~F.col("asked") | (F.col("x") < F.col("y"))))
+    ordered = pairs.select("block", F.least("x", "y").alias("zone_a"), F.greatest("x", "y").alias("zone_b"))
+    return score(ordered, high, review).filter(F.col("decision") != tx.REJECT).withColumnRenamed("block", "borough")
+
+
+def similar_classes(
+    classes: DataFrame,
+    review: float,
+    hot: DataFrame | None = None,
+    apart: DataFrame | None = None,
+    across: bool = True,
+) -> DataFrame:
+    """block, zone_a < zone_b and their record counts for every pair of names that can reach ``review``.
+
+    Pairs within the families ``apart`` (``block``, ``family``) are left out; without ``across`` so are pairs of names
+    with different first tokens.
+    """
 
     def full(text: str) -> Column:
         return F.when(F.col("family") == ANY_TOKEN, F.col(text)).otherwise(
             F.concat(F.expr(f"substring(family, {len(SAME_TOKEN) + 1})"), F.col(text))
         )
 
-    found = near_pairs(compared_names(classes, review), FAMILY, hot)
+    found = near_pairs(_names_to_compare(classes, review, apart, across), FAMILY, hot)
     found = found.withColumns({"x": full("text_x"), "y": full("text_y")})
     ordered = F.col("x") < F.col("y")
     return found.select(
@@ -225,12 +332,13 @@ def accepted_names(
     review: float = tx.REVIEW_CONFIDENCE,
     classes: DataFrame | None = None,
     hot: DataFrame | None = None,
+    apart: DataFrame | None = None,
 ) -> DataFrame:
     """Every pair of names that is not rejected, scored, with their records and the record pairs behind it.
 
     A name paired with itself stands for the pairs among its own records. ``per_copy`` is the result of
     ``copies``; ``classes`` and ``hot`` are those of ``name_classes`` and ``hot_names`` if they have been written to
-    a table.
+    a table. Pairs within the families ``apart`` are left out; ``family_groups`` counts them.
     """
     if classes is None:
         classes = name_classes(per_copy)
@@ -242,19 +350,24 @@ def accepted_names(
         F.col("records").alias("records_b"),
         F.col("inner_pairs").alias("record_pairs"),
     )
-    across = count_across(similar_classes(classes, review, hot), per_copy)
+    across = count_across(similar_classes(classes, review, hot, apart), per_copy)
     scored = score(within.unionByName(across), high, review).filter(F.col("decision") != tx.REJECT)
     return scored.withColumnRenamed("block", "borough")
 
 
-def block_ledger(per_copy: DataFrame, accepted: DataFrame) -> DataFrame:
-    """Per block: records, pairs compared, and pairs in each band. Rejects are the pairs not accepted."""
-    def band(name: str) -> Column:
-        return F.sum(F.when(F.col("decision") == name, F.col("record_pairs")).otherwise(0)).cast(COUNT)
+def block_ledger(per_copy: DataFrame, accepted: DataFrame, families: DataFrame | None = None) -> DataFrame:
+    """Per block: records, pairs compared, and pairs in each band. Rejects are the pairs not accepted.
 
-    bands = accepted.groupBy("borough").agg(
-        band(tx.AUTO_MERGE).alias("auto_merge_pairs"), band(tx.STEWARD_REVIEW).alias("steward_review_pairs")
+    ``families`` (of ``family_groups``) adds the pairs that are not listed in ``accepted``.
+    """
+    bands = {"auto_merge_pairs": tx.AUTO_MERGE, "steward_review_pairs": tx.STEWARD_REVIEW}
+    counts = accepted.select(
+        "borough",
+        *[F.when(F.col("decision") == name, F.col("record_pairs")).otherwise(0).cast(COUNT).alias(c) for c, name in bands.items()],
     )
+    if families is not None:
+        counts = counts.unionByName(families.select("borough", *bands))
+    bands = counts.groupBy("borough").agg(*[F.sum(c).cast(COUNT).alias(c) for c in bands])
     compared = block_pairs(per_copy).withColumnsRenamed(
         {"block": "borough", "pairs_compared": "total_pairs_compared"}
     )

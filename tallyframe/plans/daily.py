@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe.functions import text as tx
-from tallyframe.operators import conform, history, matching, quality, runs, stewardship
+from tallyframe.operators import conform, history, matching, quality, runs, stewardship, survivorship
 from tallyframe.operators.enrich import enrich
 from tallyframe.operators.ingest import validate
 from tallyframe.plans import serving
@@ -108,12 +108,39 @@ def accept(
 
     Each step is written to a table, so the records are read once and Spark knows sizes when it plans the next step.
     """
-    per_copy = via_table(matching.copies(records), "copies")
-    classes = via_table(matching.name_classes(per_copy), "name-classes")
+    per_copy, classes = name_tables(records)
     hot = via_table(matching.hot_names(classes, review), "hot-names")
     return per_copy, via_table(matching.accepted_names(per_copy, high, review, classes, hot), "accepted-names")
 
 
+def name_tables(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The copies of the records and their name classes, stored."""
+    per_copy = via_table(matching.copies(records), "copies")
+    return per_copy, via_table(matching.name_classes(per_copy), "name-classes")
+
+
+def accept_grouped(
+    records: DataFrame, high: float = tx.HIGH_CONFIDENCE, review: float = tx.REVIEW_CONFIDENCE
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Like ``accept``, with the families whose names are all accepted as one row each instead of all their pairs.
+
+    Returns the copies, the accepted names of other pairs, and the families. Numbered names make a row per name this way,
+    where pairs grow with the square.
+    """
+    per_copy, classes = name_tables(records)
+    close = via_table(matching.close_families(classes, review), "close-families")
+    hot = via_table(matching.hot_names(classes, review, close), "hot-names")
+    accepted = via_table(matching.accepted_names(per_copy, high, review, classes, hot, close), "accepted-names")
+    return per_copy, accepted, via_table(matching.family_groups(per_copy, classes, high, review), "families")
+
+
+def merged_members(records: DataFrame, high: float = tx.HIGH_CONFIDENCE) -> DataFrame:
+    """Where every match key of the records goes when names that AUTO_MERGE at ``high`` keep one survivor."""
+    per_copy, classes = name_tables(records)
+    links = via_table(survivorship.merge_links(classes, high), "merge-links")
+    return survivorship.golden_members(per_copy, links)
+
+
 def match_zones(spark: SparkSession, zones_csv: str, lake: Lake, run: Run) -> None:
     records = matching.normalize(readers.read_csv(spark, zones_csv))
     per_copy, accepted = accept(records, run.high, run.review)

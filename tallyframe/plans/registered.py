@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyframe.functions.casts import whole_minutes
-from tallyframe.operators import conform, history, matching, quality, runs, stewardship
+from tallyframe.operators import conform, history, matching, quality, runs, stewardship, survivorship
 from tallyframe.operators.enrich import enrich
 from tallyframe.operators.ingest import validate
 from tallyframe.plans import daily, sample_tables as st, serving
@@ -440,6 +440,85 @@ def golden_master(spark, folder):
     return matching.golden(st.part_records(spark, folder), AS_OF)
 
 
+# ---------------------------------------------------------------- survivors and families
+
+MEMBERS_SQL = f"""
+    links AS (SELECT DISTINCT borough, zone_a, zone_b FROM scored WHERE match_confidence >= 0.80 AND zone_a <> zone_b),
+    both_ways AS (FROM links UNION SELECT borough, zone_b, zone_a FROM links),
+    keys AS (
+        SELECT borough_norm AS borough, zone_norm AS name, min(location_id) AS id, count(*) AS n FROM records GROUP BY ALL
+    ),
+    reached AS (
+        SELECT borough, name, name AS other FROM keys
+        UNION
+        SELECT r.borough, r.name, l.zone_b FROM reached r JOIN both_ways l ON l.borough = r.borough AND l.zone_a = r.other
+    ),
+    members AS (
+        SELECT r.borough, r.name, r.borough || '::' || r.name AS match_key, any_value(k.id) AS location_id,
+               any_value(k.n) AS records, min(o.id) AS survivor_id, arg_min(r.borough || '::' || o.name, o.id) AS survivor_key
+        FROM reached r JOIN keys k ON k.borough = r.borough AND k.name = r.name
+        JOIN keys o ON o.borough = r.borough AND o.name = r.other
+        GROUP BY r.borough, r.name
+    )"""
+MERGED_SQL = f"WITH RECURSIVE {st.RECORDS_SQL}, {st.SCORED_SQL}, {MEMBERS_SQL}"
+_STATE = "CASE WHEN match_key = survivor_key THEN 'ACTIVE' ELSE 'MERGED' END AS mdm_state"
+#: The given names have no AUTO_MERGE pairs at 0.95 besides equal ones.
+MERGE_AT = 0.80
+
+
+@registered(f"{MERGED_SQL} SELECT *, {_STATE} FROM members")
+def golden_members(spark, folder):
+    return daily.merged_members(st.part_records(spark, folder), MERGE_AT)
+
+
+@registered(
+    f"""{MERGED_SQL}
+    SELECT borough, survivor_id, survivor_key, count(*) AS names, CAST(sum(records) AS bigint) AS records,
+           max(location_id) AS last_id
+    FROM members GROUP BY ALL"""
+)
+def golden_clusters(spark, folder):
+    return survivorship.golden_clusters(daily.merged_members(st.part_records(spark, folder), MERGE_AT))
+
+
+@registered(
+    f"""{MERGED_SQL}, states AS (SELECT {_STATE} FROM members)
+    SELECT mdm_state, count(*) AS record_count, 'check' AS job_name, {NOW} AS snapshot_at_utc FROM states GROUP BY mdm_state"""
+)
+def lifecycle_after_merge(spark, folder):
+    """The states of golden records once close names are merged."""
+    records = st.part_records(spark, folder)
+    merged = survivorship.merge_golden(matching.golden(records, AS_OF), daily.merged_members(records, MERGE_AT), AS_OF)
+    return stewardship.lifecycle(merged, JOB, AS_OF)
+
+
+_TOKEN = "split_part(zone_norm, ' ', 1)"
+_REST = f"(length(zone_norm) - length({_TOKEN}))"
+_LIKE = st.round4_sql(f"1 - (max({_REST}) - least(min({_REST}), 1)) / max(length(zone_norm))")
+FAMILY_REVIEW = 0.55
+
+
+@registered(
+    f"""WITH {st.CUSTOMER_RECORDS_SQL}, {st.SCORED_SQL}, families AS (
+        SELECT borough_norm AS borough, {_TOKEN} AS token, count(DISTINCT zone_norm) AS names, count(*) AS records
+        FROM records GROUP BY ALL
+        HAVING count(DISTINCT zone_norm) > 1
+           AND {st.round4_sql(f"{_LIKE} * CAST(0.9 AS double) + CAST(0.1 AS double)")} >= {FAMILY_REVIEW}
+    )
+    SELECT f.borough, token, any_value(names) AS names, any_value(records) AS records, count(*) AS record_pairs,
+           count(*) FILTER (decision = 'AUTO_MERGE') AS auto_merge_pairs,
+           count(*) FILTER (decision <> 'AUTO_MERGE') AS steward_review_pairs
+    FROM families f JOIN scored s
+      ON s.borough = f.borough AND split_part(zone_a, ' ', 1) = token AND split_part(zone_b, ' ', 1) = token
+    WHERE zone_a <> zone_b
+    GROUP BY f.borough, token"""
+)
+def match_families(spark, folder):
+    """Numbered names: all pairs of a family are accepted, and it comes as one row."""
+    per_copy, classes = daily.name_tables(st.customer_records(spark, folder))
+    return matching.family_groups(per_copy, classes, 0.95, FAMILY_REVIEW)
+
+
 # ---------------------------------------------------------------- stewardship
 
 _KEYED = "*, PULocationID AS PULocationID_int, DOLocationID AS DOLocationID_int"

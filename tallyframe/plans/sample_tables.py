@@ -110,6 +110,14 @@ def part_records(spark: SparkSession, folder: str) -> DataFrame:
     return matching.normalize(parts)
 
 
+def customer_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Normalised master records with numbered names: one per customer, blocked by market segment."""
+    customers = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("LocationID"), F.col("c_name").alias("Zone"), F.col("c_mktsegment").alias("Borough")
+    )
+    return matching.normalize(customers)
+
+
 def _norm_sql(column: str) -> str:
     return (
         f"trim(regexp_replace(regexp_replace(upper({column}), '[^A-Z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g'))"
@@ -128,6 +136,13 @@ RECORDS_SQL = f"""
         FROM part
     )"""
 
+CUSTOMER_RECORDS_SQL = f"""
+    records AS (
+        SELECT c_custkey AS location_id, c_name AS Zone, c_mktsegment AS Borough,
+               {_norm_sql('c_name')} AS zone_norm, {_norm_sql('c_mktsegment')} AS borough_norm
+        FROM customer
+    )"""
+
 SCORED_SQL = f"""
     paired AS (
         SELECT a.location_id AS id_a, b.location_id AS id_b, a.zone_norm AS zone_a, b.zone_norm AS zone_b,
