@@ -1,7 +1,7 @@
 """Row-level quality gate: rules, flags, pass/quarantine split, report and scorecards.
 
-Rules are plain Boolean columns, so flagging is a projection inside the scan stage. Splitting and
-counting re-read the base table instead of caching it: the flags cost less than a second copy of it.
+Rules are plain Boolean columns, so flagging is a projection inside the scan stage. Where both halves of the split and
+the counts are wanted, ``observe`` counts while the flagged rows are written, and one pass over the base serves all.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from functools import reduce
 from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tallyframe.functions.casts import as_number, as_timestamp, moment
 from tallyframe.functions.columns import first_present
@@ -61,6 +61,18 @@ TRIP_GOVERNANCE = {
 }
 
 
+# The governed thresholds as shares that must not be reached, and the action that stops a load.
+TRIP_LIMITS = {
+    "vendor_not_null": 0.01,
+    "pickup_not_null": 0.001,
+    "dropoff_not_null": 0.001,
+    "pickup_before_dropoff": 0.0,
+    "pu_location_not_null": 0.005,
+    "do_location_not_null": 0.005,
+}
+BLOCK_LOAD = "Block load"
+
+
 def present(column: str) -> Column:
     return F.col(column).isNotNull()
 
@@ -110,19 +122,75 @@ def quarantined(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return flag(df, rules).filter(~F.col("dq_pass")).drop("dq_pass")
 
 
-def summarize(df: DataFrame, rules: Sequence[Rule], as_of=None, **context: str) -> DataFrame:
-    """One row: total, passed and failed rows, ``<rule>_fail_count`` per rule, and ``context`` as text columns."""
-    flagged = flag(df, rules)
-    counts = flagged.agg(
+def _counts(rules: Sequence[Rule]) -> list[Column]:
+    """What is counted over flagged rows."""
+    return [
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if("dq_pass").alias("passed_rows"),
         F.count_if(~F.col("dq_pass")).alias("failed_rows"),
         *[F.count_if(~F.col(rule.name)).alias(f"{rule.name}_fail_count") for rule in rules],
-    )
+    ]
+
+
+def _described(counts: DataFrame, as_of, context: Mapping[str, str]) -> DataFrame:
     extra = {name: F.lit(value) for name, value in context.items()}
     return counts.withColumns({**extra, "generated_at_utc": moment(as_of)})
 
 
+def count_flags(flagged: DataFrame, rules: Sequence[Rule], as_of=None, **context: str) -> DataFrame:
+    """The row of ``summarize`` from rows that carry their flags already."""
+    return _described(flagged.agg(*_counts(rules)), as_of, context)
+
+
+def summarize(df: DataFrame, rules: Sequence[Rule], as_of=None, **context: str) -> DataFrame:
+    """One row: total, passed and failed rows, ``<rule>_fail_count`` per rule, and ``context`` as text columns."""
+    return count_flags(flag(df, rules), rules, as_of, **context)
+
+
+def observe(flagged: DataFrame, rules: Sequence[Rule], observation: Observation) -> DataFrame:
+    """``flagged`` unchanged; the first action on it also leaves the counts of ``summarize`` in ``observation``."""
+    return flagged.observe(observation, *_counts(rules))
+
+
+def observed_summary(
+    spark: SparkSession, observation: Observation, rules: Sequence[Rule], as_of=None, **context: str
+) -> DataFrame:
+    """The row of ``summarize`` from what was observed: no table is read."""
+    names = ["total_rows", "passed_rows", "failed_rows", *[f"{rule.name}_fail_count" for rule in rules]]
+    seen = observation.get
+    counts = spark.createDataFrame([tuple(seen.get(name, 0) for name in names)], ", ".join(f"{name} bigint" for name in names))
+    return _described(counts, as_of, context)
+
+
+def enforce(
+    summary: DataFrame,
+    limits: Mapping[str, float] = TRIP_LIMITS,
+    governance: Mapping[str, Governance] = TRIP_GOVERNANCE,
+) -> DataFrame:
+    """One row per governed rule: its failing share, its limit, and PASS, WARN or BLOCK.
+
+    PASS: no row failed. BLOCK: the share is not below the limit, and the rule's action is to block. Everything else is
+    WARN, so also a breach whose rows are quarantined. A rule without a limit never blocks; one that was not run passes.
+    """
+    rows = []
+    for name, meta in governance.items():
+        count = f"{name}_fail_count"
+        failures = F.col(count) if count in summary.columns else F.lit(0)
+        rows.append(
+            F.struct(
+                F.lit(name).alias("rule_name"),
+                F.lit(meta.action_on_failure).alias("action_on_failure"),
+                F.lit(limits.get(name)).cast("double").alias("limit_share"),
+                failures.cast("bigint").alias("failed_rows"),
+            )
+        )
+    lines = summary.select("total_rows", F.inline(F.array(*rows)))
+    share = F.when(F.col("total_rows") > 0, F.col("failed_rows") / F.col("total_rows")).otherwise(0.0)
+    breach = (F.col("action_on_failure") == BLOCK_LOAD) & (share >= F.col("limit_share"))
+    verdict = F.when(F.col("failed_rows") == 0, "PASS").when(breach, "BLOCK").otherwise("WARN")
+    return lines.select("rule_name", "action_on_failure", "limit_share", "failed_rows", "total_rows", verdict.alias("verdict"))
+
+
 def scorecard(
     summary: DataFrame, run_id: str, governance: Mapping[str, Governance] = TRIP_GOVERNANCE
 ) -> DataFrame:
@@ -164,9 +232,3 @@ def by_domain(card: DataFrame, as_of=None) -> DataFrame:
         )
         .withColumn("generated_at_utc", moment(as_of))
     )
-
-
-def governance_table(spark: SparkSession, governance: Mapping[str, Governance] = TRIP_GOVERNANCE) -> DataFrame:
-    """The rule metadata as a table."""
-    schema = ", ".join(f"{field} string" for field in ("rule_name", *Governance._fields))
-    return spark.createDataFrame([(name, *meta) for name, meta in governance.items()], schema)

@@ -1,24 +1,24 @@
 """The daily run: every stage in order over a lake folder, with run events around it.
 
-Each stage reads what the one before has written, so a lost executor repeats part of one stage at most, and a
-failed run leaves the last published versions in place.
+Each stage reads what the one before has written, so a lost executor repeats part of one stage at most. All outputs of
+a run have folders of their own, which its manifest names when the run is complete: ``published`` reads whole runs only,
+and a run that dies leaves the last one as it was.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tallyframe.functions import text as tx
 from tallyframe.operators import conform, history, matching, quality, runs, stewardship, survivorship
 from tallyframe.operators.enrich import enrich
 from tallyframe.operators.ingest import validate
 from tallyframe.plans import serving
-from tallyframe.sources import readers, tablelog, writers
-from tallyframe.sources.scratch import via_table
+from tallyframe.sources import manifest, readers, tablelog, writers
+from tallyframe.sources.scratch import scratch_folder, via_table
 
 
 @dataclass(frozen=True)
@@ -41,7 +41,7 @@ class Lake:
 
 @dataclass(frozen=True)
 class Run:
-    """What a run is given: its id and clock, thresholds, and the databases it serves."""
+    """What a run is given: its id and clock, thresholds, the databases it serves, and what it does beyond reporting."""
 
     run_id: str
     as_of: object = None
@@ -51,6 +51,11 @@ class Run:
     curated_db: str = "trip_curated"
     trigger_type: str = "manual"
     data_owner: str = "analytics-team"
+    #: Failing shares that stop the publication of curated trips, such as ``quality.TRIP_LIMITS``; None for none.
+    limits: Mapping[str, float] | None = None
+    #: Whether names that AUTO_MERGE keep one golden record, and families of close names come as one row.
+    merge: bool = False
+    group_families: bool = False
 
 
 def _read(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
@@ -63,9 +68,14 @@ def _publish(
     return tablelog.publish(df, lake.tables, lake.log, table, partition, run.run_id, run.as_of, laid_out)
 
 
-def validate_trips(spark: SparkSession, raw_trips: str, lake: Lake, run: Run) -> None:
+def published(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
+    """An output of the last complete run."""
+    return manifest.read_published(spark, lake.root, name)
+
+
+def validate_trips(spark: SparkSession, raw_trips: str, lake: Lake, run: Run, outputs: manifest.Outputs) -> None:
     trips = readers.read_parquet(spark, raw_trips)
-    _publish(validate(trips, as_of=run.as_of), lake, "validated", run, "pickup_date")
+    outputs.bind("validated", _publish(validate(trips, as_of=run.as_of), lake, "validated", run, "pickup_date"))
 
 
 def curate_trips(spark: SparkSession, zones_csv: str, lake: Lake, run: Run) -> None:
@@ -74,31 +84,52 @@ def curate_trips(spark: SparkSession, zones_csv: str, lake: Lake, run: Run) -> N
     _publish(trips, lake, "curated", run, "pickup_date", laid_out=True)
 
 
-def gate_trips(spark: SparkSession, lake: Lake, run: Run) -> None:
-    """Split the base into a new curated version and the quarantine; report on the base."""
+class GateBlocked(RuntimeError):
+    """Failing rows reached a limit that blocks the load; curated trips were not published."""
+
+
+def store_flagged(base: DataFrame, rules: Sequence[quality.Rule]) -> tuple[DataFrame, Observation]:
+    """The flagged rows, stored apart by ``dq_pass``, and their counts, from one pass over ``base``."""
+    seen = Observation()
+    flagged = quality.flag(base, rules)
+    path = scratch_folder(base.sparkSession, "flagged")
+    quality.observe(flagged, rules, seen).write.partitionBy("dq_pass").parquet(path)
+    return base.sparkSession.read.schema(flagged.schema).parquet(path), seen
+
+
+def gate_trips(spark: SparkSession, lake: Lake, run: Run, outputs: manifest.Outputs) -> None:
+    """Split the base into a new curated version and the quarantine; report on the base.
+
+    The base is read once; summary, quarantine and curated trips come from what that pass stored and counted.
+    """
     base, source = tablelog.choose_latest(spark, lake.tables, lake.log, "curated", "validated")
     rules = quality.trip_rules(base)
-    writers.overwrite(quality.quarantined(base, rules), lake.folder("quarantine"))
-    summary = via_table(
-        quality.summarize(
-            base,
-            rules,
-            run.as_of,
-            job_name="quality_gate",
-            base_source=source,
-            input_path=tablelog.table_folder(lake.tables, "validated"),
-            curated_delta_path=tablelog.table_folder(lake.tables, "curated"),
-            quarantine_path=lake.folder("quarantine"),
-        ),
-        "dq-summary",
+    flagged, seen = store_flagged(base, rules)
+    quarantine = outputs.folder("quarantine")
+    writers.overwrite(flagged.filter("NOT dq_pass").drop("dq_pass"), quarantine)
+    summary = quality.observed_summary(
+        spark,
+        seen,
+        rules,
+        run.as_of,
+        job_name="quality_gate",
+        base_source=source,
+        input_path=tablelog.table_folder(lake.tables, "validated"),
+        curated_delta_path=tablelog.table_folder(lake.tables, "curated"),
+        quarantine_path=quarantine,
     )
-    writers.report_json(summary, lake.folder("dq_report"))
+    writers.report_json(summary, outputs.folder("dq_report"))
     card = quality.scorecard(summary, run.run_id)
     writers.report_csv(card, lake.folder("quality_scorecard"))
     writers.report_csv(quality.by_domain(card, run.as_of), lake.folder("quality_by_domain"))
-    # The new version has its own folder, so the base stays readable; with Delta the old snapshot does.
+    if run.limits is not None:
+        verdicts = quality.enforce(summary, run.limits)
+        blocked = [row["rule_name"] for row in verdicts.filter("verdict = 'BLOCK'").collect()]
+        if blocked:
+            raise GateBlocked(f"load blocked by {', '.join(blocked)}")
     by_date = "pickup_date" if "pickup_date" in base.columns else None
-    _publish(quality.passed(base, rules), lake, "curated", run, by_date, laid_out=True)
+    passed = flagged.filter("dq_pass").select(base.columns)
+    outputs.bind("curated", _publish(passed, lake, "curated", run, by_date, laid_out=True))
 
 
 def accept(
@@ -141,16 +172,26 @@ def merged_members(records: DataFrame, high: float = tx.HIGH_CONFIDENCE) -> Data
     return survivorship.golden_members(per_copy, links)
 
 
-def match_zones(spark: SparkSession, zones_csv: str, lake: Lake, run: Run) -> None:
+def match_zones(spark: SparkSession, zones_csv: str, lake: Lake, run: Run, outputs: manifest.Outputs) -> None:
     records = matching.normalize(readers.read_csv(spark, zones_csv))
-    per_copy, accepted = accept(records, run.high, run.review)
-    ledger = via_table(matching.block_ledger(per_copy, accepted), "block-ledger")
-
-    queue_path, rejects_path = lake.folder("steward_queue"), lake.folder("rejects")
+    families = None
+    if run.group_families:
+        per_copy, accepted, families = accept_grouped(records, run.high, run.review)
+        writers.overwrite(families, outputs.folder("families"))
+    else:
+        per_copy, accepted = accept(records, run.high, run.review)
+    ledger = via_table(matching.block_ledger(per_copy, accepted, families), "block-ledger")
+
+    queue_path, rejects_path = outputs.folder("steward_queue"), outputs.folder("rejects")
     writers.overwrite(matching.steward_queue(accepted, per_copy, run.as_of), queue_path)
-    writers.listing_csv(readers.read_parquet(spark, queue_path), lake.folder("approval_queue_csv"))
+    writers.listing_csv(readers.read_parquet(spark, queue_path), outputs.folder("approval_queue_csv"))
     writers.overwrite(ledger, rejects_path)
-    master_path = _publish(matching.golden(records, run.as_of), lake, "master_zones", run)
+    golden = matching.golden(records, run.as_of)
+    if run.merge:
+        members = outputs.folder("golden_members")
+        writers.overwrite(merged_members(records, run.high), members)
+        golden = survivorship.merge_golden(golden, readers.read_parquet(spark, members), run.as_of)
+    master_path = outputs.bind("master_zones", _publish(golden, lake, "master_zones", run))
 
     audit = matching.match_audit(
         records,
@@ -165,24 +206,25 @@ def match_zones(spark: SparkSession, zones_csv: str, lake: Lake, run: Run) -> No
         rejects_path=rejects_path,
         job_name="match_zones",
     )
-    writers.report_json(audit, lake.folder("match_audit"))
+    writers.report_json(audit, outputs.folder("match_audit"))
     writers.report_csv(matching.mdm_scorecard(records, ledger, run.run_id, run.as_of), lake.folder("mdm_scorecard"))
 
 
-def steward(spark: SparkSession, lake: Lake, run: Run) -> None:
+def steward(spark: SparkSession, lake: Lake, run: Run, outputs: manifest.Outputs) -> None:
     job = "stewardship"
     master, trips = _read(spark, lake, "master_zones"), _read(spark, lake, "curated")
-    orphans_path = lake.folder("orphans")
+    orphans_path, lifecycle_path = outputs.folder("orphans"), outputs.folder("lifecycle")
+    history_path = outputs.folder("history_audit")
     writers.overwrite(stewardship.orphans(trips, master, job, as_of=run.as_of), orphans_path)
     found = readers.read_parquet(spark, orphans_path)
-    writers.listing_csv(found, lake.folder("orphans_csv"))
-    writers.overwrite(stewardship.lifecycle(master, job, run.as_of), lake.folder("lifecycle"))
+    writers.listing_csv(found, outputs.folder("orphans_csv"))
+    writers.overwrite(stewardship.lifecycle(master, job, run.as_of), lifecycle_path)
 
     histories = {
         name: tablelog.table_history(spark, lake.tables, lake.log, table)
         for name, table in (("master_zones", "master_zones"), ("curated_trips", "curated"))
     }
-    writers.overwrite(tablelog.history_audit(histories, job, run.as_of), lake.folder("history_audit"))
+    writers.overwrite(tablelog.history_audit(histories, job, run.as_of), history_path)
     summary = stewardship.run_summary(
         master,
         trips,
@@ -192,15 +234,16 @@ def steward(spark: SparkSession, lake: Lake, run: Run) -> None:
         master_zones_path=histories["master_zones"][1],
         curated_trips_path=histories["curated_trips"][1],
         orphans_out_path=orphans_path,
-        lifecycle_snapshot_path=lake.folder("lifecycle"),
-        audit_history_out_path=lake.folder("history_audit"),
+        lifecycle_snapshot_path=lifecycle_path,
+        audit_history_out_path=history_path,
     )
-    summary = via_table(summary, "run-summary")
-    writers.overwrite(summary, lake.folder("run_summary"))
-    writers.report_csv(stewardship.activity(summary, run.run_id, run.as_of), lake.folder("steward_log"))
+    summary_path = outputs.folder("run_summary")
+    writers.overwrite(summary, summary_path)
+    told = stewardship.activity(readers.read_parquet(spark, summary_path), run.run_id, run.as_of)
+    writers.report_csv(told, lake.folder("steward_log"))
 
 
-def export(spark: SparkSession, lake: Lake, run: Run) -> tuple[str, str]:
+def export(spark: SparkSession, lake: Lake, run: Run, outputs: manifest.Outputs) -> tuple[str, str]:
     """Dimension history and fact as plain Parquet, in new folders; returns them.
 
     The tables that serve are pointed at the new folders only when both are complete, so a run that dies here
@@ -210,10 +253,10 @@ def export(spark: SparkSession, lake: Lake, run: Run) -> tuple[str, str]:
     dim = _read(spark, lake, "dim_zone") if known else None
     zones = conform.dim_export(_read(spark, lake, "master_zones"))
     attributes = ("borough", "zone", "service_zone")
-    writers.overwrite(history.without_key(zones, "location_id"), lake.folder("zones_without_key"))
-    _publish(history.apply_history(zones, dim, "location_id", attributes, run.as_of), lake, "dim_zone", run)
-    version = uuid.uuid4().hex
-    dim_path, fact_path = (lake.folder(f"export/{name}/version={version}") for name in ("dim_zone", "fact_trip"))
+    writers.overwrite(history.without_key(zones, "location_id"), outputs.folder("zones_without_key"))
+    whole = history.apply_history(zones, dim, "location_id", attributes, run.as_of)
+    outputs.bind("dim_zone", _publish(whole, lake, "dim_zone", run))
+    dim_path, fact_path = outputs.folder("export_dim_zone"), outputs.folder("export_fact_trip")
     writers.overwrite(_read(spark, lake, "dim_zone"), dim_path)
     writers.overwrite(conform.fact_export(_read(spark, lake, "curated")), fact_path)
     return dim_path, fact_path
@@ -244,15 +287,17 @@ def daily(
     """Run every stage; returns the statuses of the SQL scripts. A failure is logged and raised."""
     log_event(spark, lake, run, runs.STARTED)
     try:
-        validate_trips(spark, raw_trips, lake, run)
+        outputs = manifest.Outputs(lake.root, run.run_id)
+        validate_trips(spark, raw_trips, lake, run, outputs)
         curate_trips(spark, zones_csv, lake, run)
-        gate_trips(spark, lake, run)
-        match_zones(spark, zones_csv, lake, run)
-        steward(spark, lake, run)
-        dim_path, fact_path = export(spark, lake, run)
+        gate_trips(spark, lake, run, outputs)
+        match_zones(spark, zones_csv, lake, run, outputs)
+        steward(spark, lake, run, outputs)
+        dim_path, fact_path = export(spark, lake, run, outputs)
         statuses = serving.serve(spark, run.master_db, run.curated_db, dim_path, fact_path)
         if warehouse is not None:
             load_warehouse(spark, dim_path, fact_path, warehouse)
+        manifest.commit(spark, lake.root, outputs, run.as_of)
     except Exception as error:
         log_event(spark, lake, run, runs.FAILED, str(error))
         raise

@@ -310,6 +310,41 @@ def dq_by_domain(spark, folder):
     return result.withColumn("avg_rule_fail_rate", F.round("avg_rule_fail_rate", 6))
 
 
+_FAIL_COUNTS = ", ".join(f"{name}_fail_count" for name in RULES_SQL)
+
+
+@registered(
+    f"""{GATE_SQL}, {SUMMARY_SQL}
+    SELECT origin, total_rows, passed_rows, failed_rows, {_FAIL_COUNTS}, {NOW} AS generated_at_utc
+    FROM summary, (VALUES ('observed'), ('stored')) AS origins(origin)"""
+)
+def dq_observed(spark, folder):
+    """What was counted while the flagged rows were stored, beside the counts of the stored rows."""
+    trips = st.trips(spark, folder)
+    rules = quality.trip_rules(trips)
+    flagged, seen = daily.store_flagged(trips, rules)
+    observed = quality.observed_summary(spark, seen, rules, AS_OF, origin="observed")
+    return observed.unionByName(quality.count_flags(flagged, rules, AS_OF, origin="stored"))
+
+
+_LIMIT_LINES = " UNION ALL ".join(
+    f"SELECT '{name}' AS rule_name, '{meta.action_on_failure}' AS action_on_failure, "
+    f"CAST({quality.TRIP_LIMITS[name]} AS double) AS limit_share, {name}_fail_count AS failed_rows, total_rows FROM summary"
+    for name, meta in quality.TRIP_GOVERNANCE.items()
+)
+
+
+@registered(
+    f"""{GATE_SQL}, {SUMMARY_SQL}, limits AS ({_LIMIT_LINES})
+    SELECT *, CASE WHEN failed_rows = 0 THEN 'PASS'
+                   WHEN action_on_failure = 'Block load' AND failed_rows / total_rows >= limit_share THEN 'BLOCK'
+                   ELSE 'WARN' END AS verdict
+    FROM limits"""
+)
+def dq_enforced(spark, folder):
+    return quality.enforce(_summary(spark, folder))
+
+
 # ---------------------------------------------------------------- matching
 
 MATCH_SQL = f"WITH {st.RECORDS_SQL}, {st.SCORED_SQL}"

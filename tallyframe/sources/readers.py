@@ -43,13 +43,6 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     return True
 
 
-def choose_base(spark: SparkSession, curated: str, fallback: str, fmt: str = "parquet") -> tuple[DataFrame, str]:
-    """The curated table if there is one, else the fallback, and which it was."""
-    if table_exists(spark, curated, fmt):
-        return read_table(spark, curated, fmt), "CURATED"
-    return read_table(spark, fallback, fmt), "INPUT"
-
-
 def read_optional(spark: SparkSession, path: str) -> tuple[DataFrame | None, int | None]:
     """A CSV lookup and its row count, or two Nones with a printed warning: the caller goes on without it."""
     try:
