@@ -74,9 +74,11 @@ def apply_history(
         )
 
     columns = (key, *attributes, *HISTORY)
-    old = dim.filter("is_current").select(_version({c: F.col(c) for c in columns}).alias("old"))
-    new = fresh.select(_version({c: F.col(c) for c in (key, *attributes, "record_hash")}).alias("new"))
-    both = old.join(new, F.col(f"old.{key}").eqNullSafe(F.col(f"new.{key}")), "full_outer")
+    # Keys stay columns of their own and are compared plainly, so that a dimension in buckets is not shuffled. A current
+    # row without a key meets nothing, since the feed has none.
+    old = dim.filter("is_current").select(F.col(key).alias("_old_key"), _version({c: F.col(c) for c in columns}).alias("old"))
+    new = fresh.select(F.col(key).alias("_new_key"), _version({c: F.col(c) for c in (key, *attributes, "record_hash")}).alias("new"))
+    both = old.join(new, F.col("_old_key") == F.col("_new_key"), "full_outer")
 
     known, arrived = F.col("old").isNotNull(), F.col("new").isNotNull()
     equal = F.lit(True)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyframe.functions.casts import moment
 
 # States of a run.
 STARTED, SUCCEEDED, FAILED = "STARTED", "SUCCEEDED", "FAILED"
+#: Parts of the event log. A start looks for its own run in one of them.
+EVENT_BUCKETS = 64
 EVENT_COLUMNS = "run_id string, job_name string, trigger_type string, data_owner string, status string"
 
 
@@ -31,6 +33,11 @@ def run_event(
     return row.withColumn("event_at", moment(as_of))
 
 
+def event_bucket(run_id: Column) -> Column:
+    """The part of the event log that holds a run; a number for a literal, so that only that part is listed and read."""
+    return F.pmod(F.xxhash64(run_id), F.lit(EVENT_BUCKETS)).cast("int")
+
+
 def new_run_id(spark: SparkSession) -> str:
     return spark.range(1).select(F.uuid().alias("id")).first()["id"]
 

@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tallyframe.functions import text as tx
 from tallyframe.operators import conform, history, matching, quality, runs, stewardship, survivorship
 from tallyframe.operators.enrich import enrich
-from tallyframe.operators.ingest import validate
+from tallyframe.operators.ingest import derive_times, validate
 from tallyframe.plans import serving
 from tallyframe.sources import manifest, readers, tablelog, writers
 from tallyframe.sources.scratch import scratch_folder, via_table
@@ -78,6 +78,21 @@ def validate_trips(spark: SparkSession, raw_trips: str, lake: Lake, run: Run, ou
     outputs.bind("validated", _publish(validate(trips, as_of=run.as_of), lake, "validated", run, "pickup_date"))
 
 
+def refresh_trips(spark: SparkSession, raw_trips: str, zones_csv: str, lake: Lake, run: Run) -> DataFrame:
+    """Replace the dates that ``raw_trips`` has, whole, in the validated and curated trips by date; touch no other.
+
+    For feeds that deliver some dates anew, beside the versions of the daily run. Returns the dates of which no trip is
+    valid (``pickup_date``): nothing replaces those, so their old trips stay.
+    """
+    raw = derive_times(readers.read_parquet(spark, raw_trips))
+    fresh = via_table(validate(readers.read_parquet(spark, raw_trips), as_of=run.as_of), "fresh-trips")
+    zones = readers.read_csv(spark, zones_csv)
+    writers.overwrite_dates(fresh, lake.folder("by_date/validated"), "pickup_date")
+    writers.overwrite_dates(enrich(fresh, zones, as_of=run.as_of), lake.folder("by_date/curated"), "pickup_date")
+    dates = raw.select("pickup_date").dropna().distinct()
+    return dates.join(fresh.select("pickup_date").distinct(), "pickup_date", "left_anti")
+
+
 def curate_trips(spark: SparkSession, zones_csv: str, lake: Lake, run: Run) -> None:
     zones = readers.read_csv(spark, zones_csv)
     trips = enrich(_read(spark, lake, "validated"), zones, as_of=run.as_of)
@@ -277,8 +292,14 @@ def log_event(
         spark, run.run_id, status, job_name, run.trigger_type, run.data_owner, error, run.as_of
     )
     if status == runs.STARTED and readers.table_exists(spark, path):
-        event = runs.absent_rows(readers.read_parquet(spark, path), event, ("run_id", "job_name"))
-    event.write.mode("append").parquet(path)
+        event = runs.absent_rows(events_of(spark, lake, run.run_id), event, ("run_id", "job_name"))
+    event.withColumn("bucket", runs.event_bucket(F.col("run_id"))).write.mode("append").partitionBy("bucket").parquet(path)
+
+
+def events_of(spark: SparkSession, lake: Lake, run_id: str) -> DataFrame:
+    """The events of one run, from the one part of the log that may hold them."""
+    log = readers.read_parquet(spark, lake.folder("run_events"))
+    return log.filter((F.col("bucket") == runs.event_bucket(F.lit(run_id))) & (F.col("run_id") == run_id)).drop("bucket")
 
 
 def daily(
@@ -306,7 +327,7 @@ def daily(
 
 
 def run_statuses(spark: SparkSession, lake: Lake) -> DataFrame:
-    return runs.run_audit(readers.read_parquet(spark, lake.folder("run_events")))
+    return runs.run_audit(readers.read_parquet(spark, lake.folder("run_events")).drop("bucket"))
 
 
 def stage_feed(spark: SparkSession, path: str, fmt: str, header: bool, run_id: str, as_of=None) -> DataFrame:
@@ -314,7 +335,6 @@ def stage_feed(spark: SparkSession, path: str, fmt: str, header: bool, run_id: s
     return conform.zone_staging(readers.read_feed(spark, path, fmt, header), run_id, as_of)
 
 
-
 @dataclass(frozen=True)
 class Database:
     """A table reached over JDBC."""
@@ -331,18 +351,26 @@ def load_feed(
     header: bool,
     lake: Lake,
     run: Run,
-    scripts: Sequence[serving.Script] = (),
+    scripts: Sequence[serving.Script] | str = (),
     database: Database | None = None,
+    checked: bool = False,
 ) -> DataFrame:
     """Append a zone feed to the staging table, in the lake or a database, then run ``scripts`` in name order.
 
-    The scripts may use the parameters ``:run_id``, ``:job_name``, ``:master`` and ``:curated``. Start and
-    outcome are logged. Returns the statuses of the scripts.
+    ``scripts`` are given or stand in a folder, and may use the parameters ``:run_id``, ``:job_name``, ``:master`` and
+    ``:curated``. With ``checked``, lines of a CSV feed that cannot be read go to the lake's ``feed_rejects`` instead of
+    becoming NULLs. Start and outcome are logged. Returns the statuses of the scripts.
     """
     job = "load_feed"
     log_event(spark, lake, run, runs.STARTED, job_name=job)
     try:
-        staged = stage_feed(spark, path, fmt, header, run.run_id, run.as_of)
+        if checked and fmt.strip().lower() == "csv":
+            types = {name: "int" if name == "locationid" else "string" for name in conform.FEED_COLUMNS}
+            kept, rejects = readers.read_checked(spark, path, types, header)
+            staged = conform.zone_staging(kept, run.run_id, run.as_of)
+            rejects.withColumn("run_id", F.lit(run.run_id)).write.mode("append").parquet(lake.folder("feed_rejects"))
+        else:
+            staged = stage_feed(spark, path, fmt, header, run.run_id, run.as_of)
         if database is None:
             staged.write.mode("append").parquet(lake.folder("staging/zones_incoming"))
         else:
@@ -350,7 +378,10 @@ def load_feed(
         parameters = {
             "run_id": run.run_id, "job_name": job, serving.MASTER: run.master_db, serving.CURATED: run.curated_db,
         }
-        ordered = sorted(scripts, key=lambda script: script.name)
+        if isinstance(scripts, str):
+            ordered = serving.read_scripts(spark, scripts)
+        else:
+            ordered = sorted(scripts, key=lambda script: script.name)
         statuses = serving.run_scripts(spark, ordered, parameters)
     except Exception as error:
         log_event(spark, lake, run, runs.FAILED, str(error), job)

@@ -13,7 +13,7 @@ from tallyframe.operators.enrich import enrich
 from tallyframe.operators.ingest import validate
 from tallyframe.plans import daily, sample_tables as st, serving
 from tallyframe.plans.sample_tables import AS_OF, JOB, RUN_ID
-from tallyframe.sources import readers, tablelog, writers
+from tallyframe.sources import buckets, readers, tablelog, writers
 from tallyframe.sources.scratch import scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -719,6 +719,18 @@ def scd2_apply(spark, folder):
     return history.apply_history(st.incoming_zones(spark, folder), st.existing_dimension(spark, folder), as_of=AS_OF)
 
 
+@registered(ORACLES["scd2_apply"])
+def scd2_bucketed(spark, folder):
+    """The same load into a dimension that is kept in buckets of its key."""
+    database = f"dimension_{uuid.uuid4().hex[:12]}"
+    location = f"{scratch_folder(spark, 'dimension')}/{database}"
+    spark.sql("CREATE DATABASE IDENTIFIER(:db) LOCATION :path", args={"db": database, "path": location})
+    dimension = buckets.BucketedDimension(database, "zones", buckets=8)
+    dimension.replace(spark, st.existing_dimension(spark, folder))
+    dimension.load(spark, st.incoming_zones(spark, folder), AS_OF)
+    return dimension.read(spark)
+
+
 # ---------------------------------------------------------------- staging and run audit
 
 @registered(
@@ -888,6 +900,80 @@ def evolved_table(spark, folder):
     return both.groupBy("source_system").agg(F.count(F.lit(1)).alias("trips"))
 
 
+@registered(
+    f"""WITH {st.TRIPS_SQL}
+    SELECT l_orderkey, l_linenumber, passenger_count + CAST(0.5 AS double) AS passenger_count,
+           CAST(NULL AS int) AS "RatecodeID", trip_distance
+    FROM trips"""
+)
+def evolved_write(spark, folder):
+    """Three versions: the second gains a column and widens one, the third loses one and widens again; the last is read."""
+    root = scratch_folder(spark, "evolved-write")
+    trips = st.trips(spark, folder).withColumn("RatecodeID", F.col("RatecodeID").cast("int"))
+    keys, counted = ("l_orderkey", "l_linenumber"), F.col("passenger_count")
+    for columns in (
+        (counted.cast("int"), "RatecodeID"),
+        (counted.cast("bigint"), "RatecodeID", "trip_distance"),
+        ((counted + F.lit(0.5)).alias("passenger_count"), "trip_distance"),
+    ):
+        tablelog.publish(trips.select(*keys, *columns), f"{root}/tables", f"{root}/log", "trips", None, RUN_ID, AS_OF, evolve=True)
+    return tablelog.read_latest(spark, f"{root}/tables", f"{root}/log", "trips")
+
+
+@registered(
+    f"""WITH {st.TRIPS_SQL}, {VALIDATED_SQL}, last_dates AS (
+        SELECT DISTINCT pickup_date FROM validated ORDER BY pickup_date DESC LIMIT 3
+    ), fresh AS (
+        SELECT * FROM validated WHERE pickup_date IN (FROM last_dates) AND payment_type <> 1
+    )
+    SELECT pickup_date, count(*) AS trips, CAST(sum(passenger_count) AS bigint) AS passengers FROM (
+        FROM validated WHERE pickup_date NOT IN (SELECT pickup_date FROM fresh) UNION ALL FROM fresh
+    ) GROUP BY pickup_date"""
+)
+def refreshed_dates(spark, folder):
+    """The trips by date after the last dates have come anew, without one payment type; a date that has none stays."""
+    path = scratch_folder(spark, "refreshed")
+    validated = _validated(spark, folder)
+    writers.overwrite_dates(validated, path, "pickup_date")
+    last = readers.read_parquet(spark, path).select("pickup_date").distinct().orderBy(F.desc("pickup_date")).limit(3)
+    writers.overwrite_dates(validated.join(last, "pickup_date", "left_semi").filter("payment_type <> 1"), path, "pickup_date")
+    after = readers.read_parquet(spark, path)
+    return after.groupBy("pickup_date").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("passenger_count").cast("bigint").alias("passengers")
+    )
+
+
+def _broken_feed(spark, folder):
+    path = scratch_folder(spark, "broken-feed")
+    st.broken_lines(spark, folder).write.text(path)
+    return readers.read_checked(spark, path, {"LocationID": "int", "Borough": "string", "Zone": "string", "service_zone": "string"}, header=False)
+
+
+@registered(
+    f"""WITH {st.BROKEN_SQL}
+    SELECT line, CASE WHEN kind IN ('text', 'wide') THEN 'LocationID' END AS column_name,
+           CASE WHEN kind IN ('text', 'wide') THEN split_part(line, ',', 1) END AS value,
+           CASE WHEN kind IN ('text', 'wide') THEN 'not int' ELSE 'number of fields' END AS reason
+    FROM broken WHERE kind <> 'good'"""
+)
+def feed_rejects(spark, folder):
+    """What is wrong with the lines of a feed that cannot be read."""
+    return _broken_feed(spark, folder)[1].select("line", "column_name", "value", "reason")
+
+
+@registered(
+    f"""WITH {st.BROKEN_SQL}
+    SELECT 'kept' AS part, count(*) AS lines, count(DISTINCT split_part(line, ',', 1)) AS ids FROM broken WHERE kind = 'good'
+    UNION ALL SELECT 'rejected', count(*), 0 FROM broken WHERE kind <> 'good'"""
+)
+def feed_checked(spark, folder):
+    """Every line of the feed is either kept or rejected."""
+    kept, rejects = _broken_feed(spark, folder)
+    return kept.agg(
+        F.lit("kept").alias("part"), F.count(F.lit(1)).alias("lines"), F.countDistinct("LocationID").alias("ids")
+    ).unionByName(rejects.agg(F.lit("rejected").alias("part"), F.countDistinct("line_id").alias("lines"), F.lit(0).cast("bigint").alias("ids")))
+
+
 @registered(
     f"""{MATCH_SQL}, asked AS (
         SELECT borough_norm AS block, min(location_id) AS id FROM records GROUP BY borough_norm

@@ -178,6 +178,29 @@ def feed_of_customers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def broken_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The same feed as text lines, of which some have a key that is no number or too wide, or other numbers of fields."""
+    key = F.col("c_custkey").cast("string")
+    last = F.col("c_custkey") % 10
+    first = F.when(last == 3, F.concat(F.lit("x"), key)).when(last == 9, F.concat(key, F.lit("0000000000"))).otherwise(key)
+    area = F.concat(F.lit("Area "), F.col("c_nationkey"))
+    ends = F.when(last == 5, F.concat_ws(",", area, F.lit("more"))).when(last != 7, area)
+    return table(spark, folder, "customer").select(F.concat_ws(",", first, "c_mktsegment", "c_name", ends).alias("value"))
+
+
+BROKEN_SQL = """
+    broken AS (
+        SELECT CASE c_custkey % 10 WHEN 3 THEN 'text' WHEN 9 THEN 'wide' WHEN 5 THEN 'more' WHEN 7 THEN 'less'
+               ELSE 'good' END AS kind,
+               concat_ws(',', CASE kind WHEN 'text' THEN 'x' || c_custkey WHEN 'wide' THEN c_custkey || '0000000000'
+                                        ELSE CAST(c_custkey AS varchar) END,
+                         c_mktsegment, c_name,
+                         CASE kind WHEN 'more' THEN 'Area ' || c_nationkey || ',more' WHEN 'less' THEN NULL
+                                   ELSE 'Area ' || c_nationkey END) AS line
+        FROM customer
+    )"""
+
+
 def customer_zones(spark: SparkSession, folder: str) -> DataFrame:
     """One zone per customer; accounts in debt have another service zone, and one nation lacks its borough."""
     return table(spark, folder, "customer").select(

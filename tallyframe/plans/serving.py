@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 class Script(NamedTuple):
@@ -102,6 +103,36 @@ TOP_BOROUGHS_SQL = """
 STATUS_SCHEMA = "position int, script string, database string, status string, error string"
 
 
+#: What a semicolon inside does not end: quoted text and names, and comments.
+_OPAQUE = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/"""
+_PART = re.compile(rf"({_OPAQUE}|;)", re.DOTALL)
+_COMMENT = re.compile(r"--|/\*")
+
+
+def statements(sql: str) -> list[str]:
+    """The statements of a script, split at semicolons outside quotes and comments; those of comments alone are left out."""
+    found, current, says = [], [], False
+    for part in [*_PART.split(sql), ";"]:
+        if part != ";":
+            current.append(part)
+            says = says or bool(part.strip() and not _COMMENT.match(part))
+        elif says:
+            found.append("".join(current).strip())
+        if part == ";":
+            current, says = [], False
+    return found
+
+
+def read_scripts(spark: SparkSession, folder: str, database: str = "default") -> list[Script]:
+    """The statements of the script files in a folder, in the order of file names, named ``<file>#<number>``."""
+    files = spark.read.text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("name"), "value")
+    return [
+        Script(f"{file['name']}#{number}", database, sql)
+        for file in sorted(files.collect(), key=lambda file: file["name"])
+        for number, sql in enumerate(statements(file["value"]), start=1)
+    ]
+
+
 def run_scripts(spark: SparkSession, scripts: Sequence[Script], parameters: Mapping[str, str]) -> DataFrame:
     """Run one-statement scripts in order; returns a status row each. The first failure ends the run."""
     statuses = []

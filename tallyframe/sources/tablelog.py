@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyframe.functions.casts import moment
 from tallyframe.sources.readers import read_table, table_exists
+from tallyframe.sources.schemas import reconciled
 from tallyframe.sources.writers import overwrite, overwrite_partitioned, table_format
 
 LOG_SCHEMA = (
@@ -68,9 +69,15 @@ def publish(
     run_id: str | None = None,
     as_of=None,
     laid_out: bool = False,
+    evolve: bool = False,
 ) -> str:
-    """Write ``df`` as the next version of a table and log it; returns the folder. For ``laid_out`` see writers."""
+    """Write ``df`` as the next version of a table and log it; returns the folder. For ``laid_out`` see writers.
+
+    ``evolve`` reconciles the schema with that of the last version: see ``schemas.reconciled``.
+    """
     spark = df.sparkSession
+    if evolve and has_versions(spark, root, log_path, table_name):
+        df = reconciled(df, read_latest(spark, root, log_path, table_name).schema)
     if table_format(spark) == "delta":
         folder = table_folder(root, table_name)
         if partition is None:

@@ -31,6 +31,12 @@ def overwrite_partitioned(df: DataFrame, path: str, column: str, fmt: str = "par
     dealt.write.mode("overwrite").format(fmt).partitionBy(column).save(path)
 
 
+def overwrite_dates(df: DataFrame, path: str, column: str) -> None:
+    """Replace those directories of the table at ``path`` whose values ``df`` has; the others are not touched."""
+    dealt = df.hint("rebalance", column)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+
+
 def csv_ready(df: DataFrame) -> DataFrame:
     """Arrays as text, which CSV can hold."""
     arrays = [f.name for f in df.schema if isinstance(f.dataType, T.ArrayType)]
