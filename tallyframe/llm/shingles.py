@@ -20,7 +20,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Sets of ``size``-word shingles; A-Z count as a-z. A text with fewer words is one shingle, one without none."""
 
-    def __init__(self, size: int, most_cached: int = 500_000):
+    def __init__(self, size: int, most_cached: int = 100_000):
         self.size, self.most_cached = size, most_cached
         self.hashes: dict[str, int] = {}
 
