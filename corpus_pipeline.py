@@ -7,7 +7,7 @@ documents. All columns of the input pass through every stage but the last, extra
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyframe.llm import leaks, mixing, nearcopies, pieces, toxicity
 from tallyframe.llm.common import table, via_table
@@ -30,20 +30,56 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.filter(toxicity.toxicity_score(F.col("text"), model) < 0.5)
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have, in any case."""
+    taken = {column.lower() for column in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def _own_ids(docs: DataFrame, repeated: DataFrame, key: str) -> DataFrame:
+    """doc_id, the key of the text, text and own_id for each different text of the ids in ``repeated``.
+
+    The first text by key has the doc_id for its own id; the others have numbers from 2^62 on, which no other text gets.
+    """
+    several = docs.join(_sized(repeated), "doc_id", "left_semi").select("doc_id", "text").withColumn(key, _text_key())
+    rows = several.dropDuplicates(["doc_id", key])
+    first = rows.groupBy("doc_id").agg(F.min(key).alias(f"{key}_first"))
+    other = F.xxhash64("doc_id", key).bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
+    own = F.when(F.col(key) == F.col(f"{key}_first"), F.col("doc_id").cast("long")).otherwise(other)
+    return rows.join(first, "doc_id").select("doc_id", key, "text", own.alias("own_id"))
+
+
+def _text_key() -> Column:
+    return F.coalesce(F.sha2(F.col("text").cast("string"), 256), F.lit(""))
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by a similarity of 0.8 over five-word shingles, the document with the smallest id stays.
 
-    Empty texts and rows without an id are in no group. Of rows that repeat an id, one stays.
+    Empty texts and rows without an id are in no group. Of rows that repeat both id and text, one stays. Different texts
+    under one id are judged each by itself: the first by its hash under that id, the others after all other ids.
     """
-    found = via_table(nearcopies.near_copies(docs, shingle=5, percent=80), "pipeline-groups")
-    gone = found.filter("NOT kept").select("doc_id").distinct()
-    repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    rest = docs.join(_sized(gone), "doc_id", "left_anti").select(docs.columns)
+    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeated = via_table(repeated.select("doc_id"), "pipeline-repeated")
     if repeated.isEmpty():
-        return rest
-    repeated = _sized(repeated)
-    once = rest.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
-    return rest.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(once)
+        gone = _gone(docs)
+        return docs.join(_sized(gone), "doc_id", "left_anti").select(docs.columns)
+    key = _free(docs, "_text_key")
+    once = docs.join(_sized(repeated), "doc_id", "left_anti").select(docs.columns)
+    named = via_table(_own_ids(docs, repeated, key), "pipeline-own-ids")
+    own = named.select(F.col("own_id").alias("doc_id"), "text")
+    gone = _gone(via_table(once.select("doc_id", "text").unionByName(own), "pipeline-texts"))
+    stays = named.join(gone.withColumnRenamed("doc_id", "own_id"), "own_id", "left_anti").select("doc_id", key)
+    several = docs.join(_sized(repeated), "doc_id", "left_semi").withColumn(key, _text_key())
+    several = several.join(stays, ["doc_id", key], "left_semi").dropDuplicates(["doc_id", key]).select(docs.columns)
+    return once.join(_sized(gone), "doc_id", "left_anti").select(docs.columns).unionByName(several)
+
+
+def _gone(docs: DataFrame) -> DataFrame:
+    found = via_table(nearcopies.near_copies(docs, shingle=5, percent=80), "pipeline-groups")
+    return found.filter("NOT kept").select("doc_id").distinct()
 
 
 def cut_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,11 +96,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that share an id share one decision, the largest. Documents without words add nothing and are left out.
     """
+    key, copies, copy = (_free(docs, name) for name in ("_id", "_copies", "_copy"))
     mixed = mixing.mix(docs, F.array(F.col("source").cast("string")), mixing.n_words(F.col("text")))
-    taken = mixed.groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies")).filter("_copies > 0")
+    taken = mixed.groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(copies)).filter(F.col(copies) > 0)
     taken = via_table(taken, "pipeline-copies")
-    rows = docs.join(_sized(taken), docs["doc_id"].eqNullSafe(F.col("_id")))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*(docs[c] for c in docs.columns))
+    rows = docs.join(_sized(taken), docs["doc_id"].eqNullSafe(F.col(key)))
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tallyframe.llm import packing, ranking, variants
 from tallyframe.llm.common import slices
 from tallyframe.llm.queries import ORACLES, QUERIES
@@ -327,3 +328,32 @@ def test_registered_results(spark):
     variants_ = QUERIES["op13_spelling_variants"](spark, SF)
     assert dict(variants_.dtypes)["n"] == "bigint" and dict(variants_.dtypes)["n_near"] == "bigint"
     assert variants_.filter(F.col("form").isNull() != F.col("form_n").isNull()).isEmpty()
+
+
+# ---------------------------------------------------------------- pipeline on repeated ids and clashing names
+
+
+def test_texts_under_one_id_are_judged_by_themselves(spark, tmp_path):
+    base = " ".join(f"w{i}" for i in range(60))
+    near = base.replace("w59", "other")
+    alone, third = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, base), (5, near), (5, alone), (5, alone), (5, third), (5, None), (6, third + " more"), (7, "x y"), (7, "x y"), (None, base), (None, base)]
+    path = str(tmp_path / "docs")
+    docs_of(spark, [(key, text, "en", "a") for key, text in rows]).withColumnsRenamed({"kept": "_text_key", "n_words": "own_id"}).write.parquet(path)
+    docs = spark.read.parquet(path)
+    found = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    assert found.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in found.collect()), key=str)
+    # The texts of 5: the near copy goes; the others stay, the third or its near copy under 6.
+    assert got.count((None, base)) == 2 and (1, base) in got and (5, near) not in got
+    assert got.count((5, alone)) == 1 and (5, None) in got and got.count((7, "x y")) == 1
+    assert ((5, third) in got) != ((6, third + " more") in got)
+    assert len(got) == 7
+    assert sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()), key=str) == got
+
+
+def test_mix_keeps_columns_whose_names_clash(spark, odd):
+    clash = odd.withColumnsRenamed({"kept": "_id", "n_words": "_copies", "score": "_COPY"})
+    mixed, plain = corpus_pipeline.mix_sources(spark, clash, SF), corpus_pipeline.mix_sources(spark, odd, SF)
+    assert mixed.columns == clash.columns
+    assert sorted(map(str, map(tuple, mixed.collect()))) == sorted(map(str, map(tuple, plain.collect())))
