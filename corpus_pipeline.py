@@ -105,8 +105,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, pieces (ids), n_pieces and whether decoding gives the text back, for every row."""
-    return pieces.encoded(docs, pieces.read_pieces())
+    """doc_id, pieces (ids of the best sum of scores), n_pieces and whether decoding gives the text back, for every row."""
+    return pieces.encoded(docs, pieces.read_pieces(), fold="viterbi")
 
 
 STAGES = [

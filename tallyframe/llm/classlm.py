@@ -400,7 +400,7 @@ def scores(docs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
 
     # Ids travel as text: pandas would turn a column of numbers with NULLs into floats.
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    found = per_block(rows, tokens, counts, score, _SCORES)
+    found = per_block(rows, tokens, lambda asked: asked.join(counts, "word").drop("word"), score, _SCORES)
     return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 

@@ -1,19 +1,21 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Texts fall into units that no piece spans. The distinct units of all texts are exploded into their substrings of
-bounded length and joined with the piece table; the pieces found are grouped by unit: the lattice. A fold over it gives
-the pieces of a unit, once for the whole corpus, and texts take the pieces of their units through ``wordmap``.
+Texts fall into units that no piece spans. Every block of texts asks once for each of its distinct units (``wordmap``);
+the requests are shuffled once, by unit. There each distinct unit of the corpus is exploded into its substrings of bounded
+length, these are joined with the piece table, and the pieces found are grouped by unit: the lattice. A fold over it gives
+the pieces of a unit, and only those go back to the blocks.
 
-Two folds exist. For a model whose scores add up (unigram), Viterbi as a higher-order aggregate. For a model of ranked
-merges (BPE) the best sum of scores is not what the model means, so there the fold merges the best neighbours first;
-it gives the ids of the library itself.
+The fold is Viterbi, as a higher-order aggregate: the segmentation with the largest sum of scores. For a model of ranked
+merges (BPE) there is a second fold, which merges the best neighbours first and gives the ids of the library itself.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+import string
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,16 +23,16 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyframe.llm.common import chunks, via_table
-from tallyframe.llm.wordmap import per_block
+from tallyframe.llm.wordmap import per_block, unzipped, zipped
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: A run of spaces with what follows it, a line break, or what follows a line break. Pieces have a space only in front.
-_UNIT = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
 #: Longer units enter the lattice in segments of this many characters.
 SEGMENT = 256
-_ID_BITS, _LENGTH_BITS = 20, 8
+#: Edges of a long unit are folded in parts of this many, so that the fold's arrays are not copied whole at every edge.
+_FOLD = 1024
+#: What a character outside the model costs below its worst piece.
+UNKNOWN_PENALTY = 10.0
 
 
 @dataclass(frozen=True)
@@ -74,57 +76,157 @@ def read_pieces(path: str = MODEL) -> Pieces:
     return Pieces(names, scores, usable, tuple(model.piece_to_id(f"<0x{b:02X}>") for b in range(256)))
 
 
-def units(text: str) -> list[str]:
-    """The units of a text, a space put in front as the model's normaliser does; none for an empty text."""
-    return _UNIT.findall(SPACE + text.replace(" ", SPACE)) if text else []
+#: Characters that units tell apart, as parts of a character class: ASCII letters, digits, all beyond ASCII, and each
+#: other ASCII character.
+_KINDS = {"letter": "A-Za-z", "digit": "0-9", "wide": "\x80-\u2580\u2582-\U0010ffff", SPACE: SPACE} | {
+    c: re.escape(c) for c in map(chr, range(128)) if c not in string.ascii_letters + string.digits
+}
+
+
+def _kind(char: str) -> str:
+    if char in _KINDS:
+        return char
+    return "wide" if not char.isascii() else "digit" if char.isdigit() else "letter"
+
+
+def unit_pattern(pieces: Pieces) -> re.Pattern:
+    """Cuts a text wherever no piece has such neighbours inside, so no piece spans two units, and a sum of scores or an
+    order of merges is that of the units one by one."""
+    after: dict[str, set[str]] = defaultdict(set)
+    for i in pieces.usable:
+        for a, b in zip(pieces.names[i], pieces.names[i][1:]):
+            after[_kind(a)].add(_kind(b))
+    # Kinds with the same kinds after them share a branch; runs of letters come first, as most of a text is letters.
+    branches: dict[str, list[str]] = defaultdict(list)
+    for kind in sorted(after, key=lambda k: k != "letter"):
+        branches["".join(_KINDS[k] for k in _KINDS if k in after[kind])].append(kind)
+    parts = []
+    for follows, kinds in branches.items():
+        many = "+" if kinds == ["letter"] and "letter" in after["letter"] else ""
+        parts.append(f"[{''.join(_KINDS[k] for k in kinds)}]{many}(?=[{follows}])")
+    return re.compile(rf"(?:{'|'.join(parts)})*+[\s\S]" if parts else r"[\s\S]")
 
 
-def distinct_units(docs: DataFrame) -> DataFrame:
-    def collect(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in chunks(frames, "text", 16_000_000):
-            seen: set[str] = set()
-            for text in frame["text"]:
-                seen.update(units(text or ""))
-            yield pd.DataFrame({"unit": list(seen)}, dtype=object)
+def units_of(pieces: Pieces) -> Callable[[str], list[str]]:
+    """The units of a text, a space put in front as the model's normaliser does; none for an empty text."""
+    cut = unit_pattern(pieces).findall
+    return lambda text: cut(SPACE + text.replace(" ", SPACE)) if text else []
 
-    return docs.select("text").mapInPandas(collect, "unit string").distinct()
 
+def lattice(unit_table: DataFrame, pieces: Pieces, unknown: float | None = None) -> DataFrame:
+    """``unit, edges`` and the other columns of ``unit_table``, which has one row per unit.
 
-def lattice(unit_table: DataFrame, pieces: Pieces, smallest: int = 2, scored: bool = False) -> DataFrame:
-    """``unit, edges``: every piece of at least ``smallest`` characters in each unit, as start, length and id packed in
-    a number, or with its score as a struct. A unit without such pieces has an empty list.
+    Edges are all pieces in a unit as ``end, size, id, score``, ordered by end and size. A character that is no piece is
+    an edge too, with -1 - its code point for id and ``unknown`` for score.
 
-    The piece table is broadcast: it is the model's, of fixed size. Units are dealt by unit already, so grouping their
-    edges needs no shuffle.
+    The piece table is broadcast: it is the model's, of fixed size. Where units are dealt by unit already, grouping
+    their edges needs no shuffle. Other columns ride on one row per unit.
     """
-    rows = [(pieces.names[i], i, pieces.scores[i]) for i in pieces.usable if len(pieces.names[i]) >= smallest]
-    table = F.broadcast(unit_table.sparkSession.createDataFrame([*rows, ("", -1, 0.0)], "piece string, id int, score double"))
+    worst = min(pieces.scores[i] for i in pieces.usable)
+    unknown = worst - UNKNOWN_PENALTY if unknown is None else unknown
+    rows = [(pieces.names[i], i, float(pieces.scores[i])) for i in pieces.usable]
+    table = F.broadcast(unit_table.sparkSession.createDataFrame(rows, "piece string, id int, score double"))
+    others = [c for c in unit_table.columns if c != "unit"]
     longest = pieces.longest
     begins = F.sequence(F.lit(0), F.floor((F.length("unit") - 1) / SEGMENT).cast("int") * SEGMENT, F.lit(SEGMENT))
-    parts = unit_table.select("unit", F.explode(begins).alias("begin"))
+    parts = unit_table.select("unit", *others, F.explode(begins).alias("begin"))
     parts = parts.withColumn("part", F.substring("unit", F.col("begin") + 1, F.lit(SEGMENT + longest - 1)))
     n = F.length("part")
 
     def from_start(i: Column) -> Column:
-        sizes = F.sequence(F.lit(smallest), F.least(F.lit(longest), n - i))
-        return F.transform(sizes, lambda size: F.struct((F.col("begin") + i).alias("start"), size.alias("size"), F.substring("part", i + 1, size).alias("piece")))
-
-    mark = F.struct(F.lit(0).alias("start"), F.lit(0).alias("size"), F.lit("").alias("piece"))
-    starts = F.sequence(F.lit(0), F.least(n - smallest, F.lit(SEGMENT - 1)))
-    found = F.when(n >= smallest, F.flatten(F.transform(starts, from_start))).otherwise(F.array())
-    substrings = parts.select("unit", F.explode(F.concat(F.array(mark), found)).alias("s"))
-    edges = substrings.select("unit", "s.start", "s.size", "s.piece").join(table, "piece")
-    if scored:
-        edge = F.struct("start", "size", "id", "score")
-    else:
-        edge = (F.col("start").cast("long") * (1 << _LENGTH_BITS) + F.col("size")) * (1 << _ID_BITS) + F.col("id")
-    return edges.groupBy("unit").agg(F.collect_list(F.when(F.col("id") >= 0, edge)).alias("edges"))
-
-
-def merge_fold(unit: str, edges, scores: tuple[float, ...], single: dict[str, int], byte_ids: tuple[int, ...]) -> list[int]:
-    """Neighbours whose union is a piece are merged, best score first and then from the left, until none is left."""
+        sizes = F.sequence(F.lit(1), F.least(F.lit(longest), n - i))
+        return F.transform(sizes, lambda size: F.struct((F.col("begin") + i + size).alias("end"), size.alias("size"), F.substring("part", i + 1, size).alias("piece")))
+
+    starts = F.sequence(F.lit(0), F.least(n - 1, F.lit(SEGMENT - 1)))
+    substrings = parts.select("unit", *others, F.explode(F.flatten(F.transform(starts, from_start))).alias("s"))
+    alone = F.col("s.size") == 1
+    first = alone & (F.col("s.end") == 1)
+    substrings = substrings.select("unit", "s.end", "s.size", "s.piece", *(F.when(first, F.col(c)).alias(c) for c in others))
+    edges = substrings.join(table, "piece", "left").filter((F.col("size") == 1) | F.col("id").isNotNull())
+    edge = F.struct("end", "size", F.coalesce("id", -1 - F.ascii("piece")).alias("id"), F.coalesce("score", F.lit(unknown)).alias("score"))
+    kept = [F.first(c, ignorenulls=True).alias(c) for c in others]
+    return edges.groupBy("unit").agg(F.sort_array(F.collect_list(edge)).alias("edges"), *kept)
+
+
+def _viterbi(edges: Column, longest: int) -> Column:
+    """The last edge of the best way to every end: ``sum, size, id`` in order of ends. Ties go to the longer edge.
+
+    ``best`` is that of the end in work, ``sums`` hold the ends before it, as many as a piece is long. Edges of one end
+    come together, the single character first, which closes the end before.
+    """
+    way = "struct<sum:double,size:int,id:int>"
+
+    def step(s: Column, e: Column) -> Column:
+        first, total = e["size"] == 1, F.element_at(s["sums"], -e["size"]) + e["score"]
+        recent = F.when(F.size(s["sums"]) >= longest, F.slice(s["sums"], 2, longest - 1)).otherwise(s["sums"])
+        best = F.when(first, F.struct((s["best"]["sum"] + e["score"]).alias("sum"), e["size"].alias("size"), e["id"].alias("id")))
+        best = best.when(total >= s["best"]["sum"], F.struct(total.alias("sum"), e["size"].alias("size"), e["id"].alias("id")))
+        return F.struct(
+            F.when(first, F.concat(recent, F.array(s["best"]["sum"]))).otherwise(s["sums"]).alias("sums"),
+            best.otherwise(s["best"]).alias("best"),
+            F.when(first, F.concat(s["ways"], F.array(s["best"]))).otherwise(s["ways"]).alias("ways"),
+        )
+
+    none = F.array().cast(f"array<{way}>")
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("size"), F.lit(0).alias("id")).cast(way)
+
+    def part(s: Column, k: Column) -> Column:
+        fresh = F.struct(s["sums"].alias("sums"), s["best"].alias("best"), none.alias("ways"))
+        add = lambda t: F.struct(t["sums"].alias("sums"), t["best"].alias("best"), F.concat(s["done"], F.array(t["ways"])).alias("done"))
+        return F.aggregate(F.slice(edges, k * _FOLD + 1, _FOLD), fresh, step, add)
+
+    zero = F.struct(F.array().cast("array<double>").alias("sums"), start.alias("best"), F.array().cast(f"array<array<{way}>>").alias("done"))
+    turns = F.sequence(F.lit(0), F.floor((F.size(edges) - 1) / _FOLD).cast("int"))
+    # The first way is that to the start of the unit.
+    return F.aggregate(turns, zero, part, lambda s: F.concat(F.flatten(s["done"]), F.array(s["best"])))
+
+
+def _path(ways: Column) -> Column:
+    """The ids along the best way, found from the end."""
+
+    def step(s: Column, w: Column) -> Column:
+        on = (s["skip"] == 0) & (w["size"] > 0)
+        return F.struct(
+            F.when(on, w["size"] - 1).otherwise(s["skip"] - 1).alias("skip"),
+            F.when(on, F.concat(s["ids"], F.array(w["id"]))).otherwise(s["ids"]).alias("ids"),
+        )
+
+    def part(s: Column, k: Column) -> Column:
+        fresh = F.struct(s["skip"].alias("skip"), F.array().cast("array<int>").alias("ids"))
+        add = lambda t: F.struct(t["skip"].alias("skip"), F.concat(s["done"], F.array(t["ids"])).alias("done"), s["back"].alias("back"))
+        return F.aggregate(F.slice(s["back"], k * _FOLD + 1, _FOLD), fresh, step, add)
+
+    # The ways ride in the state, so that they are folded once, not once for each part.
+    def whole(back: Column) -> Column:
+        zero = F.struct(F.lit(0).alias("skip"), F.array().cast("array<array<int>>").alias("done"), back.alias("back"))
+        turns = F.sequence(F.lit(0), F.floor((F.size(back) - 1) / _FOLD).cast("int"))
+        return F.aggregate(turns, zero, part, lambda s: F.reverse(F.flatten(s["done"])))
+
+    return F.element_at(F.transform(F.array(F.reverse(ways)), whole), 1)
+
+
+def _with_bytes(ids: Column, byte_ids: tuple[int, ...]) -> Column:
+    """Characters that are no pieces, as the pieces of their UTF-8 bytes."""
+    table = F.array(*map(F.lit, byte_ids))
+
+    def spelled(c: Column) -> Column:
+        tail = [F.shiftright(c, shift).bitwiseAND(63) + 128 for shift in (12, 6, 0)]
+        size = F.when(c < 0x80, 1).when(c < 0x800, 2).when(c < 0x10000, 3).otherwise(4)
+        lead = F.when(c < 0x80, c).when(c < 0x800, F.shiftright(c, 6) + 0xC0).when(c < 0x10000, F.shiftright(c, 12) + 0xE0).otherwise(F.shiftright(c, 18) + 0xF0)
+        return F.concat(F.array(lead), F.slice(F.array(*tail), 5 - size, size - 1))
+
+    return F.flatten(F.transform(ids, lambda i: F.when(i >= 0, F.array(i)).otherwise(F.transform(spelled(-1 - i), lambda b: F.get(table, b)))))
+
+
+def viterbi_ids(edges: Column, pieces: Pieces) -> Column:
+    return _with_bytes(_path(_viterbi(edges, pieces.longest)), pieces.byte_ids)
+
+
+def merge_fold(unit: str, known: dict[tuple[int, int], int], scores: tuple[float, ...], single: dict[str, int], byte_ids: tuple[int, ...]) -> list[int]:
+    """Neighbours whose union is a piece are merged, best score first and then from the left, until none is left.
+
+    ``known`` has the piece of each start and size."""
     n = len(unit)
-    known = {int(e) >> _ID_BITS: int(e) & ((1 << _ID_BITS) - 1) for e in edges}
     size, after, before, alive = [1] * n, list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
     heap: list[tuple[float, int, int, int]] = []
 
@@ -132,7 +234,7 @@ def merge_fold(unit: str, edges, scores: tuple[float, ...], single: dict[str, in
         j = after[i]
         if j < n:
             span = size[i] + size[j]
-            piece = known.get(i << _LENGTH_BITS | span) if span < 1 << _LENGTH_BITS else None
+            piece = known.get((i, span))
             if piece is not None:
                 heapq.heappush(heap, (-scores[piece], i, span, piece))
 
@@ -163,45 +265,29 @@ def merge_fold(unit: str, edges, scores: tuple[float, ...], single: dict[str, in
     return out
 
 
-def merge_encoded(lattices: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word, ids`` of every unit, for a model of ranked merges."""
-    shared = lattices.sparkSession.sparkContext.broadcast((pieces.scores, pieces.single(), pieces.byte_ids))
+def merge_ids(unit: Column, edges: Column, pieces: Pieces, spark: SparkSession) -> Column:
+    shared = spark.sparkContext.broadcast((pieces.scores, pieces.single(), pieces.byte_ids))
 
     @F.pandas_udf("array<int>")
-    def fold(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def fold(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         scores, single, byte_ids = shared.value
-        for names, edges in batches:
-            yield pd.Series([merge_fold(u, e, scores, single, byte_ids) for u, e in zip(names, edges)], dtype=object)
+        for names, ends, sizes, ids in batches:
+            out = []
+            for name, end, size, of in zip(names, ends, sizes, ids):
+                known = dict(zip(zip((end - size).tolist(), size.tolist()), of.tolist()))
+                out.append(merge_fold(name, known, scores, single, byte_ids))
+            yield pd.Series(out, dtype=object)
 
-    return lattices.select(F.col("unit").alias("word"), fold("unit", "edges").alias("ids"))
+    longer = F.filter(edges, lambda e: e["size"] > 1)
+    return fold(unit, longer["end"], longer["size"], longer["id"])
 
 
 def viterbi_encoded(unit_table: DataFrame, pieces: Pieces, unknown: float = -1e6) -> DataFrame:
-    """``word, ids`` of every unit with the largest sum of scores, for a model whose scores add up; all in expressions.
+    """``word, ids`` of every unit with the largest sum of scores; all in expressions.
 
-    The fold goes over the ends of the unit and keeps, for each position reached, the best sum and the ids so far. A
-    character that is no piece costs ``unknown`` and gets the unknown id 0. Ties go to the longer last piece.
+    A character that is no piece costs ``unknown`` and gives the pieces of its bytes. Ties go to the longer last piece.
     """
-    rows = lattice(unit_table, pieces, smallest=1, scored=True)
-    first = F.array(F.struct(F.lit(0.0).alias("sum"), F.array().cast("array<int>").alias("ids")))
-
-    def step(done: Column, end: Column) -> Column:
-        """``done`` holds the best of every position before ``end``."""
-        ending = F.filter("edges", lambda e: e["start"] + e["size"] == end)
-        alone = F.struct((end - 1).alias("start"), F.lit(1).alias("size"), F.lit(0).alias("id"), F.lit(unknown).alias("score"))
-        ways = F.transform(
-            F.when(F.exists(ending, lambda e: e["size"] == 1), ending).otherwise(F.concat(ending, F.array(alone))),
-            lambda e: F.struct(
-                (F.get(done, e["start"])["sum"] + e["score"]).alias("sum"),
-                e["size"].alias("size"),
-                F.concat(F.get(done, e["start"])["ids"], F.array(e["id"])).alias("ids"),
-            ),
-        )
-        best = F.array_max(ways)
-        return F.concat(done, F.array(F.struct(best["sum"].alias("sum"), best["ids"].alias("ids"))))
-
-    ids = F.aggregate(F.sequence(F.lit(1), F.length("unit")), first, step, lambda done: F.element_at(done, -1)["ids"])
-    return rows.select(F.col("unit").alias("word"), ids.alias("ids"))
+    return lattice(unit_table, pieces, unknown).select(F.col("unit").alias("word"), viterbi_ids(F.col("edges"), pieces).alias("ids"))
 
 
 def decode(ids, table: list[bytes]) -> str:
@@ -222,37 +308,105 @@ def decoded(ids: Column, pieces: Pieces, spark: SparkSession) -> Column:
     return join(ids)
 
 
-def encoded(docs: DataFrame, pieces: Pieces) -> DataFrame:
+#: Requests are answered in parts of this many.
+_ANSWERS = 1_000_000
+
+
+def _answers(folded: DataFrame, table: list[bytes]) -> DataFrame:
+    """``block, n, n_ids, packed`` from ``unit, ids, keys``: for each block the numbers of its units, their counts of ids,
+    whether their ids decode to the unit, and the ids, compressed."""
+    shared = folded.sparkSession.sparkContext.broadcast(table)
+
+    def packed(blocks: list[np.ndarray], at: list[np.ndarray], exact: list[np.ndarray], lists: list[pa.Array]) -> pa.RecordBatch:
+        names, number, same, ids = np.concatenate(blocks), np.concatenate(at), np.concatenate(exact), pa.concat_arrays(lists)
+        order = np.lexsort((number, names))
+        names, number, same, ids = names[order], number[order], same[order], ids.take(pa.array(order))
+        offsets, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
+        cuts = np.r_[np.flatnonzero(np.r_[True, names[1:] != names[:-1]]), len(names)]
+        out = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            numbers, sizes = np.diff(number[a:b], prepend=0).astype(np.int32), np.diff(offsets[a : b + 1]).astype(np.int32)
+            blob = zipped(numbers, sizes, same[a:b].astype(np.int32), flat[offsets[a] : offsets[b]].astype(np.int32))
+            out.append((int(names[a]), int(b - a), int(offsets[b] - offsets[a]), blob))
+        columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
+        return pa.RecordBatch.from_arrays(columns, names=["block", "n", "n_ids", "packed"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = ([], [], [], []), 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            same = []
+            for unit, ids in zip(batch["unit"].to_pylist(), batch["ids"].to_pylist()):
+                same.append(b"".join([shared.value[i] for i in ids]) == unit.replace(SPACE, " ").encode())
+            keys = batch["keys"]
+            of = np.repeat(np.arange(batch.num_rows), np.diff(keys.offsets.to_numpy()))
+            asked = keys.flatten()
+            found = (asked.field("block").to_numpy(), asked.field("i").to_numpy(), np.array(same)[of], batch["ids"].take(pa.array(of)))
+            for column, part in zip(held, found):
+                column.append(part)
+            n += len(of)
+            if n >= _ANSWERS:
+                yield packed(*held)
+                held, n = ([], [], [], []), 0
+        if n:
+            yield packed(*held)
+
+    return folded.select("unit", "ids", "keys").mapInArrow(pack, "block long, n long, n_ids long, packed binary")
+
+
+def encoded(docs: DataFrame, pieces: Pieces, fold: str = "merge") -> DataFrame:
     """``doc_id, pieces, n_pieces, exact``, one row per input row; ``exact``: decoding gives the whole text back.
 
+    ``fold`` is ``viterbi`` for the pieces with the largest sum of scores, or ``merge`` for those of ranked merges.
     NULL and empty texts have no pieces. U+2581 in a text is the model's own mark for a space and decodes as one; that
     does not count against ``exact``. ``docs`` must be a scan of files (see ``wordmap.per_block``).
     """
+    if fold not in ("viterbi", "merge"):
+        raise ValueError(f"no such fold: {fold}")
     key = docs.schema["doc_id"].dataType
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    dictionary = via_table(merge_encoded(lattice(distinct_units(rows), pieces), pieces), "pieces-units")
-    shared = docs.sparkSession.sparkContext.broadcast(pieces.as_bytes())
+
+    def answer(asked: DataFrame) -> DataFrame:
+        # Dealt by unit here, so neither the keys nor the edges of a unit are shuffled again.
+        dealt = asked.withColumnRenamed("word", "unit").repartition("unit")
+        edges = lattice(dealt.groupBy("unit").agg(F.collect_list(F.struct("block", "i")).alias("keys")), pieces)
+        ids = viterbi_ids(F.col("edges"), pieces) if fold == "viterbi" else merge_ids(F.col("unit"), F.col("edges"), pieces, spark)
+        return _answers(edges.withColumn("ids", ids), pieces.as_bytes())
 
     def finish(rows: pd.DataFrame, words: list[str], numbers: list[np.ndarray], answers: pa.Table) -> pa.Table:
-        lists = pa.chunked_array(answers["ids"].chunks, pa.list_(pa.int32())).combine_chunks()
-        at, offsets, flat = answers["i"].to_numpy(), lists.offsets.to_numpy(), lists.values.to_numpy()
-        begin, size = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
-        begin[at], size[at] = offsets[:-1], np.diff(offsets)
-        if not size.all():
-            raise RuntimeError(f"{(size == 0).sum()} units of a block have no pieces: the scan gave other blocks")
-        table, taken, ends, exact = shared.value, [np.empty(0, dtype=np.int32)], [0], []
-        for line, text in zip(numbers, rows["text"]):
+        flat, begin, size, same, at = [np.zeros(0, np.int32)], [], [], [], []
+        total = 0
+        for n, n_ids, blob in zip(answers["n"].to_pylist(), answers["n_ids"].to_pylist(), answers["packed"]):
+            raw = np.frombuffer(unzipped(blob.as_py(), 4 * (3 * n + n_ids)), dtype=np.int32)
+            number, sizes, good, ids = np.split(raw, [n, 2 * n, 3 * n])
+            at.append(np.cumsum(number))
+            size.append(sizes)
+            same.append(good)
+            begin.append(total + np.cumsum(sizes) - sizes)
+            flat.append(ids)
+            total += n_ids
+        n_words = 1 + max((int(line.max()) for line in numbers if len(line)), default=-1)
+        begins, sizes, exacts = (np.zeros(n_words, np.int64) for _ in range(3))
+        if at:
+            place = np.concatenate(at)
+            begins[place], sizes[place], exacts[place] = np.concatenate(begin), np.concatenate(size), np.concatenate(same)
+        if not sizes.all():
+            raise RuntimeError(f"{(sizes == 0).sum()} units of a block have no pieces: the scan gave other blocks")
+        ids, taken, ends, exact = np.concatenate(flat), [np.zeros(0, np.int32)], [0], []
+        for line in numbers:
             # The ids of a text: the runs of its units in the flat list, one after the other.
-            lengths = size[line]
+            lengths = sizes[line]
             last = np.cumsum(lengths)
-            total = int(last[-1]) if len(last) else 0
-            ids = flat[np.repeat(begin[line] - last + lengths, lengths) + np.arange(total)]
-            taken.append(ids)
-            ends.append(ends[-1] + total)
-            exact.append(decode(ids.tolist(), table) == text.replace(SPACE, " "))
-        whole = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(taken), pa.int32()))
-        columns = [pa.array(rows["doc_id"], pa.string()), whole, pa.array(np.diff(ends), pa.int64()), pa.array(exact, pa.bool_())]
+            whole = int(last[-1]) if len(last) else 0
+            taken.append(ids[np.repeat(begins[line] - last + lengths, lengths) + np.arange(whole)])
+            ends.append(ends[-1] + whole)
+            exact.append(bool(exacts[line].all()))
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(taken), pa.int32()))
+        columns = [pa.array(rows["doc_id"], pa.string()), lists, pa.array(np.diff(ends), pa.int64()), pa.array(exact, pa.bool_())]
         return pa.table(columns, names=["doc_id", "pieces", "n_pieces", "exact"])
 
-    found = per_block(rows, units, dictionary, finish, "doc_id string, pieces array<int>, n_pieces long, exact boolean")
+    schema = "doc_id string, pieces array<int>, n_pieces long, exact boolean"
+    found = per_block(rows, units_of(pieces), answer, finish, schema, keep_words=False)
     return found.withColumn("doc_id", F.col("doc_id").cast(key))

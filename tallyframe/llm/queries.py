@@ -101,7 +101,7 @@ def op8_class_bigrams(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered()
 def op9_piece_lattice(spark: SparkSession, folder: str) -> DataFrame:
-    return pieces.encoded(table(spark, folder, "documents"), pieces.read_pieces())
+    return pieces.encoded(table(spark, folder, "documents"), pieces.read_pieces(), fold="viterbi")
 
 
 _TERMS = r"""unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

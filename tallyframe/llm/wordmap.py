@@ -1,14 +1,16 @@
-"""Give every word of every text a value from a table of words, without a row per word of a text.
+"""Give every word of every text a value found by a distributed job, without a row per word of a text.
 
-Rows of a scan are cut into blocks. A block asks once for each of its distinct words; the requests are joined with the
-word table, and the answers meet the block again. The texts travel compressed, once. So what is shuffled are distinct
-words per block, a fraction of all words, and no side is broadcast: the word table may have any size. A word of all
-blocks is a hot key whose other side is a single row, which Spark splits.
+Rows of a scan are cut into blocks, at most a task's rows each. A block asks once for each of its distinct words; what
+the requests find comes back to the block, which meanwhile travels as the compressed numbers of its words. So what is
+shuffled are distinct words per block, a fraction of all words, and no table of words is broadcast. A word of all blocks
+has one request a block.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -20,87 +22,107 @@ from pyspark.sql.types import StructType
 
 from tallyframe.llm.common import chunks
 
-BLOCK_CHARS = 8_000_000
+#: A block ends after this many characters or distinct words.
+BLOCK_CHARS, BLOCK_WORDS = 32_000_000, 600_000
+_FRAME_CHARS = 2_000_000
 
 Tokens = Callable[[str], list[str]]
 
 
-def distinct_words(texts: pd.Series, tokens_of: Tokens) -> list[str]:
-    """The distinct words of a block in order of first use."""
-    seen: dict[str, None] = {}
-    for text in texts:
-        seen.update(dict.fromkeys(tokens_of(text or "")))
-    return list(seen)
+@dataclass
+class Block:
+    name: int
+    rows: pd.DataFrame  # all columns but the text
+    words: list[str]  # distinct, in order of first use
+    numbers: list[np.ndarray]  # of the words of each text
 
 
-def indexed(texts: pd.Series, tokens_of: Tokens) -> tuple[list[str], list[np.ndarray]]:
-    """The words that ``distinct_words`` gives, and for each text the numbers of its words."""
-    number: dict[str, int] = {}
-    rows = []
-    for text in texts:
-        line = tokens_of(text or "")
-        for word in dict.fromkeys(line):
-            number.setdefault(word, len(number))
-        rows.append(np.fromiter(map(number.__getitem__, line), dtype=np.int32, count=len(line)))
-    return list(number), rows
+def blocks_of(frames: Iterator[pd.DataFrame], tokens_of: Tokens) -> Iterator[Block]:
+    """The rows of a task in blocks. A block is named by its contents, so passes over the same scan agree, after a lost
+    executor too."""
+    rows: list[pd.DataFrame] = []
+    for frame in chunks(frames, "text", _FRAME_CHARS):
+        if not len(frame):
+            continue
+        if not rows:
+            number: defaultdict[str, int] = defaultdict()
+            number.default_factory = number.__len__
+            lines, chars, digest = [], 0, xxhash.xxh3_64()
+        for key, text in zip(frame.iloc[:, 0], frame["text"]):
+            digest.update(f"{key}\x00{text}\x00".encode("utf-8", "surrogatepass"))
+            line = tokens_of(text or "")
+            lines.append(np.fromiter(map(number.__getitem__, line), dtype=np.int32, count=len(line)))
+            chars += len(text or "")
+        rows.append(frame.drop(columns="text"))
+        if chars >= BLOCK_CHARS or len(number) >= BLOCK_WORDS:
+            yield Block(digest.intdigest() - (1 << 63), pd.concat(rows, ignore_index=True), list(number), lines)
+            rows = []
+    if rows:
+        yield Block(digest.intdigest() - (1 << 63), pd.concat(rows, ignore_index=True), list(number), lines)
 
 
-def _block_number(frame: pd.DataFrame) -> int:
-    """Names a block by its contents, so both passes over the same scan agree, after a lost executor too."""
-    digest = xxhash.xxh3_64()
-    for key, text in zip(frame.iloc[:, 0], frame["text"]):
-        digest.update(f"{key}\x00{text}\x00".encode("utf-8", "surrogatepass"))
-    return digest.intdigest() - (1 << 63)
+def zipped(*arrays: np.ndarray) -> bytes:
+    return pa.compress(b"".join(a.tobytes() for a in arrays), codec="zstd", asbytes=True)
 
 
-def _packed(frame: pd.DataFrame, schema: pa.Schema) -> bytes:
+def unzipped(blob: bytes, size: int) -> bytes:
+    return pa.decompress(blob, size, codec="zstd", asbytes=True)
+
+
+def _packed(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_table(pa.Table.from_pandas(frame, schema=schema, preserve_index=False))
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
     return sink.getvalue().to_pybytes()
 
 
-def _unpacked(blob: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(blob).read_pandas()
+def _unpacked(blob: bytes) -> pa.Table:
+    return pa.ipc.open_stream(blob).read_all()
 
 
 def per_block(
     docs: DataFrame,
     tokens_of: Tokens,
-    values: DataFrame,
+    answer: Callable[[DataFrame], DataFrame],
     finish: Callable[[pd.DataFrame, list[str], list[np.ndarray], pa.Table], pa.Table],
     schema: str,
+    keep_words: bool = True,
 ) -> DataFrame:
-    """``finish(rows, words, numbers, answers)`` for every block: its rows of ``docs`` (a key column and ``text``), its
-    distinct words, the word numbers of each text, and ``i`` (word number) with the columns of ``values`` for the words
-    that ``values`` (``word`` and others, one row per word) has. Answers stay Arrow columns, without an object per word;
-    where two blocks are equal they come twice.
+    """``finish(rows, words, numbers, answers)`` for every block: its rows of ``docs`` (a key column and others, without
+    ``text``), its distinct words (none unless ``keep_words``), the word numbers of each text, and the rows that
+    ``answer`` gives for it.
 
-    ``docs`` must be a scan of files or a projection of one, so that both passes cut the same blocks.
+    ``answer`` takes ``block, i, word`` (i: the word's number) and gives rows with a ``block``; they stay Arrow columns,
+    without an object per word, and come twice where two blocks are equal. ``docs`` must be a scan of files or a
+    projection of one, so that both passes cut the same blocks.
     """
-    arrow = to_arrow_schema(docs.schema)
+    kept = to_arrow_schema(docs.drop("text").schema)
     result = to_arrow_schema(StructType.fromDDL(schema))
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in chunks(frames, "text", BLOCK_CHARS):
-            if len(frame):
-                yield pd.DataFrame({"block": [_block_number(frame)], "words": [distinct_words(frame["text"], tokens_of)]})
+        for block in blocks_of(frames, tokens_of):
+            yield pd.DataFrame({"block": [block.name], "words": [block.words]})
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in chunks(frames, "text", BLOCK_CHARS):
-            if len(frame):
-                yield pd.DataFrame({"block": [_block_number(frame)], "rows": [_packed(frame, arrow)]})
+        for block in blocks_of(frames, tokens_of):
+            rows = pa.Table.from_pandas(block.rows, schema=kept, preserve_index=False)
+            rows = rows.append_column("size of line", pa.array(map(len, block.numbers), pa.int64()))
+            words = _packed(pa.table({"word": pa.array(block.words if keep_words else [], pa.string())}))
+            numbers = zipped(*block.numbers)
+            yield pd.DataFrame({"block": [block.name], "rows": [_packed(rows)], "words": [words], "numbers": [numbers]})
 
     asked = docs.mapInPandas(ask, "block long, words array<string>").select("block", F.posexplode("words").alias("i", "word"))
-    answers = asked.join(values, "word").drop("word")
-    blocks = docs.mapInPandas(pack, "block long, rows binary")
+    packed = docs.mapInPandas(pack, "block long, rows binary, words binary, numbers binary")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         done = []
-        for blob in left["rows"]:  # more than one only where blocks are equal
-            frame = _unpacked(blob.as_py())
-            words, numbers = indexed(frame["text"], tokens_of)
-            done.append(finish(frame, words, numbers, right))
+        for line in left.to_pylist():  # more than one only where blocks are equal
+            rows = _unpacked(line["rows"])
+            sizes = rows["size of line"].to_numpy()
+            flat = np.frombuffer(unzipped(line["numbers"], 4 * int(sizes.sum())), dtype=np.int32)
+            words = _unpacked(line["words"])["word"].to_pylist()
+            numbers = np.split(flat, np.cumsum(sizes)[:-1])
+            done.append(finish(rows.drop_columns("size of line").to_pandas(), words, numbers, right))
         return pa.concat_tables(done) if done else result.empty_table()
 
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, schema)
+    return packed.groupBy("block").cogroup(answer(asked).groupBy("block")).applyInArrow(meet, schema)

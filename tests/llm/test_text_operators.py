@@ -426,6 +426,65 @@ def test_viterbi_matches_all_segmentations(spark):
         assert sum(scores[i] if i else -1e6 for i in row["ids"]) == pytest.approx(best(row["word"]))
 
 
+def naive_viterbi(text, table):
+    """The largest sum of scores over the whole text, character by character, without units."""
+    score = {table.names[i]: table.scores[i] for i in table.usable}
+    unknown, longest = min(score.values()) - 10, table.longest
+    text = "▁" + text.replace(" ", "▁")
+    best = [0.0]
+    for end in range(1, len(text) + 1):
+        ways = [best[end - n] + score[text[end - n : end]] for n in range(1, min(end, longest) + 1) if text[end - n : end] in score]
+        best.append(max([*ways, *([] if text[end - 1] in score else [best[end - 1] + unknown])]))
+    return best[-1], unknown
+
+
+def test_viterbi_pieces_have_the_largest_sum_of_scores(spark, odd, nothing, given, tmp_path):
+    table = pieces.read_pieces()
+    more = [(20, "a   b\n\n  c\t d ▁ e", "en", "a"), (21, "x" * 3000 + "é" * 700, "en", "a"), (22, " ", "en", "a"), (23, "ab𐍈c☃ߐ 語語語 \r\n<s>", "en", "a")]
+    docs_of(spark, more).write.parquet(str(tmp_path / "more"))
+    for docs in (odd, spark.read.parquet(str(tmp_path / "more")), given[0].limit(150)):
+        docs.write.mode("overwrite").parquet(str(tmp_path / "docs"))
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+        rows = pieces.encoded(docs, table, fold="viterbi").collect()
+        texts = Counter((r["doc_id"], (r["text"] or "").replace("▁", " ")) for r in docs.collect())
+        assert Counter((r["doc_id"], pieces.decode(r["pieces"], table.as_bytes())) for r in rows) == texts
+        by_id = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+        once = {i for i, n in Counter(r["doc_id"] for r in rows).items() if n == 1}
+        byte_ids = set(table.byte_ids)
+        for row in rows:
+            assert row["exact"] and row["n_pieces"] == len(row["pieces"])
+            if row["doc_id"] in once and by_id[row["doc_id"]]:
+                best, unknown = naive_viterbi(by_id[row["doc_id"]], table)
+                raw = b"".join(bytes([table.byte_ids.index(i)]) for i in row["pieces"] if i in byte_ids)
+                found = sum(table.scores[i] for i in row["pieces"] if i not in byte_ids) + unknown * len(raw.decode())
+                assert found == pytest.approx(best)
+    assert pieces.encoded(nothing, table, fold="viterbi").count() == 0
+
+
+def test_units_are_cut_where_no_piece_spans(given):
+    table = pieces.read_pieces()
+    cut = pieces.units_of(table)
+    inside = {pair for i in table.usable for pair in zip(table.names[i], table.names[i][1:])}
+    for text in ("", "a, b.c 12 34\n\n ü-x▁y  z", "x" * 100_000, "é!" * 1000):
+        found = cut(text)
+        assert "".join(found) == ("▁" + text.replace(" ", "▁") if text else "")
+        assert not any((a[-1], b[0]) in inside for a, b in zip(found, found[1:]))
+
+
+def test_a_unit_of_20000_characters_folds_in_parts(spark):
+    names = ("<unk>", "a", "b", "ab", "ba", "aba", "bab", "abab")
+    scores = (0.0, -2.0, -2.5, -3.0, -3.1, -4.4, -4.0, -7.0)
+    table = pieces.Pieces(names, scores, tuple(range(1, 8)), tuple([0] * 256))
+    draw = random.Random(3)
+    word = "".join(draw.choice("ab") for _ in range(20_000))
+    best = [0.0]
+    for end in range(1, len(word) + 1):
+        best.append(max(best[end - len(names[i])] + scores[i] for i in range(1, 8) if word.endswith(names[i], max(0, end - 4), end)))
+    (row,) = pieces.viterbi_encoded(spark.createDataFrame([(word,)], "unit string"), table).collect()
+    assert "".join(names[i] for i in row["ids"]) == word
+    assert sum(scores[i] for i in row["ids"]) == pytest.approx(best[-1])
+
+
 # ---------------------------------------------------------------- rollups
 
 
