@@ -96,9 +96,9 @@ def unit_pattern(pieces: Pieces) -> re.Pattern:
     for i in pieces.usable:
         for a, b in zip(pieces.names[i], pieces.names[i][1:]):
             after[_kind(a)].add(_kind(b))
-    # Kinds with the same kinds after them share a branch; runs of letters come first, as most of a text is letters.
+    # Kinds with the same kinds after them share a branch; the commonest kinds come first.
     branches: dict[str, list[str]] = defaultdict(list)
-    for kind in sorted(after, key=lambda k: k != "letter"):
+    for kind in sorted(after, key=lambda k: (k != "letter", k != SPACE, k != "wide")):
         branches["".join(_KINDS[k] for k in _KINDS if k in after[kind])].append(kind)
     parts = []
     for follows, kinds in branches.items():
@@ -131,21 +131,20 @@ def lattice(unit_table: DataFrame, pieces: Pieces, unknown: float | None = None)
     begins = F.sequence(F.lit(0), F.floor((F.length("unit") - 1) / SEGMENT).cast("int") * SEGMENT, F.lit(SEGMENT))
     parts = unit_table.select("unit", *others, F.explode(begins).alias("begin"))
     parts = parts.withColumn("part", F.substring("unit", F.col("begin") + 1, F.lit(SEGMENT + longest - 1)))
-    n = F.length("part")
-
-    def from_start(i: Column) -> Column:
-        sizes = F.sequence(F.lit(1), F.least(F.lit(longest), n - i))
-        return F.transform(sizes, lambda size: F.struct((F.col("begin") + i + size).alias("end"), size.alias("size"), F.substring("part", i + 1, size).alias("piece")))
-
-    starts = F.sequence(F.lit(0), F.least(n - 1, F.lit(SEGMENT - 1)))
-    substrings = parts.select("unit", *others, F.explode(F.flatten(F.transform(starts, from_start))).alias("s"))
-    alone = F.col("s.size") == 1
-    first = alone & (F.col("s.end") == 1)
-    substrings = substrings.select("unit", "s.end", "s.size", "s.piece", *(F.when(first, F.col(c)).alias(c) for c in others))
+    # One number per start and size: rows of plain numbers stay in generated code, arrays of substrings would not.
+    n, width = F.length("part"), F.least(F.lit(longest), F.length("part"))
+    numbers = F.sequence(F.lit(0), F.least(n, F.lit(SEGMENT)) * width - 1)
+    cells = parts.select("unit", *others, "begin", "part", width.alias("width"), F.explode(numbers).alias("k"))
+    start, size = F.floor(F.col("k") / F.col("width")).cast("int"), F.col("k") % F.col("width") + 1
+    cells = cells.withColumn("start", start).withColumn("size", size).filter(F.col("start") + F.col("size") <= F.length("part"))
+    end = F.col("begin") + F.col("start") + F.col("size")
+    piece = F.substring("part", F.col("start") + 1, F.col("size"))
+    substrings = cells.select("unit", end.alias("end"), "size", piece.alias("piece"), *(F.when(end == 1, F.col(c)).alias(c) for c in others))
     edges = substrings.join(table, "piece", "left").filter((F.col("size") == 1) | F.col("id").isNotNull())
     edge = F.struct("end", "size", F.coalesce("id", -1 - F.ascii("piece")).alias("id"), F.coalesce("score", F.lit(unknown)).alias("score"))
     kept = [F.first(c, ignorenulls=True).alias(c) for c in others]
-    return edges.groupBy("unit").agg(F.sort_array(F.collect_list(edge)).alias("edges"), *kept)
+    # The hash only makes sorting cheap: rows are dealt by unit, and numbers compare faster than texts.
+    return edges.groupBy(F.xxhash64("unit").alias("hash"), "unit").agg(F.sort_array(F.collect_list(edge)).alias("edges"), *kept).drop("hash")
 
 
 def _viterbi(edges: Column, longest: int) -> Column:
@@ -371,7 +370,8 @@ def encoded(docs: DataFrame, pieces: Pieces, fold: str = "merge") -> DataFrame:
     def answer(asked: DataFrame) -> DataFrame:
         # Dealt by unit here, so neither the keys nor the edges of a unit are shuffled again.
         dealt = asked.withColumnRenamed("word", "unit").repartition("unit")
-        edges = lattice(dealt.groupBy("unit").agg(F.collect_list(F.struct("block", "i")).alias("keys")), pieces)
+        keys = F.collect_list(F.struct("block", "i")).alias("keys")
+        edges = lattice(dealt.groupBy(F.xxhash64("unit").alias("hash"), "unit").agg(keys).drop("hash"), pieces)
         ids = viterbi_ids(F.col("edges"), pieces) if fold == "viterbi" else merge_ids(F.col("unit"), F.col("edges"), pieces, spark)
         return _answers(edges.withColumn("ids", ids), pieces.as_bytes())
 
@@ -394,16 +394,15 @@ def encoded(docs: DataFrame, pieces: Pieces, fold: str = "merge") -> DataFrame:
             begins[place], sizes[place], exacts[place] = np.concatenate(begin), np.concatenate(size), np.concatenate(same)
         if not sizes.all():
             raise RuntimeError(f"{(sizes == 0).sum()} units of a block have no pieces: the scan gave other blocks")
-        ids, taken, ends, exact = np.concatenate(flat), [np.zeros(0, np.int32)], [0], []
-        for line in numbers:
+        counts = [int(sizes[line].sum()) for line in numbers]
+        ends = np.cumsum([0, *counts])
+        ids, taken = np.concatenate(flat), np.empty(ends[-1], np.int32)
+        for line, stop, count in zip(numbers, ends[1:], counts):
             # The ids of a text: the runs of its units in the flat list, one after the other.
             lengths = sizes[line]
-            last = np.cumsum(lengths)
-            whole = int(last[-1]) if len(last) else 0
-            taken.append(ids[np.repeat(begins[line] - last + lengths, lengths) + np.arange(whole)])
-            ends.append(ends[-1] + whole)
-            exact.append(bool(exacts[line].all()))
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(taken), pa.int32()))
+            taken[stop - count : stop] = ids[np.repeat(begins[line] - np.cumsum(lengths) + lengths, lengths) + np.arange(count)]
+        exact = [bool(exacts[line].all()) for line in numbers]
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(taken))
         columns = [pa.array(rows["doc_id"], pa.string()), lists, pa.array(np.diff(ends), pa.int64()), pa.array(exact, pa.bool_())]
         return pa.table(columns, names=["doc_id", "pieces", "n_pieces", "exact"])
 

@@ -23,7 +23,7 @@ from pyspark.sql.types import StructType
 from tallyframe.llm.common import chunks
 
 #: A block ends after this many characters or distinct words.
-BLOCK_CHARS, BLOCK_WORDS = 32_000_000, 600_000
+BLOCK_CHARS, BLOCK_WORDS = 16_000_000, 400_000
 _FRAME_CHARS = 2_000_000
 
 Tokens = Callable[[str], list[str]]
