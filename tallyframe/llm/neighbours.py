@@ -26,6 +26,8 @@ from tallyframe.llm.common import via_table
 
 BLOCK_ROWS = 16_384
 QUERY_ROWS = 50_000
+#: Scores held at once, of queries with ids.
+_CELLS = 4_000_000
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -44,13 +46,16 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
 
 
 def classes_of(rows: DataFrame, most_ids: int) -> DataFrame:
-    """``class`` (smallest id), ``vector`` and ``ids``, the ``most_ids`` smallest ids, of each distinct vector.
+    """``class`` (a number), ``mark`` (a hash of the vector), ``vector`` and ``ids``, the ``most_ids`` smallest ids, of
+    each distinct vector.
 
-    More ids than that cannot be among as many nearest: copies tie, and ties go to smaller ids.
+    More ids than that cannot be among as many nearest: copies tie, and ties go to smaller ids. Numbers hold once the
+    table is stored; samples and blocks go by ``mark``, so that reruns agree.
     """
     order = Window.partitionBy("vector").orderBy("id")
     first = rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most_ids)
-    return first.groupBy("vector").agg(F.min("id").alias("class"), F.array_sort(F.collect_list("id")).alias("ids"))
+    found = first.groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    return found.select(F.monotonically_increasing_id().alias("class"), F.xxhash64("vector").alias("mark"), "vector", "ids")
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -68,17 +73,34 @@ def _asked(vectors: np.ndarray) -> np.ndarray:
     return np.hstack([vectors, np.zeros((len(vectors), 1))]).astype(np.float32)
 
 
-def _best(queries: np.ndarray, asked: np.ndarray, members: np.ndarray, ids: np.ndarray, k: int) -> Iterator[pd.DataFrame]:
-    """The k members with the largest inner product for each query, ties to smaller ids."""
-    for begin in range(0, len(asked), 512):
-        part = asked[begin : begin + 512]
-        scores = part @ members.T
-        n = min(k, len(ids))
-        for row in range(len(part)):
-            line = scores[row]
-            near = np.flatnonzero(line >= np.partition(line, len(ids) - n)[len(ids) - n])
-            near = near[np.lexsort((ids[near], -line[near]))][:n]
-            yield pd.DataFrame({"query": queries[begin + row], "class": ids[near], "score": line[near]})
+def _best(queries: np.ndarray, asked: np.ndarray, members: np.ndarray, sizes: np.ndarray, ids: np.ndarray, k: int) -> pd.DataFrame:
+    """``query, id, score``: the k ids with the largest inner product for each query, ties to smaller ids.
+
+    Member ``i`` has ``sizes[i]`` of the ``ids``, which follow each other. An id of several members counts once, with
+    the best of them.
+    """
+    if not len(asked) or not len(ids):
+        return pd.DataFrame({"query": [], "id": [], "score": []}).astype({"query": "int64", "id": "int64", "score": "float64"})
+    order = np.argsort(ids, kind="stable")
+    member, sorted_ids = np.repeat(np.arange(len(members)), sizes)[order], ids[order]
+    begins = np.flatnonzero(np.r_[True, sorted_ids[1:] != sorted_ids[:-1]])
+    names, n = sorted_ids[begins], min(k, len(begins))
+    step = max(1, _CELLS // max(len(ids), 1))
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for begin in range(0, len(asked), step):
+        scores = (asked[begin : begin + step] @ members.T)[:, member]
+        if len(begins) < len(ids):
+            scores = np.maximum.reduceat(scores, begins, axis=1)
+        least = np.partition(scores, len(names) - n, axis=1)[:, len(names) - n]
+        row, column = np.nonzero(scores >= least[:, None])
+        found = scores[row, column]
+        # Columns stand by id, so a stable order by score leaves ties to smaller ids.
+        by = np.lexsort((-found, row))
+        row, column, found = row[by], column[by], found[by]
+        first = np.searchsorted(row, np.arange(len(scores)))
+        near = np.arange(len(row)) - first[row] < n
+        out.append((queries[begin + row[near]], names[column[near]], found[near]))
+    return pd.DataFrame(dict(zip(("query", "id", "score"), map(np.concatenate, zip(*out)))))
 
 
 def _brute_force(classes: DataFrame, probes: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -88,7 +110,8 @@ def _brute_force(classes: DataFrame, probes: pd.DataFrame, k: int) -> pd.DataFra
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
-                yield pd.concat(_best(names, asked, _matrix(frame["vector"]), frame["class"].to_numpy(), k))
+                ids = frame["class"].to_numpy()
+                yield _best(names, asked, _matrix(frame["vector"]), np.ones(len(ids), np.int64), ids, k).rename(columns={"id": "class"})
 
     near = classes.select("class", "vector").mapInPandas(scan, "query long, class long, score double")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "class")
@@ -126,7 +149,9 @@ def nearest(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: up to ``k`` nearest rows for every row that ``is_query`` (over ``id``) selects.
 
-    A row is no neighbour of its own id. Rows with unusable vectors take no part, on either side (see ``usable``).
+    A row is no neighbour of its own id. Rows with unusable vectors take no part, on either side (see ``usable``). An id
+    with several vectors is one candidate, and as a query has one list: a pair of ids has the largest inner product of
+    any of their vectors.
     ``sample_rows`` bounds what the forest is fitted on and ``probe_rows`` what the number of visits is measured on;
     the depth follows the number of vectors, from 7 levels up to what the sample can bear.
     """
@@ -143,10 +168,10 @@ def nearest(
     def bounded(table: DataFrame, most: int, of: int, salt: int) -> pd.DataFrame:
         """About ``most`` rows by a hash of the class; at most twice as many."""
         share = min(1.0, most / of)
-        part = table.filter(F.pmod(F.xxhash64(F.lit(salt), "class"), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
-        return part.select("class", "vector").limit(2 * most).toPandas().sort_values("class", ignore_index=True)
+        part = table.filter(F.pmod(F.xxhash64(F.lit(salt), "mark"), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
+        return part.select("class", "mark", "vector").limit(2 * most).toPandas().sort_values("mark", ignore_index=True)
 
-    asking = via_table(classes.join(wanted.select("vector").distinct(), "vector", "left_semi").select("class", "vector"), "nearest-asking")
+    asking = via_table(classes.join(wanted.select("vector").distinct(), "vector", "left_semi").select("class", "mark", "vector"), "nearest-asking")
     asked = asking.count()
     if not asked:
         return empty
@@ -167,11 +192,12 @@ def nearest(
             if len(frame):
                 yield frame.assign(leaf=list(trees_of.leaf_numbers(shared.value, _lifted(_matrix(frame["vector"]), longest))))
 
-    member = "class long, vector array<double>, leaf array<long>"
-    placed = via_table(classes.select("class", "vector").mapInPandas(leaves, member).select("class", "vector", F.explode("leaf").alias("leaf")), "nearest-members")
+    member = "mark long, vector array<double>, ids array<long>, leaf array<long>"
+    placed = classes.select("mark", "vector", "ids").mapInPandas(leaves, member)
+    placed = via_table(placed.select("mark", "vector", "ids", F.explode("leaf").alias("leaf")), "nearest-members")
     # One row per leaf: a table whose size the parameters bound.
-    blocks = F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int")
-    sizes = {r["leaf"]: r["blocks"] for r in placed.groupBy("leaf").agg(blocks.alias("blocks")).collect()}
+    sizes = {r["leaf"]: r["blocks"] for r in placed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks")).collect()}
+    blocks = F.broadcast(spark.createDataFrame(list(sizes.items()), "leaf long, blocks int"))
     parts = math.ceil(4 * asked * visits / (trees * (1 << depth)) / QUERY_ROWS)
 
     def visited(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -182,32 +208,32 @@ def nearest(
                 to = [[(int(leaf), b) for leaf in line for b in range(sizes.get(int(leaf), 0))] for line in found]
                 yield part.assign(to=to)
 
-    goes = asking.mapInPandas(visited, "class long, vector array<double>, to array<struct<leaf:long,block:int>>")
+    goes = asking.select("class", "vector").mapInPandas(visited, "class long, vector array<double>, to array<struct<leaf:long,block:int>>")
     goes = goes.select(F.col("class").alias("query"), F.col("vector").alias("asked"), F.explode("to").alias("to")).select(
         "query", "asked", "to.leaf", "to.block", F.pmod(F.xxhash64("query"), F.lit(parts)).cast("int").alias("part")
     )
-    in_block = F.pmod(F.xxhash64("class"), F.element_at(F.create_map(*(F.lit(x) for pair in sizes.items() for x in pair)), F.col("leaf"))).cast("int")
-    members = placed.withColumn("block", in_block).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    in_block = F.pmod(F.xxhash64("mark"), F.col("blocks")).cast("int")
+    members = placed.join(blocks, "leaf").select("leaf", "vector", "ids", in_block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = [pd.DataFrame({"query": [], "class": [], "score": []})]
-        if len(left) and len(right):
-            found = _best(left["query"].to_numpy(), _matrix(left["asked"]), _matrix(right["vector"]), right["class"].to_numpy(), k + 1)
-        return pd.concat(found).astype({"query": "int64", "class": "int64", "score": "float64"})
+        ids = right["ids"].to_numpy()
+        sizes_of = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.concatenate([np.zeros(0, np.int64), *ids])
+        return _best(left["query"].to_numpy(), _matrix(left["asked"]), _matrix(right["vector"]), sizes_of, flat, k + 1)
 
     key = ["leaf", "block", "part"]
-    near = goes.groupBy(key).cogroup(members.groupBy(key)).applyInPandas(best, "query long, class long, score double")
-    # A class found through several trees has one score up to rounding.
-    near = near.groupBy("query", "class").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "class")
-    near = near.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1).drop("place")
+    near = goes.groupBy(key).cogroup(members.groupBy(key)).applyInPandas(best, "query long, id long, score double")
 
-    ids = classes.select("class", F.explode("ids").alias("vec_id"))
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    lists = near.join(ids, "class").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1)
-    lists = via_table(lists.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("place", "vec_id", "score"))).alias("near")), "nearest-lists")
+    def nearest_ids(found: DataFrame, of: str, most: int) -> DataFrame:
+        """The nearest ``most`` ids for each ``of``. An id found several times counts once, with its best score."""
+        order = Window.partitionBy(of).orderBy(F.desc("score"), "id")
+        once = found.groupBy(of, "id").agg(F.max("score").alias("score"))
+        return once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
 
+    # One list per distinct vector, shared by all ids that have it.
+    lists = nearest_ids(near, "query", k + 1).groupBy("query").agg(F.collect_list(F.struct("id", "score")).alias("near"))
+    lists = via_table(lists, "nearest-lists")
     named = wanted.join(classes.select("vector", F.col("class").alias("query")), "vector").select(F.col("id").alias("query_id"), "query")
-    others = F.slice(F.filter("near", lambda n: n["vec_id"] != F.col("query_id")), 1, k)
-    final = named.join(lists, "query").select("query_id", F.posexplode(others).alias("at", "n"))
-    return final.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("n.vec_id").alias("vec_id"), F.col("n.score").alias("score"))
+    others = named.join(lists, "query").select("query_id", F.explode("near").alias("n")).select("query_id", "n.id", "n.score")
+    final = nearest_ids(others.filter(F.col("id") != F.col("query_id")), "query_id", k)
+    return final.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"), "score")

@@ -1,6 +1,7 @@
 """Neighbours, reply trees, mixing, components, the pipeline, and the registered queries."""
 
 import hashlib
+import math
 import os
 import random
 from collections import Counter, defaultdict
@@ -65,6 +66,48 @@ def test_neighbours_of_odd_vectors(spark):
     assert neighbours.nearest(table.filter("vec_id = 20"), F.col("id") % 20 == 0).count() == 0
 
 
+def test_neighbours_of_repeated_ids(spark):
+    """Ids with several vectors, as queries and as candidates, and vectors of several ids."""
+    draw = np.random.default_rng(8)
+    vectors = [(i, draw.standard_normal(6).round(2).tolist()) for i in range(60)]
+    vectors += [(20, draw.standard_normal(6).round(2).tolist()) for _ in range(90)]  # a hot id
+    vectors += [(i, vectors[i // 2][1]) for i in range(0, 60, 3)]  # copies under other ids
+    vectors += [(33, [3.0 * x for x in v]) for _, v in vectors[:30]]
+    table = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    found = defaultdict(list)
+    for r in sorted(neighbours.nearest(table, F.col("id") % 20 == 0, recall=1.0).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        found[r["query_id"]].append((r["rank"], r["vec_id"], round(r["score"], 9)))
+    best = defaultdict(dict)
+    for i, v in vectors:
+        for j, w in vectors:
+            if i % 20 == 0 and i != j:
+                best[i][j] = max(best[i].get(j, -math.inf), float(np.dot(v, w)))
+    assert found.keys() == best.keys() == {0, 20, 40}
+    hits = 0
+    for query, rows in found.items():
+        assert [rank for rank, *_ in rows] == list(range(1, 21))
+        assert len({i for _, i, _ in rows}) == 20 and query not in {i for _, i, _ in rows}
+        truth = sorted((-round(s, 9), i) for i, s in best[query].items())[:20]
+        hits += len({(-s, i) for _, i, s in rows} & set(truth))
+    assert hits >= 0.9 * 60
+
+
+def test_best_of_a_block_against_a_plain_search():
+    draw = np.random.default_rng(2)
+    for _ in range(30):
+        n = int(draw.integers(1, 40))
+        members, asked = draw.integers(-2, 3, (n, 3)).astype(float), draw.integers(-2, 3, (5, 3)).astype(float)
+        sizes = draw.integers(1, 4, n)
+        ids = np.concatenate([draw.choice(25, s, replace=False) for s in sizes])
+        got = neighbours._best(np.arange(5) * 7, asked, members, sizes, ids, 6)
+        for q in range(5):
+            of = defaultdict(lambda: -math.inf)
+            for m, i in zip(np.repeat(np.arange(n), sizes), ids):
+                of[int(i)] = max(of[int(i)], float(asked[q] @ members[m]))
+            rows = got[got["query"] == q * 7]
+            assert list(zip(-rows["score"], rows["id"])) == sorted((-s, i) for i, s in of.items())[:6]
+
+
 def test_one_queue_visits_every_leaf_once_and_own_leaves_first():
     draw = np.random.default_rng(1)
     points = draw.standard_normal((500, 5)).astype(np.float32)
@@ -255,8 +298,16 @@ def test_queries_run_over_whole_tables(spark, name):
     out = QUERIES[name](spark, SF)
     rows = out.collect()
     assert rows
-    if name not in ("op1_nearest_vectors", "op4_reply_trees", "op10_token_rollups"):
-        assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    if name == "op11_ranked_search":
+        places = Counter(r["item_id"] for r in rows)
+        assert set(places.values()) <= set(range(1, 21)) and len(places) <= spark.read.parquet(f"{SF}/benchmark.parquet").count()
+    elif name == "op12_window_packing":
+        assert Counter(r["doc_id"] for r in rows if r["start"] == 0) == Counter(r["doc_id"] for r in docs.collect())
+    elif name == "op13_spelling_variants":
+        assert len({r["word"] for r in rows}) == len(rows)
+    elif name not in ("op1_nearest_vectors", "op4_reply_trees", "op10_token_rollups"):
+        assert len(rows) == docs.count()
     if name in ORACLES:
         duck = duckdb.connect()
         duck.sql(f"CREATE VIEW conversations AS SELECT * FROM '{os.path.join(SF, 'conversations.parquet')}'")
