@@ -1,9 +1,9 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Words become symbols (insult, threat, target, negation, reported speech, other), a clause becomes a string of symbols,
-and four small transducers composed into one rewrite it into weights: a negation before an insult, or a verb of saying
-before it, lowers what the insult adds; a target (a person addressed or meant) beside it, or a threat, raises it. A
-document's evidence is what its clauses add up to, and a logistic curve over that evidence gives the score.
+and small transducers composed into one rewrite it into weights: a negation before an insult, or a verb of saying
+before it, lowers what the insult adds; a target (a person addressed or meant) before or after it raises it; a threat
+counts in full only with a target after it. A document's evidence is what its clauses add up to, and a logistic curve over that evidence gives the score.
 
 Two things are learned, from labelled training rows only: which stems are insults and how much each weighs, and the
 curve. Both come from counts made on Spark, over at most a documented number of rows. A score sees the text alone.
@@ -12,6 +12,7 @@ Scoring is a map over rows.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 import re
@@ -26,6 +27,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyframe.llm.common import chunks, training_fold, via_table
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "insult", "threat", "target", "negation", "report", "other"
+#: An insult or a threat that somebody else said; no word gives it, only the grammar writes it.
+QUOTED = "quoted"
 
 #: Function words of the grammar. Insults are learned.
 LEXICON: dict[str, frozenset[str]] = {
@@ -52,7 +55,7 @@ class Transducer:
         return self.arcs.get((state, symbol), (self.start, symbol, 0.0))
 
 
-SYMBOLS = (INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER)
+SYMBOLS = (INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTED, OTHER)
 
 
 def compose(first: Transducer, second: Transducer) -> Transducer:
@@ -96,13 +99,20 @@ def base_weights(weights: Mapping[str, float]) -> Transducer:
 def grammar() -> Transducer:
     """Negation, then reported speech, then targets, then the weights of what is left, composed into one machine.
 
-    A negated insult is no insult any more; a reported one counts half; a target just before an insult or threat adds
-    to it. A threat alone, without a target, counts little: such verbs have harmless uses.
+    A negated insult is no insult any more; a reported one counts half, whoever it is aimed at. A target up to three
+    words before or after an insult adds half of it. A threat alone counts little, since such verbs have harmless uses; a
+    target before it adds some, one after it makes it count like an insult.
     """
-    negated = within(NEGATION, 3, [INSULT, THREAT], OTHER, 0.2)
-    reported = within(REPORT, 6, [INSULT, THREAT], None, -0.5)
-    aimed = within(TARGET, 3, [INSULT, THREAT], None, 0.5)
-    machine = compose(compose(compose(negated, reported), aimed), base_weights({INSULT: 1.0, THREAT: 0.1}))
+    parts = [
+        within(NEGATION, 3, [INSULT, THREAT], OTHER, 0.2),
+        within(REPORT, 6, [INSULT], QUOTED, 0.5),
+        within(REPORT, 6, [THREAT], QUOTED, 0.05),
+        within(TARGET, 3, [INSULT, THREAT], None, 0.5),
+        within(INSULT, 3, [TARGET], None, 0.5),
+        within(THREAT, 3, [TARGET], None, 0.9),
+        base_weights({INSULT: 1.0, THREAT: 0.1}),
+    ]
+    machine = functools.reduce(compose, parts)
     names = {state: i for i, state in enumerate(dict.fromkeys(itertools.chain([machine.start], (s for s, _ in machine.arcs))))}
     return Transducer(0, {(names[s], a): (names[t], o, w) for (s, a), (t, o, w) in machine.arcs.items()})
 
@@ -189,12 +199,13 @@ def _stem_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 _STEM_COUNTS = "stem string, texts_0 long, times_0 long, texts_1 long, times_1 long"
 
 
-def learned_stems(train: DataFrame, least_docs: int, least_share: float, least_ratio: float, most_stems: int) -> dict[str, float]:
+def learned_stems(train: DataFrame, least_docs: int, least_share: float, least_ratio: float) -> dict[str, float]:
     """Beginnings of words that mark toxic texts, each with its weight.
 
     A stem is in at least ``least_docs`` toxic texts and in ``least_share`` of them, and it is ``least_ratio`` times as
-    frequent in toxic text as in clean text; the weight is the logarithm of that ratio, at most 6. ``most_stems``
-    bounds the model that comes to the driver.
+    frequent in toxic text as in clean text; the weight is the logarithm of that ratio, at most 6. Each is in that share
+    of the toxic texts, so there are at most 1 / ``least_share`` times as many as a toxic text has word beginnings on
+    average, and texts come from a bounded number of rows.
     """
     sizes = train.agg(
         F.sum("toxic").alias("toxic"),
@@ -209,7 +220,7 @@ def learned_stems(train: DataFrame, least_docs: int, least_share: float, least_r
     ratio = (F.col("times_1") + 0.5) / (F.col("times_0") + 0.5) * (sizes["chars_0"] / sizes["chars_1"])
     least = max(least_docs, least_share * sizes["toxic"])
     strong = counts.filter((F.col("texts_1") >= least) & (ratio >= least_ratio))
-    rows = strong.orderBy(F.desc("texts_1"), "stem").limit(most_stems).select("stem", F.least(F.log(ratio), F.lit(6.0)).alias("weight")).collect()
+    rows = strong.orderBy(F.desc("texts_1"), "stem").select("stem", F.least(F.log(ratio), F.lit(6.0)).alias("weight")).collect()
     return {row["stem"]: round(row["weight"], 3) for row in rows}
 
 
@@ -250,11 +261,10 @@ def fit(
     least_docs: int = 5,
     least_share: float = 0.01,
     least_ratio: float = 8.0,
-    most_stems: int = 5000,
 ) -> Model:
     """Learn stems and curve from the labelled training rows, at most about ``most_rows`` of them."""
     train = via_table(labelled_rows(docs, labels, folds, most_rows), "toxicity-train")
-    stems = learned_stems(train, least_docs, least_share, least_ratio, most_stems)
+    stems = learned_stems(train, least_docs, least_share, least_ratio)
     if not stems:
         return UNTRAINED
     # The curve needs only how often each level of evidence goes with each label: a table of fixed size.
@@ -265,18 +275,32 @@ def fit(
 
 
 def _logistic(seen: pd.DataFrame) -> tuple[float, float, float]:
-    """Newton steps of a logistic regression over counted levels, with a weak prior."""
+    """Newton steps of a logistic regression over counted levels, with a weak prior.
+
+    A feature whose weight comes out negative is left out, so more evidence in a text never lowers its score.
+    """
     x = np.column_stack([np.ones(len(seen)), seen["amount"] / 10.0, seen["density"] / 10.0])
-    y, n = seen["toxic"].to_numpy(float), seen["rows"].to_numpy(float)
-    curve, prior = np.zeros(3), np.array([0.001, 0.1, 0.1])
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(x @ curve, -35, 35)))
-        hessian = (x * (n * p * (1 - p))[:, None]).T @ x + np.diag(prior)
-        move = np.clip(np.linalg.solve(hessian, x.T @ (y - n * p) - prior * curve), -2, 2)
-        curve = curve + move
-        if abs(move).max() < 1e-9:
-            break
-    return tuple(map(float, curve))
+    y, n, prior = seen["toxic"].to_numpy(float), seen["rows"].to_numpy(float), np.array([0.001, 0.1, 0.1])
+
+    def fitted(used: list[int]) -> np.ndarray:
+        curve, part = np.zeros(len(used)), x[:, used]
+        for _ in range(100):
+            p = 1 / (1 + np.exp(-np.clip(part @ curve, -35, 35)))
+            hessian = (part * (n * p * (1 - p))[:, None]).T @ part + np.diag(prior[used])
+            move = np.clip(np.linalg.solve(hessian, part.T @ (y - n * p) - prior[used] * curve), -2, 2)
+            curve = curve + move
+            if abs(move).max() < 1e-9:
+                break
+        whole = np.zeros(3)
+        whole[used] = curve
+        return whole
+
+    def loss(curve: np.ndarray) -> float:
+        line = np.clip(x @ curve, -35, 35)
+        return float((n * np.logaddexp(0, line) - y * line).sum())
+
+    found = [fitted(used) for used in ([0, 1, 2], [0, 1], [0, 2], [0])]
+    return tuple(map(float, min((c for c in found if (c[1:] >= 0).all()), key=loss)))
 
 
 def toxicity_score(text: Column, model: Model) -> Column:

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -269,6 +270,55 @@ def test_the_grammar_reads_clauses():
     assert scorer.evidence("kill you") < plain and scorer.evidence(None) == scorer.evidence("") == 0
 
 
+def test_targets_stand_on_both_sides():
+    scorer = toxicity.Scorer({"idio": 2.0})
+    plain = scorer.evidence("what an idiot")
+    assert scorer.evidence("idiots like you") > plain
+    assert scorer.evidence("I will kill you") > scorer.evidence("to kill time") > 0
+    assert scorer.evidence("I will not kill you") < scorer.evidence("I will kill you")
+    assert scorer.evidence("he called her an idiot") < plain, "what is reported is not aimed"
+    assert scorer.evidence("idiots. like you") == plain
+
+
+def test_the_grammar_against_a_plain_reading():
+    """Each symbol weighed by looking back over the clause, without any machine."""
+    names, draw = [s for s in toxicity.SYMBOLS if s != toxicity.QUOTED], random.Random(3)
+    machine = toxicity.grammar()
+
+    def near(kinds, at, symbol, reach):
+        return symbol in kinds[max(at - reach, 0) : at]
+
+    for _ in range(2000):
+        clause = [draw.choice(names) for _ in range(draw.randint(1, 14))]
+        kinds, wanted = [], []
+        for at, symbol in enumerate(clause):
+            weight, kind = 0.0, symbol
+            if symbol in (toxicity.INSULT, toxicity.THREAT):
+                if near(clause, at, toxicity.NEGATION, 3):
+                    kind, weight = toxicity.OTHER, 0.2
+                elif near(clause, at, toxicity.REPORT, 6):
+                    kind, weight = toxicity.QUOTED, 0.5 if symbol == toxicity.INSULT else 0.05
+                else:
+                    weight = (1.0 if symbol == toxicity.INSULT else 0.1) + 0.5 * near(clause, at, toxicity.TARGET, 3)
+            elif symbol == toxicity.TARGET:
+                weight = 0.5 * near(kinds, at, toxicity.INSULT, 3) + 0.9 * near(kinds, at, toxicity.THREAT, 3)
+            kinds.append(kind)
+            wanted.append(weight)
+        state, got = machine.start, []
+        for symbol in clause:
+            state, _, weight = machine.step(state, symbol)
+            got.append(weight)
+        assert got == pytest.approx(wanted)
+
+
+def test_more_evidence_never_lowers_a_score():
+    draw = random.Random(6)
+    for _ in range(50):
+        rows = [(a, d, draw.randint(0, 5), 5) for a in range(0, 40, 8) for d in range(0, 60, 15)]
+        curve = toxicity._logistic(pd.DataFrame(rows, columns=["amount", "density", "toxic", "rows"]))
+        assert curve[1] >= 0 and curve[2] >= 0
+
+
 def test_words_after_underscores_and_digits_are_read():
     scorer = toxicity.Scorer({"idio": 2.0})
     plain = scorer.evidence("you are an idiot")
