@@ -2,7 +2,8 @@
 
 A document may belong to several sources. Documents with the same set of sources form a pattern. A flow routes words
 from patterns to source quotas; each further copy of a pattern costs more, so repetition is spread before it deepens.
-The flow sees one row per pattern, never a document. Within a pattern documents stand in a seeded order, and the flow
+The flow sees one row per pattern, never a document, and parts of it that share no source are solved apart from each
+other, on Spark. Source sizes, weights and targets are tables too. Within a pattern documents stand in a seeded order, and the flow
 takes a prefix of their first copies, then of their second ones, and so on.
 
 Positions in that order come from two levels: sums over hash buckets, and an exact running sum only inside the few
@@ -12,15 +13,19 @@ buckets that a boundary cuts. So no task sorts a whole source, however large it
 from __future__ import annotations
 
 import heapq
-import json
+import math
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyframe.llm.common import WORD_PATTERN, via_table
+from tallyframe.llm.components import components
 
 BUCKETS = 4096
+#: Sources ranked, and patterns routed, in a task: about so many.
+_SOURCES, _PATTERNS = 100_000, 5_000
 
 
 def n_words(text: Column) -> Column:
@@ -28,14 +33,16 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
-def code_point_order(source: str | None) -> tuple:
-    """Sorts sources by code point, NULL last."""
-    return source is None, source or ""
+def code_point_order(source: str | int | None) -> tuple:
+    """Sorts sources by code point, or their places, NULL last."""
+    return source is None, "" if source is None else source
 
 
 def weighted_targets(sizes: Mapping[str | None, int], weights: Sequence[float] = (1, 2, 3), most: float = 3.0) -> dict[str | None, float]:
     """The share of all words that each source should give: weights repeat over the sources in their order, no target
-    exceeds ``most`` times the source's size, and what is cut off is shared again by weight until none is above."""
+    exceeds ``most`` times the source's size, and what is cut off is shared again by weight until none is above.
+
+    For sources at hand; ``targets_of`` does the same for a table of them."""
     order = sorted(sizes, key=code_point_order)
     weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
     left, targets, open_ = float(sum(sizes.values())), {}, list(order)
@@ -74,10 +81,7 @@ def route(patterns: Mapping[tuple, int], quotas: Mapping[str | None, int], copie
                     if other not in done:
                         done.add(other)
                         todo.append(other)
-        if len(group) == 1 and len(first) == 1:
-            flows[first] = {first[0]: min(quotas.get(first[0], 0), copies * patterns[first])}
-        else:
-            flows |= _min_cost_flow({p: patterns[p] for p in group}, quotas, copies)
+        flows |= _min_cost_flow({p: patterns[p] for p in group}, quotas, copies)
     return flows
 
 
@@ -133,6 +137,91 @@ def _min_cost_flow(patterns: Mapping[tuple, int], quotas: Mapping[str | None, in
             arcs[i ^ 1][1] += amount
 
 
+def ranked_sources(sizes: DataFrame, weights: Sequence[float]) -> DataFrame:
+    """``source, size, place, weight`` from ``source, size``: places from 0 by code point, NULL last.
+
+    Sources are dealt by range; no task ranks all of them."""
+    parts = math.ceil(max(sizes.count(), 1) / _SOURCES)
+    last = F.col("source").isNull()
+    dealt = sizes.repartitionByRange(parts, last, "source").withColumn("part", F.spark_partition_id())
+    dealt = via_table(dealt, "mix-sources")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
+    begins = dealt.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("begin"))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy(last, "source")) - 1
+    place = F.col("begin") + F.col("inside")
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.pmod(place, F.lit(len(weights))) + 1).cast("int"))
+    placed = dealt.withColumn("inside", inside).join(begins, "part")
+    return placed.select("source", "size", place.alias("place"), weight.alias("weight"))
+
+
+def targets_of(sources: DataFrame, most: float) -> DataFrame:
+    """``sources`` (``size``, ``weight``) with the ``target`` of each, as ``weighted_targets`` has it.
+
+    Each round of sharing again is one aggregate. What a unit of weight gets grows from round to round, so a source once
+    above its limit stays above, and the last round alone says which ones are."""
+    limit = F.lit(float(most)) * F.col("size")
+    whole = sources.agg(F.sum("size").cast("double").alias("left"), F.sum("weight").alias("total")).first()
+    left, total, closed = whole["left"], whole["total"], 0
+    while total:
+        above = F.lit(left) * F.col("weight") / F.lit(total) > limit
+        found = sources.agg(
+            F.count(F.when(above, 1)).alias("closed"),
+            F.coalesce(F.sum(F.when(above, limit)), F.lit(0.0)).alias("taken"),
+            F.sum(F.when(~above, F.col("weight"))).alias("total"),
+        ).first()
+        if found["closed"] <= closed or not found["total"]:
+            break
+        closed, left, total = found["closed"], whole["left"] - found["taken"], found["total"]
+    share = F.lit(left or 0.0) * F.col("weight") / F.lit(total or 1.0)
+    return sources.withColumn("target", F.when(share > limit, limit).otherwise(share))
+
+
+def plan_of(totals: DataFrame, weights: Sequence[float], copies: int) -> DataFrame:
+    """For every pattern of ``pattern, names, words``: ``all_words, names`` (its sources in order), ``ends`` (where the
+    words sent to each end), and ``source_size`` and ``target`` summed over its sources.
+
+    Patterns that share sources, directly or through others, form a component. A task routes some components, each of
+    them whole; its memory grows with the number of patterns of a component, not with documents."""
+    sizes = totals.select(F.explode("names").alias("source"), "words").groupBy("source").agg(F.sum("words").alias("size"))
+    sources = via_table(targets_of(via_table(ranked_sources(via_table(sizes, "mix-source-sizes"), weights), "mix-ranks"), float(copies)), "mix-targets")
+    links = totals.select("pattern", "words", F.explode("names").alias("name"))
+    met = links.join(sources, F.col("name").eqNullSafe(F.col("source")))
+    member = F.struct("place", "source", "size", "target", F.bround("target").cast("long").alias("quota"))
+    rows = via_table(met.groupBy("pattern").agg(F.first("words").alias("words"), F.sort_array(F.collect_list(member)).alias("of")), "mix-patterns")
+    first = F.col("of")[0]["place"]
+    rows = rows.withColumn("first", first).withColumn("component", first)
+    overlaps = rows.filter(F.size("of") > 1)
+    if overlaps.limit(1).count():
+        edges = overlaps.select(F.col("first").alias("a"), F.explode("of.place").alias("b"))
+        labels = components(edges).select(F.col("id").alias("first"), "label")
+        rows = rows.join(labels, "first", "left").withColumn("component", F.coalesce("label", "first"))
+    parts = math.ceil(max(rows.count(), 1) / _PATTERNS)
+    total = lambda field: F.aggregate(f"of.{field}", F.lit(0).cast("long" if field == "size" else "double"), lambda a, x: a + x)
+    rows = rows.select(
+        F.pmod(F.xxhash64("component"), F.lit(parts)).alias("part"),
+        "pattern",
+        F.col("words").alias("all_words"),
+        F.col("of.source").alias("names"),
+        F.col("of.place").alias("places"),
+        F.col("of.quota").alias("quotas"),
+        total("size").alias("source_size"),
+        total("target").alias("target"),
+    )
+
+    def routed(frame: pd.DataFrame) -> pd.DataFrame:
+        keys = [tuple(map(int, places)) for places in frame["places"]]
+        quotas = {int(p): int(q) for places, of in zip(frame["places"], frame["quotas"]) for p, q in zip(places, of)}
+        flows = route(dict(zip(keys, map(int, frame["all_words"]))), quotas, copies)
+        ends = []
+        for key in keys:
+            end = 0
+            ends.append([end := end + flows[key][place] for place in key])
+        return frame.assign(ends=ends)[["pattern", "all_words", "names", "ends", "source_size", "target"]]
+
+    schema = "pattern string, all_words long, names array<string>, ends array<long>, source_size long, target double"
+    return rows.groupBy("part").applyInPandas(routed, schema)
+
+
 def mix(
     docs: DataFrame,
     sources: Column,
@@ -140,7 +229,6 @@ def mix(
     weights: Sequence[float] = (1, 2, 3),
     copies: int = 3,
     seed: int = 17,
-    most_patterns: int = 100_000,
 ) -> DataFrame:
     """One row per input row: doc_id, size, ``pattern`` (its sources as JSON), ``source_size`` and ``target`` summed
     over its sources, ``copies`` taken (0 to ``copies``), ``taken`` (copies times size) and ``taken_for``, the source
@@ -148,8 +236,7 @@ def mix(
 
     ``sources`` is an array of the sources of a row; a NULL in it is a source like others, and a NULL or empty array
     means the NULL source. Rows of size 0 are taken 0 times. Repeated rows are rows of their own. The order within a
-    pattern depends on ``seed`` and doc_id alone, so reruns agree. Patterns, of which there are as many as sources or
-    combinations of them, come to the driver; more than ``most_patterns`` of them raise an error.
+    pattern depends on ``seed`` and doc_id alone, so reruns agree. No source and no pattern comes to the driver.
     """
     given = F.array_sort(F.array_distinct(sources))
     pattern = F.when(F.size(given) > 0, given).otherwise(F.array(F.lit(None).cast("string")))
@@ -164,31 +251,10 @@ def mix(
         ),
         "mix-sizes",
     )
-    spark = docs.sparkSession
     buckets = via_table(sized.groupBy("pattern", "bucket").agg(F.sum("size").alias("words")), "mix-buckets")
-    totals = buckets.groupBy("pattern").agg(F.sum("words").alias("words")).limit(most_patterns + 1).collect()
-    if len(totals) > most_patterns:
-        raise ValueError(f"more than {most_patterns} combinations of sources; merge rare sources first")
-
-    words = {tuple(json.loads(row["pattern"])): row["words"] for row in totals}
-    source_size: dict[str | None, int] = defaultdict(int)
-    for sources_of, count in words.items():
-        for source in sources_of:
-            source_size[source] += count
-    targets = weighted_targets(source_size, weights, float(copies))
-    flows = route(words, {s: round(t) for s, t in targets.items()}, copies)
-
-    plan = []
-    for row in totals:
-        key = tuple(json.loads(row["pattern"]))
-        names, ends, end = [], [], 0
-        for source in key:
-            end += flows[key][source]
-            names.append(source)
-            ends.append(end)
-        plan.append((row["pattern"], row["words"], names, ends, sum(source_size[s] for s in key), sum(targets[s] for s in key)))
-    schema = "pattern string, all_words long, names array<string>, ends array<long>, source_size long, target double"
-    plans = spark.createDataFrame(plan, schema)
+    totals = buckets.groupBy("pattern").agg(F.sum("words").alias("words"))
+    totals = via_table(totals.withColumn("names", F.from_json("pattern", "array<string>")), "mix-totals")
+    plans = via_table(plan_of(totals, weights, copies), "mix-plans")
 
     # Where each bucket begins within its pattern; a bucket with the end of a source's part inside is cut.
     before = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

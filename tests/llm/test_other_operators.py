@@ -254,6 +254,63 @@ def test_overlapping_sources_share_documents(spark):
     assert all("a" not in r["taken_for"] for r in found if r["doc_id"] >= 200)
 
 
+def test_targets_of_a_table_of_sources(spark):
+    draw = random.Random(12)
+    for weights, most in (((1, 2, 3), 3.0), ((1, 2, 3), 1.2), ((5, 1), 2.0)):
+        sizes = {f"{draw.choice('aÉz\U0001f600')}{i}": int(10 ** draw.uniform(0, 5)) for i in range(300)} | {None: 40, "": 7, "zero": 0}
+        table = spark.createDataFrame(list(sizes.items()), "source string, size long")
+        found = {r["source"]: r["target"] for r in mixing.targets_of(mixing.ranked_sources(table, weights), most).collect()}
+        wanted = mixing.weighted_targets(sizes, weights, most)
+        assert found.keys() == wanted.keys()
+        assert all(found[s] == pytest.approx(wanted[s]) for s in wanted)
+
+
+def test_ranks_over_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "_SOURCES", 50)
+    names = [f"s{i}" for i in range(1000)] + [None]
+    table = spark.createDataFrame([(n, 1) for n in names], "source string, size long")
+    found = {r["source"]: r["place"] for r in mixing.ranked_sources(table, (1, 2)).collect()}
+    assert found == {s: i for i, s in enumerate(sorted(names, key=mixing.code_point_order))}
+
+
+def test_mixing_of_very_many_sources(spark):
+    """More sources than any bound there was; targets of all of them, without a row on the driver."""
+    n = 150_000
+    docs = spark.range(n).select(
+        F.col("id").alias("doc_id"), F.lit("w w w").alias("text"), F.concat(F.lit("s"), F.lpad(F.col("id").cast("string"), 7, "0")).alias("source")
+    )
+    mixed = mixing.mix(docs, F.array("source"), F.lit(3), weights=(1, 2, 3))
+    found = {r["weight"]: (r["n"], r["least"], r["most"], r["taken"]) for r in mixed.groupBy((F.col("doc_id") % 3).alias("weight")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("target").alias("least"), F.max("target").alias("most"), F.sum("taken").alias("taken")).collect()}
+    # Each document is a source of 3 words; shares are 1.5, 3 and 4.5 words, a copy is taken whole.
+    assert {w: (least, most) for w, (_, least, most, _) in found.items()} == {0: (1.5, 1.5), 1: (3.0, 3.0), 2: (4.5, 4.5)}
+    assert all(count == n // 3 for count, *_ in found.values())
+    assert found[1][3] == n
+
+
+def test_components_of_overlaps_are_routed_apart(spark):
+    """Chains of sources in many parts give what one flow over all of them gives."""
+    draw = random.Random(31)
+    patterns = {}
+    for group in range(30):
+        for _ in range(4):
+            size = draw.randint(1, 3)
+            patterns[tuple(sorted(draw.sample([f"g{group:02}s{i}" for i in range(4)], size)))] = draw.randint(1, 60)
+    rows = [(str(p), list(p), words) for p, words in patterns.items()]
+    totals = spark.createDataFrame(rows, "pattern string, names array<string>, words long")
+    found = {tuple(r["names"]): r for r in mixing.plan_of(totals, (1, 2, 3), 3).collect()}
+    sizes = Counter()
+    for p, words in patterns.items():
+        sizes.update(dict.fromkeys(p, words))
+    targets = mixing.weighted_targets(sizes)
+    flows = mixing.route(patterns, {s: round(t) for s, t in targets.items()}, 3)
+    assert found.keys() == patterns.keys()
+    assert sum(r["ends"][-1] for r in found.values()) == sum(sum(f.values()) for f in flows.values())
+    for p, r in found.items():
+        assert r["all_words"] == patterns[p] and r["ends"] == sorted(r["ends"]) and r["ends"][-1] <= 3 * patterns[p]
+        assert r["source_size"] == sum(sizes[s] for s in p) and r["target"] == pytest.approx(sum(targets[s] for s in p))
+
+
 def test_mixing_of_odd_rows(spark):
     found = mixing.mix(docs_of(spark, ODD), F.array("source"), mixing.n_words(F.col("text"))).collect()
     assert Counter(r["doc_id"] for r in found) == Counter(r[0] for r in ODD)
