@@ -34,6 +34,8 @@ MDM_SCORECARD = {
 MATCH_COUNTS = ("total_pairs_compared", "auto_merge_pairs", "steward_review_pairs", "reject_pairs")
 
 LOWEST_REVIEW = 0.3
+# Records of a block on each side of a tile, where rejected pairs are listed.
+REJECT_TILE = 5_000
 COUNT = "decimal(38,0)"
 # How a name is compared: without the first token among names that share it, or whole among all of a block.
 SAME_TOKEN, ANY_TOKEN = "=", "*"
@@ -415,17 +417,29 @@ def reject_partners(
     """All rejected pairs of the records whose ``location_id`` is in ``wanted``, scored.
 
     The full reject relation is every pair of a block that was not accepted and grows with the square of the
-    block; this lists the part of it that somebody asks about. Each pair comes once.
+    block; this lists the part of it that somebody asks about. Each pair comes once. The records of a block are dealt
+    over tiles of bounded size, on both sides, so no task meets a whole block.
     """
     columns = ["borough_norm", "location_id", "zone_norm"]
     pool = records.filter(F.col("borough_norm").isNotNull() & F.col("location_id").isNotNull()).select(*columns)
     asked = wanted.select("location_id", F.lit(True).alias("asked")).distinct()
     marked = pool.join(asked, "location_id", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
-    x, y = marked.filter("asked").alias("x"), marked.alias("y")
+    sides = marked.groupBy("borough_norm").agg(
+        F.ceil(F.count(F.when(F.col("asked"), 1)) / REJECT_TILE).cast("int").alias("rows"),
+        F.ceil(F.count(F.lit(1)) / REJECT_TILE).cast("int").alias("cols"),
+    )
+    # Blocks without a record asked for leave here.
+    dealt = marked.join(sides.filter("rows > 0"), "borough_norm")
+    own = lambda parts: F.pmod(F.xxhash64("location_id", "zone_norm"), F.col(parts)).cast("int")
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+    x = dealt.filter("asked").select("*", own("rows").alias("row"), every("cols").alias("col")).alias("x")
+    y = dealt.select("*", own("cols").alias("col"), every("rows").alias("row")).alias("y")
     x_first = F.col("x.location_id") < F.col("y.location_id")
     pairs = x.join(
         y,
         (F.col("x.borough_norm") == F.col("y.borough_norm"))
+        & (F.col("x.row") == F.col("y.row"))
+        & (F.col("x.col") == F.col("y.col"))
         & (F.col("x.location_id") != F.col("y.location_id"))
         & (~F.col("y.asked") | x_first),
     ).select(

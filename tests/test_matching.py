@@ -157,6 +157,28 @@ def test_rejects_of_asked_records(spark):
     assert matching.reject_partners(records, everybody).count() == len(rejected)
 
 
+@pytest.mark.parametrize("tile", [1, 7, 5_000])
+def test_rejects_do_not_depend_on_tiles(spark, monkeypatch, tile):
+    monkeypatch.setattr(matching, "REJECT_TILE", tile)
+    rows = dirty_rows(seed=6)
+    records = records_of(spark, rows)
+    asked = sorted({r[0] for r in rows if r[0] is not None})[::2]
+    found = matching.reject_partners(records, spark.createDataFrame([(i,) for i in asked], "location_id int"))
+    rejected = [p for p in brute_pairs(rows, 0.95, 0.80) if p[7] == "REJECT" and (p[0] in asked or p[1] in asked)]
+    assert Counter((r["id_a"], r["id_b"], r["zone_a"], r["zone_b"]) for r in found.collect()) == Counter(p[:4] for p in rejected)
+
+
+def test_a_large_block_is_dealt_over_tiles(spark, monkeypatch):
+    """One block holds all records: none of the tiles that meet holds more than a bounded part of it."""
+    monkeypatch.setattr(matching, "REJECT_TILE", 100)
+    records = records_of(spark, [(i, f"N{i}X{i * 7919 % 1000}", "ONE") for i in range(2_000)])
+    found = matching.reject_partners(records, spark.createDataFrame([(i,) for i in range(0, 2_000, 500)], "location_id int"))
+    assert found.count() + found.select("id_a", "id_b").distinct().count() == 2 * found.count()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Join Inner") and "col#" in line)
+    assert "row#" in join and "borough_norm#" in join
+
+
 def test_review_threshold_must_be_selective(spark):
     with pytest.raises(ValueError, match="review threshold"):
         matching.accepted_names(matching.copies(records_of(spark, [(1, "A", "B")])), review=0.1)
