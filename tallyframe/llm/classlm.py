@@ -12,18 +12,18 @@ through ``wordmap``, since the table of counts has no bound.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallyframe.llm.common import ascii_lower, chunks, training_fold, via_table, words
-from tallyframe.llm.wordmap import per_block
+from tallyframe.llm.common import ascii_lower, training_fold, via_table, words
+from tallyframe.llm.wordmap import BLOCK_CHARS, FRAME_CHARS, as_lists, frames_of, numbered, per_block, split_lists
 
 #: Ends every text. It holds a line break, so no word equals it.
 END = "\n"
@@ -37,6 +37,15 @@ def tokens(text: str) -> list[str]:
     return [*words(ascii_lower(text)), END]
 
 
+def token_lists(texts: pa.Array) -> pa.ListArray:
+    """The tokens of each text as an Arrow column, without an object per word. ASCII white space is that of ``words``."""
+    values, sizes = split_lists(pc.ascii_split_whitespace(pc.ascii_lower(texts)))
+    real = pc.greater(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(np.r_[0, real])[np.r_[0, np.cumsum(sizes)]]
+    order = np.insert(np.flatnonzero(real), ends[1:], len(values))
+    return as_lists(pa.concat_arrays([values, pa.array([END])]).take(pa.array(order)), np.diff(ends) + 1)
+
+
 def shape(word: str) -> int:
     """A number below ``N_SHAPES``: other letters than ASCII's, the mark at the end, and length."""
     mark = 1 if word[-1] in ".!?" else 2 if word[-1] in ",;:" else 0
@@ -44,17 +53,28 @@ def shape(word: str) -> int:
     return (0 if word.isascii() else 9) + 3 * mark + long
 
 
+def joined_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.ChunkedArray]:
+    """The tokens of a task's texts, of about ``BLOCK_CHARS`` characters at a time."""
+    held, chars = [], 0
+    for frame in frames_of(batches, FRAME_CHARS):
+        held.append(token_lists(pc.fill_null(frame["text"], "")))
+        chars += pc.sum(pc.utf8_length(frame["text"])).as_py() or 0
+        if chars >= BLOCK_CHARS:
+            yield pa.chunked_array(held)
+            held, chars = [], 0
+    if held:
+        yield pa.chunked_array(held)
+
+
 def word_counts(train: DataFrame) -> DataFrame:
     """``word, count`` of all training tokens, ends included."""
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in chunks(frames, "text", 16_000_000):
-            seen: Counter = Counter()
-            for text in frame["text"]:
-                seen.update(tokens(text))
-            yield pd.DataFrame({"word": list(seen.keys()), "count": pd.Series(list(seen.values()), dtype="int64")})
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts in joined_texts(batches):
+            word, numbers, _ = numbered(texts)
+            yield pa.RecordBatch.from_arrays([word, pa.array(np.bincount(numbers, minlength=len(word)))], names=["word", "count"])
 
-    return train.select("text").mapInPandas(count, "word string, count long").groupBy("word").agg(F.sum("count").alias("count"))
+    return train.select("text").mapInArrow(count, "word string, count long").groupBy("word").agg(F.sum("count").alias("count"))
 
 
 class WordClasses:
@@ -121,24 +141,19 @@ def symbol_lines(train: DataFrame, words_of: WordClasses) -> DataFrame:
     """
     shared = train.sparkSession.sparkContext.broadcast(words_of)
 
-    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for frame in chunks(frames, "text"):
-            number: dict[str, int] = {END: 0}
-            line = [0]
-            for text in frame["text"]:
-                found = tokens(text)
-                for word in dict.fromkeys(found):
-                    number.setdefault(word, len(number))
-                line.extend(map(number.__getitem__, found))
-            distinct = list(number)
+        for texts in joined_texts(batches):
+            word, line, _ = numbered(texts)
+            distinct = word.to_pylist()
             symbol = known.numbers(distinct)
             for i in np.flatnonzero(symbol < 0):
-                symbol[i] = len(known) + (shape(distinct[i]) if i else N_SHAPES)
-            raw = symbol[np.array(line, dtype=np.int32)].tobytes()
-            yield pd.DataFrame({"size": [len(raw)], "symbols": [pa.compress(raw, codec="zstd", asbytes=True)]})
+                symbol[i] = len(known) + (N_SHAPES if distinct[i] == END else shape(distinct[i]))
+            raw = np.r_[np.int32(len(known) + N_SHAPES), symbol[line]].astype(np.int32).tobytes()
+            columns = [pa.array([len(raw)]), pa.array([pa.compress(raw, codec="zstd", asbytes=True)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["size", "symbols"])
 
-    return train.select("text").mapInPandas(pack, "size long, symbols binary")
+    return train.select("text").mapInArrow(pack, "size long, symbols binary")
 
 
 def _lines(frames: Iterator[pd.DataFrame]) -> Iterator[np.ndarray]:
@@ -400,7 +415,7 @@ def scores(docs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
 
     # Ids travel as text: pandas would turn a column of numbers with NULLs into floats.
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    found = per_block(rows, tokens, lambda asked: asked.join(counts, "word").drop("word"), score, _SCORES)
+    found = per_block(rows, token_lists, lambda asked: asked.join(counts, "word").drop("word"), score, _SCORES)
     return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 

@@ -2,7 +2,7 @@
 
 Texts fall into units that no piece spans. Every block of texts asks once for each of its distinct units (``wordmap``);
 the requests are shuffled once, by unit. There each distinct unit of the corpus is exploded into its substrings of bounded
-length, these are joined with the piece table, and the pieces found are grouped by unit: the lattice. A fold over it gives
+length, these are joined with the piece table, and the pieces found are listed by unit: the lattice. A fold over it gives
 the pieces of a unit, and only those go back to the blocks.
 
 The fold is Viterbi, as a higher-order aggregate: the segmentation with the largest sum of scores. For a model of ranked
@@ -21,15 +21,17 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from tallyframe.llm.wordmap import per_block, unzipped, zipped
+from tallyframe.llm.wordmap import Tokens, as_lists, per_block, split_lists, spread, unzipped, zipped
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Longer units enter the lattice in segments of this many characters.
 SEGMENT = 256
-#: Edges of a long unit are folded in parts of this many, so that the fold's arrays are not copied whole at every edge.
+#: Ends of a long unit are folded in parts of this many, so that the fold's arrays are not copied whole at every end.
 _FOLD = 1024
 #: What a character outside the model costs below its worst piece.
 UNKNOWN_PENALTY = 10.0
@@ -89,13 +91,19 @@ def _kind(char: str) -> str:
     return "wide" if not char.isascii() else "digit" if char.isdigit() else "letter"
 
 
-def unit_pattern(pieces: Pieces) -> re.Pattern:
-    """Cuts a text wherever no piece has such neighbours inside, so no piece spans two units, and a sum of scores or an
-    order of merges is that of the units one by one."""
+def _neighbours(pieces: Pieces) -> dict[str, set[str]]:
+    """The kinds that follow a kind inside pieces."""
     after: dict[str, set[str]] = defaultdict(set)
     for i in pieces.usable:
         for a, b in zip(pieces.names[i], pieces.names[i][1:]):
             after[_kind(a)].add(_kind(b))
+    return after
+
+
+def unit_pattern(pieces: Pieces) -> re.Pattern:
+    """Cuts a text wherever no piece has such neighbours inside, so no piece spans two units, and a sum of scores or an
+    order of merges is that of the units one by one."""
+    after = _neighbours(pieces)
     # Kinds with the same kinds after them share a branch; the commonest kinds come first.
     branches: dict[str, list[str]] = defaultdict(list)
     for kind in sorted(after, key=lambda k: (k != "letter", k != SPACE, k != "wide")):
@@ -113,14 +121,56 @@ def units_of(pieces: Pieces) -> Callable[[str], list[str]]:
     return lambda text: cut(SPACE + text.replace(" ", SPACE)) if text else []
 
 
+def words_of(texts: pa.Array) -> pa.ListArray:
+    """The words of each text, which no unit spans, since pieces have spaces only in front. A word has the spaces before
+    it but the first; the first word's is the one the model's normaliser puts in front. None for an empty text."""
+    lines = pc.replace_substring(texts, SPACE, " ")
+    if pc.any(pc.or_(pc.match_substring(lines, "  "), pc.starts_with(lines, " "))).as_py():
+        # No line holds U+2581 any more: it marks the first space of each run.
+        lines = pc.replace_substring_regex(pc.binary_join_element_wise("", lines, " "), " ( *)", SPACE + r"\1")
+        values, sizes = split_lists(pc.split_pattern(lines, SPACE))
+        values = values.take(pa.array(spread(np.cumsum(sizes) - sizes + 1, sizes - 1)))
+        sizes = sizes - 1
+    else:
+        values, sizes = split_lists(pc.split_pattern(lines, " "))
+    empty = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    if empty.any():
+        values, sizes = values.filter(pa.array(np.repeat(~empty, sizes))), np.where(empty, 0, sizes)
+    return as_lists(values, sizes)
+
+
+def word_units(pieces: Pieces) -> Tokens:
+    """The units of words; a word of letters alone is one unit where pieces join all letters."""
+    cut, after = unit_pattern(pieces).findall, _neighbours(pieces)
+    letters = {"letter", "wide"}
+    plain = f"^[{_KINDS['letter']}{_KINDS['wide']}]+$" if all(letters <= after[k] for k in (SPACE, *letters)) else "^[^\\x{0}-\\x{10FFFF}]$"
+
+    def units(words: pa.Array) -> pa.ListArray:
+        whole = pc.match_substring_regex(words, plain)
+        marked = pc.binary_join_element_wise(SPACE, words, "")
+        parts = [cut(word.replace(" ", SPACE)) for word in marked.filter(pc.invert(whole)).to_pylist()]
+        whole = whole.to_numpy(zero_copy_only=False)
+        sizes = np.ones(len(words), dtype=np.int64)
+        sizes[~whole] = [len(part) for part in parts]
+        values = pa.concat_arrays([marked.filter(pa.array(whole)), pa.array([unit for part in parts for unit in part], pa.string())])
+        # The units of all words, those of words that are one unit first.
+        starts = np.empty(len(words), dtype=np.int64)
+        starts[whole] = np.arange(whole.sum())
+        starts[~whole] = whole.sum() + np.cumsum(sizes[~whole]) - sizes[~whole]
+        return as_lists(values.take(pa.array(spread(starts, sizes))), sizes)
+
+    return units
+
+
 def lattice(unit_table: DataFrame, pieces: Pieces, unknown: float | None = None) -> DataFrame:
-    """``unit, edges`` and the other columns of ``unit_table``, which has one row per unit.
+    """``unit, ends`` and the other columns of ``unit_table``, which has one row per unit.
 
-    Edges are all pieces in a unit as ``end, size, id, score``, ordered by end and size. A character that is no piece is
-    an edge too, with -1 - its code point for id and ``unknown`` for score.
+    ``ends`` has the edges of each end, 1 to the length of the unit: all pieces that end there as ``size, id, score``,
+    the shortest first. A character that is no piece is an edge too, with -1 - its code point for id and ``unknown`` for
+    score.
 
-    The piece table is broadcast: it is the model's, of fixed size. Where units are dealt by unit already, grouping
-    their edges needs no shuffle. Other columns ride on one row per unit.
+    The piece table is broadcast: it is the model's, of fixed size. So the edges of a unit stay where the unit is, one
+    after the other, and become its list without a shuffle or a sort. Other columns ride on the first edge.
     """
     worst = min(pieces.scores[i] for i in pieces.usable)
     unknown = worst - UNKNOWN_PENALTY if unknown is None else unknown
@@ -128,56 +178,88 @@ def lattice(unit_table: DataFrame, pieces: Pieces, unknown: float | None = None)
     table = F.broadcast(unit_table.sparkSession.createDataFrame(rows, "piece string, id int, score double"))
     others = [c for c in unit_table.columns if c != "unit"]
     longest = pieces.longest
+    numbers = unit_table.withColumn("row", F.monotonically_increasing_id())
     begins = F.sequence(F.lit(0), F.floor((F.length("unit") - 1) / SEGMENT).cast("int") * SEGMENT, F.lit(SEGMENT))
-    parts = unit_table.select("unit", *others, F.explode(begins).alias("begin"))
-    parts = parts.withColumn("part", F.substring("unit", F.col("begin") + 1, F.lit(SEGMENT + longest - 1)))
-    # One number per start and size: rows of plain numbers stay in generated code, arrays of substrings would not.
-    n, width = F.length("part"), F.least(F.lit(longest), F.length("part"))
-    numbers = F.sequence(F.lit(0), F.least(n, F.lit(SEGMENT)) * width - 1)
-    cells = parts.select("unit", *others, "begin", "part", width.alias("width"), F.explode(numbers).alias("k"))
-    start, size = F.floor(F.col("k") / F.col("width")).cast("int"), F.col("k") % F.col("width") + 1
-    cells = cells.withColumn("start", start).withColumn("size", size).filter(F.col("start") + F.col("size") <= F.length("part"))
-    end = F.col("begin") + F.col("start") + F.col("size")
-    piece = F.substring("part", F.col("start") + 1, F.col("size"))
-    substrings = cells.select("unit", end.alias("end"), "size", piece.alias("piece"), *(F.when(end == 1, F.col(c)).alias(c) for c in others))
+    parts = numbers.withColumn("begin", F.explode(begins)).withColumn("from", F.greatest(F.col("begin") - longest + 1, F.lit(0)))
+    parts = parts.withColumn("part", F.substring("unit", F.col("from") + 1, F.lit(SEGMENT + longest - 1)))
+    # One number per end and size: rows of plain numbers stay in generated code, arrays of substrings would not.
+    n, width = F.least(F.length("unit") - F.col("begin"), F.lit(SEGMENT)), F.least(F.lit(longest), F.length("unit"))
+    cells = parts.withColumn("width", width).withColumn("k", F.explode(F.sequence(F.lit(0), n * width - 1)))
+    end, size = F.col("begin") + F.floor(F.col("k") / F.col("width")).cast("int") + 1, F.col("k") % F.col("width") + 1
+    cells = cells.withColumn("end", end).withColumn("size", size).filter(F.col("size") <= F.col("end"))
+    piece = F.substring("part", F.col("end") - F.col("size") - F.col("from") + 1, F.col("size"))
+    first = [F.when(F.col("end") == 1, F.col(c)).alias(c) for c in ("unit", *others)]
+    substrings = cells.select("row", "end", "size", piece.alias("piece"), *first)
     edges = substrings.join(table, "piece", "left").filter((F.col("size") == 1) | F.col("id").isNotNull())
-    edge = F.struct("end", "size", F.coalesce("id", -1 - F.ascii("piece")).alias("id"), F.coalesce("score", F.lit(unknown)).alias("score"))
-    kept = [F.first(c, ignorenulls=True).alias(c) for c in others]
-    # The hash only makes sorting cheap: rows are dealt by unit, and numbers compare faster than texts.
-    return edges.groupBy(F.xxhash64("unit").alias("hash"), "unit").agg(F.sort_array(F.collect_list(edge)).alias("edges"), *kept).drop("hash")
-
-
-def _viterbi(edges: Column, longest: int) -> Column:
-    """The last edge of the best way to every end: ``sum, size, id`` in order of ends. Ties go to the longer edge.
-
-    ``best`` is that of the end in work, ``sums`` hold the ends before it, as many as a piece is long. Edges of one end
-    come together, the single character first, which closes the end before.
-    """
+    of = [F.coalesce("id", -1 - F.ascii("piece")).alias("id"), F.coalesce("score", F.lit(unknown)).alias("score")]
+    edges = edges.select("row", "end", "size", *of, "unit", *others)
+    edge = edges.select("size", "id", "score").schema
+    schema = StructType([unit_table.schema["unit"], StructField("ends", ArrayType(ArrayType(edge))), *(unit_table.schema[c] for c in others)])
+    return edges.mapInArrow(_lists, schema)
+
+
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``row, end, size, id, score`` and others as one row per unit, with a list for each end.
+
+    The others are taken from a unit's first edge."""
+
+    def whole(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        row, end = table["row"].to_numpy(), table["end"].to_numpy()
+        new_row = np.r_[True, row[1:] != row[:-1]]
+        new_end = new_row | np.r_[True, end[1:] != end[:-1]]
+        at, ends = np.flatnonzero(new_row), np.flatnonzero(new_end)
+        # Were the edges of a unit not together and in order, its ends would not count from 1.
+        n = np.diff(np.r_[np.flatnonzero(new_row[ends]), len(ends)])
+        if not np.array_equal(end[ends], 1 + np.arange(len(ends)) - np.repeat(np.cumsum(n) - n, n)):
+            raise RuntimeError("the edges of a unit came apart")
+        edge = pa.StructArray.from_arrays([table[c].combine_chunks() for c in ("size", "id", "score")], ["size", "id", "score"])
+        lists = as_lists(as_lists(edge, np.diff(np.r_[ends, len(end)])), n)
+        others = table.drop_columns(["row", "end", "size", "id", "score"]).take(pa.array(at)).combine_chunks()
+        columns = [others["unit"], lists, *others.drop_columns("unit").columns]
+        columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+        return pa.RecordBatch.from_arrays(columns, names=["unit", "ends", *others.column_names[1:]])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        row = batch["row"].to_numpy()
+        if held and held[-1]["row"][-1].as_py() != row[0]:
+            yield whole(held)
+            held = []
+        # The last unit may go on in the next batch.
+        last = int(np.searchsorted(row, row[-1]))
+        if last:
+            yield whole([*held, batch.slice(0, last)])
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield whole(held)
+
+
+def _viterbi(ends: Column, longest: int) -> Column:
+    """The last edge of the best way to every end: ``sum, size, id`` in order of ends, that to the start in front. Ties
+    go to the longer edge."""
     way = "struct<sum:double,size:int,id:int>"
 
-    def step(s: Column, e: Column) -> Column:
-        first, total = e["size"] == 1, F.element_at(s["sums"], -e["size"]) + e["score"]
-        recent = F.when(F.size(s["sums"]) >= longest, F.slice(s["sums"], 2, longest - 1)).otherwise(s["sums"])
-        best = F.when(first, F.struct((s["best"]["sum"] + e["score"]).alias("sum"), e["size"].alias("size"), e["id"].alias("id")))
-        best = best.when(total >= s["best"]["sum"], F.struct(total.alias("sum"), e["size"].alias("size"), e["id"].alias("id")))
-        return F.struct(
-            F.when(first, F.concat(recent, F.array(s["best"]["sum"]))).otherwise(s["sums"]).alias("sums"),
-            best.otherwise(s["best"]).alias("best"),
-            F.when(first, F.concat(s["ways"], F.array(s["best"]))).otherwise(s["ways"]).alias("ways"),
-        )
+    def step(ways: Column, edges: Column) -> Column:
+        # The largest struct has the largest sum, then the largest size.
+        reached = F.transform(edges, lambda e: F.struct((F.element_at(ways, -e["size"])["sum"] + e["score"]).alias("sum"), e["size"], e["id"]))
+        return F.concat(ways, F.array(F.array_max(reached)))
 
-    none = F.array().cast(f"array<{way}>")
-    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("size"), F.lit(0).alias("id")).cast(way)
+    start = F.array(F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("size"), F.lit(0).alias("id")).cast(way))
 
     def part(s: Column, k: Column) -> Column:
-        fresh = F.struct(s["sums"].alias("sums"), s["best"].alias("best"), none.alias("ways"))
-        add = lambda t: F.struct(t["sums"].alias("sums"), t["best"].alias("best"), F.concat(s["done"], F.array(t["ways"])).alias("done"))
-        return F.aggregate(F.slice(edges, k * _FOLD + 1, _FOLD), fresh, step, add)
+        # Only the last ways can be gone on from, as many as a piece is long.
+        recent = F.slice(s["ways"], F.greatest(F.size(s["ways"]) - longest + 1, F.lit(1)), longest)
+        add = lambda ways: F.struct(ways.alias("ways"), F.concat(s["done"], F.array(F.slice(ways, F.least(F.lit(longest), F.size(s["ways"])) + 1, _FOLD))).alias("done"))
+        return F.aggregate(F.slice(ends, k * _FOLD + 1, _FOLD), recent, step, add)
 
-    zero = F.struct(F.array().cast("array<double>").alias("sums"), start.alias("best"), F.array().cast(f"array<array<{way}>>").alias("done"))
-    turns = F.sequence(F.lit(0), F.floor((F.size(edges) - 1) / _FOLD).cast("int"))
-    # The first way is that to the start of the unit.
-    return F.aggregate(turns, zero, part, lambda s: F.concat(F.flatten(s["done"]), F.array(s["best"])))
+    zero = F.struct(start.alias("ways"), F.array(start).alias("done"))
+    turns = F.sequence(F.lit(0), F.floor((F.size(ends) - 1) / _FOLD).cast("int"))
+    parts = F.aggregate(turns, zero, part, lambda s: F.flatten(s["done"]))
+    return F.when(F.size(ends) <= _FOLD, F.aggregate(ends, start, step)).otherwise(parts)
 
 
 def _path(ways: Column) -> Column:
@@ -217,8 +299,8 @@ def _with_bytes(ids: Column, byte_ids: tuple[int, ...]) -> Column:
     return F.flatten(F.transform(ids, lambda i: F.when(i >= 0, F.array(i)).otherwise(F.transform(spelled(-1 - i), lambda b: F.get(table, b)))))
 
 
-def viterbi_ids(edges: Column, pieces: Pieces) -> Column:
-    return _with_bytes(_path(_viterbi(edges, pieces.longest)), pieces.byte_ids)
+def viterbi_ids(ends: Column, pieces: Pieces) -> Column:
+    return _with_bytes(_path(_viterbi(ends, pieces.longest)), pieces.byte_ids)
 
 
 def merge_fold(unit: str, known: dict[tuple[int, int], int], scores: tuple[float, ...], single: dict[str, int], byte_ids: tuple[int, ...]) -> list[int]:
@@ -264,21 +346,29 @@ def merge_fold(unit: str, known: dict[tuple[int, int], int], scores: tuple[float
     return out
 
 
-def merge_ids(unit: Column, edges: Column, pieces: Pieces, spark: SparkSession) -> Column:
-    shared = spark.sparkContext.broadcast((pieces.scores, pieces.single(), pieces.byte_ids))
+def merge_folded(found: DataFrame, pieces: Pieces) -> DataFrame:
+    """A lattice with the column ``ids`` of ``merge_fold`` instead of ``ends``."""
+    shared = found.sparkSession.sparkContext.broadcast((pieces.scores, pieces.single(), pieces.byte_ids))
+    others = [c for c in found.columns if c not in ("unit", "ends")]
 
-    @F.pandas_udf("array<int>")
-    def fold(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores, single, byte_ids = shared.value
-        for names, ends, sizes, ids in batches:
+        for batch in batches:
+            ends, n = split_lists(batch["ends"])
+            edges, sizes = split_lists(ends)
+            size, of = edges.field("size").to_numpy(), edges.field("id").to_numpy()
+            start = np.repeat(1 + spread(np.zeros(len(n), np.int64), n), sizes) - size
+            cuts = np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum(n)]].tolist()
             out = []
-            for name, end, size, of in zip(names, ends, sizes, ids):
-                known = dict(zip(zip((end - size).tolist(), size.tolist()), of.tolist()))
+            for name, a, b in zip(batch["unit"].to_pylist(), cuts[:-1], cuts[1:]):
+                longer = a + np.flatnonzero(size[a:b] > 1)
+                known = dict(zip(zip(start[longer].tolist(), size[longer].tolist()), of[longer].tolist()))
                 out.append(merge_fold(name, known, scores, single, byte_ids))
-            yield pd.Series(out, dtype=object)
+            columns = [batch["unit"], pa.array(out, pa.list_(pa.int32())), *(batch[c] for c in others)]
+            yield pa.RecordBatch.from_arrays(columns, names=["unit", "ids", *others])
 
-    longer = F.filter(edges, lambda e: e["size"] > 1)
-    return fold(unit, longer["end"], longer["size"], longer["id"])
+    ids = StructField("ids", ArrayType(IntegerType()))
+    return found.mapInArrow(fold, StructType([found.schema["unit"], ids, *(found.schema[c] for c in others)]))
 
 
 def viterbi_encoded(unit_table: DataFrame, pieces: Pieces, unknown: float = -1e6) -> DataFrame:
@@ -286,7 +376,7 @@ def viterbi_encoded(unit_table: DataFrame, pieces: Pieces, unknown: float = -1e6
 
     A character that is no piece costs ``unknown`` and gives the pieces of its bytes. Ties go to the longer last piece.
     """
-    return lattice(unit_table, pieces, unknown).select(F.col("unit").alias("word"), viterbi_ids(F.col("edges"), pieces).alias("ids"))
+    return lattice(unit_table, pieces, unknown).select(F.col("unit").alias("word"), viterbi_ids(F.col("ends"), pieces).alias("ids"))
 
 
 def decode(ids, table: list[bytes]) -> str:
@@ -364,23 +454,25 @@ def encoded(docs: DataFrame, pieces: Pieces, fold: str = "merge") -> DataFrame:
     if fold not in ("viterbi", "merge"):
         raise ValueError(f"no such fold: {fold}")
     key = docs.schema["doc_id"].dataType
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
     def answer(asked: DataFrame) -> DataFrame:
-        # Dealt by unit here, so neither the keys nor the edges of a unit are shuffled again.
+        # Dealt by unit here, so its keys are not shuffled again.
         dealt = asked.withColumnRenamed("word", "unit").repartition("unit")
         keys = F.collect_list(F.struct("block", "i")).alias("keys")
-        edges = lattice(dealt.groupBy(F.xxhash64("unit").alias("hash"), "unit").agg(keys).drop("hash"), pieces)
-        ids = viterbi_ids(F.col("edges"), pieces) if fold == "viterbi" else merge_ids(F.col("unit"), F.col("edges"), pieces, spark)
-        return _answers(edges.withColumn("ids", ids), pieces.as_bytes())
+        # The hash only makes sorting cheap: numbers compare faster than texts.
+        found = lattice(dealt.groupBy(F.xxhash64("unit").alias("hash"), "unit").agg(keys).drop("hash"), pieces)
+        if fold == "viterbi":
+            folded = found.withColumn("ids", viterbi_ids(F.col("ends"), pieces))
+        else:
+            folded = merge_folded(found, pieces)
+        return _answers(folded, pieces.as_bytes())
 
     def finish(rows: pd.DataFrame, words: list[str], numbers: list[np.ndarray], answers: pa.Table) -> pa.Table:
         flat, begin, size, same, at = [np.zeros(0, np.int32)], [], [], [], []
         total = 0
         for n, n_ids, blob in zip(answers["n"].to_pylist(), answers["n_ids"].to_pylist(), answers["packed"]):
-            raw = np.frombuffer(unzipped(blob.as_py(), 4 * (3 * n + n_ids)), dtype=np.int32)
-            number, sizes, good, ids = np.split(raw, [n, 2 * n, 3 * n])
+            number, sizes, good, ids = np.split(unzipped(blob.as_py(), 3 * n + n_ids), [n, 2 * n, 3 * n])
             at.append(np.cumsum(number))
             size.append(sizes)
             same.append(good)
@@ -407,5 +499,5 @@ def encoded(docs: DataFrame, pieces: Pieces, fold: str = "merge") -> DataFrame:
         return pa.table(columns, names=["doc_id", "pieces", "n_pieces", "exact"])
 
     schema = "doc_id string, pieces array<int>, n_pieces long, exact boolean"
-    found = per_block(rows, units_of(pieces), answer, finish, schema, keep_words=False)
+    found = per_block(rows, words_of, answer, finish, schema, keep_words=False, parts_of=word_units(pieces))
     return found.withColumn("doc_id", F.col("doc_id").cast(key))

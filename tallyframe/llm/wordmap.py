@@ -8,65 +8,113 @@ has one request a block.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tallyframe.llm.common import chunks
+#: A block ends after this many characters. Its texts and words stay Arrow columns, without an object per word.
+BLOCK_CHARS = 16_000_000
+FRAME_CHARS = 2_000_000
+_ASKED = 50_000
 
-#: A block ends after this many characters or distinct words.
-BLOCK_CHARS, BLOCK_WORDS = 16_000_000, 400_000
-_FRAME_CHARS = 2_000_000
-
-Tokens = Callable[[str], list[str]]
+#: A list of words for each text; also the words of each token, where tokens are taken apart further.
+Tokens = Callable[[pa.Array], pa.ListArray]
 
 
 @dataclass
 class Block:
     name: int
-    rows: pd.DataFrame  # all columns but the text
-    words: list[str]  # distinct, in order of first use
-    numbers: list[np.ndarray]  # of the words of each text
+    rows: pa.Table  # all columns but the text
+    words: pa.Array  # distinct, the commonest first
+    numbers: np.ndarray  # of the words of all texts
+    sizes: np.ndarray  # words of each text
+
+
+def frames_of(batches: Iterator[pa.RecordBatch], most_chars: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts sum to about ``most_chars``; a longer text is a batch of its own."""
+    for batch in batches:
+        if batch.num_rows:
+            sizes = pc.fill_null(pc.utf8_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            part = (np.cumsum(sizes) - sizes) // most_chars
+            cuts = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(part)]
+            for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                yield batch.slice(start, stop - start)
+
+
+def split_lists(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
+    """The values of all lists, and the size of each."""
+    return lists.flatten(), np.diff(lists.offsets.to_numpy()).astype(np.int64)
+
+
+def as_lists(values: pa.Array, sizes: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), values)
+
+
+def numbered(lists: pa.ChunkedArray | pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct values in order of first use, their numbers in all lists, and the size of each list."""
+    parts = [split_lists(chunk) for chunk in (lists.chunks if isinstance(lists, pa.ChunkedArray) else [lists])]
+    coded = pa.chunked_array([values for values, _ in parts], pa.string()).dictionary_encode().combine_chunks()
+    coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), np.concatenate([sizes for _, sizes in parts])
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places ``start`` to ``start + size`` of every run, one run after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
-def blocks_of(frames: Iterator[pd.DataFrame], tokens_of: Tokens) -> Iterator[Block]:
+def blocks_of(batches: Iterator[pa.RecordBatch], tokens_of: Tokens, parts_of: Tokens | None = None) -> Iterator[Block]:
     """The rows of a task in blocks. A block is named by its contents, so passes over the same scan agree, after a lost
-    executor too."""
-    rows: list[pd.DataFrame] = []
-    for frame in chunks(frames, "text", _FRAME_CHARS):
-        if not len(frame):
-            continue
+    executor too. With ``parts_of`` the words are the parts of the tokens, found once for each distinct token."""
+
+    def block() -> Block:
+        words, numbers, sizes = numbered(pa.chunked_array(lists))
+        if parts_of is not None:
+            words, of, n = numbered(parts_of(words))
+            starts = np.cumsum(n) - n
+            ends = np.r_[0, np.cumsum(n[numbers])][np.r_[0, np.cumsum(sizes)]]
+            numbers, sizes = of[spread(starts[numbers], n[numbers])], np.diff(ends)
+        # Numbers by falling frequency have few bytes that differ.
+        order = np.argsort(-np.bincount(numbers, minlength=len(words)), kind="stable")
+        rank = np.empty(len(words), dtype=np.int32)
+        rank[order] = np.arange(len(words), dtype=np.int32)
+        return Block(digest.intdigest() - (1 << 63), pa.Table.from_batches(rows), words.take(pa.array(order)), rank[numbers], sizes)
+
+    rows: list[pa.RecordBatch] = []
+    for frame in frames_of(batches, FRAME_CHARS):
         if not rows:
-            number: defaultdict[str, int] = defaultdict()
-            number.default_factory = number.__len__
-            lines, chars, digest = [], 0, xxhash.xxh3_64()
-        for key, text in zip(frame.iloc[:, 0], frame["text"]):
-            digest.update(f"{key}\x00{text}\x00".encode("utf-8", "surrogatepass"))
-            line = tokens_of(text or "")
-            lines.append(np.fromiter(map(number.__getitem__, line), dtype=np.int32, count=len(line)))
-            chars += len(text or "")
-        rows.append(frame.drop(columns="text"))
-        if chars >= BLOCK_CHARS or len(number) >= BLOCK_WORDS:
-            yield Block(digest.intdigest() - (1 << 63), pd.concat(rows, ignore_index=True), list(number), lines)
+            lists, chars, digest = [], 0, xxhash.xxh3_64()
+        text = pc.fill_null(frame["text"], "")
+        key = frame.column(0).cast(pa.string())
+        said = pc.binary_join_element_wise(key, text, "", "\0", null_handling="replace", null_replacement="None")
+        digest.update(memoryview(said.buffers()[2])[: pc.sum(pc.binary_length(said)).as_py()])
+        lists.append(tokens_of(text))
+        chars += pc.sum(pc.utf8_length(text)).as_py()
+        rows.append(frame.drop_columns("text"))
+        if chars >= BLOCK_CHARS:
+            yield block()
             rows = []
     if rows:
-        yield Block(digest.intdigest() - (1 << 63), pd.concat(rows, ignore_index=True), list(number), lines)
+        yield block()
 
 
 def zipped(*arrays: np.ndarray) -> bytes:
-    return pa.compress(b"".join(a.tobytes() for a in arrays), codec="zstd", asbytes=True)
+    """32-bit numbers, compressed byte by byte: the lowest bytes of all, then the next ones, and so on."""
+    flat = np.concatenate([np.zeros(0, np.int32), *arrays]).astype("<i4", copy=False)
+    return pa.compress(flat.view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
 
 
-def unzipped(blob: bytes, size: int) -> bytes:
-    return pa.decompress(blob, size, codec="zstd", asbytes=True)
+def unzipped(blob: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(blob, 4 * n, codec="zstd", asbytes=True), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").reshape(-1)
 
 
 def _packed(table: pa.Table) -> bytes:
@@ -87,39 +135,42 @@ def per_block(
     finish: Callable[[pd.DataFrame, list[str], list[np.ndarray], pa.Table], pa.Table],
     schema: str,
     keep_words: bool = True,
+    parts_of: Tokens | None = None,
 ) -> DataFrame:
     """``finish(rows, words, numbers, answers)`` for every block: its rows of ``docs`` (a key column and others, without
     ``text``), its distinct words (none unless ``keep_words``), the word numbers of each text, and the rows that
-    ``answer`` gives for it.
+    ``answer`` gives for it. Words are the tokens of the texts, or with ``parts_of`` the parts of each token.
 
     ``answer`` takes ``block, i, word`` (i: the word's number) and gives rows with a ``block``; they stay Arrow columns,
     without an object per word, and come twice where two blocks are equal. ``docs`` must be a scan of files or a
     projection of one, so that both passes cut the same blocks.
     """
-    kept = to_arrow_schema(docs.drop("text").schema)
     result = to_arrow_schema(StructType.fromDDL(schema))
 
-    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for block in blocks_of(frames, tokens_of):
-            yield pd.DataFrame({"block": [block.name], "words": [block.words]})
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks_of(batches, tokens_of, parts_of):
+            for start in range(0, len(block.words), _ASKED):
+                words = block.words.slice(start, _ASKED)
+                columns = [pa.array(np.full(len(words), block.name)), pa.array(np.arange(start, start + len(words), dtype=np.int32)), words]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "i", "word"])
 
-    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for block in blocks_of(frames, tokens_of):
-            rows = pa.Table.from_pandas(block.rows, schema=kept, preserve_index=False)
-            rows = rows.append_column("size of line", pa.array(map(len, block.numbers), pa.int64()))
-            words = _packed(pa.table({"word": pa.array(block.words if keep_words else [], pa.string())}))
-            numbers = zipped(*block.numbers)
-            yield pd.DataFrame({"block": [block.name], "rows": [_packed(rows)], "words": [words], "numbers": [numbers]})
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks_of(batches, tokens_of, parts_of):
+            rows = block.rows.append_column("size of line", pa.array(block.sizes))
+            words = _packed(pa.table({"word": block.words if keep_words else block.words[:0]}))
+            columns = {"block": [block.name], "rows": [_packed(rows)], "words": [words], "numbers": [zipped(block.numbers)]}
+            yield pa.RecordBatch.from_pydict(columns, packed_schema)
 
-    asked = docs.mapInPandas(ask, "block long, words array<string>").select("block", F.posexplode("words").alias("i", "word"))
-    packed = docs.mapInPandas(pack, "block long, rows binary, words binary, numbers binary")
+    packed_schema = pa.schema([("block", pa.int64()), ("rows", pa.binary()), ("words", pa.binary()), ("numbers", pa.binary())])
+    asked = docs.mapInArrow(ask, "block long, i int, word string")
+    packed = docs.mapInArrow(pack, "block long, rows binary, words binary, numbers binary")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         done = []
         for line in left.to_pylist():  # more than one only where blocks are equal
             rows = _unpacked(line["rows"])
             sizes = rows["size of line"].to_numpy()
-            flat = np.frombuffer(unzipped(line["numbers"], 4 * int(sizes.sum())), dtype=np.int32)
+            flat = unzipped(line["numbers"], int(sizes.sum()))
             words = _unpacked(line["words"])["word"].to_pylist()
             numbers = np.split(flat, np.cumsum(sizes)[:-1])
             done.append(finish(rows.drop_columns("size of line").to_pandas(), words, numbers, right))

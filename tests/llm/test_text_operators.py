@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -535,6 +536,32 @@ def test_a_unit_of_20000_characters_folds_in_parts(spark):
     assert sum(scores[i] for i in row["ids"]) == pytest.approx(best[-1])
 
 
+def test_edges_are_listed_without_a_sort(spark):
+    table = pieces.read_pieces()
+    units = spark.createDataFrame([("▁" + "ab" * n,) for n in (1, 3, 400)] + [("▁",), ("語",)], "unit string").repartition(2)
+    found = pieces.lattice(units, table)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Aggregate" not in plan
+    for row in found.collect():
+        assert len(row["ends"]) == len(row["unit"])
+        for end, edges in enumerate(row["ends"], 1):
+            sizes = [e["size"] for e in edges]
+            assert sizes == sorted(sizes) and sizes[0] == 1
+            known = {n: table.names.index(row["unit"][end - n : end]) for n in sizes if row["unit"][end - n : end] in table.names}
+            assert all(e["id"] == known.get(e["size"], e["id"]) for e in edges)
+
+
+def test_words_as_columns_are_those_of_the_patterns():
+    table = pieces.read_pieces()
+    full, units = pieces.units_of(table), pieces.word_units(table)
+    odd_texts = ["", " ", "  two", "trail ", "a   b\n\n  c\t d ▁ e", "▁", "x\x1c\x1dy\x85z\xa0w \x0bB\x0cC", "ÀÉ Z\x00q 12,5"]
+    texts = odd_texts + [chr(i) + "A" + chr(i) * 2 for i in range(300)]
+    assert classlm.token_lists(pa.array(texts)).to_pylist() == [classlm.tokens(t) for t in texts]
+    for some in (texts, ["a b", "c, d"], [""]):
+        lines = pieces.words_of(pa.array(some))
+        assert [sum(units(pa.array(line, pa.string())).to_pylist(), []) for line in lines.to_pylist()] == [full(t) for t in some]
+
+
 # ---------------------------------------------------------------- rollups
 
 
