@@ -6,6 +6,9 @@ one of these segments unchanged near its old position, with at most i - 1 edits
 others right of it. Segments are therefore equi-join keys that Spark can shuffle on. Each candidate is verified
 inside the join, so the result is exact.
 
+With a budget of one edit there are only two segments, and numbered names share the first by the thousand. There
+names meet by what the edit leaves instead (``_one_edit``): the deletion neighbourhoods of FastSS.
+
 A segment that many names share ("STREET") makes a large group of candidates. ``hot_segments`` finds these
 groups; given them, ``near_pairs`` cuts each into tiles of bounded size, which are spread over the tasks.
 """
@@ -65,7 +68,7 @@ def _segments(names: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The segments of every name, for each budget it can meet as the shorter one of a pair."""
     size, floor = F.col("size"), F.col("floor")
     budgets = F.sequence(edit_budget(size, floor), edit_budget(F.floor(size / floor).cast("int"), floor))
-    met = _spread(names, keys).withColumn("budget", F.explode(budgets)).filter(F.col("budget") >= 1)
+    met = _spread(names, keys).withColumn("budget", F.explode(budgets)).filter(F.col("budget") > 1)
     return _parted(_cut(met.drop("size"), F.col("cut")), F.col("start")).withColumnRenamed("cut", "cut_x")
 
 
@@ -73,7 +76,7 @@ def _probes(names: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The places of every name, as the longer one of a pair, where a segment of a shorter name may be."""
     cut, short, budget, i = F.col("cut"), F.col("cut_x"), F.col("budget"), F.col("i")
     met = _spread(names, keys).withColumn("budget", edit_budget(F.col("size"), F.col("floor")))
-    met = met.filter(budget >= 1).drop("size")
+    met = met.filter(budget > 1).drop("size")
     met = met.withColumn("cut_x", F.explode(F.sequence(F.greatest(F.lit(0), cut - budget), cut)))
     gap, start, size = cut - short, F.col("start"), F.col("size")
     low = F.greatest(F.lit(1), start - (i - 1), start + gap - (budget + 1 - i))
@@ -82,6 +85,38 @@ def _probes(names: DataFrame, keys: Sequence[str]) -> DataFrame:
     return _parted(_cut(met, short).withColumn("at", F.explode(places)), F.col("at"))
 
 
+def _without(place: Column) -> Column:
+    """The text less the character at ``place``."""
+    return F.concat(F.col("text").substr(F.lit(1), place - 1), F.col("text").substr(place + 1, F.length("text")))
+
+
+def _one_edit(names: DataFrame, keys: Sequence[str], extras: Sequence[str]) -> DataFrame:
+    """Pairs one edit apart whose longer name has a budget of one edit, each once: those that differ in one place have
+    the same rest around it, and those of unequal length are the shorter one when the longer loses a character.
+
+    So few names meet, however many begin or end alike. Columns as those of ``near_pairs``.
+    """
+    size, floor = F.col("size"), F.col("floor")
+    allowed, allows = edit_budget(size, floor) == 1, edit_budget(size + 1, floor) == 1
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = names.repartition(tasks, *keys, "text").withColumn("cut", F.length("text"))
+
+    def sided(rows: DataFrame, side: str, *own: str) -> DataFrame:
+        return rows.select(*keys, *own, *[F.col(c).alias(f"{c}_{side}") for c in ("text", "unlike", *extras)])
+
+    places = F.explode(F.sequence(F.lit(1), F.col("cut")))
+    holes = dealt.filter(allowed & (F.col("cut") > 0)).withColumn("place", places).withColumn("rest", _without(F.col("place")))
+    x, y = sided(holes, "x", "cut", "place", "rest"), sided(holes, "y", "cut", "place", "rest")
+    replaced = x.hint("merge").join(y, [*keys, "cut", "place", "rest"]).filter("text_x < text_y")
+    # Taking out either of two equal neighbours leaves the same.
+    y = sided(holes.dropDuplicates([*keys, "text", "rest"]), "y", "rest")
+    x = sided(dealt.filter(allows).withColumn("rest", F.col("text")), "x", "rest")
+    shorter = x.hint("merge").join(y, [*keys, "rest"])
+    sides = [f"{c}_{side}" for side in "xy" for c in ("text", "unlike", *extras)]
+    met = replaced.select(*keys, *sides).unionByName(shorter.select(*keys, *sides))
+    return met.filter("NOT coalesce(unlike_x = unlike_y, false)").drop("unlike_x", "unlike_y")
+
+
 def hot_segments(names: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Segments with more candidates than a tile holds, and the number of parts to cut each side into.
 
@@ -142,4 +177,5 @@ def near_pairs(names: DataFrame, keys: Sequence[str], hot: DataFrame | None = No
     )
     sides = [f"{c}_{side}" for side in "xy" for c in ("text", *extras)]
     # Spark's size estimates do not see the explodes, so it would broadcast a side that is not small.
-    return shorter.hint("merge").join(longer, on).filter(near).select(*keys, *sides).distinct()
+    found = shorter.hint("merge").join(longer, on).filter(near).select(*keys, *sides).distinct()
+    return found.unionByName(_one_edit(names, keys, extras))

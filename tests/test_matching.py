@@ -273,3 +273,14 @@ def test_audit_of_no_records(spark):
     audit = matching.match_audit(records, ledger, 0.95, 0.8, job_name="j").first()
     assert (audit.total_zone_rows, audit.total_pairs_compared, audit.reject_pairs) == (0, 0, 0)
     assert matching.mdm_scorecard(records, ledger, "r").first().observed_value == 0.0
+
+
+def test_numbered_names_one_edit_apart_share_no_hot_segment(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "NAMES_PER_TILE", 20)
+    texts = [f" {i:06d}" for i in range(0, 1000, 7)] + [f" {i:06d}0" for i in range(0, 90, 7)] + ["", " ", "0"]
+    names = spark.createDataFrame([("k", t, len(t) + 9) for t in texts], "k string, text string, size int")
+    names = names.withColumns({"floor": F.lit(0.89), "unlike": F.lit(None).cast("string")})
+    assert similarity.hot_segments(names, ["k"]).count() == 0
+    pairs = Counter(frozenset((r.text_x, r.text_y)) for r in near_pairs(names, ["k"]).collect())
+    wanted = {frozenset(p) for p in combinations(texts, 2) if edits(*p) <= int((max(map(len, p)) + 9) * (1 - 0.89))}
+    assert set(pairs) == wanted and set(pairs.values()) == {1}
