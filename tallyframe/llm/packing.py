@@ -16,7 +16,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -89,7 +89,9 @@ class WordEncoder:
         self.ids, self.starts = np.concatenate(found), np.concatenate(stops)
 
     def _known(self, words: list[str]) -> np.ndarray:
-        at = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
+        return self._ids_at(np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words)))
+
+    def _ids_at(self, at: np.ndarray) -> np.ndarray:
         starts, sizes = self.starts[at], self.starts[at + 1] - self.starts[at]
         shift = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
         return self.ids[shift + np.arange(len(shift))]
@@ -110,18 +112,24 @@ class WordEncoder:
         return [np.concatenate([*line, self.tail]).astype("<u4", copy=False) for line in lines]
 
     def _look_up(self, parts: list[tuple[int, list[str]]], lines: list[list[np.ndarray]]) -> None:
-        distinct = set(chain.from_iterable(words for _, words in parts))
-        long = {word for word in distinct if len(word) > LONGEST_WORD}
-        fresh = distinct.difference(self.numbers, long)
+        # Each word is looked for once; only the new ones, -1 so far, are gathered and learned.
+        known = self.numbers.get
+        found = [np.fromiter(map(known, words, repeat(-1)), dtype=np.int64, count=len(words)) for _, words in parts]
+        fresh = {words[k] for (_, words), at in zip(parts, found) for k in np.flatnonzero(at < 0).tolist()}
+        long = {word for word in fresh if len(word) > LONGEST_WORD}
+        fresh -= long
         if fresh and len(self.numbers) + len(fresh) > MOST_WORDS:
             self._forget()
-            fresh = distinct.difference(long)
+            found = [np.full(len(words), -1, dtype=np.int64) for _, words in parts]
+            fresh = set(chain.from_iterable(words for _, words in parts)) - long
         self._learn(sorted(fresh))
-        for i, words in parts:
+        for (i, words), at in zip(parts, found):
             if long and not long.isdisjoint(words):
                 lines[i] += self._with_long(words, long)
-            else:
-                lines[i].append(self._known(words))
+                continue
+            new = np.flatnonzero(at < 0)
+            at[new] = [self.numbers[words[k]] for k in new.tolist()]
+            lines[i].append(self._ids_at(at))
 
     @staticmethod
     def _words(text: str) -> list[str]:
@@ -132,7 +140,8 @@ class WordEncoder:
             line = line.replace(gap, " ")
         if not _RUN_OF_MARKS.search(line):
             line = line.replace(". ", " . ").replace(", ", " , ")
-        return [word for word in line.split(" ") if word]
+        words = line.split(" ")
+        return [word for word in words if word] if "  " in line or line[:1] == " " or line[-1:] in (" ", "") else words
 
     def _with_long(self, words: list[str], long: set[str]) -> list[np.ndarray]:
         """The ids of words, in runs of remembered words and single long ones."""
