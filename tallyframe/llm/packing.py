@@ -20,10 +20,13 @@ from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tallyframe.llm.common import ascii_lower, chunks, slices
+from tallyframe.llm.wordmap import split_lists, spread
 
 #: White space between which texts can be encoded apart: the vocabulary drops it, and no token crosses it.
 _GAP = re.compile("[ \n\t\r]")
@@ -65,8 +68,9 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers: dict[str, int] = {}
-        self.starts, self.ids = np.zeros(1, dtype=np.int64), np.empty(0, dtype="<u4")
+        # Between two spaces is an empty word, which has no ids.
+        self.numbers: dict[str, int] = {"": 0}
+        self.starts, self.ids = np.zeros(2, dtype=np.int64), np.empty(0, dtype="<u4")
 
     def _learn(self, words: list[str]) -> None:
         """Words of letters go to the merges at once, without the patterns of the tokenizer; others through all of it."""
@@ -88,70 +92,58 @@ class WordEncoder:
         self.numbers.update(zip(plain + others, range(len(self.numbers), len(self.numbers) + len(words))))
         self.ids, self.starts = np.concatenate(found), np.concatenate(stops)
 
-    def _known(self, words: list[str]) -> np.ndarray:
-        return self._ids_at(np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words)))
-
-    def _ids_at(self, at: np.ndarray) -> np.ndarray:
-        starts, sizes = self.starts[at], self.starts[at + 1] - self.starts[at]
-        shift = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-        return self.ids[shift + np.arange(len(shift))]
-
     def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text and the last id; a NULL or empty text has the last id only."""
-        lines: list[list[np.ndarray]] = [[] for _ in texts]
-        held: list[tuple[int, list[str]]] = []
+        found: list[list[np.ndarray]] = [[] for _ in texts]
+        held: list[int] = []
+        lines: list[str] = []
         chars = 0
         for i, text in enumerate(texts):
             for part in slices(text, _GAP, _PART_CHARS):
-                held.append((i, self._words(part)))
+                held.append(i)
+                lines.append(self._line(part))
                 chars += len(part)
                 if chars > _PART_CHARS:
-                    self._look_up(held, lines)
-                    held, chars = [], 0
-        self._look_up(held, lines)
-        return [np.concatenate([*line, self.tail]).astype("<u4", copy=False) for line in lines]
-
-    def _look_up(self, parts: list[tuple[int, list[str]]], lines: list[list[np.ndarray]]) -> None:
-        # Each word is looked for once; only the new ones, -1 so far, are gathered and learned.
-        known = self.numbers.get
-        found = [np.fromiter(map(known, words, repeat(-1)), dtype=np.int64, count=len(words)) for _, words in parts]
-        fresh = {words[k] for (_, words), at in zip(parts, found) for k in np.flatnonzero(at < 0).tolist()}
-        long = {word for word in fresh if len(word) > LONGEST_WORD}
-        fresh -= long
+                    self._look_up(held, lines, found)
+                    held, lines, chars = [], [], 0
+        self._look_up(held, lines, found)
+        return [np.concatenate([*parts, self.tail]).astype("<u4", copy=False) for parts in found]
+
+    def _look_up(self, held: list[int], lines: list[str], found: list[list[np.ndarray]]) -> None:
+        """Adds the ids of each line to ``found``, at its place in ``held``."""
+        if not lines:
+            return
+        # Words are split and numbered as Arrow columns; only distinct ones become objects, and each is looked for once.
+        words, n_words = split_lists(pc.split_pattern(pa.array(lines, pa.large_string()), " "))
+        coded = words.dictionary_encode()
+        distinct, which = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        at = np.fromiter(map(self.numbers.get, distinct, repeat(-1)), dtype=np.int64, count=len(distinct))
+        unknown = np.flatnonzero(at < 0).tolist()
+        long = [k for k in unknown if len(distinct[k]) > LONGEST_WORD]
+        fresh = [k for k in unknown if len(distinct[k]) <= LONGEST_WORD]
         if fresh and len(self.numbers) + len(fresh) > MOST_WORDS:
             self._forget()
-            found = [np.full(len(words), -1, dtype=np.int64) for _, words in parts]
-            fresh = set(chain.from_iterable(words for _, words in parts)) - long
-        self._learn(sorted(fresh))
-        for (i, words), at in zip(parts, found):
-            if long and not long.isdisjoint(words):
-                lines[i] += self._with_long(words, long)
-                continue
-            new = np.flatnonzero(at < 0)
-            at[new] = [self.numbers[words[k]] for k in new.tolist()]
-            lines[i].append(self._ids_at(at))
+            fresh = [k for k, word in enumerate(distinct) if word and len(word) <= LONGEST_WORD]
+        self._learn([distinct[k] for k in fresh])
+        at[fresh] = [self.numbers[distinct[k]] for k in fresh]
+        # Long words are not remembered: their ids are appended for this look-up alone.
+        at[long] = np.arange(len(self.starts) - 1, len(self.starts) - 1 + len(long))
+        longs = [np.array(self.tokenizer.encode(distinct[k], add_special_tokens=False).ids, dtype="<u4") for k in long]
+        ids = np.concatenate([self.ids, *longs]) if long else self.ids
+        stops = np.r_[self.starts, len(self.ids) + np.cumsum([len(line) for line in longs], dtype=np.int64)]
+        starts, sizes = stops[at][which], (stops[at + 1] - stops[at])[which]
+        ends = np.r_[0, np.cumsum(sizes)][np.cumsum(n_words)]
+        for i, line in zip(held, np.split(ids[spread(starts, sizes)], ends[:-1])):
+            found[i].append(line)
 
     @staticmethod
-    def _words(text: str) -> list[str]:
-        """Parts of a text whose ids can be put together; those of white space alone have none."""
+    def _line(text: str) -> str:
+        """A text whose words between spaces can be encoded apart."""
         # Marks of special tokens are told by their case; all other letters are lower-cased by the tokenizer anyway.
         line = text if "<|" in text else ascii_lower(text)
         for gap in "\n\t\r":
             line = line.replace(gap, " ")
-        if not _RUN_OF_MARKS.search(line):
-            line = line.replace(". ", " . ").replace(", ", " , ")
-        words = line.split(" ")
-        return [word for word in words if word] if "  " in line or line[:1] == " " or line[-1:] in (" ", "") else words
-
-    def _with_long(self, words: list[str], long: set[str]) -> list[np.ndarray]:
-        """The ids of words, in runs of remembered words and single long ones."""
-        out, start = [], 0
-        for stop, word in enumerate(words):
-            if word in long:
-                out += [self._known(words[start:stop]), np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4")]
-                start = stop + 1
-        out.append(self._known(words[start:]))
-        return out
+        return line if _RUN_OF_MARKS.search(line) else line.replace(". ", " . ").replace(", ", " , ")
 
 
 @lru_cache(maxsize=1)

@@ -180,6 +180,22 @@ def test_word_by_word_ids_equal_the_tokenizer():
     assert [encoder.encode_all([t])[0].tolist() for t in texts] == wanted
 
 
+def test_a_word_is_looked_up_once_for_all_its_places():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *of):
+            Counted.asked += 1
+            return super().get(*of)
+
+    encoder = packing.WordEncoder(TOKENIZER, None)
+    encoder.numbers = Counted(encoder.numbers)
+    texts = ["some words  again\n" * 5000 + "q" * 50, "again " + "q" * 50]
+    wanted = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [a.tolist() for a in encoder.encode_all(texts)] == wanted
+    assert Counted.asked <= 10
+
+
 def test_words_forgotten_are_found_again(monkeypatch):
     monkeypatch.setattr(packing, "MOST_WORDS", 50)
     monkeypatch.setattr(packing, "_PART_CHARS", 100)
