@@ -6,12 +6,13 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyframe.sources.scratch import scratch_folder, via_table
 
 __all__ = [
-    "WORD", "WORD_PATTERN", "ascii_lower", "chunks", "scratch_folder", "slices", "table", "training_fold", "via_table", "words",
+    "WORD", "WORD_PATTERN", "ascii_lower", "chunks", "give_back", "scratch_folder", "slices", "table", "training_fold", "via_table", "words",
 ]
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
@@ -50,6 +51,13 @@ def chunks(frames: Iterable[pd.DataFrame], column: str, most_chars: int = 8_000_
                 yield piece.reset_index(drop=True)
 
 
+def give_back() -> None:
+    """What Arrow and the C library keep of freed memory goes back to the machine. Called at the end of a task, so that a
+    worker that waits for the next one, of another stage perhaps, does not add to that stage's memory."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+
+
 def slices(text: str | None, gap: re.Pattern, most_chars: int = 2_000_000) -> Iterator[str]:
     """A text in parts of about ``most_chars``, so that the words of a very long text are never all held at once.
 

@@ -13,39 +13,50 @@ cost nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.llm.common import chunks, via_table
+from tallyframe.llm.common import give_back, via_table
 from tallyframe.llm.components import components
 from tallyframe.llm.shingles import Bands, Shingler, same_set_key
+from tallyframe.llm.wordmap import as_lists, frames_of
 
 COLLECTION, ROWS = 9, 3
 #: Bits of an odd sketch: whether a part of the hash space holds an odd number of shingles.
 SKETCH_BITS = 1024
 SKETCH_WORDS = SKETCH_BITS // 64
+#: Rows come back from a worker in frames whose texts sum to this many characters.
+FRAME_CHARS = 2_000_000
 #: Ids up to this many (16 bytes each) are broadcast; more are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 
 
+def _arrays(rows: Sequence[np.ndarray]) -> pa.ListArray:
+    return as_lists(pa.array(np.concatenate(rows)), np.array([len(row) for row in rows]))
+
+
 def signatures(docs: DataFrame, shingle: int, collection: int, rows: int) -> DataFrame:
-    """``doc_id, n, high, low, bands`` of every row: set size, 128 bits that name the set, and its band keys."""
+    """``doc_id, n, high, low, bands`` of every row: set size, 128 bits that name the set, and its band keys.
 
-    def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Texts stay Arrow columns; one at a time becomes an object, so a worker does not hold a batch of them twice."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, bands = Shingler(shingle), Bands(collection, rows)
-        for frame in chunks(frames, "text", 2_000_000):
+        for frame in frames_of(batches, FRAME_CHARS):
             out = []
             for text in frame["text"]:
-                found = shingler.set_of(text)
-                out.append((len(found), *same_set_key(found), bands.of(found) if len(found) else []))
-            named = pd.DataFrame(out, columns=["n", "high", "low", "bands"])
-            yield pd.concat([frame[["doc_id"]].reset_index(drop=True), named], axis=1)
-
-    # Ids travel as text: pandas would turn a column of numbers with NULLs into floats.
-    named = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(sign, "doc_id string, n long, high long, low long, bands array<long>")
+                found = shingler.set_of(text.as_py())
+                out.append((len(found), *same_set_key(found), bands.of(found) if len(found) else none))
+            n, high, low, keys = zip(*out)
+            columns = [frame["doc_id"], *(pa.array(c, pa.int64()) for c in (n, high, low)), _arrays(keys)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "high", "low", "bands"])
+        give_back()
+
+    none = np.empty(0, dtype=np.int64)
+    named = docs.select(F.col("doc_id").cast("string"), F.col("text").cast("string")).mapInArrow(sign, "doc_id string, n long, high long, low long, bands array<long>")
     return named.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -55,19 +66,21 @@ def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     few = ids.count() <= MOST_BROADCAST
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(ids) if few else ids, "id", "left_semi")
 
-    def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(shingle)
-        for frame in chunks(frames, "text", 2_000_000):
+        for frame in frames_of(batches, FRAME_CHARS):
             out = []
             for text in frame["text"]:
-                found = shingler.set_of(text)
+                found = shingler.set_of(text.as_py())
                 counts = np.bincount(found >> np.uint64(54), minlength=SKETCH_BITS)
                 odd = np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
                 out.append((len(found), *same_set_key(found), found.view(np.int64), odd))
-            named = pd.DataFrame(out, columns=["n", "high", "low", "hashes", "odd"])
-            yield pd.concat([frame[["id"]].reset_index(drop=True), named], axis=1)
+            n, high, low, hashes, sketches = zip(*out)
+            columns = [frame["id"], *(pa.array(c, pa.int64()) for c in (n, high, low)), _arrays(hashes), _arrays(sketches)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "high", "low", "hashes", "odd"])
+        give_back()
 
-    built = texts.mapInPandas(build, "id long, n long, high long, low long, hashes array<long>, odd array<long>")
+    built = texts.mapInArrow(build, "id long, n long, high long, low long, hashes array<long>, odd array<long>")
     # An id may stand on several rows with different texts: the class is that of the wanted set.
     return built.join(wanted, ["id", "high", "low"], "left_semi").dropDuplicates(["id", "high", "low"]).select("id", "n", "hashes", "odd")
 

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from tallyframe.llm.common import give_back
+
 #: A block ends after this many characters. Its texts and words stay Arrow columns, without an object per word.
 BLOCK_CHARS = 16_000_000
 FRAME_CHARS = 2_000_000
@@ -153,6 +155,7 @@ def per_block(
                 words = block.words.slice(start, _ASKED)
                 columns = [pa.array(np.full(len(words), block.name)), pa.array(np.arange(start, start + len(words), dtype=np.int32)), words]
                 yield pa.RecordBatch.from_arrays(columns, names=["block", "i", "word"])
+        give_back()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks_of(batches, tokens_of, parts_of):
@@ -160,6 +163,7 @@ def per_block(
             words = _packed(pa.table({"word": block.words if keep_words else block.words[:0]}))
             columns = {"block": [block.name], "rows": [_packed(rows)], "words": [words], "numbers": [zipped(block.numbers)]}
             yield pa.RecordBatch.from_pydict(columns, packed_schema)
+        give_back()
 
     packed_schema = pa.schema([("block", pa.int64()), ("rows", pa.binary()), ("words", pa.binary()), ("numbers", pa.binary())])
     asked = docs.mapInArrow(ask, "block long, i int, word string")

@@ -7,12 +7,13 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe.llm import classlm, leaks, nearcopies, outliers, pieces, rollups, toxicity
+from tallyframe.llm import classlm, leaks, nearcopies, outliers, pieces, rollups, shingles, toxicity
 from tallyframe.llm.common import chunks
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, n_words string, score string"
@@ -174,6 +175,19 @@ def test_near_copies_of_a_hot_chain(spark):
     assert sum(r["kept"] for r in found) == 1
 
 
+def test_texts_are_signed_as_arrow_columns(spark, odd):
+    """A worker that turns a batch of texts into pandas holds it twice."""
+    signed = nearcopies.signatures(odd, 2, 2, 2)
+    plan = signed._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "MapInPandas" not in plan
+    shingler, bands, wanted = shingles.Shingler(2), shingles.Bands(2, 2), Counter()
+    for row in odd.collect():
+        found = shingler.set_of(row["text"])
+        keys = tuple(bands.of(found).tolist()) if len(found) else ()
+        wanted[row["doc_id"], len(found), *shingles.same_set_key(found), keys] += 1
+    assert Counter((r["doc_id"], r["n"], r["high"], r["low"], tuple(r["bands"])) for r in signed.collect()) == wanted
+
+
 def test_near_copies_of_odd_rows(odd, nothing):
     found = nearcopies.near_copies(odd, 2).collect()
     assert len(found) == len(ODD)
