@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
+from tallyframe.llm.common import give_back
 from tallyframe.llm.wordmap import Tokens, as_lists, per_block, split_lists, spread, unzipped, zipped
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -170,17 +171,17 @@ def lattice(unit_table: DataFrame, pieces: Pieces, unknown: float | None = None)
     score.
 
     The piece table is broadcast: it is the model's, of fixed size. So the edges of a unit stay where the unit is, one
-    after the other, and become its list without a shuffle or a sort. Other columns ride on the first edge.
+    after the other, and become its list without a shuffle or a sort. Other columns ride on the first edge; flat ones
+    cost least, since Spark measures every column's vectors again at each edge.
     """
     worst = min(pieces.scores[i] for i in pieces.usable)
     unknown = worst - UNKNOWN_PENALTY if unknown is None else unknown
-    rows = [(pieces.names[i], i, float(pieces.scores[i])) for i in pieces.usable]
-    table = F.broadcast(unit_table.sparkSession.createDataFrame(rows, "piece string, id int, score double"))
+    rows = [(pieces.names[i], i) for i in pieces.usable]
+    table = F.broadcast(unit_table.sparkSession.createDataFrame(rows, "piece string, id int"))
     others = [c for c in unit_table.columns if c != "unit"]
     longest = pieces.longest
-    numbers = unit_table.withColumn("row", F.monotonically_increasing_id())
     begins = F.sequence(F.lit(0), F.floor((F.length("unit") - 1) / SEGMENT).cast("int") * SEGMENT, F.lit(SEGMENT))
-    parts = numbers.withColumn("begin", F.explode(begins)).withColumn("from", F.greatest(F.col("begin") - longest + 1, F.lit(0)))
+    parts = unit_table.withColumn("begin", F.explode(begins)).withColumn("from", F.greatest(F.col("begin") - longest + 1, F.lit(0)))
     parts = parts.withColumn("part", F.substring("unit", F.col("from") + 1, F.lit(SEGMENT + longest - 1)))
     # One number per end and size: rows of plain numbers stay in generated code, arrays of substrings would not.
     n, width = F.least(F.length("unit") - F.col("begin"), F.lit(SEGMENT)), F.least(F.lit(longest), F.length("unit"))
@@ -189,33 +190,43 @@ def lattice(unit_table: DataFrame, pieces: Pieces, unknown: float | None = None)
     cells = cells.withColumn("end", end).withColumn("size", size).filter(F.col("size") <= F.col("end"))
     piece = F.substring("part", F.col("end") - F.col("size") - F.col("from") + 1, F.col("size"))
     first = [F.when(F.col("end") == 1, F.col(c)).alias(c) for c in ("unit", *others)]
-    substrings = cells.select("row", "end", "size", piece.alias("piece"), *first)
+    substrings = cells.select("end", "size", piece.alias("piece"), *first)
     edges = substrings.join(table, "piece", "left").filter((F.col("size") == 1) | F.col("id").isNotNull())
-    of = [F.coalesce("id", -1 - F.ascii("piece")).alias("id"), F.coalesce("score", F.lit(unknown)).alias("score")]
-    edges = edges.select("row", "end", "size", *of, "unit", *others)
-    edge = edges.select("size", "id", "score").schema
-    schema = StructType([unit_table.schema["unit"], StructField("ends", ArrayType(ArrayType(edge))), *(unit_table.schema[c] for c in others)])
-    return edges.mapInArrow(_lists, schema)
+    # End and piece are one number: each column of a row costs. Size and score are those of the piece.
+    number = F.shiftleft(F.col("end").cast("long"), 32) + F.coalesce("id", -1 - F.ascii("piece"))
+    edges = edges.select(number.alias("edge"), "unit", *others)
+    sizes, scores = np.array([len(name) for name in pieces.names], dtype=np.int32), np.array(pieces.scores, dtype=np.float64)
+    shared = unit_table.sparkSession.sparkContext.broadcast((np.r_[sizes, np.int32(1)], np.r_[scores, unknown]))
+    ends = ArrayType(ArrayType(StructType.fromDDL("size int, id int, score double")))
+    schema = StructType([unit_table.schema["unit"], StructField("ends", ends), *(unit_table.schema[c] for c in others)])
+    return edges.mapInArrow(lambda batches: _lists(batches, *shared.value), schema)
 
 
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of ``row, end, size, id, score`` and others as one row per unit, with a list for each end.
+def _lists(batches: Iterator[pa.RecordBatch], size_of: np.ndarray, score_of: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of ``edge`` (end and id), ``unit`` and others as one row per unit, with a list of edges for each end.
 
-    The others are taken from a unit's first edge."""
+    Size and score are those of the id, the last ones for an id below 0. A unit and the others are taken from its first
+    edge, the only one that ends at 1."""
+
+    def end_of(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
+        return (batch["edge"].to_numpy() + (1 << 31)) >> 32
 
     def whole(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held).combine_chunks()
-        row, end = table["row"].to_numpy(), table["end"].to_numpy()
-        new_row = np.r_[True, row[1:] != row[:-1]]
+        end = end_of(table)
+        new_row = end == 1
         new_end = new_row | np.r_[True, end[1:] != end[:-1]]
         at, ends = np.flatnonzero(new_row), np.flatnonzero(new_end)
-        # Were the edges of a unit not together and in order, its ends would not count from 1.
+        others = table.drop_columns(["edge"]).take(pa.array(at)).combine_chunks()
+        # Were the edges of a unit not together and in order, its ends would not count from 1 to its length.
         n = np.diff(np.r_[np.flatnonzero(new_row[ends]), len(ends)])
-        if not np.array_equal(end[ends], 1 + np.arange(len(ends)) - np.repeat(np.cumsum(n) - n, n)):
+        counted = np.array_equal(end[ends], 1 + np.arange(len(ends)) - np.repeat(np.cumsum(n) - n, n))
+        if not counted or not np.array_equal(n, pc.utf8_length(others["unit"]).to_numpy()):
             raise RuntimeError("the edges of a unit came apart")
-        edge = pa.StructArray.from_arrays([table[c].combine_chunks() for c in ("size", "id", "score")], ["size", "id", "score"])
+        of = (table["edge"].to_numpy() - (end << 32)).astype(np.int32)
+        known = np.where(of < 0, len(size_of) - 1, of)
+        edge = pa.StructArray.from_arrays([pa.array(c) for c in (size_of[known], of, score_of[known])], ["size", "id", "score"])
         lists = as_lists(as_lists(edge, np.diff(np.r_[ends, len(end)])), n)
-        others = table.drop_columns(["row", "end", "size", "id", "score"]).take(pa.array(at)).combine_chunks()
         columns = [others["unit"], lists, *others.drop_columns("unit").columns]
         columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
         return pa.RecordBatch.from_arrays(columns, names=["unit", "ends", *others.column_names[1:]])
@@ -224,18 +235,19 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        row = batch["row"].to_numpy()
-        if held and held[-1]["row"][-1].as_py() != row[0]:
+        first = np.flatnonzero(end_of(batch) == 1)
+        if held and len(first) and first[0] == 0:
             yield whole(held)
             held = []
         # The last unit may go on in the next batch.
-        last = int(np.searchsorted(row, row[-1]))
+        last = int(first[-1]) if len(first) else 0
         if last:
             yield whole([*held, batch.slice(0, last)])
             held = []
         held.append(batch.slice(last))
     if held:
         yield whole(held)
+    give_back()
 
 
 def _viterbi(ends: Column, longest: int) -> Column:
@@ -281,7 +293,9 @@ def _path(ways: Column) -> Column:
     def whole(back: Column) -> Column:
         zero = F.struct(F.lit(0).alias("skip"), F.array().cast("array<array<int>>").alias("done"), back.alias("back"))
         turns = F.sequence(F.lit(0), F.floor((F.size(back) - 1) / _FOLD).cast("int"))
-        return F.aggregate(turns, zero, part, lambda s: F.reverse(F.flatten(s["done"])))
+        parts = F.aggregate(turns, zero, part, lambda s: F.reverse(F.flatten(s["done"])))
+        start = F.struct(F.lit(0).alias("skip"), F.array().cast("array<int>").alias("ids"))
+        return F.when(F.size(back) <= _FOLD, F.aggregate(back, start, step, lambda s: F.reverse(s["ids"]))).otherwise(parts)
 
     return F.element_at(F.transform(F.array(F.reverse(ways)), whole), 1)
 
@@ -402,7 +416,7 @@ _ANSWERS = 1_000_000
 
 
 def _answers(folded: DataFrame, table: list[bytes]) -> DataFrame:
-    """``block, n, n_ids, packed`` from ``unit, ids, keys``: for each block the numbers of its units, their counts of ids,
+    """``block, n, n_ids, packed`` from ``unit, ids, keys`` (``block:i`` of all who ask, with commas between): for each block the numbers of its units, their counts of ids,
     whether their ids decode to the unit, and the ids, compressed."""
     shared = folded.sparkSession.sparkContext.broadcast(table)
 
@@ -428,10 +442,10 @@ def _answers(folded: DataFrame, table: list[bytes]) -> DataFrame:
             same = []
             for unit, ids in zip(batch["unit"].to_pylist(), batch["ids"].to_pylist()):
                 same.append(b"".join([shared.value[i] for i in ids]) == unit.replace(SPACE, " ").encode())
-            keys = batch["keys"]
-            of = np.repeat(np.arange(batch.num_rows), np.diff(keys.offsets.to_numpy()))
-            asked = keys.flatten()
-            found = (asked.field("block").to_numpy(), asked.field("i").to_numpy(), np.array(same)[of], batch["ids"].take(pa.array(of)))
+            keys, n_keys = split_lists(pc.split_pattern(batch["keys"], ","))
+            of = np.repeat(np.arange(batch.num_rows), n_keys)
+            asked = split_lists(pc.split_pattern(keys, ":"))[0].cast(pa.int64()).to_numpy().reshape(-1, 2)
+            found = (asked[:, 0], asked[:, 1].astype(np.int32), np.array(same)[of], batch["ids"].take(pa.array(of)))
             for column, part in zip(held, found):
                 column.append(part)
             n += len(of)
@@ -440,6 +454,7 @@ def _answers(folded: DataFrame, table: list[bytes]) -> DataFrame:
                 held, n = ([], [], [], []), 0
         if n:
             yield packed(*held)
+        give_back()
 
     return folded.select("unit", "ids", "keys").mapInArrow(pack, "block long, n long, n_ids long, packed binary")
 
@@ -459,7 +474,7 @@ def encoded(docs: DataFrame, pieces: Pieces, fold: str = "merge") -> DataFrame:
     def answer(asked: DataFrame) -> DataFrame:
         # Dealt by unit here, so its keys are not shuffled again.
         dealt = asked.withColumnRenamed("word", "unit").repartition("unit")
-        keys = F.collect_list(F.struct("block", "i")).alias("keys")
+        keys = F.array_join(F.collect_list(F.concat_ws(":", F.col("block").cast("string"), F.col("i").cast("string"))), ",").alias("keys")
         # The hash only makes sorting cheap: numbers compare faster than texts.
         found = lattice(dealt.groupBy(F.xxhash64("unit").alias("hash"), "unit").agg(keys).drop("hash"), pieces)
         if fold == "viterbi":

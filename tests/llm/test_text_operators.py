@@ -565,6 +565,26 @@ def test_edges_are_listed_without_a_sort(spark):
             assert all(e["id"] == known.get(e["size"], e["id"]) for e in edges)
 
 
+def test_edges_reach_their_lists_as_one_number():
+    size_of, score_of = np.array([1, 2, 1]), np.array([-1.0, -2.5, -9.0])
+
+    def batch(rows):
+        edges, units = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array([(e << 32) + i for e, i in edges]), pa.array(units, pa.string())], names=["edge", "unit"])
+
+    # "a" and a character that is no piece, the second edge of "ba" in the next batch.
+    first, second = [((1, 0), "aa"), ((2, 0), None)], [((2, 1), None), ((1, -1 - 0x10FFFF), "\U0010ffff")]
+    found = [r for b in pieces._lists(iter([batch(first), batch(second)]), size_of, score_of) for r in b.to_pylist()]
+    edge = lambda size, i, score: {"size": size, "id": i, "score": score}
+    assert found == [
+        {"unit": "aa", "ends": [[edge(1, 0, -1.0)], [edge(1, 0, -1.0), edge(2, 1, -2.5)]]},
+        {"unit": "\U0010ffff", "ends": [[edge(1, -1 - 0x10FFFF, -9.0)]]},
+    ]
+    for apart in ([((1, 0), "aaa"), ((3, 0), None)], [((1, 0), "aaa"), ((2, 0), None)]):
+        with pytest.raises(RuntimeError, match="came apart"):
+            list(pieces._lists(iter([batch(apart)]), size_of, score_of))
+
+
 def test_words_as_columns_are_those_of_the_patterns():
     table = pieces.read_pieces()
     full, units = pieces.units_of(table), pieces.word_units(table)
