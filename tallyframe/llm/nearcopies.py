@@ -32,6 +32,9 @@ SKETCH_WORDS = SKETCH_BITS // 64
 FRAME_CHARS = 2_000_000
 #: Ids up to this many (16 bytes each) are broadcast; more are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
+#: A task makes the table keys of about this many classes. An aggregate by key holds nearly all of them, each key being
+#: rare, and a task that reads a small file makes very many.
+TASK_CLASSES = 10_000
 
 
 def _arrays(rows: Sequence[np.ndarray]) -> pa.ListArray:
@@ -180,7 +183,8 @@ def near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80, collection
             ),
         )
     )
-    keys = classes.select("id", "n", F.explode(tables).alias("t")).select("id", "n", "t.i", "t.j", "t.key")
+    dealt = classes.repartition(classes.count() // TASK_CLASSES + 1, "id")
+    keys = dealt.select("id", "n", F.explode(tables).alias("t")).select("id", "n", "t.i", "t.j", "t.key")
     # Two members stand for a bucket: that with the least id, and that with the least hash. Aggregates of plain
     # numbers need no sort, which aggregates of structs would.
     place = F.xxhash64("key", "id")

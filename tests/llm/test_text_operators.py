@@ -165,6 +165,24 @@ def test_near_copies_match_all_pairs(spark, size):
     assert found == naive_components(rows, size)
 
 
+def test_table_keys_of_many_classes_are_made_by_many_tasks(spark, monkeypatch):
+    draw = random.Random(8)
+    texts = [" ".join(draw.choice("abcdefgh") + str(draw.randrange(40)) for _ in range(30)) for _ in range(20)]
+    rows = [(i, text + " end" * (i % 3), "en", "a") for i, text in enumerate(texts * 3)]
+    plain = Counter(tuple(r) for r in nearcopies.near_copies(docs_of(spark, rows), 2).collect())
+    plans, whole = {}, nearcopies.via_table
+
+    def via(df, purpose):
+        plans[purpose] = df._jdf.queryExecution().executedPlan().toString()
+        return whole(df, purpose)
+
+    monkeypatch.setattr(nearcopies, "TASK_CLASSES", 7)
+    monkeypatch.setattr(nearcopies, "via_table", via)
+    assert Counter(tuple(r) for r in nearcopies.near_copies(docs_of(spark, rows), 2).collect()) == plain
+    n = len({nearcopies.same_set_key(nearcopies.Shingler(2).set_of(text)) for _, text, *_ in rows}) // 7 + 1
+    assert n > 5 and re.search(rf"hashpartitioning\(id#\d+L, {n}\), REPARTITION_BY_NUM", plans["nearcopies-buckets"])
+
+
 def test_near_copies_of_a_hot_chain(spark):
     """A large group in which neighbours are alike and ends are not: one component, and copies of it cost nothing."""
     words = [f"w{i}" for i in range(400)]
