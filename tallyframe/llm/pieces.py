@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
@@ -34,6 +35,8 @@ SPACE = "▁"
 SEGMENT = 256
 #: Ends of a long unit are folded in parts of this many, so that the fold's arrays are not copied whole at every end.
 _FOLD = 1024
+#: Sizes of pieces are looked up by this many characters before an end.
+TAIL = 3
 #: What a character outside the model costs below its worst piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -163,6 +166,18 @@ def word_units(pieces: Pieces) -> Tokens:
     return units
 
 
+def _tail_sizes(spark: SparkSession, pieces: Pieces) -> DataFrame:
+    """``tail, sizes``: the hash of the last TAIL characters of a piece, and all sizes that a piece which ends so may have,
+    with those below TAIL, which any tail may have. Tails of one hash share their sizes."""
+    shorter = set(range(1, min(TAIL, pieces.longest + 1)))
+    sizes: dict[int, set[int]] = defaultdict(lambda: set(shorter))
+    for name in (pieces.names[i] for i in pieces.usable):
+        if len(name) >= TAIL:
+            # Spark's xxhash64 is that of the library with 42 for seed, as a signed number.
+            sizes[int(np.uint64(xxhash.xxh64_intdigest(name[-TAIL:].encode(), 42)).view(np.int64))].add(len(name))
+    return spark.createDataFrame([(tail, sorted(found)) for tail, found in sizes.items()], "tail long, sizes array<int>")
+
+
 def lattice(unit_table: DataFrame, pieces: Pieces, unknown: float | None = None) -> DataFrame:
     """``unit, ends`` and the other columns of ``unit_table``, which has one row per unit.
 
@@ -177,21 +192,29 @@ def lattice(unit_table: DataFrame, pieces: Pieces, unknown: float | None = None)
     worst = min(pieces.scores[i] for i in pieces.usable)
     unknown = worst - UNKNOWN_PENALTY if unknown is None else unknown
     rows = [(pieces.names[i], i) for i in pieces.usable]
-    table = F.broadcast(unit_table.sparkSession.createDataFrame(rows, "piece string, id int"))
+    table = unit_table.sparkSession.createDataFrame(rows, "name string, id int")
+    # Texts are looked up by their hash and compared after that: Spark joins plain numbers at a fraction of the cost.
+    table = F.broadcast(table.select(F.xxhash64("name").alias("hash"), "name", "id"))
+    tails = F.broadcast(_tail_sizes(unit_table.sparkSession, pieces))
     others = [c for c in unit_table.columns if c != "unit"]
     longest = pieces.longest
     begins = F.sequence(F.lit(0), F.floor((F.length("unit") - 1) / SEGMENT).cast("int") * SEGMENT, F.lit(SEGMENT))
     parts = unit_table.withColumn("begin", F.explode(begins)).withColumn("from", F.greatest(F.col("begin") - longest + 1, F.lit(0)))
     parts = parts.withColumn("part", F.substring("unit", F.col("from") + 1, F.lit(SEGMENT + longest - 1)))
-    # One number per end and size: rows of plain numbers stay in generated code, arrays of substrings would not.
-    n, width = F.least(F.length("unit") - F.col("begin"), F.lit(SEGMENT)), F.least(F.lit(longest), F.length("unit"))
-    cells = parts.withColumn("width", width).withColumn("k", F.explode(F.sequence(F.lit(0), n * width - 1)))
-    end, size = F.col("begin") + F.floor(F.col("k") / F.col("width")).cast("int") + 1, F.col("k") % F.col("width") + 1
-    cells = cells.withColumn("end", end).withColumn("size", size).filter(F.col("size") <= F.col("end"))
+    # One number per end: rows of plain numbers stay in generated code, arrays of substrings would not.
+    last = F.least(F.length("unit"), F.col("begin") + SEGMENT)
+    ends = parts.withColumn("end", F.explode(F.sequence(F.col("begin") + 1, last)))
+    # Only sizes that a piece with this tail has are cut out. Near the start the tail reaches over the end; what it
+    # gives then is longer than the text so far.
+    tail = F.substring("part", F.greatest(F.col("end") - F.col("from") - TAIL + 1, F.lit(1)), F.lit(TAIL))
+    cells = ends.withColumn("tail", F.xxhash64(tail)).join(tails, "tail", "left")
+    short = F.array(*(F.lit(size) for size in range(1, min(TAIL - 1, longest) + 1)))
+    cells = cells.withColumn("size", F.explode(F.coalesce("sizes", short))).filter(F.col("size") <= F.col("end"))
     piece = F.substring("part", F.col("end") - F.col("size") - F.col("from") + 1, F.col("size"))
     first = [F.when(F.col("end") == 1, F.col(c)).alias(c) for c in ("unit", *others)]
-    substrings = cells.select("end", "size", piece.alias("piece"), *first)
-    edges = substrings.join(table, "piece", "left").filter((F.col("size") == 1) | F.col("id").isNotNull())
+    substrings = cells.select("end", "size", piece.alias("piece"), *first).withColumn("hash", F.xxhash64("piece"))
+    known = F.when(F.col("name") == F.col("piece"), F.col("id"))
+    edges = substrings.join(table, "hash", "left").withColumn("id", known).filter((F.col("size") == 1) | F.col("id").isNotNull())
     # End and piece are one number: each column of a row costs. Size and score are those of the piece.
     number = F.shiftleft(F.col("end").cast("long"), 32) + F.coalesce("id", -1 - F.ascii("piece"))
     edges = edges.select(number.alias("edge"), "unit", *others)
@@ -258,7 +281,8 @@ def _viterbi(ends: Column, longest: int) -> Column:
     def step(ways: Column, edges: Column) -> Column:
         # The largest struct has the largest sum, then the largest size.
         reached = F.transform(edges, lambda e: F.struct((F.element_at(ways, -e["size"])["sum"] + e["score"]).alias("sum"), e["size"], e["id"]))
-        return F.concat(ways, F.array(F.array_max(reached)))
+        # Appending costs less than a concatenation, of which Spark makes a lazy list first.
+        return F.array_append(ways, F.array_max(reached))
 
     start = F.array(F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("size"), F.lit(0).alias("id")).cast(way))
 
@@ -281,7 +305,7 @@ def _path(ways: Column) -> Column:
         on = (s["skip"] == 0) & (w["size"] > 0)
         return F.struct(
             F.when(on, w["size"] - 1).otherwise(s["skip"] - 1).alias("skip"),
-            F.when(on, F.concat(s["ids"], F.array(w["id"]))).otherwise(s["ids"]).alias("ids"),
+            F.when(on, F.array_append(s["ids"], w["id"])).otherwise(s["ids"]).alias("ids"),
         )
 
     def part(s: Column, k: Column) -> Column:
@@ -310,7 +334,11 @@ def _with_bytes(ids: Column, byte_ids: tuple[int, ...]) -> Column:
         lead = F.when(c < 0x80, c).when(c < 0x800, F.shiftright(c, 6) + 0xC0).when(c < 0x10000, F.shiftright(c, 12) + 0xE0).otherwise(F.shiftright(c, 18) + 0xF0)
         return F.concat(F.array(lead), F.slice(F.array(*tail), 5 - size, size - 1))
 
-    return F.flatten(F.transform(ids, lambda i: F.when(i >= 0, F.array(i)).otherwise(F.transform(spelled(-1 - i), lambda b: F.get(table, b)))))
+    def whole(ids: Column) -> Column:
+        each = F.transform(ids, lambda i: F.when(i >= 0, F.array(i)).otherwise(F.transform(spelled(-1 - i), lambda b: F.get(table, b))))
+        return F.when(F.array_min(ids) >= 0, ids).otherwise(F.flatten(each))
+
+    return F.element_at(F.transform(F.array(ids), whole), 1)
 
 
 def viterbi_ids(ends: Column, pieces: Pieces) -> Column:

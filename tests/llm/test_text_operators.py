@@ -583,6 +583,34 @@ def test_edges_are_listed_without_a_sort(spark):
             assert all(e["id"] == known.get(e["size"], e["id"]) for e in edges)
 
 
+def test_edges_are_all_pieces_and_few_substrings_are_looked_up(spark):
+    table = pieces.read_pieces()
+    draw, names = random.Random(9), {table.names[i]: i for i in table.usable}
+    words = ["".join(draw.choice(["a", "e", "s", "t", "é", "語", "☃", "▁", table.names[draw.choice(table.usable)]]) for _ in range(n)) for n in (1, 2, 3, 5, 9, 90)]
+    small = pieces.Pieces(("a", "b", "ab"), (-1.0, -1.0, -1.5), (0, 1, 2), tuple([0] * 256))
+    for model, units in ((table, ["a", "ab", "▁the", *words]), (small, ["a", "ba", "abab" * 100]), (pieces.Pieces(("a",), (-1.0,), (0,), tuple([0] * 256)), ["aba"])):
+        known, longest = {model.names[i]: i for i in model.usable}, model.longest
+        found = pieces.lattice(spark.createDataFrame([(u,) for u in units], "unit string"), model)
+        for row in found.collect():
+            for end, edges in enumerate(row["ends"], 1):
+                parts = [row["unit"][end - size : end] for size in range(1, min(longest, end) + 1)]
+                wanted = [(len(p), known.get(p, -1 - ord(p[0]))) for p in parts if len(p) == 1 or p in known]
+                assert [(e["size"], e["id"]) for e in edges] == wanted
+    # Substrings meet the pieces by number, and only those of sizes that pieces with such a tail have.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [hash#" in plan and "BroadcastHashJoin [tail#" in plan
+    sizes = {r["tail"]: r["sizes"] for r in pieces._tail_sizes(spark, table).collect()}
+    tail = spark.range(1).select(F.xxhash64(F.lit("ing")).alias("h")).first()["h"]
+    assert sizes[tail] == sorted({1, 2} | {len(n) for n in names if n.endswith("ing")})
+
+
+def test_characters_that_are_no_pieces_are_spelled_in_bytes(spark):
+    table = pieces.read_pieces()
+    ids = spark.createDataFrame([([5, 6],), ([5, -1 - ord("☃"), 6],), ([],), (None,)], "ids array<int>")
+    found = [r["out"] for r in ids.select(pieces._with_bytes(F.col("ids"), table.byte_ids).alias("out")).collect()]
+    assert found == [[5, 6], [5, *(table.byte_ids[b] for b in "☃".encode()), 6], [], None]
+
+
 def test_edges_reach_their_lists_as_one_number():
     size_of, score_of = np.array([1, 2, 1]), np.array([-1.0, -2.5, -9.0])
 
