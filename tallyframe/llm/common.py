@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -12,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tallyframe.sources.scratch import scratch_folder, via_table
 
 __all__ = [
-    "WORD", "WORD_PATTERN", "ascii_lower", "chunks", "give_back", "scratch_folder", "slices", "table", "training_fold", "via_table", "words",
+    "WORD", "WORD_PATTERN", "ascii_lower", "chunks", "give_back", "giving_back", "scratch_folder", "slices", "table", "training_fold", "via_table", "words",
 ]
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
@@ -56,6 +59,19 @@ def give_back() -> None:
     worker that waits for the next one, of another stage perhaps, does not add to that stage's memory."""
     pa.default_memory_pool().release_unused()
     pa.system_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError, TypeError):  # C libraries other than glibc have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def giving_back(step: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """A step from batches to batches with ``give_back`` after it, when what the step itself held is free too."""
+
+    @functools.wraps(step)
+    def whole(*args: object) -> Iterator:
+        yield from step(*args)
+        give_back()
+
+    return whole
 
 
 def slices(text: str | None, gap: re.Pattern, most_chars: int = 2_000_000) -> Iterator[str]:

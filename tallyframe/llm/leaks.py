@@ -15,6 +15,8 @@ from collections.abc import Collection, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tallyframe.llm.common import giving_back
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 ASSIGN = re.compile(
@@ -124,6 +126,7 @@ def secret_spans(
     known = frozenset(known)
 
     @F.pandas_udf(SPANS)
+    @giving_back
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         runs = RandomRuns(ranks.value, PRE_SPLIT, chars_per_token, known)
         for batch in batches:

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.llm.common import give_back, via_table
+from tallyframe.llm.common import giving_back, via_table
 from tallyframe.llm.components import components
 from tallyframe.llm.shingles import Bands, Shingler, same_set_key
 from tallyframe.llm.wordmap import as_lists, frames_of
@@ -46,6 +46,7 @@ def signatures(docs: DataFrame, shingle: int, collection: int, rows: int) -> Dat
 
     Texts stay Arrow columns; one at a time becomes an object, so a worker does not hold a batch of them twice."""
 
+    @giving_back
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, bands = Shingler(shingle), Bands(collection, rows)
         for frame in frames_of(batches, FRAME_CHARS):
@@ -56,7 +57,6 @@ def signatures(docs: DataFrame, shingle: int, collection: int, rows: int) -> Dat
             n, high, low, keys = zip(*out)
             columns = [frame["doc_id"], *(pa.array(c, pa.int64()) for c in (n, high, low)), _arrays(keys)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "high", "low", "bands"])
-        give_back()
 
     none = np.empty(0, dtype=np.int64)
     named = docs.select(F.col("doc_id").cast("string"), F.col("text").cast("string")).mapInArrow(sign, "doc_id string, n long, high long, low long, bands array<long>")
@@ -69,6 +69,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     few = ids.count() <= MOST_BROADCAST
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(ids) if few else ids, "id", "left_semi")
 
+    @giving_back
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(shingle)
         for frame in frames_of(batches, FRAME_CHARS):
@@ -81,7 +82,6 @@ def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
             n, high, low, hashes, sketches = zip(*out)
             columns = [frame["id"], *(pa.array(c, pa.int64()) for c in (n, high, low)), _arrays(hashes), _arrays(sketches)]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "high", "low", "hashes", "odd"])
-        give_back()
 
     built = texts.mapInArrow(build, "id long, n long, high long, low long, hashes array<long>, odd array<long>")
     # An id may stand on several rows with different texts: the class is that of the wanted set.

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from tallyframe.llm.common import give_back
+from tallyframe.llm.common import giving_back
 from tallyframe.llm.wordmap import Tokens, as_lists, per_block, split_lists, spread, unzipped, zipped
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -175,7 +175,8 @@ def _tail_sizes(spark: SparkSession, pieces: Pieces) -> DataFrame:
         if len(name) >= TAIL:
             # Spark's xxhash64 is that of the library with 42 for seed, as a signed number.
             sizes[int(np.uint64(xxhash.xxh64_intdigest(name[-TAIL:].encode(), 42)).view(np.int64))].add(len(name))
-    return spark.createDataFrame([(tail, sorted(found)) for tail, found in sizes.items()], "tail long, sizes array<int>")
+    columns = [pa.array(sizes.keys(), pa.int64()), pa.array(map(sorted, sizes.values()), pa.list_(pa.int32()))]
+    return spark.createDataFrame(pa.table(columns, names=["tail", "sizes"]))
 
 
 def lattice(unit_table: DataFrame, pieces: Pieces, unknown: float | None = None) -> DataFrame:
@@ -191,8 +192,9 @@ def lattice(unit_table: DataFrame, pieces: Pieces, unknown: float | None = None)
     """
     worst = min(pieces.scores[i] for i in pieces.usable)
     unknown = worst - UNKNOWN_PENALTY if unknown is None else unknown
-    rows = [(pieces.names[i], i) for i in pieces.usable]
-    table = unit_table.sparkSession.createDataFrame(rows, "name string, id int")
+    # Made of Arrow columns; rows of Python would pass through Python workers of their own, which stay.
+    columns = [pa.array([pieces.names[i] for i in pieces.usable], pa.string()), pa.array(pieces.usable, pa.int32())]
+    table = unit_table.sparkSession.createDataFrame(pa.table(columns, names=["name", "id"]))
     # Texts are looked up by their hash and compared after that: Spark joins plain numbers at a fraction of the cost.
     table = F.broadcast(table.select(F.xxhash64("name").alias("hash"), "name", "id"))
     tails = F.broadcast(_tail_sizes(unit_table.sparkSession, pieces))
@@ -225,6 +227,7 @@ def lattice(unit_table: DataFrame, pieces: Pieces, unknown: float | None = None)
     return edges.mapInArrow(lambda batches: _lists(batches, *shared.value), schema)
 
 
+@giving_back
 def _lists(batches: Iterator[pa.RecordBatch], size_of: np.ndarray, score_of: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows of ``edge`` (end and id), ``unit`` and others as one row per unit, with a list of edges for each end.
 
@@ -270,7 +273,6 @@ def _lists(batches: Iterator[pa.RecordBatch], size_of: np.ndarray, score_of: np.
         held.append(batch.slice(last))
     if held:
         yield whole(held)
-    give_back()
 
 
 def _viterbi(ends: Column, longest: int) -> Column:
@@ -393,6 +395,7 @@ def merge_folded(found: DataFrame, pieces: Pieces) -> DataFrame:
     shared = found.sparkSession.sparkContext.broadcast((pieces.scores, pieces.single(), pieces.byte_ids))
     others = [c for c in found.columns if c not in ("unit", "ends")]
 
+    @giving_back
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores, single, byte_ids = shared.value
         for batch in batches:
@@ -462,6 +465,7 @@ def _answers(folded: DataFrame, table: list[bytes]) -> DataFrame:
         columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
         return pa.RecordBatch.from_arrays(columns, names=["block", "n", "n_ids", "packed"])
 
+    @giving_back
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = ([], [], [], []), 0
         for batch in batches:
@@ -482,7 +486,6 @@ def _answers(folded: DataFrame, table: list[bytes]) -> DataFrame:
                 held, n = ([], [], [], []), 0
         if n:
             yield packed(*held)
-        give_back()
 
     return folded.select("unit", "ids", "keys").mapInArrow(pack, "block long, n long, n_ids long, packed binary")
 

@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.llm.common import chunks, training_fold, via_table
+from tallyframe.llm.common import chunks, giving_back, training_fold, via_table
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "insult", "threat", "target", "negation", "report", "other"
 #: An insult or a threat that somebody else said; no word gives it, only the grammar writes it.
@@ -175,6 +175,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, folds: int, most_rows: int
     return texts.join(F.broadcast(marks), "doc_id").select("text", "toxic")
 
 
+@giving_back
 def _stem_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For each stem: texts and occurrences, in toxic and in clean texts, summed over a chunk of rows."""
     for frame in chunks(frames, "text", 4_000_000):
@@ -240,6 +241,7 @@ def evidence(text: Column, stems: Mapping[str, float]) -> Column:
     stems = dict(stems)
 
     @F.pandas_udf("double")
+    @giving_back
     def add_up(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(stems)
         for batch in batches:

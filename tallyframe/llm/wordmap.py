@@ -20,12 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tallyframe.llm.common import give_back
+from tallyframe.llm.common import give_back, giving_back
 
 #: A block ends after this many characters. Its texts and words stay Arrow columns, without an object per word.
 BLOCK_CHARS = 16_000_000
 FRAME_CHARS = 2_000_000
 _ASKED = 50_000
+#: Tokens are taken apart this many at a time.
+_PARTED = 200_000
 
 #: A list of words for each text; also the words of each token, where tokens are taken apart further.
 Tokens = Callable[[pa.Array], pa.ListArray]
@@ -73,17 +75,30 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
+def parted(numbers: np.ndarray, sizes: np.ndarray, of: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the parts of all tokens, and how many each text has: token i has the next ``n[i]`` of ``of``.
+
+    Some tokens at a time: places of all of them at once would take many times the numbers themselves."""
+    starts, done = np.cumsum(n) - n, [np.zeros(0, of.dtype)]
+    for begin in range(0, len(numbers), _PARTED):
+        some = numbers[begin : begin + _PARTED]
+        done.append(of[spread(starts[some], n[some])])
+    ends = np.cumsum(n.astype(np.int32)[numbers], dtype=np.int64)
+    cuts = np.cumsum(sizes)
+    return np.concatenate(done), np.diff(np.where(cuts > 0, ends[cuts - 1], 0) if len(ends) else np.zeros(len(cuts), np.int64), prepend=0)
+
+
 def blocks_of(batches: Iterator[pa.RecordBatch], tokens_of: Tokens, parts_of: Tokens | None = None) -> Iterator[Block]:
     """The rows of a task in blocks. A block is named by its contents, so passes over the same scan agree, after a lost
     executor too. With ``parts_of`` the words are the parts of the tokens, found once for each distinct token."""
 
     def block() -> Block:
         words, numbers, sizes = numbered(pa.chunked_array(lists))
+        lists.clear()
         if parts_of is not None:
             words, of, n = numbered(parts_of(words))
-            starts = np.cumsum(n) - n
-            ends = np.r_[0, np.cumsum(n[numbers])][np.r_[0, np.cumsum(sizes)]]
-            numbers, sizes = of[spread(starts[numbers], n[numbers])], np.diff(ends)
+            give_back()
+            numbers, sizes = parted(numbers, sizes, of, n)
         # Numbers by falling frequency have few bytes that differ.
         order = np.argsort(-np.bincount(numbers, minlength=len(words)), kind="stable")
         rank = np.empty(len(words), dtype=np.int32)
@@ -100,7 +115,10 @@ def blocks_of(batches: Iterator[pa.RecordBatch], tokens_of: Tokens, parts_of: To
         digest.update(memoryview(said.buffers()[2])[: pc.sum(pc.binary_length(said)).as_py()])
         lists.append(tokens_of(text))
         chars += pc.sum(pc.utf8_length(text)).as_py()
-        rows.append(frame.drop_columns("text"))
+        # Copied: the columns of a batch that came over a stream lie in one buffer, which would stay with the texts.
+        rows.append(frame.drop_columns("text").take(pa.array(np.arange(frame.num_rows))))
+        del frame, text, key, said
+        give_back()  # else what one step of a block has freed stays beside what the next one takes
         if chars >= BLOCK_CHARS:
             yield block()
             rows = []
@@ -149,27 +167,27 @@ def per_block(
     """
     result = to_arrow_schema(StructType.fromDDL(schema))
 
+    @giving_back
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks_of(batches, tokens_of, parts_of):
             for start in range(0, len(block.words), _ASKED):
                 words = block.words.slice(start, _ASKED)
                 columns = [pa.array(np.full(len(words), block.name)), pa.array(np.arange(start, start + len(words), dtype=np.int32)), words]
                 yield pa.RecordBatch.from_arrays(columns, names=["block", "i", "word"])
-        give_back()
 
+    @giving_back
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks_of(batches, tokens_of, parts_of):
             rows = block.rows.append_column("size of line", pa.array(block.sizes))
             words = _packed(pa.table({"word": block.words if keep_words else block.words[:0]}))
             columns = {"block": [block.name], "rows": [_packed(rows)], "words": [words], "numbers": [zipped(block.numbers)]}
             yield pa.RecordBatch.from_pydict(columns, packed_schema)
-        give_back()
 
     packed_schema = pa.schema([("block", pa.int64()), ("rows", pa.binary()), ("words", pa.binary()), ("numbers", pa.binary())])
     asked = docs.mapInArrow(ask, "block long, i int, word string")
     packed = docs.mapInArrow(pack, "block long, rows binary, words binary, numbers binary")
 
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+    def met(left: pa.Table, right: pa.Table) -> pa.Table:
         done = []
         for line in left.to_pylist():  # more than one only where blocks are equal
             rows = _unpacked(line["rows"])
@@ -180,4 +198,9 @@ def per_block(
             done.append(finish(rows.drop_columns("size of line").to_pandas(), words, numbers, right))
         return pa.concat_tables(done) if done else result.empty_table()
 
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        done = met(left, right)
+        give_back()
+        return done
+
     return packed.groupBy("block").cogroup(answer(asked).groupBy("block")).applyInArrow(meet, schema)
