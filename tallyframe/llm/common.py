@@ -54,13 +54,21 @@ def chunks(frames: Iterable[pd.DataFrame], column: str, most_chars: int = 8_000_
                 yield piece.reset_index(drop=True)
 
 
+#: What malloc.h calls M_TRIM_THRESHOLD and M_MMAP_THRESHOLD.
+_TRIM_THRESHOLD, _MMAP_THRESHOLD = -1, -3
+
+
 def give_back() -> None:
     """What Arrow and the C library keep of freed memory goes back to the machine. Called at the end of a task, so that a
     worker that waits for the next one, of another stage perhaps, does not add to that stage's memory."""
     pa.default_memory_pool().release_unused()
     pa.system_memory_pool().release_unused()
     with contextlib.suppress(AttributeError, OSError, TypeError):  # C libraries other than glibc have no such call
-        ctypes.CDLL(None).malloc_trim(0)
+        library = ctypes.CDLL(None)
+        # From now on large arrays go back as soon as they are free, also those of what follows the last call of a task.
+        library.mallopt(_MMAP_THRESHOLD, 4 << 20)
+        library.mallopt(_TRIM_THRESHOLD, 16 << 20)
+        library.malloc_trim(0)
 
 
 def giving_back(step: Callable[..., Iterator]) -> Callable[..., Iterator]:

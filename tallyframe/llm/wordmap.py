@@ -79,13 +79,17 @@ def parted(numbers: np.ndarray, sizes: np.ndarray, of: np.ndarray, n: np.ndarray
     """The numbers of the parts of all tokens, and how many each text has: token i has the next ``n[i]`` of ``of``.
 
     Some tokens at a time: places of all of them at once would take many times the numbers themselves."""
-    starts, done = np.cumsum(n) - n, [np.zeros(0, of.dtype)]
+    each, full, counts = n.astype(np.int32)[numbers], sizes > 0, np.zeros(len(sizes), np.int64)
+    if full.any():
+        counts[full] = np.add.reduceat(each, (np.cumsum(sizes) - sizes)[full], dtype=np.int64)
+    del each
+    starts, parts, at = np.cumsum(n) - n, np.empty(counts.sum(), of.dtype), 0
     for begin in range(0, len(numbers), _PARTED):
         some = numbers[begin : begin + _PARTED]
-        done.append(of[spread(starts[some], n[some])])
-    ends = np.cumsum(n.astype(np.int32)[numbers], dtype=np.int64)
-    cuts = np.cumsum(sizes)
-    return np.concatenate(done), np.diff(np.where(cuts > 0, ends[cuts - 1], 0) if len(ends) else np.zeros(len(cuts), np.int64), prepend=0)
+        found = of[spread(starts[some], n[some])]
+        parts[at : at + len(found)] = found
+        at += len(found)
+    return parts, counts
 
 
 def blocks_of(batches: Iterator[pa.RecordBatch], tokens_of: Tokens, parts_of: Tokens | None = None) -> Iterator[Block]:
