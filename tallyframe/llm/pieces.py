@@ -175,6 +175,8 @@ def _tail_sizes(spark: SparkSession, pieces: Pieces) -> DataFrame:
         if len(name) >= TAIL:
             # Spark's xxhash64 is that of the library with 42 for seed, as a signed number.
             sizes[int(np.uint64(xxhash.xxh64_intdigest(name[-TAIL:].encode(), 42)).view(np.int64))].add(len(name))
+    if not sizes:
+        return spark.createDataFrame([], "tail long, sizes array<int>")
     columns = [pa.array(sizes.keys(), pa.int64()), pa.array(map(sorted, sizes.values()), pa.list_(pa.int32()))]
     return spark.createDataFrame(pa.table(columns, names=["tail", "sizes"]))
 
